@@ -99,10 +99,10 @@ def sentence_stats(df: DataFrame, line: str = "line_id", hyp: str = "hyp", refs:
 
 def corpus_totals(df: DataFrame, line: str = "line_id", hyp: str = "hyp", refs: str = "refs",
                   ties: str = "first", keys: list[str] | None = None,
-                  multi_ref: bool = True) -> DataFrame:
+                  multi_ref: bool = True, prepartitioned: bool = False) -> DataFrame:
     """Summed statistics per ``keys`` group (global when no keys): skips the per-line level."""
     keys = keys or []
-    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, False)
+    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned)
     if keys:
         return c.groupBy(*keys).agg(*_stat_aggs())
     return c.agg(*_stat_aggs())

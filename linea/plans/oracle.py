@@ -71,7 +71,7 @@ def with_ctes(*names: str, extra: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def stats_sql(tok_src: str, keys: str, multi: bool = False) -> list[str]:
+def stats_sql(tok_src: str, keys: str, ties: str = "first") -> list[str]:
     """CTEs computing per-line statistics from ``tok_src`` (``keys, line_id, h, refs``).
 
     ``refs`` is a list of token lists; closest length: first reference wins ties.
@@ -95,7 +95,9 @@ def stats_sql(tok_src: str, keys: str, multi: bool = False) -> list[str]:
         + " FROM cl GROUP BY ALL)",
         f"lens AS (SELECT {k}, len(h)::BIGINT AS translation_length, "
         f"coalesce(list_sort(list_transform(refs, lambda r, i: "
-        f"{{'d': abs(len(h) - len(r)), 'i': i, 'l': len(r)}}))[1].l, 0)::BIGINT AS reference_length "
+        + ("{'d': abs(len(h) - len(r)), 'i': i, 'l': len(r)}" if ties == "first"
+           else "{'d': abs(len(h) - len(r)), 'l': len(r)}")
+        + "))[1].l, 0)::BIGINT AS reference_length "
         f"FROM {tok_src})",
         f"st AS (SELECT lens.*, " + ", ".join(
             [f"coalesce(cls.correct_{j}_grams, 0)::BIGINT AS correct_{j}_grams" for j in range(1, 5)]
@@ -144,3 +146,23 @@ def bleu_detok_select(src: str, keys: str = "") -> str:
             + f", round(CASE WHEN {z} THEN 0.0 ELSE {bp} END, 6) AS bp, "
             f"round(CASE WHEN {z} THEN 0.0 ELSE translation_length / reference_length END, 6) AS ratio, "
             f"translation_length AS hyp_len, reference_length AS ref_len FROM {src}")
+
+
+UWS_SQL = "[\\t\\n\\x0B\\f\\r\\x{85}\\p{Z}]"
+
+
+def tok13a(c: str) -> str:
+    t = f"replace(replace(replace({c}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    for ent, ch in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        t = f"replace({t}, '{ent}', '{ch}')"
+    t = f"(' ' || {t} || ' ')"
+    t = f"regexp_replace({t}, '([\\x7B-\\x7E\\x5B-\\x60\\x20-\\x26\\x28-\\x2B\\x3A-\\x40/])', ' \\1 ', 'g')"
+    t = f"regexp_replace({t}, '([^0-9])([\\.,])', '\\1 \\2 ', 'g')"
+    t = f"regexp_replace({t}, '([\\.,])([^0-9])', ' \\1 \\2', 'g')"
+    t = f"regexp_replace({t}, '([0-9])(-)', '\\1 \\2 ', 'g')"
+    t = f"regexp_replace({t}, '{UWS_SQL}+', ' ', 'g')"
+    return f"regexp_replace({t}, '^ | $', '', 'g')"
+
+
+def split_sp_nonempty(c: str) -> str:
+    return f"list_filter(string_split({c}, ' '), lambda x: x <> '')"

@@ -16,6 +16,7 @@ from linea.functions import text as T
 from linea.operators import bleu as B
 from linea.plans import oracle as O
 from linea.sources import fixtures as FX
+from linea.sources import text as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +63,95 @@ def bleu_by_lang(spark, sf):
 def bleu_sentence_stats(spark, sf):
     toks = _plain_tokens(FX.pair(spark, sf))
     return B.sentence_stats(toks, multi_ref=False)
+
+
+def _multi_tokens(spark, sf, hyp_tok=T.split_ws, ref_tok=T.split_space) -> DataFrame:
+    m = FX.multi_ref(spark, sf)
+    refs = S.group_references(m, "line_id", "ref_id", "ref", tokenizer=ref_tok)
+    hyps = m.where(F.col("ref_id") == 0).select("line_id", hyp_tok(F.col("hyp")).alias("hyp"))
+    return hyps.join(refs, "line_id")
+
+
+_MULTI_TOK = ("toks AS (SELECT line_id, " + O.split_ws("any_value(hyp)") + " AS h, list("
+              + O.split_space("ref") + " ORDER BY ref_id) AS refs FROM multi_ref GROUP BY line_id)")
+
+
+@register("bleu_multi_ref", O.with_ctes("multi_ref", extra=[_MULTI_TOK] + O.stats_sql("toks", ""))
+          + O.bleu_plain_select(f"(SELECT {O.STAT_SUMS} FROM st)"))
+def bleu_multi_ref(spark, sf):
+    """S3 + E1/E2/E3: two references per line, first reference wins length ties."""
+    return B.bleu_plain(B.corpus_totals(_multi_tokens(spark, sf), prepartitioned=True))
+
+
+def _detok_tokens(p: DataFrame, lowercase: bool) -> DataFrame:
+    hyp = F.replace(F.col("hyp"), F.lit("&"), F.lit("&amp;"))   # entities decoded by the tokenizer
+    if lowercase:
+        h = T.tokenize_13a(T.lowercase(hyp))
+        r = T.lowercase(T.tokenize_13a(F.col("ref")))
+    else:
+        h, r = T.tokenize_13a(hyp), T.tokenize_13a(F.col("ref"))
+    nonempty = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
+    return p.select("line_id", nonempty(h).alias("hyp"), F.array(nonempty(r)).alias("refs"))
+
+
+def _detok_sql(lowercase: bool) -> str:
+    hyp = "replace(hyp, '&', '&amp;')"
+    if lowercase:
+        h, r = O.tok13a(f"lower({hyp})"), f"lower({O.tok13a('ref')})"
+    else:
+        h, r = O.tok13a(hyp), O.tok13a("ref")
+    toks = (f"toks AS (SELECT line_id, {O.split_sp_nonempty(h)} AS h, "
+            f"[{O.split_sp_nonempty(r)}] AS refs FROM pair)")
+    return (O.with_ctes("pair", extra=[toks] + O.stats_sql("toks", "", ties="shorter"))
+            + O.bleu_detok_select(f"(SELECT {O.STAT_SUMS} FROM st)"))
+
+
+@register("bleu_detok", _detok_sql(False))
+def bleu_detok(spark, sf):
+    """T2 + E1 + E4: detokenised BLEU with the 13a tokenizer, shorter ref wins ties."""
+    toks = _detok_tokens(FX.pair(spark, sf), lowercase=False)
+    return B.bleu_detok(B.corpus_totals(toks, ties="shorter", multi_ref=False))
+
+
+@register("bleu_detok_lc", _detok_sql(True))
+def bleu_detok_lc(spark, sf):
+    """Hypothesis lower-cased before tokenisation, references after."""
+    toks = _detok_tokens(FX.pair(spark, sf), lowercase=True)
+    return B.bleu_detok(B.corpus_totals(toks, ties="shorter", multi_ref=False))
+
+
+LENGTH_WIDTH = 10
+
+
+def _bucket_sql(w: int) -> str:
+    tok = ("toks AS (SELECT line_id, " + O.split_ws("any_value(hyp)") + " AS h, list("
+           + O.split_space("ref") + " ORDER BY ref_id) AS refs FROM multi_ref GROUP BY line_id)")
+    bk = (f"bk AS (SELECT line_id, (len(refs[len(refs)]) // {w})::BIGINT AS bucket, "
+          f"list_max(list_transform(refs, lambda r: len(r) // {w}))::BIGINT AS mb FROM toks)")
+    per = (f"per AS (SELECT bucket, count(*) AS n_lines, {O.STAT_SUMS} FROM st JOIN bk USING (line_id) "
+           f"GROUP BY bucket)")
+    g = (f"g AS (SELECT sum(translation_length) AS hl, sum(reference_length) AS rl, "
+         f"(SELECT max(mb) FROM bk) AS mb FROM st)")
+    start = int(1 / w)
+    p = [f"(correct_{j}_grams::DOUBLE / total_{j}_grams)" for j in range(1, 5)]
+    logs = "(0.0 + " + " + ".join(O._slog(x) for x in p) + ")"
+    gbp = "(CASE WHEN hl >= rl THEN 1.0 ELSE exp(1 - rl::DOUBLE / hl) END)"
+    show = "(total_4_grams > 0 AND correct_4_grams > 0)"
+    label = ("b::VARCHAR" if w == 1 else f"((b * {w} + 1)::VARCHAR || '-' || ((b + 1) * {w})::VARCHAR)")
+    return (O.with_ctes("multi_ref", extra=[tok] + O.stats_sql("toks", "") + [bk, per, g])
+            + f"SELECT b::BIGINT AS bucket, {label} AS label, "
+              f"CASE WHEN {show} THEN n_lines END::BIGINT AS n_lines, "
+              f"CASE WHEN {show} THEN round(100 * {gbp} * exp({logs} / 4), 6) END AS bleu "
+              f"FROM (SELECT unnest(generate_series({start}, mb)) AS b, hl, rl FROM g) s "
+              f"LEFT JOIN (SELECT * FROM per WHERE bucket <> 0) p ON p.bucket = s.b")
+
+
+@register("bleu_by_length", _bucket_sql(LENGTH_WIDTH))
+def bleu_by_length(spark, sf, width: int = LENGTH_WIDTH):
+    """E5: BLEU per reference-length bucket (last reference decides the bucket)."""
+    toks = _multi_tokens(spark, sf)
+    toks = toks.select("*", (F.size(F.element_at("refs", -1)) / width).cast("bigint").alias("bucket"),
+                       F.array_max(F.transform("refs", lambda r: (F.size(r) / width).cast("bigint")))
+                       .alias("max_bucket_ref"))
+    st = B.sentence_stats(toks, keys=["bucket", "max_bucket_ref"], prepartitioned=True)
+    return B.bleu_by_length(st, width)
