@@ -166,3 +166,55 @@ def tok13a(c: str) -> str:
 
 def split_sp_nonempty(c: str) -> str:
     return f"list_filter(string_split({c}, ' '), lambda x: x <> '')"
+
+
+def inject_sql(words: str, off: str) -> str:
+    return (f"array_to_string(list_transform({words}, lambda x, i: x || CASE WHEN i >= len({words}) THEN '' "
+            f"WHEN (i - 1 + {off}) % 5 = 0 THEN '@@ ' WHEN (i - 1 + {off}) % 6 = 1 THEN '_' ELSE ' ' END), '')")
+
+
+CTE["marked"] = f"""marked AS (
+  SELECT line_id, lang, {inject_sql("string_split(text, ' ')", "line_id")} AS text FROM seg)"""
+CTE["padded"] = """padded AS (
+  SELECT line_id, lang, CASE WHEN line_id % 3 = 0 THEN ' ' || text || '  ' ELSE text END AS text FROM seg)"""
+CTE["numbered"] = """numbered AS (
+  SELECT *, (row_number() OVER (ORDER BY line_id) - 1)::BIGINT AS line_no FROM seg)"""
+CTE["decoder_log"] = f"""decoder_log AS (
+  SELECT unnest([
+    'S-' || (line_id * 2)::VARCHAR || chr(9) || ref,
+    'H-' || (line_id * 2)::VARCHAR || chr(9) || sc || chr(9) || vi,
+    'P-' || (line_id * 2)::VARCHAR || chr(9) || sc,
+    'S-' || (line_id * 2 + 1)::VARCHAR || chr(9) || hyp,
+    'H-' || (line_id * 2 + 1)::VARCHAR || chr(9) || sc || chr(9) || en,
+    'P-' || (line_id * 2 + 1)::VARCHAR || chr(9) || sc]) AS line
+  FROM (SELECT line_id, hyp, ref, '-0.' || lpad((line_id % 1000)::VARCHAR, 3, '0') AS sc,
+               {inject_sql("string_split(hyp, ' ')", "line_id")} AS vi,
+               {inject_sql("string_split(ref, ' ')", "(line_id + 1)")} AS en FROM pair))"""
+CTE["parsed_log"] = """parsed_log AS (
+  SELECT regexp_extract(string_split(line, chr(9))[1], '^H-(\\d+)$', 1)::BIGINT AS id,
+         string_split(line, chr(9))[2]::DOUBLE AS score,
+         coalesce(string_split(line, chr(9))[3], '') AS text
+  FROM decoder_log WHERE starts_with(line, 'H'))"""
+DEPS.update({"marked": ["seg"], "padded": ["seg"], "numbered": ["seg"], "decoder_log": ["pair"],
+             "parsed_log": ["decoder_log"]})
+
+SENT_END_SQL = "['.', ':', '?', '!']"
+DELAYED_SQL = "['(', '[', '\"', '''', '&apos;', '&quot;', '&#91;', '&#93;']"
+
+
+def join_subwords(c: str) -> str:
+    return f"regexp_replace({c}, '(@@ )|(@@ ?$)', '', 'g')"
+
+
+def detruecase(c: str) -> str:
+    w = f"string_split({c}, ' ')"
+    cond = (f"NOT list_contains({DELAYED_SQL}, x) AND ((i = 1 OR list_contains({SENT_END_SQL}, {w}[i - 1])) "
+            f"OR (list_contains({DELAYED_SQL}, {w}[i - 1]) AND (i = 2 OR list_contains({SENT_END_SQL}, {w}[i - 2]))))")
+    return (f"array_to_string(list_transform({w}, lambda x, i: CASE WHEN {cond} "
+            f"THEN upper(x[1]) || x[2:] ELSE x END), ' ')")
+
+
+def tokenize_en(c: str) -> str:
+    t = tok13a(c)
+    t = f"regexp_replace({t}, '([A-Za-z])n''t([^A-Za-z0-9_]|$)', '\\1 n''t\\2', 'g')"
+    return f"regexp_replace({t}, '([A-Za-z])''(s|m|d|ll|re|ve)([^A-Za-z0-9_]|$)', '\\1 ''\\2\\3', 'g')"

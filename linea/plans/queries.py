@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from linea.functions import text as T
 from linea.operators import bleu as B
+from linea.operators import compose as C
+from linea.operators import metrics as M
 from linea.plans import oracle as O
 from linea.sources import fixtures as FX
 from linea.sources import text as S
@@ -155,3 +157,110 @@ def bleu_by_length(spark, sf, width: int = LENGTH_WIDTH):
                        .alias("max_bucket_ref"))
     st = B.sentence_stats(toks, keys=["bucket", "max_bucket_ref"], prepartitioned=True)
     return B.bleu_by_length(st, width)
+
+
+# ---------------------------------------------------------------------------
+# Row-level text functions (T1-T14), decoder logs (S6, F1, F2, C7), E6
+# ---------------------------------------------------------------------------
+
+@register("join_subwords", O.with_ctes("marked") + f"SELECT line_id, {O.join_subwords('text')} AS text FROM marked")
+def join_subwords(spark, sf):
+    """Remove subword continuation marks."""
+    return FX.marked(spark, sf).select("line_id", T.join_subwords("text").alias("text"))
+
+
+@register("join_compounds", O.with_ctes("marked") + "SELECT line_id, replace(text, '_', ' ') AS text FROM marked")
+def join_compounds(spark, sf):
+    """Every underscore becomes a blank."""
+    return FX.marked(spark, sf).select("line_id", T.join_compounds("text").alias("text"))
+
+
+@register("detruecase", O.with_ctes("seg")
+          + f"SELECT line_id, {O.detruecase(O.tok13a('lower(text)'))} AS text FROM seg")
+def detruecase(spark, sf):
+    """Sentence-initial upper-casing of tokenised, lower-cased lines."""
+    s = FX.seg(spark, sf).select("line_id", T.tokenize_13a(F.lower("text")).alias("t"))
+    return s.select("line_id", T.detruecase("t").alias("text"))
+
+
+@register("tokenize_13a", O.with_ctes("seg") + f"SELECT line_id, {O.tok13a('text')} AS text FROM seg")
+def tokenize_13a(spark, sf):
+    """13a tokenisation of every line."""
+    return FX.seg(spark, sf).select("line_id", T.tokenize_13a("text").alias("text"))
+
+
+@register("tokenize_en", O.with_ctes("seg")
+          + f"SELECT line_id, {O.tokenize_en('text')} AS text FROM seg WHERE lang = 'en'")
+def tokenize_en(spark, sf):
+    """English tokenisation (13a + clitics) of the English lines."""
+    return (FX.seg(spark, sf).where(F.col("lang") == "en")
+            .select("line_id", T.tokenize_en("text").alias("text")))
+
+
+@register("split_lengths", O.with_ctes("padded")
+          + f"SELECT line_id, len({O.split_ws('text')})::BIGINT AS n_ws, "
+            f"len({O.split_space('text')})::BIGINT AS n_space, "
+            f"len(list_filter(regexp_split_to_array(regexp_replace(text, '^{O.UWS_SQL}+|{O.UWS_SQL}+$', '', 'g'), "
+            f"'{O.UWS_SQL}+'), lambda x: x <> ''))::BIGINT AS n_eval FROM padded")
+def split_lengths(spark, sf):
+    """Token counts under the three splitting rules."""
+    p = FX.padded(spark, sf)
+    return p.select("line_id", F.size(T.split_ws("text")).cast("bigint").alias("n_ws"),
+                    F.size(T.split_space("text")).cast("bigint").alias("n_space"),
+                    F.size(T.eval_preproc("text", "bleu")).cast("bigint").alias("n_eval"))
+
+
+@register("ngram_counts", O.with_ctes("seg", extra=[
+    "toks AS (SELECT line_id, " + O.split_ws("text") + " AS h FROM seg)",
+    f"g AS ({O.ngram_rows('toks', 'h', 'line_id')})"])
+    + "SELECT n, count(*)::BIGINT AS n_grams, count(DISTINCT gram)::BIGINT AS distinct_grams FROM g GROUP BY n")
+def ngram_counts(spark, sf):
+    """N-gram occurrences and distinct n-grams per order over the corpus."""
+    g = FX.seg(spark, sf).select(F.inline(T.ngram_structs(T.split_ws("text"))))
+    return g.groupBy("n").agg(F.count(F.lit(1)).alias("n_grams"),
+                              F.countDistinct("gram").alias("distinct_grams"))
+
+
+@register("nfkd_strip", "SELECT doc_id, strip_accents(text) AS text FROM documents")
+def nfkd_strip(spark, sf):
+    """NFKD, then combining marks removed (oracled form of the normaliser)."""
+    d = FX.table(spark, sf, "documents")
+    return d.select("doc_id", T.strip_marks(T.unicode_normalize("text", "NFKD")).alias("text"))
+
+
+@register("nfkd")
+def nfkd(spark, sf):
+    """Raw NFKD of every document (no SQL twin: DuckDB lacks NFKD)."""
+    d = FX.table(spark, sf, "documents")
+    return d.select("doc_id", T.unicode_normalize("text", "NFKD").alias("text"))
+
+
+@register("decoder_log_parse", O.with_ctes("parsed_log") + "SELECT id, score, text FROM parsed_log")
+def decoder_log_parse(spark, sf):
+    """Hypothesis rows of the decoder log, keyed by input id."""
+    return S.parse_decoder_log(FX.decoder_log(spark, sf))
+
+
+@register("parity_route", O.with_ctes("parsed_log")
+          + "SELECT id // 2 AS sent_id, CASE WHEN id % 2 = 0 THEN 'vi' ELSE 'en' END AS lang, "
+            f"{O.join_subwords('text')} AS text FROM parsed_log")
+def parity_route(spark, sf):
+    """F2 + T7: even ids are Vietnamese outputs, odd ids English; sentence = id div 2."""
+    return C.route_by_parity(S.parse_decoder_log(FX.decoder_log(spark, sf)))
+
+
+@register("collect_synthetic", O.with_ctes("parsed_log")
+          + f"SELECT id, {O.join_subwords('text')} AS tok, "
+            f"replace({O.join_subwords('text')}, '_', ' ') AS syn FROM parsed_log WHERE id % 2 = 0")
+def collect_synthetic(spark, sf):
+    """Synthetic Vietnamese side of a back-translation step (tok -> syn)."""
+    log = S.parse_decoder_log(FX.decoder_log(spark, sf)).where(F.col("id") % 2 == 0)
+    return C.collect_synthetic(log, "vi")
+
+
+@register("exact_match", O.with_ctes("pair")
+          + "SELECT count(*) FILTER (WHERE hyp = ref)::BIGINT AS matches, count(*)::BIGINT AS lines, "
+            "round(100 * count(*) FILTER (WHERE hyp = ref) / count(*), 2) AS accuracy FROM pair")
+def exact_match(spark, sf):
+    """Share of identical lines between two positionally bound files."""
+    return M.exact_match(FX.pair(spark, sf), "hyp", "ref")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linea.operators.positional import dense_index
-from linea.sources.tables import table
+from linea.sources.tables import table  # noqa: F401  (re-exported)
 
 # Fixed values used to derive alignment-test sentences.
 ALIGN_VOCAB = ["the", "house", ".", ",", "is", "big", "(", ")", "a", "!", "small", ";"]
@@ -62,12 +62,11 @@ def multi_ref(spark, sf_dir) -> DataFrame:
 
 def _inject_marks(words, line_id):
     """Re-join words, turning some blanks into ``@@ `` and some into ``_``."""
-    n = F.size(words)
-    t = F.transform(words, lambda x, i: F.concat(x, F.when(i >= n - 1, F.lit(""))
-                                                 .when((i + line_id) % 5 == 0, F.lit("@@ "))
-                                                 .when((i + line_id) % 6 == 1, F.lit("_"))
-                                                 .otherwise(F.lit(" "))))
-    return F.array_join(t, "")
+    head = F.slice(words, 1, F.size(words) - 1)
+    t = F.transform(head, lambda x, i: F.concat(x, F.when((i + line_id) % 5 == 0, F.lit("@@ "))
+                                                .when((i + line_id) % 6 == 1, F.lit("_"))
+                                                .otherwise(F.lit(" "))))
+    return F.concat(F.array_join(t, ""), F.element_at(words, -1))
 
 
 def decoder_log(spark, sf_dir) -> DataFrame:
@@ -167,3 +166,22 @@ def turns(spark, sf_dir) -> DataFrame:
     a = c.where(F.col("turn") % 2 == 1).select("conv_id", ((F.col("turn") - 1) / 2).cast("bigint").alias("k"),
                                                 F.col("text").alias("tgt"))
     return u.join(a, ["conv_id", "k"])
+
+
+def marked(spark, sf_dir) -> DataFrame:
+    """Lines with injected subword marks (``@@ ``) and compound joins (``_``)."""
+    s = seg(spark, sf_dir)
+    return s.select("line_id", "lang", _inject_marks(_words(), F.col("line_id")).alias("text"))
+
+
+def padded(spark, sf_dir) -> DataFrame:
+    """Lines with leading/trailing blanks on every third line (tokeniser edge cases)."""
+    s = seg(spark, sf_dir)
+    t = F.when(F.col("line_id") % 3 == 0, F.concat(F.lit(" "), F.col("text"), F.lit("  "))) \
+        .otherwise(F.col("text"))
+    return s.select("line_id", "lang", t.alias("text"))
+
+
+def numbered(spark, sf_dir) -> DataFrame:
+    """Lines with a dense 0-based ``line_no`` in ``line_id`` order."""
+    return dense_index(seg(spark, sf_dir), "line_id", "line_no")
