@@ -218,3 +218,34 @@ def tokenize_en(c: str) -> str:
     t = tok13a(c)
     t = f"regexp_replace({t}, '([A-Za-z])n''t([^A-Za-z0-9_]|$)', '\\1 n''t\\2', 'g')"
     return f"regexp_replace({t}, '([A-Za-z])''(s|m|d|ll|re|ve)([^A-Za-z0-9_]|$)', '\\1 ''\\2\\3', 'g')"
+
+
+CTE["turns"] = """turns AS (
+  SELECT u.conv_id, u.turn // 2 AS k, u.text AS src, a.text AS tgt
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.turn % 2 = 0)"""
+CTE["par"] = """par AS (
+  SELECT (row_number() OVER (ORDER BY conv_id * 1000 + k) - 1)::BIGINT AS line_no,
+         src AS en, tgt AS vi, lower(src) AS syn_en, lower(tgt) AS syn_vi FROM turns)"""
+CTE["par_split"] = """par_split AS (
+  SELECT split, (row_number() OVER (PARTITION BY split ORDER BY conv_id * 1000 + k) - 1)::BIGINT AS line_no,
+         src AS en, tgt AS vi, lower(src) AS syn_en, lower(tgt) AS syn_vi
+  FROM (SELECT *, CASE WHEN conv_id % 10 = 0 THEN 'valid' WHEN conv_id % 10 = 1 THEN 'test' ELSE 'train' END
+        AS split FROM turns))"""
+DEPS.update({"turns": [], "par": ["turns"], "par_split": ["turns"]})
+
+
+def step_ctes(k_max: int, par: str = "par", prefix: str = "step", where: str = "") -> list[str]:
+    """CTEs ``step0 … step{k_max}`` of the bidirectional/back-translation sets."""
+    w0 = f" WHERE {where}" if where else ""
+    out = [f"{prefix}0 AS (SELECT line_no * 2 AS line_no, en AS src, vi AS tgt FROM {par}{w0} "
+           f"UNION ALL SELECT line_no * 2 + 1, vi, en FROM {par}{w0})"]
+    for k in range(1, k_max + 1):
+        w = 2 * (k + 1)
+        out.append(
+            f"{prefix}{k} AS (SELECT line_no * {w} AS line_no, syn_en AS src, vi AS tgt FROM {par}{w0} "
+            f"UNION ALL SELECT line_no * {w} + {k + 1}, syn_vi, en FROM {par}{w0} "
+            f"UNION ALL SELECT (line_no // {2 * k}) * {w} + CASE WHEN line_no % {2 * k} < {k} "
+            f"THEN line_no % {2 * k} + 1 ELSE line_no % {2 * k} + 2 END, src, tgt FROM {prefix}{k - 1} "
+            f"WHERE line_no < {2 * k} * (SELECT count(*) FROM {par}{w0}))")
+    return out

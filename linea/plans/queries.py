@@ -264,3 +264,78 @@ def collect_synthetic(spark, sf):
 def exact_match(spark, sf):
     """Share of identical lines between two positionally bound files."""
     return M.exact_match(FX.pair(spark, sf), "hyp", "ref")
+
+
+# ---------------------------------------------------------------------------
+# Composition of training sets (C1-C6), tags
+# ---------------------------------------------------------------------------
+
+def _steps(spark, sf, k_max: int, par: DataFrame | None = None) -> list[DataFrame]:
+    par = par if par is not None else FX.parallel(spark, sf)
+    steps = [C.build_bidirectional(par)]
+    for k in range(1, k_max + 1):
+        steps.append(C.build_step(k, par, steps[-1]))
+    return steps
+
+
+for _k in range(3):
+    def _make(k):
+        def q(spark, sf):
+            return _steps(spark, sf, k)[k]
+        q.__doc__ = f"C1/C3/C4: training set of back-translation step {k} (stride {k})."
+        q.__name__ = f"interleave_step{k}"
+        return q
+    register(f"interleave_step{_k}", O.with_ctes("par", extra=O.step_ctes(_k))
+             + f"SELECT line_no, src, tgt FROM step{_k}")(_make(_k))
+
+
+@register("concat_all", O.with_ctes("par", "numbered")
+          + "SELECT line_no, en AS text FROM par UNION ALL "
+            "SELECT line_no + (SELECT count(*) FROM par), vi FROM par UNION ALL "
+            "SELECT line_no + 2 * (SELECT count(*) FROM par), text FROM numbered")
+def concat_all(spark, sf):
+    """A, then b, then the previous lines, renumbered."""
+    par = FX.parallel(spark, sf)
+    return C.concat_all([par.select("line_no", F.col("en").alias("text")),
+                         par.select("line_no", F.col("vi").alias("text")),
+                         FX.numbered(spark, sf).select("line_no", "text")])
+
+
+@register("carry_forward", O.with_ctes("par_split", extra=O.step_ctes(1, "par_split", where="split = 'train'"))
+          + "SELECT 'train' AS split, line_no, src, tgt FROM step1 UNION ALL "
+            "SELECT split, line_no * 2, en, vi FROM par_split WHERE split <> 'train' UNION ALL "
+            "SELECT split, line_no * 2 + 1, vi, en FROM par_split WHERE split <> 'train'")
+def carry_forward(spark, sf):
+    """Step 1 = rebuilt train split + valid/test carried over from step 0."""
+    prev = None
+    for split in ("train", "valid", "test"):
+        s0 = C.build_bidirectional(FX.parallel_split(spark, sf, split)).withColumn("split", F.lit(split))
+        prev = s0 if prev is None else prev.unionByName(s0)
+    train_par = FX.parallel_split(spark, sf, "train")
+    new_train = C.build_step(1, train_par, prev.where(F.col("split") == "train").drop("split"))
+    return C.carry_forward(new_train, prev)
+
+
+@register("tag_constant", O.with_ctes("seg")
+          + "SELECT line_id, CASE WHEN lang = 'en' THEN '<e2v>' ELSE '<v2e>' END || ' ' || text AS text FROM seg")
+def tag_constant(spark, sf):
+    """Constant direction tag by language of the source line."""
+    s = FX.seg(spark, sf)
+    tag = F.when(F.col("lang") == "en", F.lit(T.TAG_E2V)).otherwise(F.lit(T.TAG_V2E))
+    return s.select("line_id", T.tag_constant("text", tag).alias("text"))
+
+
+@register("tag_cyclic", O.with_ctes("numbered")
+          + "SELECT line_no, CASE WHEN line_no % 3 + 1 <= 1 THEN '<e2v>' ELSE '<v2e>' END || ' ' || text AS text "
+            "FROM numbered")
+def tag_cyclic(spark, sf):
+    """Cycle of 3 lines: first tagged <e2v>, next two <v2e>."""
+    return C.tag_cyclic(FX.numbered(spark, sf).select("line_no", "text"), 1, T.TAG_E2V, 3, T.TAG_V2E)
+
+
+@register("tag_directions", O.with_ctes("par", extra=O.step_ctes(1))
+          + "SELECT line_no, CASE WHEN line_no % 4 < 2 THEN '<e2v>' ELSE '<v2e>' END || ' ' || src AS src, tgt "
+            "FROM step1")
+def tag_directions(spark, sf):
+    """Step-1 train sources tagged in blocks of 2(k+1) = 4 lines."""
+    return C.tag_directions(_steps(spark, sf, 1)[1], 1, "train", text="src")

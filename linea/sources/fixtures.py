@@ -185,3 +185,26 @@ def padded(spark, sf_dir) -> DataFrame:
 def numbered(spark, sf_dir) -> DataFrame:
     """Lines with a dense 0-based ``line_no`` in ``line_id`` order."""
     return dense_index(seg(spark, sf_dir), "line_id", "line_no")
+
+
+def parallel(spark, sf_dir) -> DataFrame:
+    """Bound parallel corpus ``line_no, en, vi, syn_en, syn_vi`` from conversation turns.
+
+    en = user turn, vi = assistant reply; the synthetic sides stand for
+    back-translations (lower-cased copies).
+    """
+    t = turns(spark, sf_dir).withColumn("__key", F.col("conv_id") * 1000 + F.col("k"))
+    t = dense_index(t, "__key", "line_no")
+    return t.select("line_no", F.col("src").alias("en"), F.col("tgt").alias("vi"),
+                    F.lower("src").alias("syn_en"), F.lower("tgt").alias("syn_vi"))
+
+
+def parallel_split(spark, sf_dir, split: str) -> DataFrame:
+    """The parallel corpus of one split (conv_id % 10: 0 valid, 1 test, else train)."""
+    t = turns(spark, sf_dir)
+    code = F.col("conv_id") % 10
+    name = F.when(code == 0, "valid").when(code == 1, "test").otherwise("train")
+    t = t.where(name == split).withColumn("__key", F.col("conv_id") * 1000 + F.col("k"))
+    t = dense_index(t, "__key", "line_no")
+    return t.select("line_no", F.col("src").alias("en"), F.col("tgt").alias("vi"),
+                    F.lower("src").alias("syn_en"), F.lower("tgt").alias("syn_vi"))
