@@ -40,12 +40,15 @@ def pearson_from_sums(n: Column, sx: Column, sy: Column, sxx: Column, syy: Colum
 
 
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Pearson correlation computed from sums of values centred on their means
-    (two passes; numerically stable; zero variance -> NULL instead of an error)."""
-    means = df.agg(F.avg(x).alias("mx"), F.avg(y).alias("my"))
-    c = df.select(F.col(x).alias("x"), F.col(y).alias("y")).join(F.broadcast(means)) \
-        .select((F.col("x") - F.col("mx")).alias("x"), (F.col("y") - F.col("my")).alias("y"))
-    s = c.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-              F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-              F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    return s.select(pearson_from_sums(*[F.col(k) for k in ("n", "sx", "sy", "sxx", "syy", "sxy")]).alias("pearson"))
+    """Pearson correlation from the built-in (numerically stable, one-pass,
+    partially aggregated) population moments; zero variance gives NULL."""
+    return df.agg(F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y))).alias("pearson"))
+
+
+def centred_moments(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Per-line additive statistics of the Pearson coefficient, centred on the
+    global means (one scalar aggregate, then a narrow projection)."""
+    mx, my = df.agg(F.avg(x), F.avg(y)).first()
+    cx, cy = F.col(x) - F.lit(mx), F.col(y) - F.lit(my)
+    return df.select("*", cx.alias("px"), cy.alias("py"), (cx * cx).alias("pxx"),
+                     (cy * cy).alias("pyy"), (cx * cy).alias("pxy"))

@@ -71,40 +71,40 @@ def with_ctes(*names: str, extra: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def stats_sql(tok_src: str, keys: str, ties: str = "first") -> list[str]:
+def stats_sql(tok_src: str, keys: str, ties: str = "first", name: str = "st") -> list[str]:
     """CTEs computing per-line statistics from ``tok_src`` (``keys, line_id, h, refs``).
 
-    ``refs`` is a list of token lists; closest length: first reference wins ties.
-    Produces CTE ``st`` with ``keys, line_id`` and the 10 statistic columns.
+    ``refs`` is a list of token lists; closest length: first reference (or the
+    shorter one) wins ties. Produces CTE ``name`` with ``keys, line_id`` and the
+    10 statistic columns; helper CTEs are prefixed with ``name``.
     """
     k = f"{keys}, line_id" if keys else "line_id"
-    ctes = [
-        f"hg AS ({ngram_rows(tok_src, 'h', k)})",
-        f"rtok AS (SELECT {k}, r_i, refs[r_i] AS r FROM {tok_src}, "
+    x = name + "_"
+    lens_ref = ("{'d': abs(len(h) - len(r)), 'i': i, 'l': len(r)}" if ties == "first"
+                else "{'d': abs(len(h) - len(r)), 'l': len(r)}")
+    return [
+        f"{x}hg AS ({ngram_rows(tok_src, 'h', k)})",
+        f"{x}rtok AS (SELECT {k}, r_i, refs[r_i] AS r FROM {tok_src}, "
         f"LATERAL (SELECT unnest(generate_series(1, len(refs))) AS r_i))",
-        f"rg AS ({ngram_rows('rtok', 'r', k + ', r_i')})",
-        f"hc AS (SELECT {k}, n, gram, count(*) AS c FROM hg GROUP BY ALL)",
-        f"rc1 AS (SELECT {k}, r_i, n, gram, count(*) AS c FROM rg GROUP BY ALL)",
-        f"rc AS (SELECT {k}, n, gram, max(c) AS c FROM rc1 GROUP BY ALL)",
-        f"cl AS (SELECT {', '.join('hc.' + x.strip() for x in k.split(','))}, hc.n, "
+        f"{x}rg AS ({ngram_rows(x + 'rtok', 'r', k + ', r_i')})",
+        f"{x}hc AS (SELECT {k}, n, gram, count(*) AS c FROM {x}hg GROUP BY ALL)",
+        f"{x}rc1 AS (SELECT {k}, r_i, n, gram, count(*) AS c FROM {x}rg GROUP BY ALL)",
+        f"{x}rc AS (SELECT {k}, n, gram, max(c) AS c FROM {x}rc1 GROUP BY ALL)",
+        f"{x}cl AS (SELECT {', '.join('hc.' + c.strip() for c in k.split(','))}, hc.n, "
         f"least(hc.c, coalesce(rc.c, 0)) AS correct, hc.c AS total "
-        f"FROM hc LEFT JOIN rc USING ({k}, n, gram))",
-        f"cls AS (SELECT {k}, " + ", ".join(
+        f"FROM {x}hc hc LEFT JOIN {x}rc rc USING ({k}, n, gram))",
+        f"{x}cls AS (SELECT {k}, " + ", ".join(
             [f"sum(CASE WHEN n = {j} THEN correct ELSE 0 END)::BIGINT AS correct_{j}_grams" for j in range(1, 5)]
             + [f"sum(CASE WHEN n = {j} THEN total ELSE 0 END)::BIGINT AS total_{j}_grams" for j in range(1, 5)])
-        + " FROM cl GROUP BY ALL)",
-        f"lens AS (SELECT {k}, len(h)::BIGINT AS translation_length, "
-        f"coalesce(list_sort(list_transform(refs, lambda r, i: "
-        + ("{'d': abs(len(h) - len(r)), 'i': i, 'l': len(r)}" if ties == "first"
-           else "{'d': abs(len(h) - len(r)), 'l': len(r)}")
-        + "))[1].l, 0)::BIGINT AS reference_length "
+        + f" FROM {x}cl GROUP BY ALL)",
+        f"{x}lens AS (SELECT {k}, len(h)::BIGINT AS translation_length, "
+        f"coalesce(list_sort(list_transform(refs, lambda r, i: {lens_ref}))[1].l, 0)::BIGINT AS reference_length "
         f"FROM {tok_src})",
-        f"st AS (SELECT lens.*, " + ", ".join(
+        f"{name} AS (SELECT lens.*, " + ", ".join(
             [f"coalesce(cls.correct_{j}_grams, 0)::BIGINT AS correct_{j}_grams" for j in range(1, 5)]
             + [f"coalesce(cls.total_{j}_grams, 0)::BIGINT AS total_{j}_grams" for j in range(1, 5)])
-        + f" FROM lens LEFT JOIN cls USING ({k}))",
+        + f" FROM {x}lens lens LEFT JOIN {x}cls cls USING ({k}))",
     ]
-    return ctes
 
 
 STAT_SUMS = ", ".join(
@@ -249,3 +249,50 @@ def step_ctes(k_max: int, par: str = "par", prefix: str = "step", where: str = "
             f"THEN line_no % {2 * k} + 1 ELSE line_no % {2 * k} + 2 END, src, tgt FROM {prefix}{k - 1} "
             f"WHERE line_no < {2 * k} * (SELECT count(*) FROM {par}{w0}))")
     return out
+
+
+def score_sql(prefix: str = "", smooth: str = "none", scale: float = 100.0) -> str:
+    """SQL twin of :func:`linea.operators.bleu.bleu_score_expr`."""
+    c = [f"{prefix}correct_{k}_grams" for k in range(1, 5)]
+    t = [f"{prefix}total_{k}_grams" for k in range(1, 5)]
+    hl, rl = f"{prefix}translation_length", f"{prefix}reference_length"
+    bp = f"(CASE WHEN {hl} >= {rl} THEN 1.0 WHEN {hl} = 0 THEN 0.0 ELSE exp(1 - {rl} / {hl}) END)"
+    if smooth == "exp":
+        p = []
+        for k in range(4):
+            zeros = " + ".join(f"(CASE WHEN {c[j]} = 0 AND {t[j]} > 0 THEN 1 ELSE 0 END)" for j in range(k + 1))
+            p.append(f"(CASE WHEN {t[k]} = 0 THEN 0.0 WHEN {c[k]} = 0 THEN 1.0 / (pow(2.0, {zeros}) * {t[k]}) "
+                     f"ELSE {c[k]} / {t[k]} END)")
+    else:
+        p = [f"coalesce(CASE WHEN {t[k]} = 0 THEN NULL ELSE {c[k]}::DOUBLE / {t[k]} END, 0.0)" for k in range(4)]
+    logs = "(0.0 + " + " + ".join(_slog(x) for x in p) + ")"
+    score = f"({bp} * exp({logs} / 4))"
+    if smooth == "zero_if_any":
+        score = f"(CASE WHEN greatest({', '.join(f'({x} = 0)::INT' for x in p)}) = 1 THEN 0.0 ELSE {score} END)"
+    return f"({scale} * {score})"
+
+
+def draws_sql(src: str, samples: int, ratio: float | None, seed: int, include_full: bool) -> str:
+    """CTE ``dr`` (b, idx): seeded md5 draws over the dense index of ``src``."""
+    m = "nn" if ratio is None else f"floor(nn * {ratio})::BIGINT"
+    body = (f"dr AS (SELECT i // m AS b, (('0x' || substr(md5('{seed}:' || (i // m)::VARCHAR || ':' || "
+            f"(i % m)::VARCHAR), 1, 12))::BIGINT % nn) AS idx "
+            f"FROM (SELECT count(*) AS nn, {m} AS m FROM {src}) c, range(c.m * {samples}) t(i)")
+    if include_full:
+        body += f" UNION ALL SELECT -1 AS b, i AS idx FROM (SELECT count(*) AS nn FROM {src}) c, range(c.nn) t(i)"
+    return body + ")"
+
+
+def strip_sql(c: str) -> str:
+    return f"regexp_replace({c}, '^{UWS_SQL}+|{UWS_SQL}+$', '', 'g')"
+
+
+CTE["gold"] = """gold AS (
+  SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS n, quality::VARCHAR AS gold,
+         (CASE WHEN doc_id % 5 = 0 THEN 1 - quality ELSE quality END)::VARCHAR AS sys1,
+         (CASE WHEN doc_id % 7 = 0 THEN 1 - quality ELSE quality END)::VARCHAR AS sys2 FROM labels)"""
+CTE["scores"] = """scores AS (
+  SELECT (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS n, o_totalprice AS gold,
+         o_totalprice + (o_orderkey % 17 - 8) * 1000.0 AS sys1,
+         o_totalprice + (o_orderkey % 29 - 14) * 3000.0 AS sys2 FROM orders)"""
+DEPS.update({"gold": [], "scores": []})

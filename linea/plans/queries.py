@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from linea.functions import text as T
 from linea.operators import bleu as B
+from linea.operators import bootstrap as BS
 from linea.operators import compose as C
 from linea.operators import metrics as M
+from linea.operators.positional import dense_index
 from linea.plans import oracle as O
 from linea.sources import fixtures as FX
 from linea.sources import text as S
@@ -339,3 +341,214 @@ def tag_cyclic(spark, sf):
 def tag_directions(spark, sf):
     """Step-1 train sources tagged in blocks of 2(k+1) = 4 lines."""
     return C.tag_directions(_steps(spark, sf, 1)[1], 1, "train", text="src")
+
+
+# ---------------------------------------------------------------------------
+# Metrics (E7-E10) and paired bootstrap
+# ---------------------------------------------------------------------------
+BOOT_SEED = BS.DEFAULT_SEED
+BOOT_SAMPLES = 1000
+BOOT_RATIO = 0.5
+
+
+def _eval_tok(c):
+    return T.eval_preproc(c, "bleu")
+
+
+def _detok13a_tok(c):
+    return F.filter(F.split(T.tokenize_13a(T.strip_unicode(c)), " "), lambda x: x != "")
+
+
+def _line_stats(spark, sf, system: int, tok, ties: str) -> DataFrame:
+    p = FX.pair(spark, sf, system)
+    t = p.select("line_id", tok(F.col("hyp")).alias("hyp"), F.array(tok(F.col("ref"))).alias("refs"))
+    return B.sentence_stats(t, ties=ties, multi_ref=False)
+
+
+def _sql_eval_tok(c):
+    return f"list_filter(regexp_split_to_array({O.strip_sql(c)}, '{O.UWS_SQL}+'), lambda x: x <> '')"
+
+
+def _sql_detok_tok(c):
+    return O.split_sp_nonempty(O.tok13a(O.strip_sql(c)))
+
+
+def _sql_two_systems(tok, ties: str) -> list[str]:
+    out = [f"ta AS (SELECT line_id, {tok('hyp')} AS h, [{tok('ref')}] AS refs FROM pair)",
+           f"tb AS (SELECT line_id, {tok('hyp')} AS h, [{tok('ref')}] AS refs FROM pair_b)"]
+    out += O.stats_sql("ta", "", ties, name="sa") + O.stats_sql("tb", "", ties, name="sb")
+    cols = ", ".join([f"sa.{c} AS a_{c}" for c in B.STAT_COLS] + [f"sb.{c} AS b_{c}" for c in B.STAT_COLS])
+    out.append(f"both_ AS (SELECT (row_number() OVER (ORDER BY line_id) - 1)::BIGINT AS n, {cols} "
+               f"FROM sa JOIN sb USING (line_id))")
+    return out
+
+
+def _sql_sums(cols: list[str]) -> str:
+    return ("sums AS (SELECT b, " + ", ".join(f"sum({c}) AS {c}" for c in cols)
+            + " FROM dr JOIN both_ ON both_.n = dr.idx GROUP BY b)")
+
+
+_AB = ["a_" + c for c in B.STAT_COLS] + ["b_" + c for c in B.STAT_COLS]
+
+
+def _compare_sql() -> str:
+    ctes = _sql_two_systems(_sql_eval_tok, "first") + [
+        O.draws_sql("both_", BOOT_SAMPLES, None, BOOT_SEED, True), _sql_sums(_AB),
+        f"per AS (SELECT b, {O.score_sql('a_')} AS sa, {O.score_sql('b_')} AS sb FROM sums)"]
+    return (O.with_ctes("pair", "pair_b", extra=ctes)
+            + "SELECT round(max(sa) FILTER (WHERE b < 0), 6) AS baseline_bleu, "
+              "round(max(sb) FILTER (WHERE b < 0), 6) AS new_bleu, "
+              "round(max(sb) FILTER (WHERE b < 0) - max(sa) FILTER (WHERE b < 0), 6) AS delta, "
+              f"{BOOT_SAMPLES}::BIGINT AS num_samples, "
+              "count(*) FILTER (WHERE b >= 0 AND sa > sb)::BIGINT AS baseline_better, "
+              "count(*) FILTER (WHERE b >= 0 AND NOT coalesce(sa > sb OR sb > sa, false))::BIGINT AS num_equal, "
+              "count(*) FILTER (WHERE b >= 0 AND sb > sa)::BIGINT AS new_better, "
+              f"round(count(*) FILTER (WHERE b >= 0 AND sa > sb) / {BOOT_SAMPLES}, 6) AS baseline_conf, "
+              f"round(count(*) FILTER (WHERE b >= 0 AND sb > sa) / {BOOT_SAMPLES}, 6) AS new_conf FROM per")
+
+
+@register("bootstrap_bleu", _compare_sql())
+def bootstrap_bleu(spark, sf):
+    """Paired bootstrap (B=1000, m=n) of two systems' BLEU from sufficient statistics."""
+    sa = _line_stats(spark, sf, 1, _eval_tok, "first")
+    sb = _line_stats(spark, sf, 2, _eval_tok, "first")
+    sa = dense_index(sa, "line_id", "n")
+    return BS.compare_bleu(sa, sb, lambda pre: B.bleu_score_expr(pre, "none", 100.0),
+                           samples=BOOT_SAMPLES, seed=BOOT_SEED, stat_cols=B.STAT_COLS)
+
+
+def _report_sql(src_ctes: list[str], src: str, cols: list[str], s1: str, s2: str) -> str:
+    lo, hi = int(BOOT_SAMPLES * 0.025) + 1, int(BOOT_SAMPLES * 0.975) + 1
+    ctes = src_ctes + [O.draws_sql(src, BOOT_SAMPLES, BOOT_RATIO, BOOT_SEED, False),
+                       "sums AS (SELECT b, " + ", ".join(f"sum({c}) AS {c}" for c in cols)
+                       + f" FROM dr JOIN {src} ON {src}.n = dr.idx GROUP BY b)",
+                       f"per AS (SELECT b, {s1} AS s1, {s2} AS s2 FROM sums, "
+                       f"(SELECT floor(count(*) * {BOOT_RATIO})::BIGINT AS m FROM {src}) mm)",
+                       f"w AS (SELECT count(*) FILTER (WHERE s1 > s2) / {BOOT_SAMPLES} AS w1, "
+                       f"count(*) FILTER (WHERE s2 > s1) / {BOOT_SAMPLES} AS w2, "
+                       + ", ".join(f"avg({s}) AS {s}_mean, median({s}) AS {s}_median, "
+                                   f"list_sort(list({s}))[{lo}] AS {s}_lo, list_sort(list({s}))[{hi}] AS {s}_hi"
+                                   for s in ("s1", "s2")) + " FROM per)"]
+    return ("WITH " + ",\n".join(ctes) + "\n"
+            + "SELECT round(w1, 6) AS win_sys1, round(w2, 6) AS win_sys2, round(1 - w1 - w2, 6) AS win_tie, "
+              "round(CASE WHEN w1 > w2 THEN 1 - w1 WHEN w2 > w1 THEN 1 - w2 END, 6) AS p_value, "
+            + ", ".join(f"round({s}_{k}, 6) AS sys{s[1]}_{k}" for s in ("s1", "s2")
+                        for k in ("mean", "median", "lo", "hi")) + " FROM w")
+
+
+def _with_body(names: list[str], extra: list[str]) -> list[str]:
+    sql = O.with_ctes(*names, extra=extra)
+    return [sql[len("WITH "):].rstrip("\n")]
+
+
+def _report_bleu(spark, sf, tok, ties, smooth):
+    sa = _line_stats(spark, sf, 1, tok, ties)
+    sb = _line_stats(spark, sf, 2, tok, ties)
+    both = sa.select("line_id", *[F.col(c).alias("a_" + c) for c in B.STAT_COLS]).join(
+        sb.select("line_id", *[F.col(c).alias("b_" + c) for c in B.STAT_COLS]), "line_id")
+    both = dense_index(both, "line_id", "n")
+    n = both.count()
+    m = int(n * BOOT_RATIO)
+    sums = BS.resample_sums(both, _AB, BOOT_SAMPLES, m, BOOT_SEED, n)
+    return BS.report(sums, B.bleu_score_expr("a_", smooth, 1.0), B.bleu_score_expr("b_", smooth, 1.0),
+                     BOOT_SAMPLES)
+
+
+@register("bootstrap_bleu01", _report_sql(
+    _with_body(["pair", "pair_b"], _sql_two_systems(_sql_eval_tok, "shorter")), "both_", _AB,
+    O.score_sql("a_", "zero_if_any", 1.0), O.score_sql("b_", "zero_if_any", 1.0)))
+def bootstrap_bleu01(spark, sf):
+    """E12 (bleu): token BLEU 0-1 per resample of half the lines, B=1000."""
+    return _report_bleu(spark, sf, _eval_tok, "shorter", "zero_if_any")
+
+
+@register("bootstrap_bleu_detok", _report_sql(
+    _with_body(["pair", "pair_b"], _sql_two_systems(_sql_detok_tok, "shorter")), "both_", _AB,
+    O.score_sql("a_", "exp", 1.0), O.score_sql("b_", "exp", 1.0)))
+def bootstrap_bleu_detok(spark, sf):
+    """E12 (bleu_detok): 13a-tokenised BLEU with exponential smoothing, 0-1."""
+    return _report_bleu(spark, sf, _detok13a_tok, "shorter", "exp")
+
+
+_ACC_COLS = ["m1", "m2"]
+
+
+@register("bootstrap_acc", _report_sql(
+    _with_body(["gold"], [f"acc AS (SELECT n, ({O.strip_sql('gold')} = {O.strip_sql('sys1')})::INT::DOUBLE AS m1, "
+                          f"({O.strip_sql('gold')} = {O.strip_sql('sys2')})::INT::DOUBLE AS m2 FROM gold)"]),
+    "acc", _ACC_COLS, "m1 / m", "m2 / m"))
+def bootstrap_acc(spark, sf):
+    """E12 (acc): accuracy of two label files per resample of half the lines."""
+    g = FX.gold(spark, sf)
+    st = g.select("n", M.accuracy_stat("gold", "sys1").alias("m1"), M.accuracy_stat("gold", "sys2").alias("m2"))
+    n = st.count()
+    m = int(n * BOOT_RATIO)
+    sums = BS.resample_sums(st, _ACC_COLS, BOOT_SAMPLES, m, BOOT_SEED, n)
+    return BS.report(sums, F.col("m1") / m, F.col("m2") / m, BOOT_SAMPLES)
+
+
+_P_COLS = [f"{s}{k}" for s in ("qa_", "qb_") for k in ("x", "y", "xx", "yy", "xy")]
+
+
+def _pearson_sql(pre):
+    return (f"(({pre}xy * m - {pre}x * {pre}y) / "
+            f"CASE WHEN (m * {pre}xx - {pre}x * {pre}x) * (m * {pre}yy - {pre}y * {pre}y) = 0 THEN NULL "
+            f"ELSE sqrt((m * {pre}xx - {pre}x * {pre}x) * (m * {pre}yy - {pre}y * {pre}y)) END)")
+
+
+@register("bootstrap_pearson", _report_sql(
+    _with_body(["scores"], [
+        "mo AS (SELECT avg(gold) AS mg, avg(sys1) AS m1, avg(sys2) AS m2 FROM scores)",
+        "pm AS (SELECT n, gold - mg AS qa_x, sys1 - m1 AS qa_y, (gold - mg) * (gold - mg) AS qa_xx, "
+        "(sys1 - m1) * (sys1 - m1) AS qa_yy, (gold - mg) * (sys1 - m1) AS qa_xy, gold - mg AS qb_x, "
+        "sys2 - m2 AS qb_y, (gold - mg) * (gold - mg) AS qb_xx, (sys2 - m2) * (sys2 - m2) AS qb_yy, "
+        "(gold - mg) * (sys2 - m2) AS qb_xy FROM scores, mo)"]),
+    "pm", _P_COLS, _pearson_sql("qa_"), _pearson_sql("qb_")))
+def bootstrap_pearson(spark, sf):
+    """E12 (pearson): correlation with the gold scores per resample of half the lines."""
+    s = FX.scores(spark, sf)
+    a = M.centred_moments(s, "gold", "sys1").select("n", *[F.col("p" + k).alias("qa_" + k)
+                                                           for k in ("x", "y", "xx", "yy", "xy")])
+    b = M.centred_moments(s, "gold", "sys2").select("n", *[F.col("p" + k).alias("qb_" + k)
+                                                           for k in ("x", "y", "xx", "yy", "xy")])
+    st = a.join(b, "n")
+    n = st.count()
+    m = int(n * BOOT_RATIO)
+    sums = BS.resample_sums(st, _P_COLS, BOOT_SAMPLES, m, BOOT_SEED, n)
+    pear = lambda p: M.pearson_from_sums(F.lit(float(m)), *[F.col(p + k) for k in ("x", "y", "xx", "yy", "xy")])
+    return BS.report(sums, pear("qa_"), pear("qb_"), BOOT_SAMPLES)
+
+
+@register("metric_accuracy", O.with_ctes("gold")
+          + f"SELECT round(avg(({O.strip_sql('gold')} = {O.strip_sql('sys1')})::INT::DOUBLE), 6) AS accuracy FROM gold")
+def metric_accuracy(spark, sf):
+    """Accuracy of system 1 labels."""
+    return M.accuracy(FX.gold(spark, sf), "gold", "sys1").select(F.round("accuracy", 6).alias("accuracy"))
+
+
+@register("metric_pearson", O.with_ctes("scores")
+          + "SELECT round(covar_pop(gold, sys1) / sqrt(var_pop(gold) * var_pop(sys1)), 6) AS pearson FROM scores")
+def metric_pearson(spark, sf):
+    """Pearson correlation of system 1 scores with the gold scores."""
+    return M.pearson(FX.scores(spark, sf), "gold", "sys1").select(F.round("pearson", 6).alias("pearson"))
+
+
+def _metric_bleu_sql(tok, ties, smooth):
+    ctes = [f"ta AS (SELECT line_id, {tok('hyp')} AS h, [{tok('ref')}] AS refs FROM pair)"] \
+        + O.stats_sql("ta", "", ties, name="sa")
+    return (O.with_ctes("pair", extra=ctes)
+            + f"SELECT round({O.score_sql('', smooth, 1.0)}, 6) AS bleu FROM (SELECT {O.STAT_SUMS} FROM sa)")
+
+
+@register("metric_bleu01", _metric_bleu_sql(_sql_eval_tok, "shorter", "zero_if_any"))
+def metric_bleu01(spark, sf):
+    """Token corpus BLEU on the 0-1 scale (0 when a precision is 0)."""
+    st = B.sum_stats(_line_stats(spark, sf, 1, _eval_tok, "shorter"))
+    return st.select(F.round(B.bleu_score_expr("", "zero_if_any", 1.0), 6).alias("bleu"))
+
+
+@register("metric_bleu_detok01", _metric_bleu_sql(_sql_detok_tok, "shorter", "exp"))
+def metric_bleu_detok01(spark, sf):
+    """13a-tokenised corpus BLEU with exponential smoothing, 0-1."""
+    st = B.sum_stats(_line_stats(spark, sf, 1, _detok13a_tok, "shorter"))
+    return st.select(F.round(B.bleu_score_expr("", "exp", 1.0), 6).alias("bleu"))
