@@ -296,3 +296,34 @@ CTE["scores"] = """scores AS (
          o_totalprice + (o_orderkey % 17 - 8) * 1000.0 AS sys1,
          o_totalprice + (o_orderkey % 29 - 14) * 3000.0 AS sys2 FROM orders)"""
 DEPS.update({"gold": [], "scores": []})
+
+
+CTE["decoder_log_uni"] = f"""decoder_log_uni AS (
+  SELECT unnest([
+    'S-' || line_id::VARCHAR || chr(9) || ref,
+    'H-' || line_id::VARCHAR || chr(9) || sc || chr(9) || vi,
+    'P-' || line_id::VARCHAR || chr(9) || sc]) AS line
+  FROM (SELECT line_id, ref, '-0.' || lpad((line_id % 1000)::VARCHAR, 3, '0') AS sc,
+               {inject_sql("string_split(hyp, ' ')", "line_id")} AS vi FROM pair))"""
+CTE["sweep_hyps"] = f"""sweep_hyps AS (
+  SELECT checkpoint, CASE WHEN lang = 'en' THEN 'en>vi' ELSE 'vi>en' END AS direction, line_id,
+         {_system("(checkpoint - 15)", 3, 11, 5)} AS hyp, text AS ref
+  FROM seg CROSS JOIN (SELECT unnest(generate_series(21, 30)) AS checkpoint) c)"""
+CTE["eval_refs"] = """eval_refs AS (
+  SELECT line_id AS sent_id, 'vi' AS lang, ref FROM pair UNION ALL
+  SELECT line_id AS sent_id, 'en' AS lang, hyp AS ref FROM pair)"""
+CTE["translation_data"] = f"""translation_data AS (
+  SELECT line_id AS sent_id, 'vi' AS lang, {inject_sql("string_split(ref, ' ')", "(line_id + 2)")} AS ref FROM pair
+  UNION ALL
+  SELECT line_id AS sent_id, 'en' AS lang, {inject_sql("string_split(hyp, ' ')", "(line_id + 3)")} AS ref FROM pair)"""
+DEPS.update({"decoder_log_uni": ["pair"], "sweep_hyps": ["seg"], "eval_refs": ["pair"],
+             "translation_data": ["pair"]})
+
+
+def postprocess(c: str) -> str:
+    return f"replace({detruecase(join_subwords(c))}, '_', ' ')"
+
+
+def plain_tok_cte(src: str, keys: str) -> str:
+    k = f"{keys}, " if keys else ""
+    return f"toks AS (SELECT {k}line_id, {split_ws('hyp')} AS h, [{split_space('ref')}] AS refs FROM {src})"

@@ -18,6 +18,7 @@ from linea.operators import bootstrap as BS
 from linea.operators import compose as C
 from linea.operators import metrics as M
 from linea.operators.positional import dense_index
+from linea.plans import jobs as J
 from linea.plans import oracle as O
 from linea.sources import fixtures as FX
 from linea.sources import text as S
@@ -552,3 +553,73 @@ def metric_bleu_detok01(spark, sf):
     """13a-tokenised corpus BLEU with exponential smoothing, 0-1."""
     st = B.sum_stats(_line_stats(spark, sf, 1, _detok13a_tok, "shorter"))
     return st.select(F.round(B.bleu_score_expr("", "exp", 1.0), 6).alias("bleu"))
+
+
+# ---------------------------------------------------------------------------
+# Evaluation pipelines
+# ---------------------------------------------------------------------------
+
+def _bleu_sql_by(names: list[str], pre_ctes: list[str], src: str, keys: str) -> str:
+    return (O.with_ctes(*names, extra=pre_ctes + [O.plain_tok_cte(src, keys)] + O.stats_sql("toks", keys))
+            + O.bleu_plain_select(f"(SELECT {keys + ', ' if keys else ''}{O.STAT_SUMS} FROM st"
+                                  f"{' GROUP BY ' + keys if keys else ''})", keys))
+
+
+_SWEEP_SQL = ("WITH r AS (" + _bleu_sql_by(["sweep_hyps"], [], "sweep_hyps", "checkpoint, direction")
+              + ") SELECT *, bleu = max(bleu) OVER (PARTITION BY direction) AS is_best FROM r")
+
+
+@register("checkpoint_sweep", _SWEEP_SQL)
+def checkpoint_sweep(spark, sf):
+    """Validation BLEU of checkpoints 21-30 in both directions; best flagged."""
+    return J.checkpoint_sweep(FX.sweep_hyps(spark, sf))
+
+
+@register("eval_bidirectional", _bleu_sql_by(
+    ["parsed_log", "eval_refs"],
+    ["hr AS (SELECT CASE WHEN id % 2 = 0 THEN 'en>vi' ELSE 'vi>en' END AS direction, id // 2 AS line_id, "
+     f"replace({O.detruecase(O.join_subwords('text'))}, '_', ' ') AS hyp, r.ref FROM parsed_log "
+     "JOIN eval_refs r ON r.sent_id = id // 2 AND r.lang = CASE WHEN id % 2 = 0 THEN 'vi' ELSE 'en' END)"],
+    "hr", "direction"))
+def eval_bidirectional(spark, sf):
+    """S6 -> F2 -> T7 -> T9 -> T8 -> BLEU per direction of a bidirectional run."""
+    return J.evaluate_bidirectional(FX.decoder_log(spark, sf), FX.eval_refs(spark, sf))
+
+
+@register("eval_unidirectional", _bleu_sql_by(
+    ["decoder_log_uni"],
+    ["pl AS (SELECT regexp_extract(string_split(line, chr(9))[1], '^H-(\\d+)$', 1)::BIGINT AS id, "
+     "coalesce(string_split(line, chr(9))[3], '') AS text FROM decoder_log_uni WHERE starts_with(line, 'H'))",
+     f"hr AS (SELECT id AS line_id, {O.postprocess('text')} AS hyp, p.ref FROM pl JOIN pair p ON p.line_id = pl.id)"],
+    "hr", ""))
+def eval_unidirectional(spark, sf):
+    """The same pipeline for a one-direction run (no parity routing)."""
+    refs = FX.pair(spark, sf).select(F.col("line_id").alias("sent_id"), "ref")
+    return J.evaluate_unidirectional(FX.decoder_log_uni(spark, sf), refs)
+
+
+_BT_PRE = [
+    "syn AS (SELECT id // 2 AS sent_id, CASE WHEN id % 2 = 0 THEN 'vi' ELSE 'en' END AS lang, "
+    f"CASE WHEN id % 2 = 0 THEN replace({O.join_subwords('text')}, '_', ' ') ELSE {O.join_subwords('text')} END "
+    "AS syn FROM parsed_log)",
+    "hr AS (SELECT s.lang, s.sent_id AS line_id, s.syn AS hyp, "
+    f"CASE WHEN t.lang = 'vi' THEN replace({O.join_subwords('t.ref')}, '_', ' ') ELSE {O.join_subwords('t.ref')} END "
+    "AS ref FROM syn s JOIN translation_data t ON t.sent_id = s.sent_id AND t.lang = s.lang)"]
+
+_BT_SQL = ("WITH b AS (" + _bleu_sql_by(["parsed_log", "translation_data"], _BT_PRE, "hr", "lang") + "), "
+           "e AS (" + O.with_ctes("parsed_log", "translation_data", extra=_BT_PRE)
+           + "SELECT lang, count(*) FILTER (WHERE hyp = ref)::BIGINT AS matches, count(*)::BIGINT AS lines, "
+             "round(100 * count(*) FILTER (WHERE hyp = ref) / count(*), 2) AS accuracy FROM hr GROUP BY lang) "
+           "SELECT * FROM b JOIN e USING (lang)")
+
+
+@register("backtranslation_quality", _BT_SQL)
+def backtranslation_quality(spark, sf):
+    """BLEU and exact match of the collected synthetic sides against the training text."""
+    log = S.parse_decoder_log(FX.decoder_log(spark, sf))
+    vi = C.collect_synthetic(log.where(F.col("id") % 2 == 0), "vi")
+    en = C.collect_synthetic(log.where(F.col("id") % 2 == 1), "en")
+    syn = vi.select((F.col("id") / 2).cast("bigint").alias("sent_id"), F.lit("vi").alias("lang"), "syn") \
+        .unionByName(en.select(((F.col("id") - 1) / 2).cast("bigint").alias("sent_id"),
+                               F.lit("en").alias("lang"), "syn"))
+    return J.backtranslation_quality(syn, FX.translation_data(spark, sf))

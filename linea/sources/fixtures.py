@@ -208,3 +208,45 @@ def parallel_split(spark, sf_dir, split: str) -> DataFrame:
     t = dense_index(t, "__key", "line_no")
     return t.select("line_no", F.col("src").alias("en"), F.col("tgt").alias("vi"),
                     F.lower("src").alias("syn_en"), F.lower("tgt").alias("syn_vi"))
+
+
+def decoder_log_uni(spark, sf_dir) -> DataFrame:
+    """Unidirectional decoder log: S/H/P rows with id = line_id, Vietnamese hypotheses."""
+    p = pair(spark, sf_dir)
+    lid = F.col("line_id")
+    vi = _inject_marks(_words("hyp"), lid)
+    score = F.concat(F.lit("-0."), F.lpad((lid % 1000).cast("string"), 3, "0"))
+    sid = lid.cast("string")
+    return p.select(F.explode(F.array(
+        F.concat(F.lit("S-"), sid, F.lit("\t"), F.col("ref")),
+        F.concat(F.lit("H-"), sid, F.lit("\t"), score, F.lit("\t"), vi),
+        F.concat(F.lit("P-"), sid, F.lit("\t"), score))).alias("line"))
+
+
+def sweep_hyps(spark, sf_dir) -> DataFrame:
+    """Validation outputs of checkpoints 21-30: ``checkpoint, direction, line_id, hyp, ref``.
+
+    Later checkpoints drop fewer words (drop modulus = checkpoint - 15)."""
+    s = seg(spark, sf_dir).select("line_id", "lang", "text",
+                                  F.explode(F.sequence(F.lit(21), F.lit(30))).alias("checkpoint"))
+    hyp = _system(_words(), F.col("line_id"), F.col("checkpoint") - 15, 3, 11, 5)
+    direction = F.when(F.col("lang") == "en", F.lit("en>vi")).otherwise(F.lit("vi>en"))
+    return s.select("checkpoint", direction.alias("direction"), "line_id", hyp.alias("hyp"),
+                    F.col("text").alias("ref"))
+
+
+def eval_refs(spark, sf_dir) -> DataFrame:
+    """References per hypothesis language for the bidirectional log: ``sent_id, lang, ref``."""
+    p = pair(spark, sf_dir)
+    return p.select(F.col("line_id").alias("sent_id"), F.inline(F.array(
+        F.struct(F.lit("vi").alias("lang"), F.col("ref").alias("ref")),
+        F.struct(F.lit("en").alias("lang"), F.col("hyp").alias("ref")))))
+
+
+def translation_data(spark, sf_dir) -> DataFrame:
+    """Subword-marked training text per language: ``sent_id, lang, ref``."""
+    p = pair(spark, sf_dir)
+    lid = F.col("line_id")
+    return p.select(F.col("line_id").alias("sent_id"), F.inline(F.array(
+        F.struct(F.lit("vi").alias("lang"), _inject_marks(_words("ref"), lid + 2).alias("ref")),
+        F.struct(F.lit("en").alias("lang"), _inject_marks(_words("hyp"), lid + 3).alias("ref")))))
