@@ -327,3 +327,57 @@ def postprocess(c: str) -> str:
 def plain_tok_cte(src: str, keys: str) -> str:
     k = f"{keys}, " if keys else ""
     return f"toks AS (SELECT {k}line_id, {split_ws('hyp')} AS h, [{split_space('ref')}] AS refs FROM {src})"
+
+
+ALIGN_VOCAB_SQL = "['the', 'house', '.', ',', 'is', 'big', '(', ')', 'a', '!', 'small', ';']"
+CTE["links"] = """links AS (
+  SELECT l_orderkey AS sent_id, l_linenumber - 1 AS src, (l_partkey % 7)::INT AS tgt,
+         max((l_returnflag <> 'A')::INT) AS h, max((l_linestatus = 'F')::INT) AS s,
+         max((l_linestatus = 'F' OR l_returnflag = 'N')::INT) AS p
+  FROM lineitem GROUP BY ALL)"""
+CTE["alignment_lines"] = """alignment_lines AS (
+  SELECT sent_id,
+         coalesce(string_agg(CASE WHEN s = 1 THEN src || '-' || tgt WHEN p = 1 THEN src || 'p' || tgt END, ' '), '')
+           AS ref_line,
+         coalesce(string_agg(CASE WHEN h = 1 THEN src || '-' || tgt END, ' '), '') AS hyp_line
+  FROM links GROUP BY sent_id)"""
+CTE["align_sentences"] = f"""align_sentences AS (
+  SELECT sent_id,
+         list_transform(range(7), lambda i: {ALIGN_VOCAB_SQL}[((sent_id * 3 + i) % 12) + 1]) AS src_words,
+         list_transform(range(7), lambda i: {ALIGN_VOCAB_SQL}[((sent_id * 5 + i * 2) % 12) + 1]) AS tgt_words
+  FROM (SELECT DISTINCT l_orderkey AS sent_id FROM lineitem))"""
+_LRE = "'^(\\d+)([-p])(\\d+)$'"
+CTE["parsed_links"] = f"""rparsed AS (
+  SELECT sent_id, regexp_extract(tok, {_LRE}, 1)::INT AS src, regexp_extract(tok, {_LRE}, 3)::INT AS tgt,
+         regexp_extract(tok, {_LRE}, 2) AS kind
+  FROM (SELECT sent_id, unnest(regexp_split_to_array(ref_line, '\\s+')) AS tok FROM alignment_lines) WHERE tok <> ''),
+hset AS (
+  SELECT DISTINCT sent_id, regexp_extract(tok, {_LRE}, 1)::INT AS src, regexp_extract(tok, {_LRE}, 3)::INT AS tgt
+  FROM (SELECT sent_id, unnest(regexp_split_to_array(hyp_line, '\\s+')) AS tok FROM alignment_lines) WHERE tok <> '')"""
+CTE["hwords"] = """hwords AS (
+  SELECT h.sent_id, h.src, h.tgt, s.src_words[h.src + 1] AS src_word, s.tgt_words[h.tgt + 1] AS tgt_word
+  FROM hset h JOIN align_sentences s USING (sent_id))"""
+DEPS.update({"links": [], "alignment_lines": ["links"], "align_sentences": [],
+             "parsed_links": ["alignment_lines"], "hwords": ["parsed_links", "align_sentences"]})
+
+
+def rsets_sql(all_sure: bool = False, ignore_possible: bool = False) -> str:
+    s = "1" if all_sure else "(kind = '-')::INT"
+    p = "(kind = '-')::INT" if ignore_possible else "1"
+    return (f"rsets AS (SELECT * FROM (SELECT sent_id, src, tgt, max({s}) AS s, max({p}) AS p FROM rparsed "
+            f"GROUP BY ALL) WHERE s = 1 OR p = 1)")
+
+
+def aer_select(hyp: str, alpha: float = -1.0) -> str:
+    flags = (f"(SELECT coalesce(h.a, 0) AS a, coalesce(r.s, 0) AS s, coalesce(r.p, 0) AS p FROM "
+             f"(SELECT sent_id, src, tgt, 1 AS a FROM {hyp}) h FULL OUTER JOIN rsets r USING (sent_id, src, tgt))")
+    t = (f"(SELECT sum(a) AS n_a, sum(s) AS n_s, sum(a * p) AS n_ap, sum(a * s) AS n_as FROM {flags})")
+    prec = "(CASE WHEN n_a = 0 THEN NULL ELSE n_ap::DOUBLE / n_a END)"
+    rec = "(CASE WHEN n_s = 0 THEN NULL ELSE n_as::DOUBLE / n_s END)"
+    f = "0.0::DOUBLE" if alpha < 0 else f"1.0 / ({alpha} / {prec} + {1.0 - alpha} / {rec})"
+    return (f"SELECT round({prec}, 6) AS precision, round({rec}, 6) AS recall, "
+            f"round(1.0 - (n_ap + n_as)::DOUBLE / (n_a + n_s), 6) AS aer, round({f}, 6) AS f_measure, "
+            f"n_a::BIGINT AS n_links FROM {t}")
+
+
+PUNCT_SQL = "['.', ',', '!', '?', ';', ':', '(', ')']"

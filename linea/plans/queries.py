@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linea.functions import text as T
+from linea.operators import alignment as AL
 from linea.operators import bleu as B
 from linea.operators import bootstrap as BS
 from linea.operators import compose as C
@@ -623,3 +624,89 @@ def backtranslation_quality(spark, sf):
         .unionByName(en.select(((F.col("id") - 1) / 2).cast("bigint").alias("sent_id"),
                                F.lit("en").alias("lang"), "syn"))
     return J.backtranslation_quality(syn, FX.translation_data(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Word alignment
+# ---------------------------------------------------------------------------
+
+def _align_inputs(spark, sf, all_sure=False, ignore_possible=False):
+    lines = FX.alignment_lines(spark, sf)
+    ref = AL.reference_sets(AL.parse_links(lines, "ref_line"), all_sure, ignore_possible)
+    hyp = AL.hypothesis_set(AL.parse_links(lines, "hyp_line"))
+    return hyp, ref
+
+
+def _aer_sql(alpha=-1.0, clean=False, all_sure=False, ignore_possible=False):
+    names = ["parsed_links"] + (["hwords"] if clean else [])
+    extra = [O.rsets_sql(all_sure, ignore_possible)]
+    hyp = "hset"
+    if clean:
+        extra.append(f"hclean AS (SELECT sent_id, src, tgt FROM hwords WHERE NOT ((list_contains({O.PUNCT_SQL}, "
+                     f"src_word) OR list_contains({O.PUNCT_SQL}, tgt_word)) AND src_word <> tgt_word))")
+        hyp = "hclean"
+    return O.with_ctes(*names, extra=extra) + O.aer_select(hyp, alpha)
+
+
+@register("aer", _aer_sql())
+def aer(spark, sf):
+    """Alignment error rate, precision, recall from link files."""
+    hyp, ref = _align_inputs(spark, sf)
+    return AL.aer_metrics(AL.link_flags(hyp, ref))
+
+
+@register("aer_f", _aer_sql(alpha=0.5))
+def aer_f(spark, sf):
+    """A4: with the F-measure at alpha = 0.5."""
+    hyp, ref = _align_inputs(spark, sf)
+    return AL.aer_metrics(AL.link_flags(hyp, ref), alpha=0.5)
+
+
+@register("aer_all_sure", _aer_sql(all_sure=True, ignore_possible=True))
+def aer_all_sure(spark, sf):
+    """A2: all reference links sure and possible links ignored (S is then not within P)."""
+    hyp, ref = _align_inputs(spark, sf, all_sure=True, ignore_possible=True)
+    return AL.aer_metrics(AL.link_flags(hyp, ref))
+
+
+@register("aer_clean", _aer_sql(clean=True))
+def aer_clean(spark, sf):
+    """AER after dropping punctuation links between different words."""
+    hyp, ref = _align_inputs(spark, sf)
+    clean = AL.clean_punctuation(hyp, FX.align_sentences(spark, sf)).select(*AL.KEYS)
+    return AL.aer_metrics(AL.link_flags(clean, ref))
+
+
+@register("align_errors_topk", O.with_ctes("hwords", extra=[O.rsets_sql()])
+          + "SELECT src_word, tgt_word, count(*) AS cnt FROM hwords h WHERE NOT EXISTS (SELECT 1 FROM rsets r "
+            "WHERE r.p = 1 AND r.sent_id = h.sent_id AND r.src = h.src AND r.tgt = h.tgt) "
+            "GROUP BY ALL ORDER BY cnt DESC, src_word, tgt_word LIMIT 10")
+def align_errors_topk(spark, sf):
+    """A5: the ten most common (source word, target word) pairs among links outside P."""
+    hyp, ref = _align_inputs(spark, sf)
+    return AL.alignment_errors(AL.with_words(hyp, FX.align_sentences(spark, sf)), ref, 10)
+
+
+@register("align_coverage", O.with_ctes("parsed_links", "align_sentences")
+          + "SELECT round((SELECT count(*) FROM (SELECT DISTINCT sent_id, src FROM hset)) / "
+            "greatest((SELECT sum(len(src_words)) FROM align_sentences), 1), 6) AS source_coverage, "
+            "round((SELECT count(*) FROM (SELECT DISTINCT sent_id, tgt FROM hset)) / "
+            "greatest((SELECT sum(len(tgt_words)) FROM align_sentences), 1), 6) AS target_coverage")
+def align_coverage(spark, sf):
+    """Share of source/target words that carry a hypothesis link."""
+    hyp, _ = _align_inputs(spark, sf)
+    return AL.coverage(hyp, FX.align_sentences(spark, sf))
+
+
+@register("align_jumps", O.with_ctes("parsed_links", extra=[
+    "g AS (SELECT sent_id, tgt, min(src) AS lo, max(src) AS hi, count(*) AS cnt, list(src) AS srcs "
+    "FROM hset GROUP BY ALL)",
+    "j AS (SELECT *, lag(tgt) OVER (PARTITION BY sent_id ORDER BY tgt) AS pt, "
+    "lag(lo) OVER (PARTITION BY sent_id ORDER BY tgt) AS plo FROM g)"])
+    + "SELECT sum(CASE WHEN cnt > 1 AND hi - lo + 1 <> cnt THEN 1 ELSE 0 END)::BIGINT AS internal_jumps, "
+      "sum(CASE WHEN pt = tgt - 1 AND NOT list_has_any([plo - 1, plo, plo + 1], srcs) THEN 1 ELSE 0 END)::BIGINT "
+      "AS external_jumps FROM j")
+def align_jumps(spark, sf):
+    """Internal and external jumps of the hypothesis alignment."""
+    hyp, _ = _align_inputs(spark, sf)
+    return AL.jumps(hyp)

@@ -149,8 +149,8 @@ def _align_word(key, i, mult, step):
 
 
 def align_sentences(spark, sf_dir) -> DataFrame:
-    """Source/target token arrays per alignment sentence (one per order)."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sent_id"))
+    """Source/target token arrays per alignment sentence (one per order with line items)."""
+    o = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sent_id")).distinct()
     idx = F.sequence(F.lit(0), F.lit(SENT_LEN - 1))
     k = F.col("sent_id")
     return o.select("sent_id",
