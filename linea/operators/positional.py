@@ -52,3 +52,36 @@ def require_same_count(a: DataFrame, b: DataFrame, what: str = "inputs") -> int:
     if na != nb:
         raise ValueError(f"{what}: line counts differ ({na} vs {nb})")
     return na
+
+
+def ordered_index(df: DataFrame, order: list, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of each row in ``order`` (any sort keys).
+
+    The frame is range-partitioned and sorted, then written to the session's
+    checkpoint folder so its partitioning is fixed; a row's position is its
+    offset inside its partition (from ``monotonically_increasing_id``) plus the
+    sizes of the earlier partitions (one row per partition, broadcast).
+    """
+    n = partitions or _bucket_count(df)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    t = ranged.select("*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid"))
+    sizes = (t.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__m0"))
+             .withColumn("__off", F.coalesce(F.sum("__cnt").over(
+                 Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .select("__pid", "__m0", "__off"))
+    return (t.join(F.broadcast(sizes), "__pid")
+            .withColumn(out, (F.col("__off") + F.col("__mid") - F.col("__m0")).cast("bigint"))
+            .drop("__pid", "__mid", "__m0", "__off"))
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
+                broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Join a model table (vocabulary, dictionary) into a token stream.
+
+    The model is broadcast only after its row count is checked against
+    ``broadcast_rows``; beyond that the join shuffles on the key and AQE's skew
+    handling splits hot keys (frequent words) of the token side.
+    """
+    if small.count() <= broadcast_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

@@ -381,3 +381,22 @@ def aer_select(hyp: str, alpha: float = -1.0) -> str:
 
 
 PUNCT_SQL = "['.', ',', '!', '?', ';', ':', '(', ')']"
+
+
+END_SQL, DEL_SQL = SENT_END_SQL, DELAYED_SQL
+
+
+def start_flag_sql(w: str, i: str) -> str:
+    """Sentence-start flag of token ``w[i]`` (1-based i), as in the truecaser."""
+    return (f"coalesce(NOT list_contains({DEL_SQL}, {w}[{i}]) AND ({i} = 1 OR (({i} > 1 AND "
+            f"list_contains({END_SQL}, {w}[{i} - 1])) OR (({i} > 1 AND list_contains({DEL_SQL}, {w}[{i} - 1])) "
+            f"AND ({i} = 2 OR ({i} > 2 AND list_contains({END_SQL}, {w}[{i} - 2])))))), false)")
+
+
+def tc_positions_cte(src: str) -> str:
+    return (f"tcp AS (SELECT line_id, i - 1 AS pos, w[i] AS w, {start_flag_sql('w', 'i')} AS start FROM "
+            f"(SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM {src}))")
+
+
+def nonempty_13a(c: str) -> str:
+    return split_sp_nonempty(tok13a(c))

@@ -16,8 +16,12 @@ from linea.functions import text as T
 from linea.operators import alignment as AL
 from linea.operators import bleu as B
 from linea.operators import bootstrap as BS
+from linea.operators import collocations as CO
 from linea.operators import compose as C
 from linea.operators import metrics as M
+from linea.operators import subword as SW
+from linea.operators import truecase as TC
+from linea.operators import vocab as V
 from linea.operators.positional import dense_index
 from linea.plans import jobs as J
 from linea.plans import oracle as O
@@ -710,3 +714,180 @@ def align_jumps(spark, sf):
     """Internal and external jumps of the hypothesis alignment."""
     hyp, _ = _align_inputs(spark, sf)
     return AL.jumps(hyp)
+
+
+# ---------------------------------------------------------------------------
+# Text models: truecasing (M1/M2), dictionary (M7/M8), subwords (M3-M6), T4
+# ---------------------------------------------------------------------------
+
+def _tc_tokens(spark, sf) -> DataFrame:
+    s = FX.seg(spark, sf)
+    return s.select("line_id", F.filter(F.split(T.tokenize_13a("text"), " "), lambda x: x != "").alias("tokens"))
+
+
+_TC_BASE = [f"tct AS (SELECT line_id, {O.nonempty_13a('text')} AS w FROM seg)", O.tc_positions_cte("tct"),
+            "tcm AS (SELECT lower(w) AS lc, first(w ORDER BY cnt DESC, w ASC) AS best, max(cnt) AS best_count, "
+            "sum(cnt)::BIGINT AS total FROM (SELECT w, count(*) AS cnt FROM tcp WHERE NOT start AND w <> '' "
+            "GROUP BY w) GROUP BY lower(w))"]
+
+
+@register("truecase_model", O.with_ctes("seg", extra=_TC_BASE) + "SELECT lc, best, best_count, total FROM tcm")
+def truecase_model(spark, sf):
+    """M1: commonest surface form per lower-cased word (non-initial tokens)."""
+    return TC.train(_tc_tokens(spark, sf))
+
+
+@register("truecase_apply", O.with_ctes("seg", extra=_TC_BASE + [
+    "known AS (SELECT DISTINCT w FROM tcp WHERE NOT start AND w <> '')"])
+    + "SELECT line_id, list(CASE WHEN start AND m.best IS NOT NULL THEN m.best WHEN k.w IS NOT NULL THEN p.w "
+      "WHEN m.best IS NOT NULL THEN m.best ELSE p.w END ORDER BY pos) AS tokens "
+      "FROM tcp p LEFT JOIN tcm m ON m.lc = lower(p.w) LEFT JOIN known k ON k.w = p.w GROUP BY line_id")
+def truecase_apply(spark, sf):
+    """M2: the model applied to every line (sentence starts re-cased)."""
+    toks = _tc_tokens(spark, sf)
+    return TC.apply(toks, TC.train(toks), TC.known_forms(toks))
+
+
+def _dict_tokens(spark, sf) -> DataFrame:
+    return FX.seg(spark, sf).select("line_id", T.split_ws("text").alias("tokens"))
+
+
+_DICT_CTES = [
+    f"dtok AS (SELECT line_id, {O.split_ws('text')} AS tokens FROM seg)",
+    "dcnt AS (SELECT t AS token, count(*) AS cnt FROM (SELECT unnest(tokens) AS t FROM dtok) GROUP BY t)",
+    "dwords AS (SELECT token, cnt, (row_number() OVER (ORDER BY cnt DESC, token ASC) + 3)::BIGINT AS id FROM dcnt)",
+    "dsize AS (SELECT count(*) + 4 AS size FROM dcnt)",
+    "dict AS (SELECT * FROM (VALUES ('<s>', 1, 0), ('<pad>', 1, 1), ('</s>', 1, 2), ('<unk>', 1, 3)) "
+    "v(token, cnt, id) UNION ALL SELECT token, cnt, id FROM dwords UNION ALL "
+    "SELECT printf('madeupword%04d', i), 0, size + i FROM dsize, range((8 - size % 8) % 8) t(i))"]
+
+
+@register("dictionary", O.with_ctes("seg", extra=_DICT_CTES)
+          + "SELECT token, cnt::BIGINT AS cnt, id::BIGINT AS id FROM dict")
+def dictionary(spark, sf):
+    """M7: token -> id by frequency, four reserved ids, padded to a multiple of 8."""
+    return V.build_dictionary(_dict_tokens(spark, sf), pad_to_multiple=8)
+
+
+_ENC_CTES = _DICT_CTES + [
+    f"btok AS (SELECT item_id, {O.split_ws('text')} AS tokens FROM benchmark)",
+    "bpos AS (SELECT item_id, unnest(generate_series(1, len(tokens))) AS pos, tokens FROM btok)",
+    "enc AS (SELECT item_id, list(coalesce(d.id, 3)::INTEGER ORDER BY pos) || [2] AS ids, "
+    "count(*) FILTER (WHERE d.id IS NULL)::BIGINT AS n_unk FROM bpos LEFT JOIN dict d ON d.token = tokens[pos] "
+    "GROUP BY item_id UNION ALL SELECT item_id, [2], 0 FROM btok WHERE len(tokens) = 0)"]
+
+
+def _encoded(spark, sf):
+    d = V.build_dictionary(_dict_tokens(spark, sf), pad_to_multiple=8)
+    b = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("line_id"),
+                                                T.split_ws("text").alias("tokens"))
+    return V.encode(b, d).withColumnRenamed("line_id", "item_id")
+
+
+@register("encode_ids", O.with_ctes("seg", extra=_ENC_CTES) + "SELECT item_id, ids, n_unk FROM enc")
+def encode_ids(spark, sf):
+    """M8: benchmark items encoded with the corpus dictionary (unknown -> 3, </s> = 2 appended)."""
+    return _encoded(spark, sf)
+
+
+@register("oov_rate", O.with_ctes("seg", extra=_ENC_CTES)
+          + "SELECT sum(len(ids) - 1)::BIGINT AS n_tokens, sum(n_unk)::BIGINT AS n_unk, "
+            "round(sum(n_unk)::DOUBLE / sum(len(ids) - 1), 6) AS oov_rate FROM enc")
+def oov_rate(spark, sf):
+    """M8: out-of-vocabulary rate of the benchmark items under the corpus dictionary."""
+    return V.oov_rate(_encoded(spark, sf))
+
+
+COLLOC_MIN_COUNT, COLLOC_MIN_PMI = 5, 3.0
+
+
+@register("collocations", O.with_ctes("seg", extra=[
+    f"ct AS (SELECT line_id, {O.split_ws('text')} AS w FROM seg)",
+    "bi AS (SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS cnt FROM "
+    "(SELECT w, unnest(generate_series(1, len(w) - 1)) AS i FROM ct) GROUP BY ALL)",
+    "uni AS (SELECT t AS w, count(*) AS c FROM (SELECT unnest(w) AS t FROM ct) GROUP BY t)",
+    "nn AS (SELECT sum(c) AS n FROM uni)"])
+    + f"SELECT w1, w2, cnt, round(ln(cnt * n::DOUBLE / (u1.c * u2.c)), 6) AS pmi FROM bi "
+      f"JOIN uni u1 ON u1.w = w1 JOIN uni u2 ON u2.w = w2, nn "
+      f"WHERE cnt >= {COLLOC_MIN_COUNT} AND ln(cnt * n::DOUBLE / (u1.c * u2.c)) >= {COLLOC_MIN_PMI}")
+def collocations(spark, sf):
+    """T4 (mining): adjacent-token collocations by count and PMI."""
+    return CO.mine(_dict_tokens(spark, sf), min_count=COLLOC_MIN_COUNT, min_pmi=COLLOC_MIN_PMI)
+
+
+@register("segment_compounds")
+def segment_compounds(spark, sf):
+    """T4 (matching): lexicon pairs joined with '_' greedily left to right (no SQL twin)."""
+    toks = _dict_tokens(spark, sf)
+    lex = CO.mine(toks, min_count=COLLOC_MIN_COUNT, min_pmi=COLLOC_MIN_PMI)
+    return CO.segment(toks, lex)
+
+
+_BPE_TYPES = ("bt AS (SELECT word, count(*) AS freq FROM (SELECT unnest(" + O.split_ws("text")
+              + ") AS word FROM seg) WHERE word <> '' GROUP BY word)")
+
+
+@register("bpe_pair_stats", O.with_ctes("seg", extra=[
+    _BPE_TYPES,
+    "bs AS (SELECT freq, string_split(word, '')[1:len(string_split(word, '')) - 1] || "
+    "[string_split(word, '')[len(string_split(word, ''))] || '</w>'] AS s FROM bt)"])
+    + "SELECT s[i] AS a, s[i + 1] AS b, sum(freq)::BIGINT AS cnt FROM "
+      "(SELECT freq, s, unnest(generate_series(1, len(s) - 1)) AS i FROM bs) GROUP BY ALL")
+def bpe_pair_stats(spark, sf):
+    """M3: adjacent symbol pair counts over the corpus word types (before any merge)."""
+    return SW.pair_stats(SW.word_types(_dict_tokens(spark, sf)))
+
+
+BPE_MERGES = 100
+
+
+@register("bpe_merges")
+def bpe_merges(spark, sf):
+    """M4: the first 100 joint merges (batched exact learning; no SQL twin: iterative)."""
+    types = SW.word_types(_dict_tokens(spark, sf))
+    return SW.merges_frame(spark, SW.learn(types, BPE_MERGES))
+
+
+def _bpe_applied(spark, sf, n=BPE_MERGES):
+    toks = _dict_tokens(spark, sf)
+    merges = SW.learn(SW.word_types(toks), n)
+    bpe = SW.apply_udf(spark, merges)
+    s = FX.seg(spark, sf)
+    return s.select("line_id", "text", bpe(F.array_join(T.split_ws("text"), " ")).alias("sub"))
+
+
+@register("bpe_vocab")
+def bpe_vocab(spark, sf):
+    """M5: subword frequency list after applying the learned merges (no SQL twin)."""
+    return SW.vocabulary(_bpe_applied(spark, sf).select(F.col("sub").alias("text")))
+
+
+@register("bpe_roundtrip", O.with_ctes("seg") + "SELECT count(*)::BIGINT AS lines, 0::BIGINT AS mismatches FROM seg")
+def bpe_roundtrip(spark, sf):
+    """M6 + T7: joining the subwords of the segmented corpus gives the tokenised text back."""
+    a = _bpe_applied(spark, sf)
+    back = T.join_subwords("sub")
+    orig = F.array_join(T.split_ws("text"), " ")
+    return a.agg(F.count(F.lit(1)).alias("lines"),
+                 F.sum((back != orig).cast("bigint")).cast("bigint").alias("mismatches"))
+
+
+@register("parallel_join", O.with_ctes("numbered", "pair", extra=[
+    "np AS (SELECT (row_number() OVER (ORDER BY line_id) - 1)::BIGINT AS line_no, hyp FROM pair)"])
+    + "SELECT line_no, n.text AS en, np.hyp AS vi FROM numbered n FULL OUTER JOIN np USING (line_no)")
+def parallel_join(spark, sf):
+    """Two line files bound by position (strict equal-length check)."""
+    en = FX.numbered(spark, sf).select("line_no", "text")
+    vi = dense_index(FX.pair(spark, sf), "line_id", "line_no").select("line_no", F.col("hyp").alias("text"))
+    return S.read_parallel({"en": en, "vi": vi})
+
+
+SPLIT_MAP = {"src0": "train", "src1": "valid", "src2": "test"}
+
+
+@register("split_assign", "SELECT doc_id, source, CASE source WHEN 'src0' THEN 'train' WHEN 'src1' THEN 'valid' "
+                          "WHEN 'src2' THEN 'test' END AS split FROM documents")
+def split_assign(spark, sf):
+    """Source file name -> split."""
+    d = FX.table(spark, sf, "documents").select("doc_id", "source")
+    return S.assign_split(d, "source", SPLIT_MAP)
