@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linea.functions.text import ngram_structs
-
 STAT_COLS = ([f"correct_{n}_grams" for n in range(1, 5)]
              + [f"total_{n}_grams" for n in range(1, 5)]
              + ["translation_length", "reference_length"])
@@ -29,58 +27,73 @@ STAT_COLS = ([f"correct_{n}_grams" for n in range(1, 5)]
 def closest_ref_length(hyp_len: Column, refs: Column, ties: str = "first") -> Column:
     """Closest reference length; ties go to the first reference or the shorter one."""
     if ties == "first":
-        cand = F.transform(refs, lambda r, i: F.struct(F.abs(hyp_len - F.size(r)).alias("d"),
-                                                        i.alias("i"), F.size(r).alias("l")))
+        cand = F.transform(refs, lambda r, i: F.named_struct(
+            F.lit("d"), F.abs(hyp_len - F.size(r)), F.lit("i"), i, F.lit("l"), F.size(r)))
     elif ties == "shorter":
-        cand = F.transform(refs, lambda r: F.struct(F.abs(hyp_len - F.size(r)).alias("d"),
-                                                     F.size(r).alias("l")))
+        cand = F.transform(refs, lambda r: F.named_struct(
+            F.lit("d"), F.abs(hyp_len - F.size(r)), F.lit("l"), F.size(r)))
     else:
         raise ValueError(ties)
     return F.coalesce(F.array_min(cand)["l"], F.lit(0)).cast("bigint")
 
 
-def _gram_rows(hyp: Column, refs: Column, hl: Column, rl: Column) -> Column:
-    """array<struct<side, n, gram, w>>: hyp n-grams (side 0), ref n-grams (side k+1)
-    and two sentinel rows carrying the hypothesis and reference lengths."""
-    h = F.transform(ngram_structs(hyp), lambda s: F.struct(
-        F.lit(0).alias("side"), s["n"].alias("n"), s["gram"].alias("gram"), F.lit(1).cast("bigint").alias("w")))
-    r = F.flatten(F.transform(refs, lambda toks, k: F.transform(ngram_structs(toks), lambda s: F.struct(
-        (k + 1).alias("side"), s["n"].alias("n"), s["gram"].alias("gram"), F.lit(1).cast("bigint").alias("w")))))
-    sentinel = F.array(
-        F.struct(F.lit(0).alias("side"), F.lit(0).alias("n"), F.lit("H").alias("gram"), hl.alias("w")),
-        F.struct(F.lit(0).alias("side"), F.lit(0).alias("n"), F.lit("R").alias("gram"), rl.alias("w")))
-    return F.concat(h, r, sentinel)
+def _gram_regex(n: int) -> str:
+    """All overlapping n-grams of a space-joined token string, as group 1.
+
+    A match starts at every token start; tokens never contain a blank, so an
+    empty token (two blanks) breaks the n-gram — such n-grams cannot match a
+    hypothesis n-gram anyway (hypothesis tokens are never empty)."""
+    return r"(?<![^ ])(?=([^ ]+" + "(?: [^ ]+)" * (n - 1) + "))"
+
+
+# Sentinel grams (a real n-gram never starts with a blank) carrying lengths.
+HYP_LEN, REF_LEN = " H", " R"
 
 
 def _clipped(df: DataFrame, line: str, hyp: str, refs: str, ties: str,
              multi_ref: bool, keys: list[str], prepartitioned: bool) -> DataFrame:
-    """Rows ``keys…, line, n, gram, h, r`` with hyp count h and max ref count r."""
+    """Rows ``keys…, line, gram, h, r`` with hyp count h and max ref count r.
+
+    n-grams are cut by one JVM regex pass per order over the space-joined
+    tokens (no per-element lambdas); the order is recovered from the gram.
+    """
     base = df.select(*keys, line, hyp, refs)
     if not prepartitioned:
         base = base.repartition(line)
     hl = F.size(F.col(hyp)).cast("bigint")
     rl = closest_ref_length(hl, F.col(refs), ties)
-    g = base.select(*keys, line, F.inline(_gram_rows(F.col(hyp), F.col(refs), hl, rl)))
+    sides = F.concat(F.array(F.struct(F.lit(0).alias("side"), F.array_join(F.col(hyp), " ").alias("s"))),
+                     F.transform(F.col(refs), lambda r, k: F.struct((k + 1).alias("side"),
+                                                                    F.array_join(r, " ").alias("s"))))
+    rows = base.select(*keys, line, hl.alias("__hl"), rl.alias("__rl"), F.inline(sides))
+    sentinels = F.when(F.col("side") == 0, F.array(F.lit(HYP_LEN), F.lit(REF_LEN))) \
+        .otherwise(F.array().cast("array<string>"))
+    grams = F.concat(*[F.regexp_extract_all(F.col("s"), F.lit(_gram_regex(n)), 1) for n in range(1, 5)],
+                     sentinels)
+    g = rows.select(*keys, line, "side", F.explode(grams).alias("gram"), "__hl", "__rl")
+    w = (F.when(F.col("gram") == HYP_LEN, F.col("__hl")).when(F.col("gram") == REF_LEN, F.col("__rl"))
+         .otherwise(F.lit(1).cast("bigint")))
+    g = g.select(*keys, line, "side", "gram", w.alias("w"))
     if multi_ref:
-        g = g.groupBy(*keys, line, "side", "n", "gram").agg(F.sum("w").alias("w"))
-        return g.groupBy(*keys, line, "n", "gram").agg(
+        g = g.groupBy(*keys, line, "side", "gram").agg(F.sum("w").alias("w"))
+        return g.groupBy(*keys, line, "gram").agg(
             F.sum(F.when(F.col("side") == 0, F.col("w")).otherwise(0)).alias("h"),
             F.max(F.when(F.col("side") > 0, F.col("w")).otherwise(0)).alias("r"))
-    return g.groupBy(*keys, line, "n", "gram").agg(
+    return g.groupBy(*keys, line, "gram").agg(
         F.sum(F.when(F.col("side") == 0, F.col("w")).otherwise(0)).alias("h"),
         F.sum(F.when(F.col("side") == 1, F.col("w")).otherwise(0)).alias("r"))
 
 
 def _stat_aggs() -> list[Column]:
-    n, h, r = F.col("n"), F.col("h"), F.col("r")
+    gram, h, r = F.col("gram"), F.col("h"), F.col("r")
+    sentinel = gram.startswith(" ")
+    n = F.when(sentinel, F.lit(0)).otherwise(F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1)
     aggs = [F.sum(F.when(n == k, F.least(h, r)).otherwise(0)).cast("bigint").alias(f"correct_{k}_grams")
             for k in range(1, 5)]
     aggs += [F.sum(F.when(n == k, h).otherwise(0)).cast("bigint").alias(f"total_{k}_grams")
              for k in range(1, 5)]
-    aggs += [F.sum(F.when((n == 0) & (F.col("gram") == "H"), h).otherwise(0)).cast("bigint")
-             .alias("translation_length"),
-             F.sum(F.when((n == 0) & (F.col("gram") == "R"), h).otherwise(0)).cast("bigint")
-             .alias("reference_length")]
+    aggs += [F.sum(F.when(gram == HYP_LEN, h).otherwise(0)).cast("bigint").alias("translation_length"),
+             F.sum(F.when(gram == REF_LEN, h).otherwise(0)).cast("bigint").alias("reference_length")]
     return aggs
 
 

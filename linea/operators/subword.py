@@ -46,13 +46,15 @@ def word_types(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def pair_stats(types: DataFrame) -> DataFrame:
-    """M3: ``a, b, cnt`` — adjacent symbol pairs weighted by word frequency."""
-    s = F.split(F.col("syms"), " ")
-    pairs = F.filter(F.zip_with(s, F.slice(s, 2, F.greatest(F.size(s), F.lit(1))),
-                                lambda x, y: F.struct(x.alias("a"), y.alias("b"))),
-                     lambda p: p["b"].isNotNull())
-    return (types.select("freq", F.inline(pairs))
-            .groupBy("a", "b").agg(F.sum("freq").alias("cnt")))
+    """M3: ``a, b, cnt`` — adjacent symbol pairs weighted by word frequency.
+
+    One JVM regex pass extracts the overlapping ``"a b"`` pairs (a match at
+    every symbol start), then a partial + final hash aggregate sums them.
+    """
+    p = types.select("freq", F.explode(F.regexp_extract_all("syms", F.lit(r"(?<!\S)(?=(\S+ \S+))"), 1))
+                     .alias("p"))
+    g = p.groupBy("p").agg(F.sum("freq").alias("cnt"))
+    return g.select(F.substring_index("p", " ", 1).alias("a"), F.substring_index("p", " ", -1).alias("b"), "cnt")
 
 
 def choose_batch(top: list[tuple[str, str, int]], min_count: int = 2) -> list[tuple[str, str, int]]:
@@ -75,32 +77,51 @@ def choose_batch(top: list[tuple[str, str, int]], min_count: int = 2) -> list[tu
     return [batch[0]] + [t for t in batch[1:] if t[2] > cut]
 
 
-def _merge_expr(col, merges: list[tuple[str, str, int]]):
-    out = col
+def _apply_merges(df: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
+    """Apply a batch of (symbol-disjoint) merges, one projection per merge; a
+    cheap substring test guards each regex so only word types containing the
+    pair are rewritten."""
     for a, b, _ in merges:
         pat = r"(?<!\S)" + re.escape(a) + " " + re.escape(b) + r"(?!\S)"
-        out = F.regexp_replace(out, pat, (a + b).replace("\\", "\\\\").replace("$", "\\$"))
-    return out
+        rep = (a + b).replace("\\", "\\\\").replace("$", "\\$")
+        syms = F.col("syms")
+        df = df.select("freq", F.when(F.instr(syms, a + " " + b) > 0, F.regexp_replace(syms, pat, rep))
+                       .otherwise(syms).alias("syms"))
+    return df
 
 
 def learn(types: DataFrame, num_merges: int, min_count: int = 2, top_k: int = 64,
-          checkpoint_every: int = 8) -> list[tuple[str, str, int]]:
-    """M4: up to ``num_merges`` merges ``(a, b, count)`` in learning order."""
+          checkpoint_every: int = 16) -> list[tuple[str, str, int]]:
+    """M4: up to ``num_merges`` merges ``(a, b, count)`` in learning order.
+
+    Each round's word table is cached (filled by the next round's statistics
+    job, so no extra pass) and the previous one released; every
+    ``checkpoint_every`` rounds the table is checkpointed to cut the lineage.
+    Losing a cached block only costs recomputation from the last checkpoint.
+    """
     merges: list[tuple[str, str, int]] = []
     cur = types.select("freq", "syms").checkpoint(eager=True)
+    held = None
     rounds = 0
     while len(merges) < num_merges:
         top = (pair_stats(cur).orderBy(F.col("cnt").desc(), F.col("a").desc(), F.col("b").desc())
                .limit(top_k).collect())
+        if held is not None:
+            held.unpersist()
+        held = cur
         batch = choose_batch([(r["a"], r["b"], int(r["cnt"])) for r in top], min_count)
         if not batch:
             break
         batch = batch[: num_merges - len(merges)]
         merges.extend(batch)
-        cur = cur.select("freq", _merge_expr(F.col("syms"), batch).alias("syms"))
         rounds += 1
+        nxt = _apply_merges(cur, batch)
         if rounds % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur = nxt.checkpoint(eager=True)
+        else:
+            cur = nxt.cache()
+    if held is not None:
+        held.unpersist()
     return merges
 
 

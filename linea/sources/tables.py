@@ -8,7 +8,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A single-row-group file is read by one task, which would leave every
+    row-local step before the first shuffle serial. Large inputs (many files or
+    row groups) already split and pass through unchanged. Round-robin
+    repartitioning is deterministic on retry (rows are sorted before
+    distribution), so a lost executor recomputes the same partitions.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
