@@ -169,8 +169,11 @@ def split_sp_nonempty(c: str) -> str:
 
 
 def inject_sql(words: str, off: str) -> str:
-    return (f"array_to_string(list_transform({words}, lambda x, i: x || CASE WHEN i >= len({words}) THEN '' "
-            f"WHEN (i - 1 + {off}) % 5 = 0 THEN '@@ ' WHEN (i - 1 + {off}) % 6 = 1 THEN '_' ELSE ' ' END), '')")
+    """Separators after every word but the last (linear: the lambda never
+    refers back to the whole list)."""
+    return (f"array_to_string(list_transform({words}[1:len({words}) - 1], lambda x, i: x || CASE "
+            f"WHEN (i - 1 + {off}) % 5 = 0 THEN '@@ ' WHEN (i - 1 + {off}) % 6 = 1 THEN '_' ELSE ' ' END), '') "
+            f"|| {words}[len({words})]")
 
 
 CTE["marked"] = f"""marked AS (
@@ -207,11 +210,16 @@ def join_subwords(c: str) -> str:
 
 
 def detruecase(c: str) -> str:
+    """Shifted copies of the token list zipped together: the lambda reads only
+    the element and its two predecessors (linear in the line length)."""
     w = f"string_split({c}, ' ')"
-    cond = (f"NOT list_contains({DELAYED_SQL}, x) AND ((i = 1 OR list_contains({SENT_END_SQL}, {w}[i - 1])) "
-            f"OR (list_contains({DELAYED_SQL}, {w}[i - 1]) AND (i = 2 OR list_contains({SENT_END_SQL}, {w}[i - 2]))))")
-    return (f"array_to_string(list_transform({w}, lambda x, i: CASE WHEN {cond} "
-            f"THEN upper(x[1]) || x[2:] ELSE x END), ' ')")
+    z = (f"list_zip({w}, [NULL::VARCHAR] || {w}[1:len({w}) - 1], "
+         f"[NULL::VARCHAR, NULL::VARCHAR] || {w}[1:len({w}) - 2], true)")
+    x, p1, p2 = "struct_extract_at(e, 1)", "struct_extract_at(e, 2)", "struct_extract_at(e, 3)"
+    cond = (f"NOT list_contains({DELAYED_SQL}, {x}) AND ((i = 1 OR list_contains({SENT_END_SQL}, {p1})) "
+            f"OR (list_contains({DELAYED_SQL}, {p1}) AND (i = 2 OR list_contains({SENT_END_SQL}, {p2}))))")
+    return (f"array_to_string(list_transform({z}, lambda e, i: CASE WHEN {cond} "
+            f"THEN upper({x}[1]) || {x}[2:] ELSE {x} END), ' ')")
 
 
 def tokenize_en(c: str) -> str:
