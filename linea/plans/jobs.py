@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from linea.functions import text as T
 from linea.operators import bleu as B
 from linea.operators import compose as C
-from linea.operators import metrics as M
+from linea.operators import collocations as CO
+from linea.operators import subword as SW
+from linea.operators import truecase as TC
+from linea.operators import vocab as V
 from linea.sources.text import parse_decoder_log
 
 DIRECTION = {"vi": "en>vi", "en": "vi>en"}
@@ -82,5 +85,147 @@ def backtranslation_quality(syn: DataFrame, ref_sub: DataFrame) -> DataFrame:
     return bleu.join(em, "lang")
 
 
-__all__ = ["evaluate_bidirectional", "evaluate_unidirectional", "checkpoint_sweep",
-           "backtranslation_quality", "postprocess", "M"]
+
+
+# ---------------------------------------------------------------------------
+# Preparation jobs
+# ---------------------------------------------------------------------------
+# ``corpus`` is the long line table ``split, lang, line_no, text``.
+
+def tokenize_corpus(corpus: DataFrame, vi_lexicon: DataFrame | None = None,
+                    normalize_form: str = "NFKD") -> DataFrame:
+    """T1 then T3 (English) / T4 (Vietnamese): adds ``tokens``.
+
+    The Vietnamese compound lexicon is mined on the training split unless given.
+    """
+    norm = corpus.withColumn("text", T.unicode_normalize("text", normalize_form))
+    tok = norm.withColumn("tokens", F.filter(F.split(T.tokenize_13a("text"), " "), lambda x: x != ""))
+    en = tok.where(F.col("lang") != "vi").withColumn(
+        "tokens", F.filter(F.split(T.tokenize_en(F.array_join("tokens", " ")), " "), lambda x: x != ""))
+    vi = tok.where(F.col("lang") == "vi").withColumn("__id", F.concat_ws(":", "split", "line_no"))
+    if vi_lexicon is None:
+        vi_lexicon = CO.mine(vi.where(F.col("split") == "train"), "tokens")
+    seg = CO.segment(vi.select("__id", "tokens"), vi_lexicon, line="__id")
+    vi = vi.drop("tokens").join(seg.select("__id", F.split("text", " ").alias("tokens")), "__id", "left") \
+        .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))).drop("__id")
+    return en.unionByName(vi)
+
+
+def truecase_corpus(tok: DataFrame) -> DataFrame:
+    """M1 on the training split of each language, M2 on every split."""
+    out = None
+    for lang in [r[0] for r in tok.select("lang").distinct().collect()]:
+        part = tok.where(F.col("lang") == lang).withColumn("__id", F.concat_ws(":", "split", "line_no"))
+        train = part.where(F.col("split") == "train")
+        cased = TC.apply(part.select("__id", "tokens"), TC.train(train, "__id"), TC.known_forms(train, "__id"),
+                         line="__id")
+        res = part.drop("tokens").join(cased, "__id", "left").drop("__id") \
+            .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+        out = res if out is None else out.unionByName(res)
+    return out.withColumn("text", F.array_join("tokens", " ")).drop("tokens")
+
+
+def _pairs(cased: DataFrame, split: str, src: str = "en", tgt: str = "vi") -> DataFrame:
+    a = cased.where((F.col("split") == split) & (F.col("lang") == src)).select("line_no", F.col("text").alias(src))
+    b = cased.where((F.col("split") == split) & (F.col("lang") == tgt)).select("line_no", F.col("text").alias(tgt))
+    return a.join(b, "line_no")
+
+
+def _segment_and_encode(sets: DataFrame, merges, dictionary: DataFrame | None, joined: bool = True):
+    spark = sets.sparkSession
+    bpe = SW.apply_udf(spark, merges)
+    sub = sets.select("split", "line_no", bpe("src").alias("src"), bpe("tgt").alias("tgt"))
+    return sub
+
+
+def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | None = None,
+                          synthetic: DataFrame | None = None, merges=None, dictionary: DataFrame | None = None,
+                          num_merges: int = 5000) -> dict:
+    """One step of the bidirectional back-translation preparation.
+
+    Step 0 zips en/vi into alternating src/tgt lines (C3); step k > 0 interleaves
+    the synthetic lines ``synthetic(line_no, syn_en, syn_vi)`` around step k-1's
+    training set ``prev(split, line_no, src, tgt)`` (C4) and carries valid/test
+    over (C5). Joint subword codes are learned once (M4) unless ``merges`` are
+    given, applied to both sides (M6); sources are tagged (C6) and a joint
+    dictionary built (M7) unless given; both sides are encoded (M8).
+    """
+    cased = truecase_corpus(tokenize_corpus(corpus))
+    if step == 0:
+        sets = None
+        for split in ("train", "valid", "test"):
+            st = C.build_bidirectional(_pairs(cased, split)).withColumn("split", F.lit(split))
+            sets = st if sets is None else sets.unionByName(st)
+    else:
+        par = _pairs(cased, "train").join(synthetic, "line_no")
+        train = C.build_step(step, par, prev.where(F.col("split") == "train").drop("split"))
+        sets = C.carry_forward(train, prev)
+    if merges is None:
+        both = sets.where(F.col("split") == "train").select(F.split("src", " ").alias("tokens")).unionByName(
+            sets.where(F.col("split") == "train").select(F.split("tgt", " ").alias("tokens")))
+        merges = SW.learn(SW.word_types(both), num_merges)
+    sub = _segment_and_encode(sets, merges, dictionary)
+    tagged = None
+    for split in ("train", "valid", "test"):
+        part = C.tag_directions(sub.where(F.col("split") == split), step, split, text="src")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    toks = tagged.select("split", "line_no", F.split("src", " ").alias("src_t"), F.split("tgt", " ").alias("tgt_t"))
+    if dictionary is None:
+        dictionary = V.build_dictionary(
+            toks.select(F.col("src_t").alias("tokens")).unionByName(toks.select(F.col("tgt_t").alias("tokens"))),
+            pad_to_multiple=8)
+    key = F.concat_ws(":", "split", "line_no")
+    src_ids = V.encode(toks.select(key.alias("id"), F.col("src_t").alias("tokens")), dictionary, line="id")
+    tgt_ids = V.encode(toks.select(key.alias("id"), F.col("tgt_t").alias("tokens")), dictionary, line="id")
+    encoded = src_ids.select("id", F.col("ids").alias("src_ids")).join(
+        tgt_ids.select("id", F.col("ids").alias("tgt_ids")), "id")
+    return {"sets": sets, "subword": tagged, "merges": merges, "dictionary": dictionary, "encoded": encoded}
+
+
+def prepare_unidirectional(corpus: DataFrame, src: str, tgt: str, merges, src_dict: DataFrame,
+                           tgt_dict: DataFrame | None = None) -> dict:
+    """One direction, no interleaving or tags; reuses the given subword
+    codes and dictionaries (the joint ones, or those of step k for fine-tuning)."""
+    cased = truecase_corpus(tokenize_corpus(corpus))
+    sets = None
+    for split in ("train", "valid", "test"):
+        p = _pairs(cased, split, src, tgt).select("line_no", F.col(src).alias("src"), F.col(tgt).alias("tgt"))
+        p = p.withColumn("split", F.lit(split))
+        sets = p if sets is None else sets.unionByName(p)
+    sub = _segment_and_encode(sets, merges, None)
+    key = F.concat_ws(":", "split", "line_no")
+    s_ids = V.encode(sub.select(key.alias("id"), F.split("src", " ").alias("tokens")), src_dict, line="id")
+    t_ids = V.encode(sub.select(key.alias("id"), F.split("tgt", " ").alias("tokens")), tgt_dict or src_dict,
+                     line="id")
+    encoded = s_ids.select("id", F.col("ids").alias("src_ids")).join(
+        t_ids.select("id", F.col("ids").alias("tgt_ids")), "id")
+    return {"sets": sets, "subword": sub, "encoded": encoded}
+
+
+def prepare_independent(corpus: DataFrame, src: str, tgt: str, num_merges: int = 5000) -> dict:
+    """One direction with its own subword codes and separate dictionaries."""
+    cased = truecase_corpus(tokenize_corpus(corpus))
+    train = _pairs(cased, "train", src, tgt)
+    both = train.select(F.split(src, " ").alias("tokens")).unionByName(train.select(F.split(tgt, " ").alias("tokens")))
+    merges = SW.learn(SW.word_types(both), num_merges)
+    spark = corpus.sparkSession
+    bpe = SW.apply_udf(spark, merges)
+    sub = train.select(F.split(bpe(src), " ").alias("s"), F.split(bpe(tgt), " ").alias("t"))
+    src_dict = V.build_dictionary(sub.select(F.col("s").alias("tokens")), pad_to_multiple=8)
+    tgt_dict = V.build_dictionary(sub.select(F.col("t").alias("tokens")), pad_to_multiple=8)
+    out = prepare_unidirectional(corpus, src, tgt, merges, src_dict, tgt_dict)
+    out.update({"merges": merges, "src_dict": src_dict, "tgt_dict": tgt_dict})
+    return out
+
+
+def prepare_finetune(corpus: DataFrame, src: str, tgt: str, merges, step_dicts: tuple) -> dict:
+    """Fine-tuning data for one direction with the dictionaries of step k."""
+    return prepare_unidirectional(corpus, src, tgt, merges, step_dicts[0], step_dicts[1])
+
+
+def prepare_translation_input(cased: DataFrame, merges) -> DataFrame:
+    """P5: step-0 truecased lines segmented with the joint codes and tagged by
+    language (<e2v> for English sources, <v2e> for Vietnamese)."""
+    bpe = SW.apply_udf(cased.sparkSession, merges)
+    tag = F.when(F.col("lang") == "en", F.lit(T.TAG_E2V)).otherwise(F.lit(T.TAG_V2E))
+    return cased.select("split", "lang", "line_no", T.tag_constant(bpe("text"), tag).alias("text"))

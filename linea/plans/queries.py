@@ -77,9 +77,8 @@ def bleu_sentence_stats(spark, sf):
 
 def _multi_tokens(spark, sf, hyp_tok=T.split_ws, ref_tok=T.split_space) -> DataFrame:
     m = FX.multi_ref(spark, sf)
-    refs = S.group_references(m, "line_id", "ref_id", "ref", tokenizer=ref_tok)
-    hyps = m.where(F.col("ref_id") == 0).select("line_id", hyp_tok(F.col("hyp")).alias("hyp"))
-    return hyps.join(refs, "line_id")
+    g = S.group_references(m, "line_id", "ref_id", "ref", tokenizer=ref_tok, carry={"hyp": F.col("hyp")})
+    return g.select("line_id", hyp_tok(F.col("hyp")).alias("hyp"), "refs")
 
 
 _MULTI_TOK = ("toks AS (SELECT line_id, " + O.split_ws("any_value(hyp)") + " AS h, list("

@@ -73,15 +73,19 @@ def read_parallel(sides: dict[str, DataFrame], strict: bool = True, key: str = "
 
 
 def group_references(df: DataFrame, line: str = "line_id", ref_id: str = "ref_id",
-                     ref: str = "ref", tokenizer=None) -> DataFrame:
+                     ref: str = "ref", tokenizer=None, carry: dict | None = None) -> DataFrame:
     """S3 (table form): long ``line, ref_id, ref`` -> ``line, refs`` ordered by ref_id.
 
     One shuffle on ``line``; each group holds the references of one line.
+    ``carry`` maps output names to columns that depend only on the line (for
+    example the hypothesis), taken along without a second pass or a join.
     """
     tok = tokenizer(F.col(ref)) if tokenizer else F.col(ref)
+    extra = [F.max(c).alias(name) for name, c in (carry or {}).items()]
     return (df.groupBy(line)
-            .agg(F.sort_array(F.collect_list(F.struct(F.col(ref_id).alias("i"), tok.alias("r")))).alias("__rs"))
-            .select(line, F.transform("__rs", lambda s: s["r"]).alias("refs")))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(ref_id).alias("i"), tok.alias("r")))).alias("__rs"),
+                 *extra)
+            .select(line, *(carry or {}).keys(), F.transform("__rs", lambda s: s["r"]).alias("refs")))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
