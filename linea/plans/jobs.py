@@ -91,6 +91,9 @@ def backtranslation_quality(syn: DataFrame, ref_sub: DataFrame) -> DataFrame:
 # Preparation jobs
 # ---------------------------------------------------------------------------
 # ``corpus`` is the long line table ``split, lang, line_no, text``.
+# Stage outputs that later steps reuse (several actions: model counts,
+# learning rounds) are checkpointed into the session's checkpoint folder, as
+# the stage directories of the original preparation scripts.
 
 def tokenize_corpus(corpus: DataFrame, vi_lexicon: DataFrame | None = None,
                     normalize_form: str = "NFKD") -> DataFrame:
@@ -102,13 +105,14 @@ def tokenize_corpus(corpus: DataFrame, vi_lexicon: DataFrame | None = None,
     tok = norm.withColumn("tokens", F.filter(F.split(T.tokenize_13a("text"), " "), lambda x: x != ""))
     en = tok.where(F.col("lang") != "vi").withColumn(
         "tokens", F.filter(F.split(T.tokenize_en(F.array_join("tokens", " ")), " "), lambda x: x != ""))
+    tok = tok.checkpoint(eager=True)
     vi = tok.where(F.col("lang") == "vi").withColumn("__id", F.concat_ws(":", "split", "line_no"))
     if vi_lexicon is None:
         vi_lexicon = CO.mine(vi.where(F.col("split") == "train"), "tokens")
     seg = CO.segment(vi.select("__id", "tokens"), vi_lexicon, line="__id")
     vi = vi.drop("tokens").join(seg.select("__id", F.split("text", " ").alias("tokens")), "__id", "left") \
         .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))).drop("__id")
-    return en.unionByName(vi)
+    return en.unionByName(vi).checkpoint(eager=True)
 
 
 def truecase_corpus(tok: DataFrame) -> DataFrame:
@@ -122,7 +126,7 @@ def truecase_corpus(tok: DataFrame) -> DataFrame:
         res = part.drop("tokens").join(cased, "__id", "left").drop("__id") \
             .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
         out = res if out is None else out.unionByName(res)
-    return out.withColumn("text", F.array_join("tokens", " ")).drop("tokens")
+    return out.withColumn("text", F.array_join("tokens", " ")).drop("tokens").checkpoint(eager=True)
 
 
 def _pairs(cased: DataFrame, split: str, src: str = "en", tgt: str = "vi") -> DataFrame:
@@ -160,6 +164,7 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
         par = _pairs(cased, "train").join(synthetic, "line_no")
         train = C.build_step(step, par, prev.where(F.col("split") == "train").drop("split"))
         sets = C.carry_forward(train, prev)
+    sets = sets.checkpoint(eager=True)
     if merges is None:
         both = sets.where(F.col("split") == "train").select(F.split("src", " ").alias("tokens")).unionByName(
             sets.where(F.col("split") == "train").select(F.split("tgt", " ").alias("tokens")))
@@ -169,16 +174,17 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
     for split in ("train", "valid", "test"):
         part = C.tag_directions(sub.where(F.col("split") == split), step, split, text="src")
         tagged = part if tagged is None else tagged.unionByName(part)
+    tagged = tagged.checkpoint(eager=True)
     toks = tagged.select("split", "line_no", F.split("src", " ").alias("src_t"), F.split("tgt", " ").alias("tgt_t"))
     if dictionary is None:
         dictionary = V.build_dictionary(
             toks.select(F.col("src_t").alias("tokens")).unionByName(toks.select(F.col("tgt_t").alias("tokens"))),
             pad_to_multiple=8)
     key = F.concat_ws(":", "split", "line_no")
-    src_ids = V.encode(toks.select(key.alias("id"), F.col("src_t").alias("tokens")), dictionary, line="id")
-    tgt_ids = V.encode(toks.select(key.alias("id"), F.col("tgt_t").alias("tokens")), dictionary, line="id")
-    encoded = src_ids.select("id", F.col("ids").alias("src_ids")).join(
-        tgt_ids.select("id", F.col("ids").alias("tgt_ids")), "id")
+    src_ids = V.encode(toks.select(key.alias("__rid"), F.col("src_t").alias("tokens")), dictionary, line="__rid")
+    tgt_ids = V.encode(toks.select(key.alias("__rid"), F.col("tgt_t").alias("tokens")), dictionary, line="__rid")
+    encoded = src_ids.select("__rid", F.col("ids").alias("src_ids")).join(
+        tgt_ids.select("__rid", F.col("ids").alias("tgt_ids")), "__rid").withColumnRenamed("__rid", "key")
     return {"sets": sets, "subword": tagged, "merges": merges, "dictionary": dictionary, "encoded": encoded}
 
 
@@ -194,11 +200,11 @@ def prepare_unidirectional(corpus: DataFrame, src: str, tgt: str, merges, src_di
         sets = p if sets is None else sets.unionByName(p)
     sub = _segment_and_encode(sets, merges, None)
     key = F.concat_ws(":", "split", "line_no")
-    s_ids = V.encode(sub.select(key.alias("id"), F.split("src", " ").alias("tokens")), src_dict, line="id")
-    t_ids = V.encode(sub.select(key.alias("id"), F.split("tgt", " ").alias("tokens")), tgt_dict or src_dict,
-                     line="id")
-    encoded = s_ids.select("id", F.col("ids").alias("src_ids")).join(
-        t_ids.select("id", F.col("ids").alias("tgt_ids")), "id")
+    s_ids = V.encode(sub.select(key.alias("__rid"), F.split("src", " ").alias("tokens")), src_dict, line="__rid")
+    t_ids = V.encode(sub.select(key.alias("__rid"), F.split("tgt", " ").alias("tokens")), tgt_dict or src_dict,
+                     line="__rid")
+    encoded = s_ids.select("__rid", F.col("ids").alias("src_ids")).join(
+        t_ids.select("__rid", F.col("ids").alias("tgt_ids")), "__rid").withColumnRenamed("__rid", "key")
     return {"sets": sets, "subword": sub, "encoded": encoded}
 
 
