@@ -51,7 +51,7 @@ HYP_LEN, REF_LEN = " H", " R"
 
 
 def _clipped(df: DataFrame, line: str, hyp: str, refs: str, ties: str,
-             multi_ref: bool, keys: list[str], prepartitioned: bool) -> DataFrame:
+             multi_ref: bool, keys: list[str], prepartitioned: bool, n_refs: int | None = None) -> DataFrame:
     """Rows ``keys…, line, gram, h, r`` with hyp count h and max ref count r.
 
     n-grams are cut by one JVM regex pass per order over the space-joined
@@ -74,6 +74,13 @@ def _clipped(df: DataFrame, line: str, hyp: str, refs: str, ties: str,
     w = (F.when(F.col("gram") == HYP_LEN, F.col("__hl")).when(F.col("gram") == REF_LEN, F.col("__rl"))
          .otherwise(F.lit(1).cast("bigint")))
     g = g.select(*keys, line, "side", "gram", w.alias("w"))
+    if multi_ref and n_refs:
+        # the number of references is known: one aggregation, a count per side
+        side, wc = F.col("side"), F.col("w")
+        per = [F.sum(F.when(side == k, wc).otherwise(0)) for k in range(1, n_refs + 1)]
+        return g.groupBy(*keys, line, "gram").agg(
+            F.sum(F.when(side == 0, wc).otherwise(0)).alias("h"),
+            (F.greatest(*per) if len(per) > 1 else per[0]).alias("r"))
     if multi_ref:
         g = g.groupBy(*keys, line, "side", "gram").agg(F.sum("w").alias("w"))
         return g.groupBy(*keys, line, "gram").agg(
@@ -99,23 +106,26 @@ def _stat_aggs() -> list[Column]:
 
 def sentence_stats(df: DataFrame, line: str = "line_id", hyp: str = "hyp", refs: str = "refs",
                    ties: str = "first", keys: list[str] | None = None,
-                   prepartitioned: bool = False, multi_ref: bool = True) -> DataFrame:
+                   prepartitioned: bool = False, multi_ref: bool = True,
+                   n_refs: int | None = None) -> DataFrame:
     """Per-line sufficient statistics (10 BIGINT columns).
 
-    ``multi_ref=False`` declares exactly one reference per line, which lets
-    the clip run as one aggregation instead of two.
+    ``multi_ref=False`` declares exactly one reference per line and
+    ``n_refs`` an upper bound on the number of references (the number of
+    reference files); either lets the clip run as one aggregation instead of two.
     """
     keys = keys or []
-    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned)
+    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned, n_refs)
     return c.groupBy(*keys, line).agg(*_stat_aggs())
 
 
 def corpus_totals(df: DataFrame, line: str = "line_id", hyp: str = "hyp", refs: str = "refs",
                   ties: str = "first", keys: list[str] | None = None,
-                  multi_ref: bool = True, prepartitioned: bool = False) -> DataFrame:
+                  multi_ref: bool = True, prepartitioned: bool = False,
+                  n_refs: int | None = None) -> DataFrame:
     """Summed statistics per ``keys`` group (global when no keys): skips the per-line level."""
     keys = keys or []
-    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned)
+    c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned, n_refs)
     if keys:
         return c.groupBy(*keys).agg(*_stat_aggs())
     return c.agg(*_stat_aggs())
@@ -238,3 +248,62 @@ def bleu_by_length(line_stats: DataFrame, width: int, digits: int = 6) -> DataFr
         F.col("bucket").cast("bigint").alias("bucket"), label.alias("label"),
         F.when(show, F.col("n_lines")).cast("bigint").alias("n_lines"),
         F.when(show, F.round(100 * F.col("gbp") * F.exp(logs / 4), digits)).alias("bleu"))
+
+
+# --- two systems against the same references in one pass ---------------------
+
+_SYS = {"a": (-2, " HA", " RA"), "b": (-1, " HB", " RB")}
+
+
+def paired_sentence_stats(df: DataFrame, line: str = "line_id", hyp_a: str = "hyp_a", hyp_b: str = "hyp_b",
+                          refs: str = "refs", ties: str = "first", n_refs: int | None = 1,
+                          prepartitioned: bool = False) -> DataFrame:
+    """E1 for two systems sharing references: ``line, a_<stat>…, b_<stat>…``.
+
+    One repartition by line and one aggregation: reference n-grams are cut and
+    counted once and both clips read the same per-gram counts.
+    ``n_refs`` is the number of references (None: any number, two levels).
+    """
+    base = df.select(line, hyp_a, hyp_b, refs)
+    if not prepartitioned:
+        base = base.repartition(line)
+    hla, hlb = F.size(F.col(hyp_a)).cast("bigint"), F.size(F.col(hyp_b)).cast("bigint")
+    rla, rlb = closest_ref_length(hla, F.col(refs), ties), closest_ref_length(hlb, F.col(refs), ties)
+    sides = F.concat(
+        F.array(F.struct(F.lit(_SYS["a"][0]).alias("side"), F.array_join(F.col(hyp_a), " ").alias("s")),
+                F.struct(F.lit(_SYS["b"][0]).alias("side"), F.array_join(F.col(hyp_b), " ").alias("s"))),
+        F.transform(F.col(refs), lambda r, k: F.struct((k + 1).alias("side"), F.array_join(r, " ").alias("s"))))
+    rows = base.select(line, hla.alias("__hla"), rla.alias("__rla"), hlb.alias("__hlb"), rlb.alias("__rlb"),
+                       F.inline(sides))
+    side = F.col("side")
+    sentinels = (F.when(side == _SYS["a"][0], F.array(F.lit(_SYS["a"][1]), F.lit(_SYS["a"][2])))
+                 .when(side == _SYS["b"][0], F.array(F.lit(_SYS["b"][1]), F.lit(_SYS["b"][2])))
+                 .otherwise(F.array().cast("array<string>")))
+    grams = F.concat(*[F.regexp_extract_all(F.col("s"), F.lit(_gram_regex(n)), 1) for n in range(1, 5)], sentinels)
+    g = rows.select(line, "side", F.explode(grams).alias("gram"), "__hla", "__rla", "__hlb", "__rlb")
+    gram = F.col("gram")
+    w = (F.when(gram == _SYS["a"][1], F.col("__hla")).when(gram == _SYS["a"][2], F.col("__rla"))
+         .when(gram == _SYS["b"][1], F.col("__hlb")).when(gram == _SYS["b"][2], F.col("__rlb"))
+         .otherwise(F.lit(1).cast("bigint")))
+    g = g.select(line, "side", "gram", w.alias("w"))
+    wc = F.col("w")
+    ha = F.sum(F.when(side == _SYS["a"][0], wc).otherwise(0)).alias("ha")
+    hb = F.sum(F.when(side == _SYS["b"][0], wc).otherwise(0)).alias("hb")
+    if n_refs:
+        per = [F.sum(F.when(side == k, wc).otherwise(0)) for k in range(1, n_refs + 1)]
+        c = g.groupBy(line, "gram").agg(ha, hb, (F.greatest(*per) if len(per) > 1 else per[0]).alias("r"))
+    else:
+        g = g.groupBy(line, "side", "gram").agg(F.sum("w").alias("w"))
+        c = g.groupBy(line, "gram").agg(ha, hb, F.max(F.when(side > 0, wc).otherwise(0)).alias("r"))
+    sentinel = gram.startswith(" ")
+    n = F.when(sentinel, F.lit(0)).otherwise(F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1)
+    aggs = []
+    for name, (_, hyp_len, ref_len) in _SYS.items():
+        h, r = F.col("h" + name), F.col("r")
+        aggs += [F.sum(F.when(n == k, F.least(h, r)).otherwise(0)).cast("bigint").alias(f"{name}_correct_{k}_grams")
+                 for k in range(1, 5)]
+        aggs += [F.sum(F.when(n == k, h).otherwise(0)).cast("bigint").alias(f"{name}_total_{k}_grams")
+                 for k in range(1, 5)]
+        aggs += [F.sum(F.when(gram == hyp_len, h).otherwise(0)).cast("bigint").alias(f"{name}_translation_length"),
+                 F.sum(F.when(gram == ref_len, h).otherwise(0)).cast("bigint").alias(f"{name}_reference_length")]
+    return c.groupBy(line).agg(*aggs)

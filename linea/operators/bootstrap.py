@@ -74,7 +74,13 @@ def compare_bleu(stats_a: DataFrame, stats_b: DataFrame, score, samples: int = 1
     cols = stat_cols
     both = stats_a.select(line, index, *[F.col(c).alias("a_" + c) for c in cols]).join(
         stats_b.select(line, *[F.col(c).alias("b_" + c) for c in cols]), line)
-    allc = ["a_" + c for c in cols] + ["b_" + c for c in cols]
+    return compare_paired(both, score, samples, m, seed, index, cols)
+
+
+def compare_paired(both: DataFrame, score, samples: int = 1000, m: int | None = None,
+                   seed: int = DEFAULT_SEED, index: str = "n", stat_cols: list[str] | None = None) -> DataFrame:
+    """E11 on one table holding both systems' statistics as ``a_<stat>``, ``b_<stat>``."""
+    allc = ["a_" + c for c in stat_cols] + ["b_" + c for c in stat_cols]
     sums = resample_sums(both, allc, samples, m, seed, None, index, include_full=True)
     per = sums.select("b", score("a_").alias("sa"), score("b_").alias("sb"))
     rs = F.col("b") >= 0

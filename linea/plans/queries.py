@@ -81,6 +81,7 @@ def _multi_tokens(spark, sf, hyp_tok=T.split_ws, ref_tok=T.split_space) -> DataF
     return g.select("line_id", hyp_tok(F.col("hyp")).alias("hyp"), "refs")
 
 
+MULTI_REFS = 2   # reference files per line in the multi-reference fixture
 _MULTI_TOK = ("toks AS (SELECT line_id, " + O.split_ws("any_value(hyp)") + " AS h, list("
               + O.split_space("ref") + " ORDER BY ref_id) AS refs FROM multi_ref GROUP BY line_id)")
 
@@ -89,7 +90,7 @@ _MULTI_TOK = ("toks AS (SELECT line_id, " + O.split_ws("any_value(hyp)") + " AS
           + O.bleu_plain_select(f"(SELECT {O.STAT_SUMS} FROM st)"))
 def bleu_multi_ref(spark, sf):
     """S3 + E1/E2/E3: two references per line, first reference wins length ties."""
-    return B.bleu_plain(B.corpus_totals(_multi_tokens(spark, sf), prepartitioned=True))
+    return B.bleu_plain(B.corpus_totals(_multi_tokens(spark, sf), prepartitioned=True, n_refs=MULTI_REFS))
 
 
 def _detok_tokens(p: DataFrame, lowercase: bool) -> DataFrame:
@@ -162,7 +163,7 @@ def bleu_by_length(spark, sf, width: int = LENGTH_WIDTH):
     toks = toks.select("*", (F.size(F.element_at("refs", -1)) / width).cast("bigint").alias("bucket"),
                        F.array_max(F.transform("refs", lambda r: (F.size(r) / width).cast("bigint")))
                        .alias("max_bucket_ref"))
-    st = B.sentence_stats(toks, keys=["bucket", "max_bucket_ref"], prepartitioned=True)
+    st = B.sentence_stats(toks, keys=["bucket", "max_bucket_ref"], prepartitioned=True, n_refs=MULTI_REFS)
     return B.bleu_by_length(st, width)
 
 
@@ -370,6 +371,14 @@ def _line_stats(spark, sf, system: int, tok, ties: str) -> DataFrame:
     return B.sentence_stats(t, ties=ties, multi_ref=False)
 
 
+def _paired_stats(spark, sf, tok, ties: str) -> DataFrame:
+    """Both systems' per-line statistics from one pass over the shared references."""
+    p = FX.pair_ab(spark, sf)
+    t = p.select("line_id", tok(F.col("hyp_a")).alias("hyp_a"), tok(F.col("hyp_b")).alias("hyp_b"),
+                 F.array(tok(F.col("ref"))).alias("refs"))
+    return B.paired_sentence_stats(t, ties=ties, n_refs=1)
+
+
 def _sql_eval_tok(c):
     return f"list_filter(regexp_split_to_array({O.strip_sql(c)}, '{O.UWS_SQL}+'), lambda x: x <> '')"
 
@@ -415,11 +424,9 @@ def _compare_sql() -> str:
 @register("bootstrap_bleu", _compare_sql())
 def bootstrap_bleu(spark, sf):
     """Paired bootstrap (B=1000, m=n) of two systems' BLEU from sufficient statistics."""
-    sa = _line_stats(spark, sf, 1, _eval_tok, "first")
-    sb = _line_stats(spark, sf, 2, _eval_tok, "first")
-    sa = dense_index(sa, "line_id", "n")
-    return BS.compare_bleu(sa, sb, lambda pre: B.bleu_score_expr(pre, "none", 100.0),
-                           samples=BOOT_SAMPLES, seed=BOOT_SEED, stat_cols=B.STAT_COLS)
+    both = dense_index(_paired_stats(spark, sf, _eval_tok, "first"), "line_id", "n")
+    return BS.compare_paired(both, lambda pre: B.bleu_score_expr(pre, "none", 100.0),
+                             samples=BOOT_SAMPLES, seed=BOOT_SEED, stat_cols=B.STAT_COLS)
 
 
 def _report_sql(src_ctes: list[str], src: str, cols: list[str], s1: str, s2: str) -> str:
@@ -447,11 +454,7 @@ def _with_body(names: list[str], extra: list[str]) -> list[str]:
 
 
 def _report_bleu(spark, sf, tok, ties, smooth):
-    sa = _line_stats(spark, sf, 1, tok, ties)
-    sb = _line_stats(spark, sf, 2, tok, ties)
-    both = sa.select("line_id", *[F.col(c).alias("a_" + c) for c in B.STAT_COLS]).join(
-        sb.select("line_id", *[F.col(c).alias("b_" + c) for c in B.STAT_COLS]), "line_id")
-    both = dense_index(both, "line_id", "n")
+    both = dense_index(_paired_stats(spark, sf, tok, ties), "line_id", "n")
     n = both.count()
     m = int(n * BOOT_RATIO)
     sums = BS.resample_sums(both, _AB, BOOT_SAMPLES, m, BOOT_SEED, n)

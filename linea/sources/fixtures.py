@@ -250,3 +250,11 @@ def translation_data(spark, sf_dir) -> DataFrame:
     return p.select(F.col("line_id").alias("sent_id"), F.inline(F.array(
         F.struct(F.lit("vi").alias("lang"), _inject_marks(_words("ref"), lid + 2).alias("ref")),
         F.struct(F.lit("en").alias("lang"), _inject_marks(_words("hyp"), lid + 3).alias("ref")))))
+
+
+def pair_ab(spark, sf_dir) -> DataFrame:
+    """Both systems' hypotheses with the shared reference: ``line_id, lang, hyp_a, hyp_b, ref``."""
+    s = seg(spark, sf_dir)
+    lid = F.col("line_id")
+    return s.select("line_id", "lang", _system(_words(), lid, 7, 3, 11, 5).alias("hyp_a"),
+                    _system(_words(), lid, 5, 2, 13, 4).alias("hyp_b"), F.col("text").alias("ref"))

@@ -84,3 +84,25 @@ def test_detok_finalisation_edge_cases(spark):
     assert r["bleu"] == 0.0 and r["bp"] == 0.0
     plain = B.bleu_plain(zero).first()
     assert plain["bleu"] is None and plain["p1"] is None
+
+
+def test_known_reference_count_path_equals_two_level(spark):
+    df = frame(spark)
+    for ties in ("first", "shorter"):
+        a = B.sentence_stats(df, ties=ties).orderBy("line_id").collect()
+        b = B.sentence_stats(df, ties=ties, n_refs=2).orderBy("line_id").collect()
+        assert a == b
+
+
+def test_paired_stats_equal_separate(spark):
+    rows = [(i, h, h.replace("the", "a"), refs) for i, (h, refs) in enumerate(LINES)]
+    df = spark.createDataFrame(rows, "line_id long, a string, b string, refs array<string>")
+    df = df.select("line_id", T.split_ws("a").alias("hyp_a"), T.split_ws("b").alias("hyp_b"),
+                   F.transform("refs", lambda r: T.split_space(r)).alias("refs"))
+    for n_refs in (None, 2):
+        got = {r.line_id: r for r in B.paired_sentence_stats(df, n_refs=n_refs).collect()}
+        for side, col in (("a", "hyp_a"), ("b", "hyp_b")):
+            sep = {r.line_id: r for r in B.sentence_stats(df.select("line_id", F.col(col).alias("hyp"), "refs"))
+                   .collect()}
+            for i in sep:
+                assert [got[i][f"{side}_{c}"] for c in B.STAT_COLS] == [sep[i][c] for c in B.STAT_COLS]
