@@ -29,14 +29,21 @@ BROADCAST_LIMIT = 256 * 1024 * 1024
 
 def draws(spark: SparkSession, n: int, samples: int, m: int, seed: int = DEFAULT_SEED,
           partitions: int | None = None) -> DataFrame:
-    """``b, idx``: for each sample b, m indices drawn with replacement from 0..n-1."""
+    """``b, idx``: for each sample b, m indices drawn with replacement from 0..n-1.
+
+    Draws 2j and 2j+1 of sample b come from one md5 of ``seed:b:j`` (two
+    60-bit numbers from its first 30 hex digits), reduced modulo n.
+    """
     parts = partitions or max(1, spark.sparkContext.defaultParallelism)
-    r = spark.range(0, samples * m, 1, parts)
-    b = F.floor(F.col("id") / m).cast("bigint")
-    d = F.pmod(F.col("id"), F.lit(m))
-    key = F.concat_ws(":", F.lit(str(seed)), b.cast("string"), d.cast("string"))
-    h = F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("bigint")
-    return r.select(b.alias("b"), F.pmod(h, F.lit(n)).alias("idx"))
+    half = (m + 1) // 2
+    r = spark.range(0, samples * half, 1, parts)
+    b = F.floor(F.col("id") / half).cast("bigint")
+    j = F.pmod(F.col("id"), F.lit(half))
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), b.cast("string"), j.cast("string")))
+    pick = [F.pmod(F.conv(F.substring(h, 1 + 15 * k, 15), 16, 10).cast("bigint"), F.lit(n)) for k in (0, 1)]
+    pairs = r.select(b.alias("b"), F.inline(F.array(
+        F.struct((j * 2).alias("d"), pick[0].alias("idx")), F.struct((j * 2 + 1).alias("d"), pick[1].alias("idx")))))
+    return pairs.where(F.col("d") < m).select("b", "idx")
 
 
 def resample_sums(stats: DataFrame, cols: list[str], samples: int, m: int | None = None,

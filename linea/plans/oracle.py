@@ -281,11 +281,14 @@ def score_sql(prefix: str = "", smooth: str = "none", scale: float = 100.0) -> s
 
 
 def draws_sql(src: str, samples: int, ratio: float | None, seed: int, include_full: bool) -> str:
-    """CTE ``dr`` (b, idx): seeded md5 draws over the dense index of ``src``."""
+    """CTE ``dr`` (b, idx): seeded md5 draws over the dense index of ``src``;
+    one md5 of ``seed:b:j`` gives draws 2j and 2j+1 (15 hex digits each)."""
     m = "nn" if ratio is None else f"floor(nn * {ratio})::BIGINT"
-    body = (f"dr AS (SELECT i // m AS b, (('0x' || substr(md5('{seed}:' || (i // m)::VARCHAR || ':' || "
-            f"(i % m)::VARCHAR), 1, 12))::BIGINT % nn) AS idx "
-            f"FROM (SELECT count(*) AS nn, {m} AS m FROM {src}) c, range(c.m * {samples}) t(i)")
+    h = "md5('" + str(seed) + ":' || (i // hf)::VARCHAR || ':' || (i % hf)::VARCHAR)"
+    body = (f"dr AS (SELECT b, idx FROM (SELECT i // hf AS b, (i % hf) * 2 + k AS d, m, "
+            f"(('0x' || substr({h}, 1 + 15 * k, 15))::BIGINT % nn) AS idx "
+            f"FROM (SELECT count(*) AS nn, {m} AS m, ({m} + 1) // 2 AS hf FROM {src}) c, "
+            f"range(c.hf * {samples}) t(i), (VALUES (0), (1)) kk(k)) WHERE d < m")
     if include_full:
         body += f" UNION ALL SELECT -1 AS b, i AS idx FROM (SELECT count(*) AS nn FROM {src}) c, range(c.nn) t(i)"
     return body + ")"
