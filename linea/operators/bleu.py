@@ -37,6 +37,17 @@ def closest_ref_length(hyp_len: Column, refs: Column, ties: str = "first") -> Co
     return F.coalesce(F.array_min(cand)["l"], F.lit(0)).cast("bigint")
 
 
+def line_partitions(df: DataFrame) -> int:
+    """Partitions for the line shuffle: an explicit count (AQE does not coalesce
+    it). The shuffled text is small next to the n-gram work that follows it, so
+    byte-based coalescing would starve that work of tasks; use the configured
+    shuffle partitions, but at least four tasks per core for load balance over
+    lines of uneven length."""
+    spark = df.sparkSession
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(conf, 4 * spark.sparkContext.defaultParallelism)
+
+
 def _gram_regex(n: int) -> str:
     """All overlapping n-grams of a space-joined token string, as group 1.
 
@@ -59,7 +70,7 @@ def _clipped(df: DataFrame, line: str, hyp: str, refs: str, ties: str,
     """
     base = df.select(*keys, line, hyp, refs)
     if not prepartitioned:
-        base = base.repartition(line)
+        base = base.repartition(line_partitions(base), line)
     hl = F.size(F.col(hyp)).cast("bigint")
     rl = closest_ref_length(hl, F.col(refs), ties)
     sides = F.concat(F.array(F.struct(F.lit(0).alias("side"), F.array_join(F.col(hyp), " ").alias("s"))),
@@ -266,7 +277,7 @@ def paired_sentence_stats(df: DataFrame, line: str = "line_id", hyp_a: str = "hy
     """
     base = df.select(line, hyp_a, hyp_b, refs)
     if not prepartitioned:
-        base = base.repartition(line)
+        base = base.repartition(line_partitions(base), line)
     hla, hlb = F.size(F.col(hyp_a)).cast("bigint"), F.size(F.col(hyp_b)).cast("bigint")
     rla, rlb = closest_ref_length(hla, F.col(refs), ties), closest_ref_length(hlb, F.col(refs), ties)
     sides = F.concat(
