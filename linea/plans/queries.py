@@ -279,7 +279,8 @@ def exact_match(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _steps(spark, sf, k_max: int, par: DataFrame | None = None) -> list[DataFrame]:
-    par = par if par is not None else FX.parallel(spark, sf)
+    # the bound corpus is read by every union branch of every step: materialise it once
+    par = (par if par is not None else FX.parallel(spark, sf)).checkpoint(eager=True)
     steps = [C.build_bidirectional(par)]
     for k in range(1, k_max + 1):
         steps.append(C.build_step(k, par, steps[-1]))
@@ -316,10 +317,11 @@ def concat_all(spark, sf):
 def carry_forward(spark, sf):
     """Step 1 = rebuilt train split + valid/test carried over from step 0."""
     prev = None
+    pars = {split: FX.parallel_split(spark, sf, split).checkpoint(eager=True) for split in ("train", "valid", "test")}
     for split in ("train", "valid", "test"):
-        s0 = C.build_bidirectional(FX.parallel_split(spark, sf, split)).withColumn("split", F.lit(split))
+        s0 = C.build_bidirectional(pars[split]).withColumn("split", F.lit(split))
         prev = s0 if prev is None else prev.unionByName(s0)
-    train_par = FX.parallel_split(spark, sf, "train")
+    train_par = pars["train"]
     new_train = C.build_step(1, train_par, prev.where(F.col("split") == "train").drop("split"))
     return C.carry_forward(new_train, prev)
 
