@@ -80,8 +80,11 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
 
     The model is broadcast only after its row count is checked against
     ``broadcast_rows``; beyond that the join shuffles on the key and AQE's skew
-    handling splits hot keys (frequent words) of the token side.
+    handling splits hot keys (frequent words) of the token side. The model is
+    materialised once (checkpoint) so that the size check and the join do not
+    both recompute it.
     """
+    small = small.checkpoint(eager=True)
     if small.count() <= broadcast_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
