@@ -14,7 +14,7 @@ training, with both thresholds taken from held-back pieces.
 
 Edge cases: null text or a text without letters is rejected as ``und`` with
 score 0. Rows with null language are never learned from. No labelled row at
-all: everything is ``und``. Repeated rows are predicted one by one. Columns
+all: everything is ``und``, and only texts without letters are rejected. Repeated rows are predicted one by one. Columns
 that the operator does not use, whatever their names, pass through unchanged
 (the three output columns replace same-named ones).
 """
@@ -104,7 +104,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         codes = letter_codes(text or "")
         if not self.classes or not codes.any():
-            return UNKNOWN, 0.0, False
+            return UNKNOWN, 0.0, bool(codes.any())
         z, cover = self.means(ngram_ids(codes, len(self.table)))
         p = softmax(z[None, :] / self.temperature)[0]
         k = int(p.argmax())

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import langid, simhash
-from linea.llm.common import load, remainder
+from linea.llm import langid, mixing, packing, secrets, simhash
+from linea.llm.common import load, materialise, remainder
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,33 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed by concatenate and cut into sequences of 2,048 tokens."""
+    pieces = packing.pack(load(spark, sf_dir, "documents"), window=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "sequence_tokens", "padded_to")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all documents: the fixed patterns and the randomness battery."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = materialise(secrets.scanned(docs).drop("text"))
+    judge = secrets.learn(found.select(F.explode("__runs.v").alias("v")), secrets.language(docs))
+    rows = secrets.accepted(found, judge)
+    count = lambda k: F.size(F.filter("__base", lambda x: x["kind"] == k)).cast("bigint")
+    return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])],
+                       F.sha2(F.encode(secrets.told(F.col("__base")), "UTF-8"), 256).alias("base_sha256"),
+                       secrets.told(F.col("spans")).alias("spans"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150% of all words takes of every document; sources weigh 5, 2, 1 and stop at two epochs."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    measured = materialise(mixing.measure(docs).drop("text"))
+    planned = materialise(mixing.plan(measured, weights=(5, 2, 1), share=1.5, max_epochs=2.0))
+    return mixing.allot(measured, planned).select("doc_id", *mixing.ADDED)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from rows whose crc32 remainder mod 4 is not 2."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -24,5 +51,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_secrets, op9_mixing, op10_language_id)}
 SQL: dict[str, str] = {}

@@ -315,22 +315,37 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
 
 
-def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, max_bits: int = 4,
-            bands: int = 8) -> DataFrame:
-    """(``id_col``, fingerprint bigint, component_id) for every row of ``docs``."""
-    prints = materialise(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text), k).alias("fp")))
+def _rooted(prints: DataFrame, max_bits: int, bands: int) -> DataFrame:
+    """``prints`` (id, fp, ...) with the root fingerprint and smallest id of each component."""
     distinct = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(links(distinct.select("fp"), max_bits, bands))
     member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = member.join(named, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+    return prints.join(member.join(named, "root").select("fp", "root", "component_id"), "fp")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row of each component: the one with the component's id (the first of equal ones)."""
-    found = cluster(docs, id_col, text, k, max_bits)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    kept = docs.join(first, docs[id_col].eqNullSafe(first[id_col]), "left_semi")
-    return kept.dropDuplicates([id_col])
+def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, max_bits: int = 4,
+            bands: int = 8) -> DataFrame:
+    """(``id_col``, fingerprint bigint, component_id) for every row of ``docs``."""
+    prints = materialise(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text), k).alias("fp")))
+    return _rooted(prints, max_bits, bands).select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, max_bits: int = 4,
+                bands: int = 8) -> DataFrame:
+    """One row of each component: its smallest id (nulls last), equal ids by a hash of the text, equal rows once."""
+    mark = F.xxhash64(F.col(text), F.lit(11))
+    prints = materialise(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), fingerprints(F.col(text), k).alias("fp")))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("first")
+    kept = _rooted(prints, max_bits, bands).groupBy("root").agg(first).select("first.id", "first.mark")
+    copies = prints.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))
+    kept = copies.join(kept.select(F.col("id").alias("i"), F.col("mark").alias("m")), same, "left_semi")
+    kept = materialise(kept.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("copies").alias("__copies")))
+    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark")))
+    once = rows.where("__copies = 1").select(*docs.columns)
+    if kept.where("__copies > 1").isEmpty():
+        return once
+    repeated = rows.where("__copies > 1").dropDuplicates(["__id", "__mark"]).select(*docs.columns)
+    return once.unionByName(repeated)
