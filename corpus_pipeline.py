@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import langid, mixing, packing, secrets, simhash
+from linea.llm import langid, mixing, packing, secret_scan, simhash
 from linea.llm.common import load, prepare
 from linea.session import ensure_checkpoint_dir
 
@@ -39,10 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.deduplicate(docs, k=4, max_bits=4)
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mask."""
     prepare(spark)
-    return _counted(secrets.redact(docs)).select(*docs.columns)
+    return _counted(secret_scan.redact(docs)).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, window=2048, end_id=1).withColumn("ids_crc32", F.crc32("ids"))
 
 
-STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secret_scan", redact_secrets),
           ("source_mix", source_mix), ("pack", pack)]
 
 #: SimHash components and subword packing are beyond SQL; tests compare the stages with brute force.

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import langid, mixing, packing, secrets, simhash
+from linea.llm import ann, html_text, langid, mixing, omh, packing, secret_scan, simhash, toxicity, urls
 from linea.llm.common import load, materialise, remainder
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the lexicon is learned from labels whose crc32 remainder mod 5 is not 0."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(True))
+    lexicon = toxicity.learn(docs.where(~held_out).join(labels, "doc_id"))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.scores(lexicon, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate classes of all documents (4-word shingles, at most 4 bits)."""
     found = simhash.cluster(load(spark, sf_dir, "documents"), k=4, max_bits=4)
@@ -25,13 +35,55 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in all documents: the fixed patterns and the randomness battery."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    found = materialise(secrets.scanned(docs).drop("text"))
-    judge = secrets.learn(found.select(F.explode("__runs.v").alias("v")), secrets.language(docs))
-    rows = secrets.accepted(found, judge)
+    found = materialise(secret_scan.scanned(docs).drop("text"))
+    judge = secret_scan.learn(found.select(F.explode("__runs.v").alias("v")), secret_scan.language(docs))
+    rows = secret_scan.accepted(found, judge)
     count = lambda k: F.size(F.filter("__base", lambda x: x["kind"] == k)).cast("bigint")
-    return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])],
-                       F.sha2(F.encode(secrets.told(F.col("__base")), "UTF-8"), 256).alias("base_sha256"),
-                       secrets.told(F.col("spans")).alias("spans"))
+    return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secret_scan.KINDS[:3])],
+                       F.sha2(F.encode(secret_scan.told(F.col("__base")), "UTF-8"), 256).alias("base_sha256"),
+                       secret_scan.told(F.col("spans")).alias("spans"))
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of all documents and of their edited texts, and their likeness."""
+    rows = omh.edited(load(spark, sf_dir, "documents"))
+    rows = rows.withColumn("efp", omh.fingerprint(F.col("edited")))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_chars"),
+                       F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                       omh.told(F.col("fp")).alias("fingerprint"), omh.told(F.col("efp")).alias("edited_fingerprint"),
+                       omh.likeness(F.col("fp"), F.col("efp")).alias("near_edited"),
+                       omh.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest neighbours by inner product of every embedding whose vec_id is divisible by 20."""
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+#: Listed rules of the URL filter: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: listed rules, else rules mined from urls of labelled documents.
+
+    A url's number is the document that the page shows; documents of label quality 0 are to be blocked.
+    """
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(urls.path(F.col("url")), r"/(\d{1,18})(?:[/.]|$)", 1)
+    shown = pages.select("url", F.when(number != "", number.cast("bigint")).alias("doc_id"))
+    labels = load(spark, sf_dir, "labels").where("quality is not null").select("doc_id", "quality")
+    labelled = shown.join(labels, "doc_id").select(urls.tokens(F.col("url")).alias("tokens"), (F.col("quality") == 0).alias("block"))
+    return (urls.judge(pages, "url", URL_RULES, urls.mine(labelled))
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows = html_text.main_text(pages, urls.host(F.col("url")))
+    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,5 +103,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_packing, op4_secrets, op9_mixing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_packing, op4_secrets, op5_order_minhash,
+                                  op6_nearest, op7_url_filter, op8_html_text, op9_mixing, op10_language_id)}
 SQL: dict[str, str] = {}
