@@ -117,8 +117,11 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, dim: int = 16, epochs: int = 2,
-        chunk: int = 300, rate: float = 4.0, seed: int = 7) -> Model:
-    """Train on (language, text) rows; whole texts are cut into pieces of ``chunk`` characters."""
+        chunk: int = 300, rate: float = 4.0, least_steps: int = 400, seed: int = 7) -> Model:
+    """Train on (language, text) rows; whole texts are cut into pieces of ``chunk`` characters.
+
+    ``epochs`` is the number of passes; small samples are passed until there are ``least_steps`` steps.
+    """
     classes = sorted({lang for lang, _ in rows})
     empty = Model(classes, np.zeros((buckets, len(classes) + 1)), np.zeros(len(classes)))
     bags, labels = [], []
@@ -139,7 +142,9 @@ def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, dim: int = 16, epoc
     emb = rng.uniform(-1 / dim, 1 / dim, (buckets, dim))
     out = np.zeros((dim, len(classes)))
     bias = np.zeros(len(classes))
-    steps, done, batch = max(1, epochs * (len(train) // 32 + 1)), 0, 32
+    batch, done = 32, 0
+    epochs = max(epochs, -(-least_steps * batch // max(1, len(train))))
+    steps = epochs * -(-len(train) // batch)
     for _ in range(epochs):
         for at in range(0, len(train), batch):
             pick = train[at:at + batch]

@@ -284,7 +284,7 @@ def links(fps: DataFrame, max_bits: int = 4, bands: int = 8) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): root is the smallest node of its component.
+    """(node, root) for every node of ``edges`` (a, b) but the roots: the smallest node of each component.
 
     Alternating large-star and small-star steps; each step sends a node's
     neighbours to the smallest of them, so edges never multiply.

@@ -52,5 +52,13 @@ def test_words_equal_the_tokenizer_on_the_table(spark, tokenizer):
     assert got == [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def test_forgetting_words(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBER", 3)
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encoder = packing.Encoder(f.read())
+    for t in ["a b c d e", "a don't x", "we'll_see 12ab, ~~", "a b"] * 2:
+        assert np.frombuffer(encoder.encode([t, "a"])[0], encoder.dtype).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
