@@ -20,13 +20,15 @@ KEYS = ["sent_id", "src", "tgt"]
 
 
 def parse_links(df: DataFrame, line: str, key: str = "sent_id", reverse: bool = False,
-                one_indexed: bool = False) -> DataFrame:
+                one_indexed: bool = False, carry: list[str] | None = None) -> DataFrame:
     """``'a-b'`` (sure) / ``'apb'`` (possible) tokens -> ``key, src, tgt, kind``.
 
     ``one_indexed`` shifts both indices down by one, then ``reverse`` swaps them.
     Tokens that are not links raise (as the reference's assertion does).
+    ``carry``: columns to take along.
     """
-    tok = df.select(F.col(key).alias("sent_id"), F.explode(F.split(F.col(line), r"\s+")).alias("tok")) \
+    tok = df.select(F.col(key).alias("sent_id"), *(carry or []),
+                    F.explode(F.split(F.col(line), r"\s+")).alias("tok")) \
         .where(F.col("tok") != "")
     a = F.regexp_extract("tok", LINK_RE, 1)
     kind = F.regexp_extract("tok", LINK_RE, 2)
@@ -38,7 +40,7 @@ def parse_links(df: DataFrame, line: str, key: str = "sent_id", reverse: bool =
         a, b = a - 1, b - 1
     if reverse:
         a, b = b, a
-    return tok.select("sent_id", a.alias("src"), b.alias("tgt"), kind.alias("kind"))
+    return tok.select("sent_id", *(carry or []), a.alias("src"), b.alias("tgt"), kind.alias("kind"))
 
 
 def reference_sets(links: DataFrame, all_sure: bool = False, ignore_possible: bool = False) -> DataFrame:
@@ -55,6 +57,37 @@ def hypothesis_set(links: DataFrame) -> DataFrame:
     return links.select(*KEYS).distinct()
 
 
+def alignment_flags(df: DataFrame, ref: str = "ref_line", hyp: str = "hyp_line", key: str = "sent_id",
+                    all_sure: bool = False, ignore_possible: bool = False) -> DataFrame:
+    """A1 + A2 + C8 from both lines of a sentence at once: ``sent_id, src, tgt, a, s, p``.
+
+    Both lines are parsed in one pass and reduced by one aggregation, which
+    needs no exchange if ``df`` is partitioned by ``key``.
+    """
+    sides = F.inline(F.array(F.struct(F.lit(1).alias("__a"), F.col(hyp).alias("__line")),
+                             F.struct(F.lit(0).alias("__a"), F.col(ref).alias("__line"))))
+    rows = df.select(F.col(key).alias("sent_id"), sides)
+    links = parse_links(rows, "__line", carry=["__a"])
+    given = F.col("__a") == 0
+    sure = F.col("kind") == "-"
+    flags = links.groupBy(*KEYS).agg(
+        F.max("__a").alias("a"), F.max((given & (sure | F.lit(all_sure))).cast("int")).alias("s"),
+        F.max((given & (sure | F.lit(not ignore_possible))).cast("int")).alias("p"))
+    return flags.where((F.col("a") == 1) | (F.col("s") == 1) | (F.col("p") == 1))
+
+
+def clean_flags(flags: DataFrame, sentences: DataFrame) -> DataFrame:
+    """F3 on flags: hypothesis links between a punctuation mark and a different word lose their
+    ``a``; ``a_raw`` keeps them, for the number of links as read."""
+    marks = F.array(*[F.lit(x) for x in PUNCTUATION_MARKS])
+    hyp = F.col("a") == 1
+    w = with_words(flags.where(hyp), sentences).unionByName(
+        flags.where(~hyp).withColumns({"src_word": F.lit(None).cast("string"), "tgt_word": F.lit(None).cast("string")}))
+    punct = F.array_contains(marks, F.col("src_word")) | F.array_contains(marks, F.col("tgt_word"))
+    drop = F.coalesce(punct & (F.col("src_word") != F.col("tgt_word")), F.lit(False))
+    return w.select(*KEYS, F.when(drop, 0).otherwise(F.col("a")).alias("a"), F.col("a").alias("a_raw"), "s", "p")
+
+
 def clean_punctuation(hyp: DataFrame, sentences: DataFrame) -> DataFrame:
     """drop links where either word is a punctuation mark and the two words differ.
 
@@ -86,9 +119,11 @@ def link_flags(hyp: DataFrame, ref: DataFrame) -> DataFrame:
 
 def aer_metrics(flags: DataFrame, alpha: float = -1.0, digits: int = 6) -> DataFrame:
     """A3/A4: precision = |A∩P|/|A|, recall = |A∩S|/|S|,
-    AER = 1 - (|A∩P| + |A∩S|)/(|A| + |S|); F-measure 1/(α/P + (1-α)/R) (0 if α < 0)."""
+    AER = 1 - (|A∩P| + |A∩S|)/(|A| + |S|); F-measure 1/(α/P + (1-α)/R) (0 if α < 0).
+    ``n_links`` counts the hypothesis links as read, before any cleaning."""
     a, s, p = F.col("a"), F.col("s"), F.col("p")
-    t = flags.agg(F.sum(a).alias("n_a"), F.sum(s).alias("n_s"),
+    raw = F.col("a_raw") if "a_raw" in flags.columns else a
+    t = flags.agg(F.sum(raw).alias("n_raw"), F.sum(a).alias("n_a"), F.sum(s).alias("n_s"),
                   F.sum(a * p).alias("n_ap"), F.sum(a * s).alias("n_as"))
     prec = F.try_divide(F.col("n_ap").cast("double"), F.col("n_a"))
     rec = F.try_divide(F.col("n_as").cast("double"), F.col("n_s"))
@@ -99,7 +134,7 @@ def aer_metrics(flags: DataFrame, alpha: float = -1.0, digits: int = 6) -> DataF
         f = F.try_divide(F.lit(1.0), F.try_divide(F.lit(alpha), prec) + F.try_divide(F.lit(1.0 - alpha), rec))
     return t.select(F.round(prec, digits).alias("precision"), F.round(rec, digits).alias("recall"),
                     F.round(aer, digits).alias("aer"), F.round(f, digits).alias("f_measure"),
-                    F.col("n_a").cast("bigint").alias("n_links"))
+                    F.col("n_raw").cast("bigint").alias("n_links"))
 
 
 def alignment_errors(hyp_words: DataFrame, ref: DataFrame, k: int = 10) -> DataFrame:

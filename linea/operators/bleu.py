@@ -57,6 +57,14 @@ def _gram_regex(n: int) -> str:
     return r"(?<![^ ])(?=([^ ]+" + "(?: [^ ]+)" * (n - 1) + "))"
 
 
+def _declared(refs: str, limit: int | None) -> Column:
+    """``refs``, raising for a line with more references than the caller declared."""
+    if not limit:
+        return F.col(refs)
+    err = F.raise_error(F.concat(F.lit(f"more than {limit} reference(s) on a line: "), F.size(refs).cast("string")))
+    return F.when(F.size(refs) > limit, err).otherwise(F.col(refs)).alias(refs)
+
+
 # Sentinel grams (a real n-gram never starts with a blank) carrying lengths.
 HYP_LEN, REF_LEN = " H", " R"
 
@@ -68,7 +76,7 @@ def _clipped(df: DataFrame, line: str, hyp: str, refs: str, ties: str,
     n-grams are cut by one JVM regex pass per order over the space-joined
     tokens (no per-element lambdas); the order is recovered from the gram.
     """
-    base = df.select(*keys, line, hyp, refs)
+    base = df.select(*keys, line, hyp, _declared(refs, n_refs if multi_ref else 1))
     if not prepartitioned:
         base = base.repartition(line_partitions(base), line)
     hl = F.size(F.col(hyp)).cast("bigint")
@@ -123,7 +131,8 @@ def sentence_stats(df: DataFrame, line: str = "line_id", hyp: str = "hyp", refs:
 
     ``multi_ref=False`` declares exactly one reference per line and
     ``n_refs`` an upper bound on the number of references (the number of
-    reference files); either lets the clip run as one aggregation instead of two.
+    reference files); either lets the clip run as one aggregation instead of
+    two. A line with more references than declared raises.
     """
     keys = keys or []
     c = _clipped(df, line, hyp, refs, ties, multi_ref, keys, prepartitioned, n_refs)
@@ -275,7 +284,7 @@ def paired_sentence_stats(df: DataFrame, line: str = "line_id", hyp_a: str = "hy
     counted once and both clips read the same per-gram counts.
     ``n_refs`` is the number of references (None: any number, two levels).
     """
-    base = df.select(line, hyp_a, hyp_b, refs)
+    base = df.select(line, hyp_a, hyp_b, _declared(refs, n_refs))
     if not prepartitioned:
         base = base.repartition(line_partitions(base), line)
     hla, hlb = F.size(F.col(hyp_a)).cast("bigint"), F.size(F.col(hyp_b)).cast("bigint")

@@ -36,7 +36,7 @@ def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: flo
 
 def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
     """``line, text``: lexicon pairs joined by ``_``, greedily left to right."""
-    p = df.select(line, F.posexplode(tokens).alias("pos", "w"))
+    p = df.select(line, F.posexplode_outer(tokens).alias("pos", "w"))  # a line without tokens keeps a row
     w = Window.partitionBy(line).orderBy("pos")
     p = p.withColumn("nxt", F.lead("w").over(w))
     p = lookup_join(p, lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("nxt"),

@@ -57,9 +57,10 @@ def interleave(a: DataFrame, b: DataFrame, prev: DataFrame | None, stride: int,
 def concat_all(frames: list[DataFrame], key: str = "line_no") -> DataFrame:
     """Frames one after another, line numbers offset by the preceding sizes."""
     out, off = [], 0
-    for f in frames:
+    for i, f in enumerate(frames):
         out.append(f.select((F.col(key) + F.lit(off)).alias(key), *[c for c in f.columns if c != key]))
-        off += f.count()
+        if i + 1 < len(frames):  # nothing follows the last frame
+            off += f.count()
     return _union(out)
 
 
@@ -112,11 +113,16 @@ def tag_directions(df: DataFrame, k: int, split: str, text: str = "src", key: st
 def route_by_parity(log: DataFrame, id_col: str = "id", block: int = 2) -> DataFrame:
     """F2 + T7: outputs of a bidirectional run back to (sentence, language).
 
-    Even ids are the e2v outputs (Vietnamese), odd ids the v2e outputs (English).
+    A block of ``block`` outputs holds the Vietnamese outputs (e2v) of block/2
+    sentences, then the English outputs (v2e) of the same sentences; with
+    blocks of two, even ids are Vietnamese and odd ids English.
     """
-    i = F.col(id_col)
-    return log.select(F.floor(i / block).cast("bigint").alias("sent_id"),
-                      F.when(F.pmod(i, F.lit(block)) == 0, F.lit("vi")).otherwise(F.lit("en")).alias("lang"),
+    if block < 2 or block % 2:
+        raise ValueError("block must be even")
+    i, half = F.col(id_col), block // 2
+    place = F.pmod(i, F.lit(block))
+    return log.select((F.floor(i / block) * half + F.pmod(place, F.lit(half))).cast("bigint").alias("sent_id"),
+                      F.when(place < half, F.lit("vi")).otherwise(F.lit("en")).alias("lang"),
                       T.join_subwords("text").alias("text"))
 
 

@@ -32,10 +32,11 @@ def sentence_start_flags(tokens: Column) -> Column:
 
 
 def _positions(df: DataFrame, line: str, tokens: str) -> DataFrame:
+    """Token rows; a line without tokens keeps one row with a NULL token."""
     t = df.select(line, F.col(tokens).alias("__t"))
     t = t.select(line, F.arrays_zip(F.col("__t").alias("w"), sentence_start_flags(F.col("__t")).alias("st"))
                  .alias("__z"))
-    return t.select(line, F.posexplode("__z").alias("pos", "__e")) \
+    return t.select(line, F.posexplode_outer("__z").alias("pos", "__e")) \
         .select(line, "pos", F.col("__e.w").alias("w"), F.col("__e.st").alias("start"))
 
 
@@ -65,5 +66,6 @@ def apply(df: DataFrame, model: DataFrame, known: DataFrame, line: str = "line_i
            .when(F.col("is_known"), F.col("w"))
            .when(F.col("best").isNotNull(), F.col("best"))
            .otherwise(F.col("w")))
-    g = p.groupBy(line).agg(F.sort_array(F.collect_list(F.struct("pos", out.alias("w")))).alias("__s"))
+    cased = F.when(F.col("pos").isNotNull(), F.struct("pos", out.alias("w")))  # NULLs are not collected
+    g = p.groupBy(line).agg(F.sort_array(F.collect_list(cased)).alias("__s"))
     return g.select(line, F.transform("__s", lambda s: s["w"]).alias(tokens))

@@ -17,7 +17,7 @@ from linea.operators import collocations as CO
 from linea.operators import subword as SW
 from linea.operators import truecase as TC
 from linea.operators import vocab as V
-from linea.sources.text import parse_decoder_log
+from linea.sources.text import bind_strict, parse_decoder_log
 
 DIRECTION = {"vi": "en>vi", "en": "vi>en"}
 
@@ -45,7 +45,7 @@ def evaluate_bidirectional(log: DataFrame, refs: DataFrame) -> DataFrame:
     """
     routed = C.route_by_parity(parse_decoder_log(log))
     hyps = routed.select("sent_id", "lang", T.join_compounds(T.detruecase("text")).alias("hyp"))
-    pairs = hyps.join(refs, ["sent_id", "lang"]).select(
+    pairs = bind_strict(hyps, refs, ["sent_id", "lang"], "hypotheses and references").select(
         _direction().alias("direction"), F.col("sent_id").alias("line_id"), "hyp", "ref")
     return _bleu_rows(pairs, ["direction"])
 
@@ -53,7 +53,7 @@ def evaluate_bidirectional(log: DataFrame, refs: DataFrame) -> DataFrame:
 def evaluate_unidirectional(log: DataFrame, refs: DataFrame) -> DataFrame:
     """As E14 without parity routing; ``refs``: ``sent_id, ref``."""
     hyps = parse_decoder_log(log).select(F.col("id").alias("sent_id"), postprocess("text").alias("hyp"))
-    pairs = hyps.join(refs, "sent_id").select(F.col("sent_id").alias("line_id"), "hyp", "ref")
+    pairs = bind_strict(hyps, refs, ["sent_id"], "hypotheses and references").select(F.col("sent_id").alias("line_id"), "hyp", "ref")
     return _bleu_rows(pairs, [])
 
 
@@ -75,7 +75,8 @@ def backtranslation_quality(syn: DataFrame, ref_sub: DataFrame) -> DataFrame:
     Output per language: BLEU columns plus exact-match counts.
     """
     r = F.when(F.col("lang") == "vi", T.join_compounds(T.join_subwords("ref"))).otherwise(T.join_subwords("ref"))
-    pairs = syn.join(ref_sub.select("sent_id", "lang", r.alias("ref")), ["sent_id", "lang"]) \
+    pairs = bind_strict(syn, ref_sub.select("sent_id", "lang", r.alias("ref")), ["sent_id", "lang"],
+                        "synthetic lines and references") \
         .select("lang", F.col("sent_id").alias("line_id"), F.col("syn").alias("hyp"), "ref")
     bleu = _bleu_rows(pairs, ["lang"])
     em = pairs.groupBy("lang").agg(F.sum((F.col("hyp") == F.col("ref")).cast("bigint")).alias("matches"),
@@ -102,10 +103,10 @@ def tokenize_corpus(corpus: DataFrame, vi_lexicon: DataFrame | None = None,
     The Vietnamese compound lexicon is mined on the training split unless given.
     """
     norm = corpus.withColumn("text", T.unicode_normalize("text", normalize_form))
-    tok = norm.withColumn("tokens", F.filter(F.split(T.tokenize_13a("text"), " "), lambda x: x != ""))
-    en = tok.where(F.col("lang") != "vi").withColumn(
-        "tokens", F.filter(F.split(T.tokenize_en(F.array_join("tokens", " ")), " "), lambda x: x != ""))
-    tok = tok.checkpoint(eager=True)
+    # each line is tokenised once, by the rules of its language
+    rules = F.when(F.col("lang") == "vi", T.tokenize_13a("text")).otherwise(T.tokenize_en("text"))
+    tok = norm.withColumn("tokens", F.filter(F.split(rules, " "), lambda x: x != "")).checkpoint(eager=True)
+    en = tok.where(F.col("lang") != "vi")
     vi = tok.where(F.col("lang") == "vi").withColumn("__id", F.concat_ws(":", "split", "line_no"))
     if vi_lexicon is None:
         vi_lexicon = CO.mine(vi.where(F.col("split") == "train"), "tokens")
@@ -132,14 +133,19 @@ def truecase_corpus(tok: DataFrame) -> DataFrame:
 def _pairs(cased: DataFrame, split: str, src: str = "en", tgt: str = "vi") -> DataFrame:
     a = cased.where((F.col("split") == split) & (F.col("lang") == src)).select("line_no", F.col("text").alias(src))
     b = cased.where((F.col("split") == split) & (F.col("lang") == tgt)).select("line_no", F.col("text").alias(tgt))
-    return a.join(b, "line_no")
+    return bind_strict(a, b, ["line_no"], f"{split}: {src} and {tgt}")
 
 
-def _segment_and_encode(sets: DataFrame, merges, dictionary: DataFrame | None, joined: bool = True):
-    spark = sets.sparkSession
-    bpe = SW.apply_udf(spark, merges)
-    sub = sets.select("split", "line_no", bpe("src").alias("src"), bpe("tgt").alias("tgt"))
-    return sub
+def _segmented(sets: DataFrame, merges) -> DataFrame:
+    """Both sides of a training set in subwords (M6)."""
+    bpe = SW.apply_udf(sets.sparkSession, merges)
+    return sets.select("split", "line_no", bpe("src").alias("src"), bpe("tgt").alias("tgt"))
+
+
+def _side_vocab(sub: DataFrame, side: str) -> DataFrame:
+    """Subword vocabulary of one side of the training split: ``token, cnt`` (one vocabulary file a side)."""
+    return (sub.where(F.col("split") == "train").select(F.explode(F.split(side, " ")).alias("token"))
+            .where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | None = None,
@@ -152,7 +158,9 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
     training set ``prev(split, line_no, src, tgt)`` (C4) and carries valid/test
     over (C5). Joint subword codes are learned once (M4) unless ``merges`` are
     given, applied to both sides (M6); sources are tagged (C6) and a joint
-    dictionary built (M7) unless given; both sides are encoded (M8).
+    dictionary built (M7) from the training split unless given; both sides are
+    encoded (M8). ``src_vocab`` and ``tgt_vocab`` are the subword vocabularies
+    of the two sides of the training split. Sides of unequal length raise.
     """
     cased = truecase_corpus(tokenize_corpus(corpus))
     if step == 0:
@@ -161,7 +169,7 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
             st = C.build_bidirectional(_pairs(cased, split)).withColumn("split", F.lit(split))
             sets = st if sets is None else sets.unionByName(st)
     else:
-        par = _pairs(cased, "train").join(synthetic, "line_no")
+        par = bind_strict(_pairs(cased, "train"), synthetic, ["line_no"], "genuine and synthetic lines")
         train = C.build_step(step, par, prev.where(F.col("split") == "train").drop("split"))
         sets = C.carry_forward(train, prev)
     sets = sets.checkpoint(eager=True)
@@ -169,7 +177,7 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
         both = sets.where(F.col("split") == "train").select(F.split("src", " ").alias("tokens")).unionByName(
             sets.where(F.col("split") == "train").select(F.split("tgt", " ").alias("tokens")))
         merges = SW.learn(SW.word_types(both), num_merges)
-    sub = _segment_and_encode(sets, merges, dictionary)
+    sub = _segmented(sets, merges).checkpoint(eager=True)
     tagged = None
     for split in ("train", "valid", "test"):
         part = C.tag_directions(sub.where(F.col("split") == split), step, split, text="src")
@@ -177,28 +185,31 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
     tagged = tagged.checkpoint(eager=True)
     toks = tagged.select("split", "line_no", F.split("src", " ").alias("src_t"), F.split("tgt", " ").alias("tgt_t"))
     if dictionary is None:
+        seen = toks.where(F.col("split") == "train")
         dictionary = V.build_dictionary(
-            toks.select(F.col("src_t").alias("tokens")).unionByName(toks.select(F.col("tgt_t").alias("tokens"))),
+            seen.select(F.col("src_t").alias("tokens")).unionByName(seen.select(F.col("tgt_t").alias("tokens"))),
             pad_to_multiple=8)
     key = F.concat_ws(":", "split", "line_no")
     src_ids = V.encode(toks.select(key.alias("__rid"), F.col("src_t").alias("tokens")), dictionary, line="__rid")
     tgt_ids = V.encode(toks.select(key.alias("__rid"), F.col("tgt_t").alias("tokens")), dictionary, line="__rid")
     encoded = src_ids.select("__rid", F.col("ids").alias("src_ids")).join(
         tgt_ids.select("__rid", F.col("ids").alias("tgt_ids")), "__rid").withColumnRenamed("__rid", "key")
-    return {"sets": sets, "subword": tagged, "merges": merges, "dictionary": dictionary, "encoded": encoded}
+    return {"sets": sets, "subword": tagged, "merges": merges, "dictionary": dictionary, "encoded": encoded,
+            "src_vocab": _side_vocab(sub, "src"), "tgt_vocab": _side_vocab(sub, "tgt")}
 
 
 def prepare_unidirectional(corpus: DataFrame, src: str, tgt: str, merges, src_dict: DataFrame,
-                           tgt_dict: DataFrame | None = None) -> dict:
+                           tgt_dict: DataFrame | None = None, cased: DataFrame | None = None) -> dict:
     """One direction, no interleaving or tags; reuses the given subword
-    codes and dictionaries (the joint ones, or those of step k for fine-tuning)."""
-    cased = truecase_corpus(tokenize_corpus(corpus))
+    codes and dictionaries (the joint ones, or those of step k for fine-tuning).
+    ``cased`` is the corpus already tokenised and truecased, if the caller has it."""
+    cased = truecase_corpus(tokenize_corpus(corpus)) if cased is None else cased
     sets = None
     for split in ("train", "valid", "test"):
         p = _pairs(cased, split, src, tgt).select("line_no", F.col(src).alias("src"), F.col(tgt).alias("tgt"))
         p = p.withColumn("split", F.lit(split))
         sets = p if sets is None else sets.unionByName(p)
-    sub = _segment_and_encode(sets, merges, None)
+    sub = _segmented(sets, merges).checkpoint(eager=True)
     key = F.concat_ws(":", "split", "line_no")
     s_ids = V.encode(sub.select(key.alias("__rid"), F.split("src", " ").alias("tokens")), src_dict, line="__rid")
     t_ids = V.encode(sub.select(key.alias("__rid"), F.split("tgt", " ").alias("tokens")), tgt_dict or src_dict,
@@ -214,13 +225,13 @@ def prepare_independent(corpus: DataFrame, src: str, tgt: str, num_merges: int =
     train = _pairs(cased, "train", src, tgt)
     both = train.select(F.split(src, " ").alias("tokens")).unionByName(train.select(F.split(tgt, " ").alias("tokens")))
     merges = SW.learn(SW.word_types(both), num_merges)
-    spark = corpus.sparkSession
-    bpe = SW.apply_udf(spark, merges)
-    sub = train.select(F.split(bpe(src), " ").alias("s"), F.split(bpe(tgt), " ").alias("t"))
-    src_dict = V.build_dictionary(sub.select(F.col("s").alias("tokens")), pad_to_multiple=8)
-    tgt_dict = V.build_dictionary(sub.select(F.col("t").alias("tokens")), pad_to_multiple=8)
-    out = prepare_unidirectional(corpus, src, tgt, merges, src_dict, tgt_dict)
-    out.update({"merges": merges, "src_dict": src_dict, "tgt_dict": tgt_dict})
+    sub = _segmented(train.select(F.lit("train").alias("split"), "line_no", F.col(src).alias("src"),
+                                  F.col(tgt).alias("tgt")), merges).checkpoint(eager=True)
+    src_dict = V.build_dictionary(sub.select(F.split("src", " ").alias("tokens")), pad_to_multiple=8)
+    tgt_dict = V.build_dictionary(sub.select(F.split("tgt", " ").alias("tokens")), pad_to_multiple=8)
+    out = prepare_unidirectional(corpus, src, tgt, merges, src_dict, tgt_dict, cased)
+    out.update({"merges": merges, "src_dict": src_dict, "tgt_dict": tgt_dict,
+                "src_vocab": _side_vocab(sub, "src"), "tgt_vocab": _side_vocab(sub, "tgt")})
     return out
 
 

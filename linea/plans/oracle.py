@@ -229,9 +229,14 @@ def tokenize_en(c: str) -> str:
 
 
 CTE["turns"] = """turns AS (
-  SELECT u.conv_id, u.turn // 2 AS k, u.text AS src, a.text AS tgt
-  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-  WHERE u.turn % 2 = 0)"""
+  SELECT conv_id, k, coalesce(max(text) FILTER (WHERE NOT reply), '') AS src,
+         coalesce(max(text) FILTER (WHERE reply), '') AS tgt
+  FROM (SELECT *, (sum(CASE WHEN NOT reply OR coalesce(before, true) THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS k
+        FROM (SELECT conv_id, turn, text, coalesce(role, '') = 'assistant' AS reply,
+                     lag(coalesce(role, '') = 'assistant') OVER (PARTITION BY conv_id ORDER BY turn) AS before
+              FROM conversations))
+  GROUP BY conv_id, k)"""
 CTE["par"] = """par AS (
   SELECT (row_number() OVER (ORDER BY conv_id * 1000 + k) - 1)::BIGINT AS line_no,
          src AS en, tgt AS vi, lower(src) AS syn_en, lower(tgt) AS syn_vi FROM turns)"""
@@ -379,7 +384,7 @@ def rsets_sql(all_sure: bool = False, ignore_possible: bool = False) -> str:
             f"GROUP BY ALL) WHERE s = 1 OR p = 1)")
 
 
-def aer_select(hyp: str, alpha: float = -1.0) -> str:
+def aer_select(hyp: str, alpha: float = -1.0, raw: str | None = None) -> str:
     flags = (f"(SELECT coalesce(h.a, 0) AS a, coalesce(r.s, 0) AS s, coalesce(r.p, 0) AS p FROM "
              f"(SELECT sent_id, src, tgt, 1 AS a FROM {hyp}) h FULL OUTER JOIN rsets r USING (sent_id, src, tgt))")
     t = (f"(SELECT sum(a) AS n_a, sum(s) AS n_s, sum(a * p) AS n_ap, sum(a * s) AS n_as FROM {flags})")
@@ -388,7 +393,7 @@ def aer_select(hyp: str, alpha: float = -1.0) -> str:
     f = "0.0::DOUBLE" if alpha < 0 else f"1.0 / ({alpha} / {prec} + {1.0 - alpha} / {rec})"
     return (f"SELECT round({prec}, 6) AS precision, round({rec}, 6) AS recall, "
             f"round(1.0 - (n_ap + n_as)::DOUBLE / (n_a + n_s), 6) AS aer, round({f}, 6) AS f_measure, "
-            f"n_a::BIGINT AS n_links FROM {t}")
+            f"(SELECT count(*) FROM {raw or hyp})::BIGINT AS n_links FROM {t}")
 
 
 PUNCT_SQL = "['.', ',', '!', '?', ';', ':', '(', ')']"

@@ -258,12 +258,23 @@ def parity_route(spark, sf):
 
 
 @register("collect_synthetic", O.with_ctes("parsed_log")
-          + f"SELECT id, {O.join_subwords('text')} AS tok, "
-            f"replace({O.join_subwords('text')}, '_', ' ') AS syn FROM parsed_log WHERE id % 2 = 0")
+          + f"SELECT id, CASE WHEN id % 2 = 0 THEN 'vi' ELSE 'en' END AS lang, {O.join_subwords('text')} AS tok, "
+            f"CASE WHEN id % 2 = 0 THEN replace({O.join_subwords('text')}, '_', ' ') ELSE {O.join_subwords('text')} END AS syn "
+            "FROM parsed_log")
 def collect_synthetic(spark, sf):
-    """Synthetic Vietnamese side of a back-translation step (tok -> syn)."""
-    log = S.parse_decoder_log(FX.decoder_log(spark, sf)).where(F.col("id") % 2 == 0)
-    return C.collect_synthetic(log, "vi")
+    """Both synthetic sides of a back-translation step (tok -> syn): even ids Vietnamese, odd ids English."""
+    log = S.parse_decoder_log(FX.decoder_log(spark, sf))
+    sides = [C.collect_synthetic(log.where(F.col("id") % 2 == r), lang).withColumn("lang", F.lit(lang))
+             for r, lang in enumerate(("vi", "en"))]
+    return sides[0].unionByName(sides[1])
+
+
+@register("block_route", O.with_ctes("parsed_log")
+          + "SELECT id // 4 * 2 + id % 2 AS sent_id, CASE WHEN id % 4 < 2 THEN 'vi' ELSE 'en' END AS lang, "
+            f"{O.join_subwords('text')} AS text FROM parsed_log")
+def block_route(spark, sf):
+    """outputs in blocks of four lines (a step-1 run): two Vietnamese, then two English."""
+    return C.route_by_parity(S.parse_decoder_log(FX.decoder_log(spark, sf)), block=4)
 
 
 @register("exact_match", O.with_ctes("pair")
@@ -304,7 +315,7 @@ for _k in range(3):
             "SELECT line_no + 2 * (SELECT count(*) FROM par), text FROM numbered")
 def concat_all(spark, sf):
     """A, then b, then the previous lines, renumbered."""
-    par = FX.parallel(spark, sf)
+    par = FX.parallel(spark, sf).checkpoint(eager=True)
     return C.concat_all([par.select("line_no", F.col("en").alias("text")),
                          par.select("line_no", F.col("vi").alias("text")),
                          FX.numbered(spark, sf).select("line_no", "text")])
@@ -355,7 +366,8 @@ def tag_directions(spark, sf):
 # Metrics (E7-E10) and paired bootstrap
 # ---------------------------------------------------------------------------
 BOOT_SEED = BS.DEFAULT_SEED
-BOOT_SAMPLES = 1000
+BOOT_SAMPLES = 1000  # E11
+REPORT_SAMPLES = 10_000  # E12
 BOOT_RATIO = 0.5
 
 
@@ -374,11 +386,17 @@ def _line_stats(spark, sf, system: int, tok, ties: str) -> DataFrame:
 
 
 def _paired_stats(spark, sf, tok, ties: str) -> DataFrame:
-    """Both systems' per-line statistics from one pass over the shared references."""
+    """``n`` and both systems' per-line statistics from one pass over the shared references.
+
+    Lines are numbered on their ids alone, and the statistics are computed
+    once and written to the checkpoint folder: every resample reads them there.
+    """
     p = FX.pair_ab(spark, sf)
+    number = dense_index(FX.seg(spark, sf).select("line_id"), "line_id", "n")
     t = p.select("line_id", tok(F.col("hyp_a")).alias("hyp_a"), tok(F.col("hyp_b")).alias("hyp_b"),
                  F.array(tok(F.col("ref"))).alias("refs"))
-    return B.paired_sentence_stats(t, ties=ties, n_refs=1)
+    stats = B.paired_sentence_stats(t, ties=ties, n_refs=1)
+    return stats.join(number, "line_id").drop("line_id").checkpoint(eager=True)
 
 
 def _sql_eval_tok(c):
@@ -426,20 +444,20 @@ def _compare_sql() -> str:
 @register("bootstrap_bleu", _compare_sql())
 def bootstrap_bleu(spark, sf):
     """Paired bootstrap (B=1000, m=n) of two systems' BLEU from sufficient statistics."""
-    both = dense_index(_paired_stats(spark, sf, _eval_tok, "first"), "line_id", "n")
+    both = _paired_stats(spark, sf, _eval_tok, "first")
     return BS.compare_paired(both, lambda pre: B.bleu_score_expr(pre, "none", 100.0),
                              samples=BOOT_SAMPLES, seed=BOOT_SEED, stat_cols=B.STAT_COLS)
 
 
 def _report_sql(src_ctes: list[str], src: str, cols: list[str], s1: str, s2: str) -> str:
-    lo, hi = int(BOOT_SAMPLES * 0.025) + 1, int(BOOT_SAMPLES * 0.975) + 1
-    ctes = src_ctes + [O.draws_sql(src, BOOT_SAMPLES, BOOT_RATIO, BOOT_SEED, False),
+    lo, hi = int(REPORT_SAMPLES * 0.025) + 1, int(REPORT_SAMPLES * 0.975) + 1
+    ctes = src_ctes + [O.draws_sql(src, REPORT_SAMPLES, BOOT_RATIO, BOOT_SEED, False),
                        "sums AS (SELECT b, " + ", ".join(f"sum({c}) AS {c}" for c in cols)
                        + f" FROM dr JOIN {src} ON {src}.n = dr.idx GROUP BY b)",
                        f"per AS (SELECT b, {s1} AS s1, {s2} AS s2 FROM sums, "
                        f"(SELECT floor(count(*) * {BOOT_RATIO})::BIGINT AS m FROM {src}) mm)",
-                       f"w AS (SELECT count(*) FILTER (WHERE s1 > s2) / {BOOT_SAMPLES} AS w1, "
-                       f"count(*) FILTER (WHERE s2 > s1) / {BOOT_SAMPLES} AS w2, "
+                       f"w AS (SELECT count(*) FILTER (WHERE s1 > s2) / {REPORT_SAMPLES} AS w1, "
+                       f"count(*) FILTER (WHERE s2 > s1) / {REPORT_SAMPLES} AS w2, "
                        + ", ".join(f"avg({s}) AS {s}_mean, median({s}) AS {s}_median, "
                                    f"list_sort(list({s}))[{lo}] AS {s}_lo, list_sort(list({s}))[{hi}] AS {s}_hi"
                                    for s in ("s1", "s2")) + " FROM per)"]
@@ -456,19 +474,19 @@ def _with_body(names: list[str], extra: list[str]) -> list[str]:
 
 
 def _report_bleu(spark, sf, tok, ties, smooth):
-    both = dense_index(_paired_stats(spark, sf, tok, ties), "line_id", "n")
+    both = _paired_stats(spark, sf, tok, ties)
     n = both.count()
     m = int(n * BOOT_RATIO)
-    sums = BS.resample_sums(both, _AB, BOOT_SAMPLES, m, BOOT_SEED, n)
+    sums = BS.resample_sums(both, _AB, REPORT_SAMPLES, m, BOOT_SEED, n)
     return BS.report(sums, B.bleu_score_expr("a_", smooth, 1.0), B.bleu_score_expr("b_", smooth, 1.0),
-                     BOOT_SAMPLES)
+                     REPORT_SAMPLES)
 
 
 @register("bootstrap_bleu01", _report_sql(
     _with_body(["pair", "pair_b"], _sql_two_systems(_sql_eval_tok, "shorter")), "both_", _AB,
     O.score_sql("a_", "zero_if_any", 1.0), O.score_sql("b_", "zero_if_any", 1.0)))
 def bootstrap_bleu01(spark, sf):
-    """E12 (bleu): token BLEU 0-1 per resample of half the lines, B=1000."""
+    """E12 (bleu): token BLEU 0-1 per resample of half the lines, B=10,000."""
     return _report_bleu(spark, sf, _eval_tok, "shorter", "zero_if_any")
 
 
@@ -493,8 +511,8 @@ def bootstrap_acc(spark, sf):
     st = g.select("n", M.accuracy_stat("gold", "sys1").alias("m1"), M.accuracy_stat("gold", "sys2").alias("m2"))
     n = st.count()
     m = int(n * BOOT_RATIO)
-    sums = BS.resample_sums(st, _ACC_COLS, BOOT_SAMPLES, m, BOOT_SEED, n)
-    return BS.report(sums, F.col("m1") / m, F.col("m2") / m, BOOT_SAMPLES)
+    sums = BS.resample_sums(st, _ACC_COLS, REPORT_SAMPLES, m, BOOT_SEED, n)
+    return BS.report(sums, F.col("m1") / m, F.col("m2") / m, REPORT_SAMPLES)
 
 
 _P_COLS = [f"{s}{k}" for s in ("qa_", "qb_") for k in ("x", "y", "xx", "yy", "xy")]
@@ -516,17 +534,16 @@ def _pearson_sql(pre):
     "pm", _P_COLS, _pearson_sql("qa_"), _pearson_sql("qb_")))
 def bootstrap_pearson(spark, sf):
     """E12 (pearson): correlation with the gold scores per resample of half the lines."""
-    s = FX.scores(spark, sf)
-    a = M.centred_moments(s, "gold", "sys1").select("n", *[F.col("p" + k).alias("qa_" + k)
-                                                           for k in ("x", "y", "xx", "yy", "xy")])
-    b = M.centred_moments(s, "gold", "sys2").select("n", *[F.col("p" + k).alias("qb_" + k)
-                                                           for k in ("x", "y", "xx", "yy", "xy")])
-    st = a.join(b, "n")
-    n = st.count()
+    s = FX.scores(spark, sf).checkpoint(eager=True)
+    mean = s.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in ("gold", "sys1", "sys2")]).first()
+    g, one, two = [F.col(c) - F.lit(mean[c]) for c in ("gold", "sys1", "sys2")]
+    st = s.select("n", *[v.alias(p + k) for p, y in (("qa_", one), ("qb_", two))
+                         for k, v in (("x", g), ("y", y), ("xx", g * g), ("yy", y * y), ("xy", g * y))])
+    n = mean["n"]
     m = int(n * BOOT_RATIO)
-    sums = BS.resample_sums(st, _P_COLS, BOOT_SAMPLES, m, BOOT_SEED, n)
+    sums = BS.resample_sums(st, _P_COLS, REPORT_SAMPLES, m, BOOT_SEED, n)
     pear = lambda p: M.pearson_from_sums(F.lit(float(m)), *[F.col(p + k) for k in ("x", "y", "xx", "yy", "xy")])
-    return BS.report(sums, pear("qa_"), pear("qb_"), BOOT_SAMPLES)
+    return BS.report(sums, pear("qa_"), pear("qb_"), REPORT_SAMPLES)
 
 
 @register("metric_accuracy", O.with_ctes("gold")
@@ -653,36 +670,33 @@ def _aer_sql(alpha=-1.0, clean=False, all_sure=False, ignore_possible=False):
         extra.append(f"hclean AS (SELECT sent_id, src, tgt FROM hwords WHERE NOT ((list_contains({O.PUNCT_SQL}, "
                      f"src_word) OR list_contains({O.PUNCT_SQL}, tgt_word)) AND src_word <> tgt_word))")
         hyp = "hclean"
-    return O.with_ctes(*names, extra=extra) + O.aer_select(hyp, alpha)
+    return O.with_ctes(*names, extra=extra) + O.aer_select(hyp, alpha, "hset")
 
 
 @register("aer", _aer_sql())
 def aer(spark, sf):
     """Alignment error rate, precision, recall from link files."""
-    hyp, ref = _align_inputs(spark, sf)
-    return AL.aer_metrics(AL.link_flags(hyp, ref))
+    return AL.aer_metrics(AL.alignment_flags(FX.alignment_lines(spark, sf)))
 
 
 @register("aer_f", _aer_sql(alpha=0.5))
 def aer_f(spark, sf):
     """A4: with the F-measure at alpha = 0.5."""
-    hyp, ref = _align_inputs(spark, sf)
-    return AL.aer_metrics(AL.link_flags(hyp, ref), alpha=0.5)
+    return AL.aer_metrics(AL.alignment_flags(FX.alignment_lines(spark, sf)), alpha=0.5)
 
 
 @register("aer_all_sure", _aer_sql(all_sure=True, ignore_possible=True))
 def aer_all_sure(spark, sf):
     """A2: all reference links sure and possible links ignored (S is then not within P)."""
-    hyp, ref = _align_inputs(spark, sf, all_sure=True, ignore_possible=True)
-    return AL.aer_metrics(AL.link_flags(hyp, ref))
+    flags = AL.alignment_flags(FX.alignment_lines(spark, sf), all_sure=True, ignore_possible=True)
+    return AL.aer_metrics(flags)
 
 
 @register("aer_clean", _aer_sql(clean=True))
 def aer_clean(spark, sf):
     """AER after dropping punctuation links between different words."""
-    hyp, ref = _align_inputs(spark, sf)
-    clean = AL.clean_punctuation(hyp, FX.align_sentences(spark, sf)).select(*AL.KEYS)
-    return AL.aer_metrics(AL.link_flags(clean, ref))
+    flags = AL.alignment_flags(FX.alignment_lines(spark, sf))
+    return AL.aer_metrics(AL.clean_flags(flags, FX.align_sentences(spark, sf)))
 
 
 @register("align_errors_topk", O.with_ctes("hwords", extra=[O.rsets_sql()])
@@ -745,7 +759,8 @@ def truecase_model(spark, sf):
     "known AS (SELECT DISTINCT w FROM tcp WHERE NOT start AND w <> '')"])
     + "SELECT line_id, list(CASE WHEN start AND m.best IS NOT NULL THEN m.best WHEN k.w IS NOT NULL THEN p.w "
       "WHEN m.best IS NOT NULL THEN m.best ELSE p.w END ORDER BY pos) AS tokens "
-      "FROM tcp p LEFT JOIN tcm m ON m.lc = lower(p.w) LEFT JOIN known k ON k.w = p.w GROUP BY line_id")
+      "FROM tcp p LEFT JOIN tcm m ON m.lc = lower(p.w) LEFT JOIN known k ON k.w = p.w GROUP BY line_id "
+      "UNION ALL SELECT line_id, []::VARCHAR[] FROM tct WHERE len(w) = 0")
 def truecase_apply(spark, sf):
     """M2: the model applied to every line (sentence starts re-cased)."""
     toks = _tc_tokens(spark, sf)

@@ -1,16 +1,20 @@
 """Spark session helpers.
 
 Library code never creates its own session on a cluster; these helpers are for
-tests, ``bench.py`` and command-line use. ``checkpoint_dir`` reads the shared
-folder the cluster configures and only falls back to a scratch folder when the
-setting is absent (local tests).
+tests, ``bench.py`` and command-line use. ``ensure_checkpoint_dir`` reads the
+shared folder the cluster configures. Without one it raises, except on a
+single-machine master (``local``, ``local[...]``), where a scratch folder is
+as good: on a cluster each machine would write to its own disk.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -21,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints whose frame is gone are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Model tables (merges, dictionaries, truecase maps) are broadcast only
     # behind an explicit size check; keep Spark's own threshold modest.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -41,7 +47,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if unset."""
+    """Return the session's checkpoint folder; a scratch one is set only if unset and the master is local.
+
+    Also ships this package's functions by value, so that executors need not
+    have it installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["linea"])
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
@@ -50,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share: "
+                           f"master {sc.master} has no checkpoint folder")
     path = tempfile.mkdtemp(prefix="linea-ckpt-", dir=os.environ.get("LINEA_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path

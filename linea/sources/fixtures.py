@@ -9,7 +9,7 @@ All derivations are row-local (no shuffle) unless stated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linea.operators.positional import dense_index
@@ -26,7 +26,13 @@ def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (d.select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("seg_no", "text"))
             .where(F.col("text") != "")
             .select("doc_id", "lang", F.col("seg_no").cast("bigint").alias("seg_no"),
-                    (F.col("doc_id") * 100000 + F.col("seg_no")).alias("line_id"), "text"))
+                    _packed("doc_id", "seg_no", 100000).alias("line_id"), "text"))
+
+
+def _packed(a: str, b: str, size: int):
+    """``a * size + b``; a ``b`` that does not fit raises instead of meeting the next ``a``."""
+    err = F.raise_error(F.concat(F.lit(f"{b} reaches {size} in {a} "), F.col(a).cast("string")))
+    return F.col(a) * size + F.when(F.col(b) < size, F.col(b)).otherwise(err)
 
 
 def _words(c="text"):
@@ -116,7 +122,9 @@ def scores(spark, sf_dir) -> DataFrame:
 
 def links(spark, sf_dir) -> DataFrame:
     """Word alignments ``sent_id, src, tgt, h, s, p`` (flags 0/1) from ``lineitem``."""
-    li = table(spark, sf_dir, "lineitem")
+    # dealt by sentence once: every grouping of links below keeps that partitioning
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus")
+    li = li.repartition("l_orderkey")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     s = (ls == "F").cast("int")
     return (li.select(F.col("l_orderkey").alias("sent_id"),
@@ -159,13 +167,20 @@ def align_sentences(spark, sf_dir) -> DataFrame:
 
 
 def turns(spark, sf_dir) -> DataFrame:
-    """User/assistant pairs ``conv_id, k, src, tgt`` (turn 2k and 2k+1)."""
-    c = table(spark, sf_dir, "conversations")
-    u = c.where(F.col("turn") % 2 == 0).select("conv_id", (F.col("turn") / 2).cast("bigint").alias("k"),
-                                                F.col("text").alias("src"))
-    a = c.where(F.col("turn") % 2 == 1).select("conv_id", ((F.col("turn") - 1) / 2).cast("bigint").alias("k"),
-                                                F.col("text").alias("tgt"))
-    return u.join(a, ["conv_id", "k"])
+    """Line pairs ``conv_id, k, src, tgt`` of conversations, holding every turn once.
+
+    A pair is a turn of the system or user and the assistant turn right after
+    it; a side without a turn (a system turn before the user's, an assistant
+    turn after another) is the empty line.
+    """
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text",
+                                                     (F.coalesce("role", F.lit("")) == "assistant").alias("reply"))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    opens = ~F.col("reply") | F.coalesce(F.lag("reply").over(w), F.lit(True))
+    c = c.withColumn("__opens", opens.cast("int")).withColumn("k", (F.sum("__opens").over(w) - 1).cast("bigint"))
+    return c.groupBy("conv_id", "k").agg(
+        F.coalesce(F.max(F.when(~F.col("reply"), F.col("text"))), F.lit("")).alias("src"),
+        F.coalesce(F.max(F.when(F.col("reply"), F.col("text"))), F.lit("")).alias("tgt"))
 
 
 def marked(spark, sf_dir) -> DataFrame:
@@ -193,7 +208,7 @@ def parallel(spark, sf_dir) -> DataFrame:
     en = user turn, vi = assistant reply; the synthetic sides stand for
     back-translations (lower-cased copies).
     """
-    t = turns(spark, sf_dir).withColumn("__key", F.col("conv_id") * 1000 + F.col("k"))
+    t = turns(spark, sf_dir).withColumn("__key", _packed("conv_id", "k", 1000))
     t = dense_index(t, "__key", "line_no")
     return t.select("line_no", F.col("src").alias("en"), F.col("tgt").alias("vi"),
                     F.lower("src").alias("syn_en"), F.lower("tgt").alias("syn_vi"))
@@ -204,7 +219,7 @@ def parallel_split(spark, sf_dir, split: str) -> DataFrame:
     t = turns(spark, sf_dir)
     code = F.col("conv_id") % 10
     name = F.when(code == 0, "valid").when(code == 1, "test").otherwise("train")
-    t = t.where(name == split).withColumn("__key", F.col("conv_id") * 1000 + F.col("k"))
+    t = t.where(name == split).withColumn("__key", _packed("conv_id", "k", 1000))
     t = dense_index(t, "__key", "line_no")
     return t.select("line_no", F.col("src").alias("en"), F.col("tgt").alias("vi"),
                     F.lower("src").alias("syn_en"), F.lower("tgt").alias("syn_vi"))

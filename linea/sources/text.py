@@ -72,6 +72,17 @@ def read_parallel(sides: dict[str, DataFrame], strict: bool = True, key: str = "
     return out
 
 
+def bind_strict(a: DataFrame, b: DataFrame, on: list[str], what: str) -> DataFrame:
+    """Join two sides line by line; a line that only one side has raises (a strict count check by key)."""
+    j = a.withColumn("__a", F.lit(True)).join(b.withColumn("__b", F.lit(True)), on, "full_outer")
+    at = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in on])
+    side = F.when(F.col("__a").isNull(), F.lit(" only on the second side at ")).otherwise(F.lit(" only on the first side at "))
+    err = F.raise_error(F.concat(F.lit(what + ": line"), side, at))
+    whole = F.col("__a").isNotNull() & F.col("__b").isNotNull()
+    payload = [c for c in j.columns if c not in (*on, "__a", "__b")]
+    return j.select(*on, *[F.when(whole, F.col(c)).otherwise(err).alias(c) for c in payload])
+
+
 def group_references(df: DataFrame, line: str = "line_id", ref_id: str = "ref_id",
                      ref: str = "ref", tokenizer=None, carry: dict | None = None) -> DataFrame:
     """S3 (table form): long ``line, ref_id, ref`` -> ``line, refs`` ordered by ref_id.
@@ -113,13 +124,17 @@ def reference_paths(spark: SparkSession, stem: str, detok: bool = False, extra=(
 
 
 def read_references(spark: SparkSession, stem: str, detok: bool = False, extra=()) -> DataFrame:
-    """S3: all reference files of a stem as ``line_no, refs`` (gz read natively)."""
+    """S3: all reference files of a stem as ``line_no, refs`` (gz read natively).
+
+    Files of unequal length raise: every line needs a reference from each file."""
     parts = [read_lines(spark, p).withColumn("ref_id", F.lit(i))
              for i, p in enumerate(reference_paths(spark, stem, detok, extra))]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    return group_references(long, "line_no", "ref_id", "text")
+    grouped = group_references(long, "line_no", "ref_id", "text")
+    err = F.raise_error(F.concat(F.lit(f"not all of the {len(parts)} reference files hold line "), F.col("line_no").cast("string")))
+    return grouped.withColumn("refs", F.when(F.size("refs") == len(parts), F.col("refs")).otherwise(err))
 
 
 def assign_split(df: DataFrame, source_col: str = "source", mapping: dict | None = None) -> DataFrame:

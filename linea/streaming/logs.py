@@ -46,7 +46,10 @@ def write_sentence_stats(hyps: DataFrame, refs: DataFrame, out_dir: str, checkpo
     ``out_dir/batch=<id>`` with ``sent_id, lang`` and the 10 statistic columns.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        pairs = batch.join(refs, ["sent_id", "lang"])
+        # a batch holds some of the lines, so only a hypothesis without a reference can be told here
+        known = batch.join(refs.withColumn("__ref", F.lit(True)), ["sent_id", "lang"], "left")
+        err = F.raise_error(F.concat(F.lit("no reference for line "), F.col("sent_id").cast("string")))
+        pairs = known.withColumn("ref", F.when(F.col("__ref"), F.col("ref")).otherwise(err))
         toks = pairs.select("sent_id", "lang", T.split_ws("hyp").alias("hyp"),
                             F.array(T.split_space("ref")).alias("refs"))
         st = B.sentence_stats(toks, line="sent_id", keys=["lang"], multi_ref=False)

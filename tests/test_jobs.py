@@ -42,6 +42,81 @@ def test_prepare_bidirectional_step0_and_1(spark):
     assert s1.where(F.col("split") != "train").count() == sets.where(F.col("split") != "train").count()
 
 
+def test_dictionary_and_vocabularies_come_from_the_training_split(spark):
+    rows = [(split, lang, 0, "word ." if split == "train" else "word quiz .") for split in ("train", "valid", "test") for lang in ("en", "vi")]
+    c = spark.createDataFrame(rows, "split string, lang string, line_no long, text string")
+    r = J.prepare_bidirectional(c, num_merges=0)
+    assert r["dictionary"].where("token = '<e2v>'").first().cnt == 1
+    for table in ("dictionary", "src_vocab", "tgt_vocab"):
+        tokens = [x.token for x in r[table].collect()]
+        assert "." in tokens and not any("q" in t for t in tokens)
+    assert r["encoded"].count() == 6
+
+
+def test_unequal_sides_raise(spark):
+    import pytest
+    rows = [("train", "en", 0, "a b"), ("train", "en", 1, "c d"), ("train", "vi", 0, "x y")]
+    c = spark.createDataFrame(rows, "split string, lang string, line_no long, text string")
+    with pytest.raises(Exception, match="only on the first side at 1"):
+        J.prepare_bidirectional(c, num_merges=0)
+    whole = spark.createDataFrame([*rows, ("train", "vi", 1, "z w")], c.schema)
+    sets = spark.createDataFrame([("train", i, "s", "t") for i in range(4)], "split string, line_no long, src string, tgt string")
+    syn = spark.createDataFrame([(0, "a", "x")], "line_no long, syn_en string, syn_vi string")
+    with pytest.raises(Exception, match="genuine and synthetic lines: line only on the first side at 1"):
+        J.prepare_bidirectional(whole, step=1, prev=sets, synthetic=syn, merges=[])
+
+
+def test_missing_hypothesis_raises(spark):
+    import pytest
+    log = spark.createDataFrame([("H-0\t-0.1\ta b c d e",)], "line string")
+    refs = spark.createDataFrame([(0, "a b c d e"), (1, "f g")], "sent_id long, ref string")
+    assert J.evaluate_unidirectional(log, refs.where("sent_id = 0")).first() is not None
+    with pytest.raises(Exception, match="only on the second side at 1"):
+        J.evaluate_unidirectional(log, refs).collect()
+
+
+def test_too_many_references_raise(spark):
+    import pytest
+
+    from linea.operators import bleu as B
+    df = spark.createDataFrame([(0, ["a"], [["b"], ["c"], ["a"]])], "line_id long, hyp array<string>, refs array<array<string>>")
+    assert B.sentence_stats(df).first().correct_1_grams == 1
+    assert B.sentence_stats(df, n_refs=3).first().correct_1_grams == 1
+    for given in ({"n_refs": 2}, {"multi_ref": False}):
+        with pytest.raises(Exception, match="reference"):
+            B.sentence_stats(df, **given).collect()
+
+
+def _one_direction(spark):
+    rows = [(split, lang, i, f"{lang} words number {i} of {split} .") for split in ("train", "valid", "test")
+            for lang in ("en", "vi") for i in range(3)]
+    return spark.createDataFrame(rows, "split string, lang string, line_no long, text string")
+
+
+def test_prepare_unidirectional_and_finetune(spark):
+    c = _one_direction(spark)
+    r0 = J.prepare_bidirectional(c, num_merges=15)
+    for out in (J.prepare_unidirectional(c, "en", "vi", r0["merges"], r0["dictionary"]),
+                J.prepare_finetune(c, "en", "vi", r0["merges"], (r0["dictionary"], r0["dictionary"]))):
+        ids = {r.token: r.id for r in r0["dictionary"].collect()}
+        sub = {f"{r.split}:{r.line_no}": (r.src, r.tgt) for r in out["subword"].collect()}
+        rows = out["encoded"].collect()
+        assert len(rows) == 9 and {r.key for r in rows} == set(sub)
+        for r in rows:
+            for side, got in zip(sub[r.key], (r.src_ids, r.tgt_ids)):
+                assert got == [ids.get(t, 3) for t in side.split(" ")] + [2]
+        text = {f"{r.split}:{r.line_no}": r.src for r in out["sets"].collect()}
+        assert {k: v[0].replace("@@ ", "") for k, v in sub.items()} == text
+
+
+def test_prepare_independent(spark):
+    out = J.prepare_independent(_one_direction(spark), "vi", "en", num_merges=10)
+    src = {r.token for r in out["src_dict"].collect()}
+    tgt = {r.token for r in out["tgt_dict"].collect()}
+    assert src != tgt and out["encoded"].count() == 9 and len(out["merges"]) == 10
+    assert {r.token for r in out["src_vocab"].collect()} <= src and {r.token for r in out["tgt_vocab"].collect()} <= tgt
+
+
 def test_prepare_translation_input(spark):
     c = corpus(spark).where(F.col("split") == "valid")
     out = J.prepare_translation_input(c, [("t", "h", 5)]).collect()

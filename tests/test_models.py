@@ -37,3 +37,11 @@ def test_segment_greedy_left_to_right(spark):
     out = {r.line_id: r.text for r in CO.segment(t, lex).collect()}
     assert out[0] == "new_york new_york city"
     assert out[1] == "a b c"
+
+
+def test_lines_without_tokens_stay(spark):
+    t = spark.createDataFrame([(0, ["the", "house"]), (1, []), (2, ["The", "end"])], "line_id long, tokens array<string>")
+    cased = {r.line_id: r.tokens for r in TC.apply(t, TC.train(t), TC.known_forms(t)).collect()}
+    assert cased[1] == [] and set(cased) == {0, 1, 2}
+    lex = spark.createDataFrame([("the", "house")], "w1 string, w2 string")
+    assert {r.line_id: r.text for r in CO.segment(t, lex).collect()} == {0: "the_house", 1: "", 2: "The end"}

@@ -71,3 +71,71 @@ def test_save_stage_and_append_result(spark):
     sinks.append_result(res, os.path.join(d, "res"))
     sinks.append_result(res, os.path.join(d, "res"))
     assert spark.read.parquet(os.path.join(d, "res")).count() == 2
+
+
+def test_reference_files_gz_detok_and_unequal(spark):
+    import gzip
+
+    import pytest
+    d = tempfile.mkdtemp(prefix="linea-test-")
+    for name, content in (("x.ref0.gz", None), ("t.ref0", "a\nb\n"), ("t.ref1", "c\nd\n"), ("extra", "e\nf\n"), ("u0", "a\nb\n"), ("u1", "c\n")):
+        if content is None:
+            with gzip.open(os.path.join(d, "g0.gz"), "wt") as f:
+                f.write("p\nq\n")
+        else:
+            with open(os.path.join(d, name), "w") as f:
+                f.write(content)
+    refs = S.read_references(spark, os.path.join(d, "t"), detok=True, extra=[os.path.join(d, "extra")])
+    assert {r.line_no: r.refs for r in refs.collect()} == {0: ["a", "c", "e"], 1: ["b", "d", "f"]}
+    assert [r.text for r in S.read_lines(spark, os.path.join(d, "g0.gz")).orderBy("line_no").collect()] == ["p", "q"]
+    with pytest.raises(Exception, match="reference files hold line 1"):
+        S.read_references(spark, os.path.join(d, "u")).collect()
+
+
+def test_bind_strict(spark):
+    import pytest
+    a = spark.createDataFrame([(0, "x"), (1, "y")], "k long, a string")
+    b = spark.createDataFrame([(0, "u"), (1, "v")], "k long, b string")
+    assert sorted(tuple(r) for r in S.bind_strict(a, b, ["k"], "sides").collect()) == [(0, "x", "u"), (1, "y", "v")]
+    for left, right, side in ((a, b.where("k = 0"), "first"), (a.where("k = 0"), b, "second")):
+        with pytest.raises(Exception, match=f"sides: line only on the {side} side at 1"):
+            S.bind_strict(left, right, ["k"], "sides").collect()
+
+
+def test_checkpoint_folder_must_be_shared():
+    import pytest
+
+    from linea.session import ensure_checkpoint_dir
+
+    class Unset:
+        def isDefined(self):
+            return False
+
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            class _jsc:
+                @staticmethod
+                def sc():
+                    return type("C", (), {"getCheckpointDir": lambda self: Unset()})()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_conversation_turns_are_all_kept(spark):
+    from linea.sources import fixtures as FX
+
+    from .conftest import SF0001
+    turns = spark.read.parquet(f"{SF0001}/conversations.parquet")
+    pairs = FX.turns(spark, SF0001)
+    held = pairs.select(F.explode(F.array("src", "tgt")).alias("t")).where("t != ''")
+    assert sorted(r.t for r in held.collect()) == sorted(r.text for r in turns.where("text != ''").collect())
+    assert pairs.count() == pairs.select("conv_id", "k").distinct().count()
+    assert {r.role for r in turns.select("role").distinct().collect()} >= {"user", "assistant"}
