@@ -26,7 +26,7 @@ def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: flo
                      lambda p: p["w2"].isNotNull())
     bi = (df.select(F.inline(pairs)).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("cnt"))
           .where(F.col("cnt") >= min_count))
-    uni = df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    uni = df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     n = uni.agg(F.sum("c")).first()[0] or 0
     j = lookup_join(bi, uni.select(F.col("w").alias("w1"), F.col("c").alias("c1")), "w1", "inner")
     j = lookup_join(j, uni.select(F.col("w").alias("w2"), F.col("c").alias("c2")), "w2", "inner")

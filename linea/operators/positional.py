@@ -75,16 +75,18 @@ def ordered_index(df: DataFrame, order: list, out: str = "rank", partitions: int
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                broadcast_rows: int = 2_000_000) -> DataFrame:
+                broadcast_rows: int = 2_000_000, broadcast_bytes: int = 256 * 1024 * 1024) -> DataFrame:
     """Join a model table (vocabulary, dictionary) into a token stream.
 
-    The model is broadcast only after its row count is checked against
-    ``broadcast_rows``; beyond that the join shuffles on the key and AQE's skew
+    The model is broadcast only after its row count and the bytes of its values
+    are checked against ``broadcast_rows`` and ``broadcast_bytes``; beyond that the join shuffles on the key and AQE's skew
     handling splits hot keys (frequent words) of the token side. The model is
     materialised once (checkpoint) so that the size check and the join do not
     both recompute it.
     """
     small = small.checkpoint(eager=True)
-    if small.count() <= broadcast_rows:
+    size = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in small.columns)
+    rows, used = small.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    if rows <= broadcast_rows and (used or 0) <= broadcast_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

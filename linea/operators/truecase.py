@@ -40,10 +40,19 @@ def _positions(df: DataFrame, line: str, tokens: str) -> DataFrame:
         .select(line, "pos", F.col("__e.w").alias("w"), F.col("__e.st").alias("start"))
 
 
+def surface_forms(df: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
+    """``lc, w, cnt``: non-initial surface forms; the model and the known forms both come from it."""
+    p = _positions(df, line, tokens).where(~F.col("start") & (F.col("w") != ""))
+    return p.groupBy(F.lower("w").alias("lc"), "w").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def train(df: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
     """M1: ``lc, best, best_count, total`` per lower-cased word (non-initial tokens only)."""
-    p = _positions(df, line, tokens).where(~F.col("start") & (F.col("w") != ""))
-    forms = p.groupBy(F.lower("w").alias("lc"), "w").agg(F.count(F.lit(1)).alias("cnt"))
+    return best_forms(surface_forms(df, line, tokens))
+
+
+def best_forms(forms: DataFrame) -> DataFrame:
+    """The model of a table of surface forms: the commonest form per lower-cased word."""
     return forms.groupBy("lc").agg(
         F.min_by("w", F.struct(-F.col("cnt"), F.col("w"))).alias("best"),
         F.max("cnt").alias("best_count"), F.sum("cnt").alias("total"))

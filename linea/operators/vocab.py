@@ -24,6 +24,7 @@ def build_dictionary(df: DataFrame, tokens: str = "tokens", min_count: int = 1,
     spark = df.sparkSession
     counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("cnt")) \
         .where(F.col("cnt") >= min_count)
+    counts = counts.checkpoint(eager=True)  # ranked by range (sampled, then dealt) and counted: the corpus is read once
     ranked = ordered_index(counts, [F.col("cnt").desc(), F.col("token").asc()], "rank")
     words = ranked.select("token", "cnt", (F.col("rank") + len(SPECIALS)).alias("id"))
     specials = spark.createDataFrame([(s, 1, i) for s, i in SPECIALS], "token string, cnt long, id long")

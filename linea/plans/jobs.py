@@ -122,8 +122,8 @@ def truecase_corpus(tok: DataFrame) -> DataFrame:
     for lang in [r[0] for r in tok.select("lang").distinct().collect()]:
         part = tok.where(F.col("lang") == lang).withColumn("__id", F.concat_ws(":", "split", "line_no"))
         train = part.where(F.col("split") == "train")
-        cased = TC.apply(part.select("__id", "tokens"), TC.train(train, "__id"), TC.known_forms(train, "__id"),
-                         line="__id")
+        forms = TC.surface_forms(train, "__id").checkpoint(eager=True)
+        cased = TC.apply(part.select("__id", "tokens"), TC.best_forms(forms), forms.select("w"), line="__id")
         res = part.drop("tokens").join(cased, "__id", "left").drop("__id") \
             .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
         out = res if out is None else out.unionByName(res)

@@ -764,7 +764,8 @@ def truecase_model(spark, sf):
 def truecase_apply(spark, sf):
     """M2: the model applied to every line (sentence starts re-cased)."""
     toks = _tc_tokens(spark, sf)
-    return TC.apply(toks, TC.train(toks), TC.known_forms(toks))
+    forms = TC.surface_forms(toks).checkpoint(eager=True)  # counted once for the model and the known forms
+    return TC.apply(toks, TC.best_forms(forms), forms.select("w"))
 
 
 def _dict_tokens(spark, sf) -> DataFrame:
@@ -820,23 +821,35 @@ def oov_rate(spark, sf):
 COLLOC_MIN_COUNT, COLLOC_MIN_PMI = 5, 3.0
 
 
-@register("collocations", O.with_ctes("seg", extra=[
+_COLLOC_CTES = [
     f"ct AS (SELECT line_id, {O.split_ws('text')} AS w FROM seg)",
     "bi AS (SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS cnt FROM "
     "(SELECT w, unnest(generate_series(1, len(w) - 1)) AS i FROM ct) GROUP BY ALL)",
     "uni AS (SELECT t AS w, count(*) AS c FROM (SELECT unnest(w) AS t FROM ct) GROUP BY t)",
-    "nn AS (SELECT sum(c) AS n FROM uni)"])
-    + f"SELECT w1, w2, cnt, round(ln(cnt * n::DOUBLE / (u1.c * u2.c)), 6) AS pmi FROM bi "
-      f"JOIN uni u1 ON u1.w = w1 JOIN uni u2 ON u2.w = w2, nn "
-      f"WHERE cnt >= {COLLOC_MIN_COUNT} AND ln(cnt * n::DOUBLE / (u1.c * u2.c)) >= {COLLOC_MIN_PMI}")
+    "nn AS (SELECT sum(c) AS n FROM uni)"]
+_COLLOC_SELECT = ("SELECT w1, w2, cnt, round(ln(cnt * n::DOUBLE / (u1.c * u2.c)), 6) AS pmi FROM bi "
+                  "JOIN uni u1 ON u1.w = w1 JOIN uni u2 ON u2.w = w2, nn "
+                  f"WHERE cnt >= {COLLOC_MIN_COUNT} AND ln(cnt * n::DOUBLE / (u1.c * u2.c)) >= {COLLOC_MIN_PMI}")
+
+
+@register("collocations", O.with_ctes("seg", extra=_COLLOC_CTES) + _COLLOC_SELECT)
 def collocations(spark, sf):
     """T4 (mining): adjacent-token collocations by count and PMI."""
     return CO.mine(_dict_tokens(spark, sf), min_count=COLLOC_MIN_COUNT, min_pmi=COLLOC_MIN_PMI)
 
 
-@register("segment_compounds")
+@register("segment_compounds", O.with_ctes("seg", extra=_COLLOC_CTES + [
+    f"lex AS ({_COLLOC_SELECT})",
+    "p AS (SELECT line_id, i AS pos, w[i] AS w, w[i + 1] AS nxt FROM "
+    "(SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM ct))",
+    "q AS (SELECT p.*, lex.w1 IS NOT NULL AS m FROM p LEFT JOIN lex ON lex.w1 = p.w AND lex.w2 = p.nxt)",
+    "r AS (SELECT *, max(CASE WHEN m THEN 0 ELSE pos END) OVER (PARTITION BY line_id ORDER BY pos) AS before FROM q)",
+    "t AS (SELECT *, m AND (pos - before) % 2 = 1 AS take FROM r)",
+    "u AS (SELECT *, coalesce(lag(take) OVER (PARTITION BY line_id ORDER BY pos), false) AS taken FROM t)"])
+    + "SELECT line_id, string_agg(CASE WHEN take THEN w || '_' || nxt ELSE w END, ' ' ORDER BY pos) AS text "
+      "FROM u WHERE NOT taken GROUP BY line_id UNION ALL SELECT line_id, '' FROM ct WHERE len(w) = 0")
 def segment_compounds(spark, sf):
-    """T4 (matching): lexicon pairs joined with '_' greedily left to right (no SQL twin)."""
+    """T4 (matching): lexicon pairs joined with '_' greedily left to right."""
     toks = _dict_tokens(spark, sf)
     lex = CO.mine(toks, min_count=COLLOC_MIN_COUNT, min_pmi=COLLOC_MIN_PMI)
     return CO.segment(toks, lex)
