@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +45,10 @@ from linea.llm.common import materialise
 HOMOGLYPHS = dict(zip("авекмнорстухіјѕԁӏԛԝαβεικνορτυχ", "abekmhopctyxijsdiqwabeiknoptux", strict=True))
 #: Digits and signs that stand for letters; l, 1, ! and | join i.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i", "l": "i"}
-INVISIBLE = dict.fromkeys(map(ord, "­​‌‍⁠﻿"))
+INVISIBLE = dict.fromkeys("\u00ad\u200b\u200c\u200d\u2060\ufeff")
 PREFIXES = (4, 5, 6)
-_FOLD = str.maketrans(HOMOGLYPHS | SUBSTITUTES)
+_ODD = re.compile(f"[{''.join(HOMOGLYPHS | INVISIBLE)}]")
+_PLAIN = str.maketrans(HOMOGLYPHS | INVISIBLE)
 _NUMBER = re.compile(r"(?<!\w)[\d!|@$.,:/-]+(?!\w)")
 _SIGN = re.compile(r"[!|@$]+(?!\w)")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -56,8 +58,12 @@ def fold(text: str | None) -> str:
     """Folded words with a space before, between and after them."""
     t = (text or "").lower()
     if not t.isascii():
-        t = unicodedata.normalize("NFKC", t).translate(INVISIBLE)
-    t = _SIGN.sub(" ", _NUMBER.sub(" ", t)).translate(_FOLD)
+        t = unicodedata.normalize("NFKC", t)
+        if _ODD.search(t):
+            t = t.translate(_PLAIN)
+    t = _SIGN.sub(" ", _NUMBER.sub(" ", t))
+    for sign, letter in SUBSTITUTES.items():
+        t = t.replace(sign, letter)
     return f" {_OTHER.sub(' ', t).strip()} "
 
 
@@ -124,8 +130,6 @@ def features(words: list[str]) -> set[tuple[str, int]]:
 
 
 def hash_bit(s: str) -> int:
-    import zlib
-
     return zlib.crc32(s.encode("utf-8", "surrogatepass")) & 63
 
 
