@@ -18,6 +18,7 @@ An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from itertools import accumulate
@@ -29,52 +30,71 @@ from pyspark.sql import functions as F
 
 from linea.llm.common import materialise
 
-#: Characters for which lower-casing and splitting at white space commute with the tokenizer's own steps.
-PLAIN = "\t\n\r\x20-\x7e\xa1-įı-ɏ"
+#: Characters for which lower-casing and splitting commute with the tokenizer's own steps.
+PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ"
+#: The tokenizer's own pieces of a word of plain characters, lower-cased.
+PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Words whose ids a worker remembers at most; then it starts anew.
-REMEMBER = 300_000
+REMEMBER = 400_000
 PIECES = ("id {id}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
           "sequence_tokens bigint, padded_to bigint")
 
 
 class Encoder:
-    """Ids of whole texts, the same as the tokenizer's own, remembering the ids of words.
-
-    The tokenizer lower-cases, drops white space and never joins two words, so
-    a plain text's ids are those of its words. Any other text (characters
-    outside ``PLAIN``, or the marks of special tokens) goes to the tokenizer whole.
+    """Ids of whole texts, the same as the tokenizer's own, remembering the ids of words and their parts.
+
+    The tokenizer lower-cases, drops white space and encodes each part of a
+    word (letters, a digit, signs) by itself, closing it with an id that ends a
+    word. So a plain text's ids are those of its words' parts, and many new
+    parts are encoded in one call and told apart by their closing ids. Any
+    other text (characters outside ``PLAIN``, or the marks of special tokens)
+    goes to the tokenizer whole.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.odd = re.compile(f"[^{PLAIN}]|<\\|")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = "<u2" if size <= 1 << 16 else "<u4"
+        suffix = json.loads(spec)["model"].get("end_of_word_suffix") or ""
+        self.closing = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.odd = re.compile(f"[^{PLAIN}]|<\\|") if self.closing.any() else re.compile("")
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
+    def learn_parts(self, parts: list[str]) -> None:
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        ends = (np.flatnonzero(self.closing[ids]) + 1).tolist()
+        if len(ends) == len(parts) and ends[-1] == len(ids):
+            raw, width = ids.tobytes(), ids.itemsize
+            self.parts.update(zip(parts, [raw[a * width:b * width] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        else:  # some part has other ids among others: one call each
+            for p, e in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
+                self.parts[p] = self.pack(e.ids)
+
+    def learn_words(self, words: list[str]) -> None:
+        split = [PART.findall(w) for w in words]
+        new = list({p for s in split for p in s if p not in self.parts})
+        for at in range(0, len(new), 5_000):
+            self.learn_parts(new[at:at + 5_000])
+        known = self.parts
+        for w, s in zip(words, split, strict=True):
+            self.words[w] = known[s[0]] if len(s) == 1 else b"".join([known[p] for p in s])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if self.odd.search(t) else t.lower().split() for t in texts]
         whole = [t for t, s in zip(texts, split, strict=True) if s is None]
         direct = iter([self.pack(e.ids) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)] if whole else [])
-        out = []
-        for words in split:
-            if words is None:
-                out.append(next(direct))
-                continue
-            if len(self.words) > REMEMBER:
-                self.words.clear()
-            known = self.words
-            new = list({w for w in words if w not in known})
-            for at in range(0, len(new), 10_000):
-                part = new[at:at + 10_000]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = self.pack(e.ids)
-            out.append(b"".join([known[w] for w in words]))
-        return out
+        if len(self.words) > REMEMBER:
+            self.words.clear()
+            self.parts.clear()
+        self.learn_words(list({w for s in split if s for w in s}.difference(self.words)))
+        known = self.words
+        return [next(direct) if s is None else b"".join([known[w] for w in s]) for s in split]
 
 
 _ENCODERS: dict[int, Encoder] = {}
