@@ -167,6 +167,7 @@ def _segment_word(w: str, ranks: dict, key: int) -> str:
     """Per-worker memo of segmented words (bounded; cleared when full)."""
     memo = _MEMO.get(key)
     if memo is None or len(memo) > _MEMO_LIMIT:
+        _MEMO.clear()  # one merge list at a time
         memo = _MEMO[key] = {}
     out = memo.get(w)
     if out is None:

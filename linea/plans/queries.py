@@ -873,9 +873,31 @@ def bpe_pair_stats(spark, sf):
 BPE_MERGES = 100
 
 
-@register("bpe_merges")
+def _bpe_ctes(n: int) -> list[str]:
+    """One merge at a time, written out: ``m<i>`` is the i-th merge, ``t<i>`` the word types after it.
+
+    Symbols are kept between blanks, two blanks between neighbours, so that a
+    plain replacement merges left to right without overlaps.
+    """
+    chars = "string_split(word, '')"
+    out = [_BPE_TYPES, f"t0 AS MATERIALIZED (SELECT word, freq, ' ' || array_to_string({chars}[1:len({chars}) - 1] || "
+                       f"[{chars}[len({chars})] || '</w>'], '  ') || ' ' AS s FROM bt)"]
+    for i in range(1, n + 1):
+        out.append(f"m{i} AS MATERIALIZED (SELECT a, b, sum(freq)::BIGINT AS cnt FROM (SELECT freq, l[j] AS a, l[j + 1] AS b FROM "
+                   f"(SELECT freq, l, unnest(generate_series(1, len(l) - 1)) AS j FROM "
+                   f"(SELECT freq, string_split(s[2:-2], '  ') AS l FROM t{i - 1}))) GROUP BY a, b "
+                   "ORDER BY cnt DESC, a DESC, b DESC LIMIT 1)")
+        out.append(f"t{i} AS MATERIALIZED (SELECT word, freq, replace(s, ' ' || a || '  ' || b || ' ', ' ' || a || b || ' ') AS s "
+                   f"FROM t{i - 1}, m{i})")
+    # subwords of a word: all but the last are marked, and the end-of-word marker goes
+    out.append(f"subs AS (SELECT word, freq, string_split(replace(left(s, length(s) - 5)[2:], '  ', '@@  '), '  ') AS l FROM t{n})")
+    return out
+
+
+@register("bpe_merges", O.with_ctes("seg", extra=_bpe_ctes(BPE_MERGES))
+          + " UNION ALL ".join(f"SELECT {i - 1}::INTEGER AS rank, a, b, cnt FROM m{i}" for i in range(1, BPE_MERGES + 1)))
 def bpe_merges(spark, sf):
-    """M4: the first 100 joint merges (batched exact learning; no SQL twin: iterative)."""
+    """M4: the first 100 joint merges (batched exact learning; the twin merges one pair at a time)."""
     types = SW.word_types(_dict_tokens(spark, sf))
     return SW.merges_frame(spark, SW.learn(types, BPE_MERGES))
 
@@ -888,9 +910,20 @@ def _bpe_applied(spark, sf, n=BPE_MERGES):
     return s.select("line_id", "text", bpe(F.array_join(T.split_ws("text"), " ")).alias("sub"))
 
 
-@register("bpe_vocab")
+@register("bpe_segment", O.with_ctes("seg", extra=_bpe_ctes(BPE_MERGES) + [
+    f"bl AS (SELECT line_id, {O.split_ws('text')} AS w FROM seg)",
+    "bp AS (SELECT line_id, w[i] AS word, i FROM (SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM bl))"])
+    + "SELECT line_id, string_agg(array_to_string(l, ' '), ' ' ORDER BY i) AS sub FROM bp JOIN subs USING (word) GROUP BY line_id "
+      "UNION ALL SELECT line_id, '' FROM bl WHERE len(w) = 0")
+def bpe_segment(spark, sf):
+    """M6: every line in subwords of the learned merges."""
+    return _bpe_applied(spark, sf).select("line_id", "sub")
+
+
+@register("bpe_vocab", O.with_ctes("seg", extra=_bpe_ctes(BPE_MERGES))
+          + "SELECT token, sum(freq)::BIGINT AS cnt FROM (SELECT freq, unnest(l) AS token FROM subs) GROUP BY token")
 def bpe_vocab(spark, sf):
-    """M5: subword frequency list after applying the learned merges (no SQL twin)."""
+    """M5: subword frequency list after applying the learned merges."""
     return SW.vocabulary(_bpe_applied(spark, sf).select(F.col("sub").alias("text")))
 
 
