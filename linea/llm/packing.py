@@ -36,7 +36,7 @@ PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ"
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Words whose ids a worker remembers at most; then it starts anew.
 REMEMBER = 400_000
-PIECES = ("id {id}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
+PIECES = ("id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
           "sequence_tokens bigint, padded_to bigint")
 
 
@@ -101,13 +101,12 @@ _ENCODERS: dict[int, Encoder] = {}
 
 
 def tokenise(docs: DataFrame, id_col: str, text: str, tokenizer: str, end_id: int) -> DataFrame:
-    """(id, ids binary, n): little-endian token ids of each whole text, closed by ``end_id``.
+    """(id as text, ids binary, n): little-endian token ids of each whole text, closed by ``end_id``.
 
     The tokenizer file is read on the driver and travels with the task's function.
     """
     with open(tokenizer, encoding="utf-8") as file:
         spec = file.read()
-    kind = dict(docs.dtypes)[id_col]
     encoders = _ENCODERS
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,8 +122,9 @@ def tokenise(docs: DataFrame, id_col: str, text: str, tokenizer: str, end_id: in
                 ids = [b + close for b in encoder.encode([t or "" for t in part["text"]])]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "ids": ids, "n": [len(b) // width for b in ids]})
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-            .mapInPandas(run, f"id {kind}, ids binary, n bigint"))
+    # ids travel as text: pandas would turn whole numbers beside a null into floating point
+    return (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text"))
+            .mapInPandas(run, "id string, ids binary, n bigint"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "", end_id: int = 1,
@@ -164,7 +164,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer:
             yield pd.DataFrame(rows, columns=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset",
                                               "sequence_tokens", "padded_to"])
 
-    return rows.select("part", "id", "ids", "n").mapInPandas(cut, PIECES.format(id=kind)).withColumnRenamed("id", id_col)
+    pieces = rows.select("part", "id", "ids", "n").mapInPandas(cut, PIECES)
+    return pieces.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

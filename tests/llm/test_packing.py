@@ -52,6 +52,12 @@ def test_words_equal_the_tokenizer_on_the_table(spark, tokenizer):
     assert got == [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def test_ids_stay_exact_beside_nulls(spark):
+    big = (1 << 62) + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "c"), (-big, None)], "doc_id long, text string").coalesce(1)
+    assert sorted(str(r.doc_id) for r in packing.pack(docs).collect()) == sorted([str(big), str(-big), "None"])
+
+
 def test_forgetting_words(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBER", 3)
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
