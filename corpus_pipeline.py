@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linea.llm import langid, mixing, packing, secret_scan, simhash
-from linea.llm.common import load, prepare
+from linea.llm.common import load
 from linea.session import ensure_checkpoint_dir
 
 
@@ -29,31 +29,31 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is accepted; the model learns from the stage's own ``lang``."""
-    prepare(spark)
+    ensure_checkpoint_dir(spark)
     return langid.identify(docs, langid.train(docs)).where("accepted").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class (4-word shingles, at most 4 bits)."""
-    prepare(spark)
+    ensure_checkpoint_dir(spark)
     return simhash.deduplicate(docs, k=4, max_bits=4)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mask."""
-    prepare(spark)
+    ensure_checkpoint_dir(spark)
     return _counted(secret_scan.redact(docs)).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each repetition that the mix takes (150% of all words, weights 5, 2, 1, two epochs at most)."""
-    prepare(spark)
+    ensure_checkpoint_dir(spark)
     return _counted(mixing.mix(docs, weights=(5, 2, 1), share=1.5, max_epochs=2.0)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences of 2,048 tokens, with their ids."""
-    prepare(spark)
+    ensure_checkpoint_dir(spark)
     return packing.pack(docs, window=2048, end_id=1).withColumn("ids_crc32", F.crc32("ids"))
 
 
