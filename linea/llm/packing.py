@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +35,11 @@ PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ"
 #: The tokenizer's own pieces of a word of plain characters, lower-cased.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Words whose ids a worker remembers at most; then it starts anew.
-REMEMBER = 400_000
+REMEMBER = 300_000
+#: Rows of a batch that are Python objects at a time.
+SLICE = 256
+KINDS = {"id": pa.string(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
+         "sequence_id": pa.int64(), "offset": pa.int64(), "sequence_tokens": pa.int64(), "padded_to": pa.int64()}
 PIECES = ("id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
           "sequence_tokens bigint, padded_to bigint")
 
@@ -109,22 +113,23 @@ def tokenise(docs: DataFrame, id_col: str, text: str, tokenizer: str, end_id: in
         spec = file.read()
     encoders = _ENCODERS
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = hash(spec)
         if key not in encoders:
             encoders[key] = Encoder(spec)
         encoder = encoders[key]
         close = encoder.pack([end_id])
         width = len(close)
-        for f in frames:
-            for at in range(0, len(f), 256):
-                part = f.iloc[at:at + 256]
-                ids = [b + close for b in encoder.encode([t or "" for t in part["text"]])]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "ids": ids, "n": [len(b) // width for b in ids]})
-
-    # ids travel as text: pandas would turn whole numbers beside a null into floating point
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)  # only a slice's texts are Python objects at a time
+                ids = [b + close for b in encoder.encode([t or "" for t in part.column(1).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()),
+                                                  pa.array([len(b) // width for b in ids], pa.int64())], ["id", "ids", "n"])
+
+    # ids travel as text: any type of id passes unchanged
     return (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text"))
-            .mapInPandas(run, "id string, ids binary, n bigint"))
+            .mapInArrow(run, "id string, ids binary, n bigint"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = "", end_id: int = 1,
@@ -144,27 +149,29 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer:
     last, rest = divmod(total, window)
     padded = rest if rest & (rest - 1) == 0 else window
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
-        for f in frames:
-            rows = []
-            for part, key, ids, n in zip(f["part"], f["id"], f["ids"], f["n"], strict=True):
-                if at is None:
-                    at = base[part]
-                wide = np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * n else "<u4").astype("<u4")
-                start = 0
-                while start < n:
-                    sequence, offset = divmod(at + start, window)
-                    length = min(window - offset, n - start)
-                    held = rest if sequence == last else window
-                    rows.append((key, start, length, wide[start:start + length].tobytes(), n, sequence, offset, held,
-                                 padded if sequence == last else window))
-                    start += length
-                at += n
-            yield pd.DataFrame(rows, columns=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset",
-                                              "sequence_tokens", "padded_to"])
-
-    pieces = rows.select("part", "id", "ids", "n").mapInPandas(cut, PIECES)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SLICE):
+                out: list[tuple] = []
+                part = batch.slice(begin, SLICE)
+                for where, key, ids, n in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    if at is None:
+                        at = base[where]
+                    wide = np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * n else "<u4").astype("<u4")
+                    start = 0
+                    while start < n:
+                        sequence, offset = divmod(at + start, window)
+                        length = min(window - offset, n - start)
+                        end = sequence == last
+                        out.append((key, start, length, wide[start:start + length].tobytes(), n, sequence, offset,
+                                    rest if end else window, padded if end else window))
+                        start += length
+                    at += n
+                columns = zip(*out, strict=True) if out else [[]] * len(KINDS)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, KINDS.values(), strict=True)], list(KINDS))
+
+    pieces = rows.select("part", "id", "ids", "n").mapInArrow(cut, PIECES)
     return pieces.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
 
 
