@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from linea.llm.common import WORD, materialise
 
+#: Plans of up to so many sources are sent to every task; a larger one is joined by shuffling.
+BROADCAST_SOURCES = 100_000
 #: Columns that ``allot`` adds.
 ADDED = ["size", "source_size", "target", "taken"]
 
@@ -89,6 +91,9 @@ def _taken(measured: DataFrame, planned: DataFrame, id_col: str, source: str) ->
     p = planned.select(F.col("s").alias("__s"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
                        F.col("whole").alias("__whole"), F.col("rest").alias("__rest"), F.col("c1").alias("__c1"),
                        F.col("c2").alias("__c2"), F.col("start2").alias("__start"))
+    rows, names = planned.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("s")), F.lit(0))).first()
+    if rows <= BROADCAST_SOURCES and names <= 64 << 20:  # a row of ten numbers and a name for each source
+        p = F.broadcast(p)
     rows = measured.join(p, F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
     cell, edge = F.struct("__b1", "__b2"), F.struct("__c1", "__c2")
     at_edge = F.coalesce(cell == edge, F.lit(False))
