@@ -57,3 +57,39 @@ def test_visits_follow_the_estimate():
     keys = h.visits(v)
     assert (keys[..., 0] == h.key(np.floor(at))).all()  # the own bucket first
     assert all(len(set(k)) == 81 for k in keys.reshape(-1, 81).tolist())
+
+
+def test_one_long_vector_hides_no_other(spark):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((2000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[777] *= 100
+    x = x.astype(np.float32)
+    df = rows_of(spark, x)
+    got = ann.search(df, df.where("vec_id % 40 = 0"), k=20).collect()
+    x = x.astype(np.float64)
+    hits = []
+    for q in range(0, 2000, 40):
+        found = {r.vec_id for r in got if r.query_id == q}
+        assert len(found) == 20
+        hits.append(len(found & {v for v, _ in exact(np.arange(2000), x, q, 20)}) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_queries_that_find_too_little_look_further(spark):
+    x = np.random.default_rng(12).standard_normal((600, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = rows_of(spark, x)
+    got = ann.search(df, df.where("vec_id % 100 = 0"), k=25, tables=1, probes=1, width=0.2).collect()
+    assert {q: sorted(r.rank for r in got if r.query_id == q) for q in range(0, 600, 100)} == {
+        q: list(range(1, 26)) for q in range(0, 600, 100)}
+    x = x.astype(np.float64)
+    for q in range(0, 600, 100):  # their buckets hold next to nothing, so they meet every vector
+        assert {r.vec_id for r in got if r.query_id == q} == {v for v, _ in exact(np.arange(600), x, q, 25)}
+
+
+def test_repeated_ids_take_one_place(spark):
+    x = np.random.default_rng(13).standard_normal((300, 8))
+    df = rows_of(spark, [*x, *(x[1] * s for s in (0.9, 0.8, 0.7))], [*range(300), 1, 1, 1])
+    got = ann.search(df, df.where("vec_id = 0"), k=299).collect()
+    assert sorted(r.vec_id for r in got) == list(range(1, 300))
