@@ -4,8 +4,8 @@ A text is lower-cased, everything but letters becomes a space, and its
 character 2-, 3- and 4-grams are hashed into ``buckets`` rows of an embedding
 matrix. The average of those rows goes through a linear softmax. Embeddings
 and softmax are trained together by stochastic gradient descent in numpy on a
-bounded sample of labelled rows (``max_chars`` in all, spread evenly over the
-languages); a held-back part of the sample calibrates the softmax temperature
+bounded sample of the different pieces of labelled texts (``max_chars`` in all,
+spread evenly over the languages, but a least number of pieces for each); a held-back part of the sample calibrates the softmax temperature
 and the rejection threshold. Prediction reads every whole text inside Arrow
 tasks: the embedding and softmax matrices are multiplied once, so a text costs
 one gather of ``classes`` numbers per n-gram. A text is rejected when its best
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,20 +66,39 @@ def ngram_ids(codes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int) -> list[tuple[str, str]]:
-    """About ``max_chars`` characters of labelled rows, the same share of each language."""
+def pieces(docs: DataFrame, text: str, lang: str, chunk: int, seed: int) -> DataFrame:
+    """(l, t, h in 0..1): the labelled texts cut into pieces of ``chunk`` characters, those with letters."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    size = F.length(F.col(text))
-    totals = rows.groupBy(F.col(lang).alias("l")).agg(F.sum(size).alias("n")).collect()  # a row per language
-    if not totals:
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))  # linear in the text
+    rows = rows.select(F.col(lang).alias("l"), F.explode(cut).alias("t")).where(F.col("t").rlike(r"(?s)\p{L}.*?\p{L}"))
+    return rows.withColumn("h", F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40)))
+
+
+def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chunk: int = 300, least: int = 200) -> list[tuple[str, str]]:
+    """Different pieces of labelled texts, ``max_chars`` characters at most and the same share of each language.
+
+    A language keeps ``least`` pieces (all it has, if fewer) even where its share holds fewer.
+    """
+    every = pieces(docs, text, lang, chunk, seed)
+    # different pieces of each language, by length within a factor of 2: some rows per language
+    sizes = (every.groupBy("l", F.floor(F.log2(F.length("t"))).alias("k"))
+             .agg(F.approx_count_distinct("t").alias("n"), F.avg(F.length("t")).alias("size")).collect())
+    if not sizes:
         return []
-    share = max_chars / len(totals)
-    # whole rows, chosen by their hash alone: a rerun or another partitioning takes the same ones
-    cut = {r["l"]: min(1.0, share / max(1, r["n"] or 0)) for r in totals}
-    picked = F.pmod(F.xxhash64(F.col(text), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    limits = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
-    got = rows.where(picked < limits[F.col(lang)]).select(F.col(text).alias("t"), F.col(lang).alias("l")).collect()
-    return sorted({(r["l"], r["t"]) for r in got})
+    number, chars = {}, {}
+    for r in sizes:
+        number[r["l"]] = number.get(r["l"], 0) + r["n"]
+        chars[r["l"]] = chars.get(r["l"], 0) + r["n"] * r["size"]
+    share = max_chars / len(number)
+    # pieces go by their hash alone: a rerun or another partitioning takes the same ones. About twice as many as
+    # are kept pass here, so that the shuffle is small
+    rate = {x: min(1.0, 2 * (share / chars[x] + least / number[x])) for x in number}
+    limits = F.create_map(*[F.lit(x) for kv in rate.items() for x in kv])
+    some = every.where(F.col("h") < limits[F.col("l")]).distinct()
+    order = Window.partitionBy("l").orderBy("h", "t")
+    kept = some.withColumn("i", F.row_number().over(order)).withColumn("upto", F.sum(F.length("t")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    got = kept.where((F.col("upto") <= share) | (F.col("i") <= least)).select("l", "t").collect()
+    return sorted((r["l"], r["t"]) for r in got)
 
 
 class Model:
@@ -189,7 +208,7 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_chars: int = 2_000_000, seed: int = 7) -> Model:
-    """Fit a model on a bounded sample (``max_chars`` characters) of the labelled rows of ``docs``."""
+    """Fit a model on a bounded sample (``max_chars`` characters) of the labelled texts of ``docs``."""
     return fit(sample(docs, text, lang, max_chars, seed), seed=seed)
 
 

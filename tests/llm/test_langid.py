@@ -51,3 +51,26 @@ def test_nothing_to_learn_from(spark):
     got = {r.doc_id: (r.lang_pred, r.score, r.accepted) for r in langid.identify(docs, langid.train(docs)).collect()}
     assert got == {1: ("und", 0.0, True), 2: ("und", 0.0, False)}
     assert langid.identify(docs.limit(0), langid.train(docs.limit(0))).count() == 0
+
+
+def test_a_language_in_one_long_document_is_learned(spark):
+    rng = random.Random(4)
+    long = text("cc", 60000, rng)
+    for doc in range(4):  # whole texts picked by their hash would miss most of these
+        rows = [(text(lang, 60, rng), lang) for lang in ("aa", "bb") for _ in range(40)] + [(f"{doc} " + long, "cc")]
+        got = langid.sample(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", 300_000, 7)
+        assert {lang for lang, _ in got} == {"aa", "bb", "cc"}
+        assert 90_000 <= sum(len(t) for lang, t in got if lang == "cc") <= 100_000
+        assert all(len(t) <= 300 for _, t in got)
+
+
+def test_sample_is_bounded_whatever_repeats(spark):
+    rng = random.Random(5)
+    huge = text("aa", 60000, rng)
+    rows = [(huge, "aa")] * 40 + [(text("aa", 40, rng), "aa") for _ in range(40)] + [(text("bb", 40, rng), "bb") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for seed in range(4):
+        got = langid.sample(docs, "text", "lang", 240_000, seed)
+        assert sum(len(t) for _, t in got) <= 240_000 and len(set(got)) == len(got)
+        assert sum(lang == "aa" for lang, _ in got) >= 30 and sum(lang == "bb" for lang, _ in got) >= 30
+    assert sorted(langid.sample(docs.repartition(3), "text", "lang", 240_000, 3)) == got
