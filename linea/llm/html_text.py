@@ -3,12 +3,12 @@
 A page is parsed into a tree. Pass one hashes its container subtrees (tags,
 attributes and text, from the leaves up) and counts, per host, on how many
 different pages each occurs. A subtree is a template if it occurs on at least
-``min_pages`` pages of its host and on at least ``min_share`` of them. Pass two
+``min_pages`` pages of its host, however many the host has. Pass two
 parses again, deletes the templates together with what its tags and names tell
 to be navigation, adverts, notices, forms or reader comments, and joins the
 blocks of the rest. A page's ``article`` (else ``main``, else ``body``) is the
-place to look at. Inside an article only subtrees that hold less than half of
-its text can be templates, and paragraphs and headings never are: equal
+place to look at. Inside an article or main only subtrees that hold less than half of
+its text can be templates; on a page without either there is no such limit. Paragraphs and headings never are templates: equal
 passages of different articles are content, not template.
 
 Edge cases: null or empty html, or a page without main text, gives the empty
@@ -159,19 +159,24 @@ def places(root: Node) -> list[Node]:
     return [root]
 
 
+def most(top: Node) -> float:
+    """Half the length of text that a template inside ``top`` stays below: no limit for the whole page."""
+    return top.size / 2 if top.parent is not None else float("inf")
+
+
 def containers(root: Node) -> list[int]:
     """Signed hashes of the subtrees that may be templates."""
     order = digests(root)
-    inside: dict[int, int] = {}
+    inside: dict[int, float] = {}
     for top in places(root):
-        stack = [top]
+        limit, stack = most(top), [top]
         while stack:
             node = stack.pop()
-            inside[id(node)] = top.size
+            inside[id(node)] = limit
             stack.extend(c for c in node.children if isinstance(c, Node))
     out = set()
     for node in order:
-        if node.size and node.parent is not None and node.tag not in CONTENT and node.tag not in RAW and 2 * node.size < inside.get(id(node), 1 << 60):
+        if node.size and node.parent is not None and node.tag not in CONTENT and node.tag not in RAW and node.size < inside.get(id(node), float("inf")):
             out.add(node.digest - (1 << 64) if node.digest >> 63 else node.digest)
     return sorted(out)
 
@@ -191,8 +196,8 @@ def extract(page: str | None, templates: frozenset[int] = frozenset()) -> str:
         run.clear()
 
     for top in places(root):
-        deleted = lambda n, limit=top.size: (n.tag not in CONTENT and 2 * n.size < limit
-                                             and (n.digest - (1 << 64) if n.digest >> 63 else n.digest) in templates)
+        deleted = lambda n, limit=most(top): (n.tag not in CONTENT and n.size < limit
+                                              and (n.digest - (1 << 64) if n.digest >> 63 else n.digest) in templates)
         stack: list[Node | str | None] = [top]
         while stack:
             node = stack.pop()
@@ -210,7 +215,7 @@ def extract(page: str | None, templates: frozenset[int] = frozenset()) -> str:
     return " ".join(blocks)
 
 
-def templates(pages: DataFrame, host: Column, html: str, min_pages: int, min_share: float) -> DataFrame:
+def templates(pages: DataFrame, host: Column, html: str, min_pages: int) -> DataFrame:
     """(key, templates): template hashes of every different page (key: hash of host and html) that has any."""
 
     @F.pandas_udf("array<bigint>")
@@ -221,16 +226,14 @@ def templates(pages: DataFrame, host: Column, html: str, min_pages: int, min_sha
     rows = pages.select(host.alias("host"), F.col(html).alias("html")).withColumn("key", F.xxhash64("host", "html"))
     found = materialise(rows.select("host", "key", hashed.asNondeterministic()("html").alias("hashes")))
     once = found.groupBy("host", "key").agg(F.first("hashes").alias("hashes"))
-    totals = once.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     each = once.select("host", "key", F.explode("hashes").alias("h"))
-    counts = each.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    common = counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "h")
+    common = each.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("host", "h")
     return each.join(common, ["host", "h"]).groupBy("key").agg(F.collect_set("h").alias("templates"))
 
 
-def main_text(pages: DataFrame, host: Column, html: str = "html", min_pages: int = 10, min_share: float = 0.2) -> DataFrame:
+def main_text(pages: DataFrame, host: Column, html: str = "html", min_pages: int = 10) -> DataFrame:
     """``pages`` with ``text``, its main text (replaces a column of that name)."""
-    found = materialise(templates(pages, host, html, min_pages, min_share))
+    found = materialise(templates(pages, host, html, min_pages))
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -56,3 +56,26 @@ def test_pages_hold_their_documents(spark):
         shown = int(re.search(r"://[^/]+/\w+/(\d+)", r.url)[1])
         title = " ".join(html.unescape(re.search(r"<h1>(.*?)</h1>", r.html, re.S)[1]).split())
         assert r.text == f"{title} {docs[shown]}".strip()
+
+
+def test_templates_of_a_part_of_a_large_host(spark):
+    rows = [(i, "http://a.org/x", f"<body><div>Notice of one section</div><div>{'Story of this section. ' * 3}<p>Part {i}.</p></div></body>"
+             if i < 20 else f"<body><div><p>Story {i}.</p></div></body>") for i in range(200)]
+    rows += [(200, "http://a.org/x", "<body><div>Notice of one section</div></body>"),
+             (201, "http://a.org/x", "<main><div>Notice of one section</div><p>Short.</p></main>"),
+             (202, "http://b.org/x", "<body><div>Notice of one section</div></body>")]
+    rows += [(300 + i, "http://c.org/x", f"<body><div>Seen on {i % 2}</div><p>Story {i}.</p></body>") for i in range(18)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(pages, urls.host(F.col("url"))).collect()}
+    for i in range(20):  # a tenth of the host's pages
+        assert got[i] == "Story of this section. " * 3 + f"Part {i}."
+    assert got[200] == "" and got[201] == "Notice of one section Short." and got[202] == "Notice of one section"
+    assert all(got[300 + i] == f"Seen on {i % 2} Story {i}." for i in range(18))  # 9 pages each: too few
+
+
+def test_a_template_that_is_most_of_a_page_goes(spark):
+    rows = [(i, "http://a.org/x", f"<body><div><p>Story {i}.</p></div><div>Seen on A</div></body>") for i in range(30)]
+    rows.append((98, "http://a.org/y", "<body><div>Seen on A</div></body>"))
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(pages, urls.host(F.col("url"))).collect()}
+    assert got == {**{i: f"Story {i}." for i in range(30)}, 98: ""}
