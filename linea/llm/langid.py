@@ -9,8 +9,11 @@ spread evenly over the languages, but a least number of pieces for each); a held
 and the rejection threshold. Prediction reads every whole text inside Arrow
 tasks: the embedding and softmax matrices are multiplied once, so a text costs
 one gather of ``classes`` numbers per n-gram. A text is rejected when its best
-probability is hardly above an even guess or too few of its n-grams were met in
-training, with both thresholds taken from held-back pieces.
+probability is lower, or fewer of its n-grams were met in training, than in
+(almost) all pieces not trained on. Both limits go by the length of the text,
+the second also by its predicted language, and keys with digits inside don't
+count for it if other words are there; pieces joined from two languages count
+for the first, so that texts mixing two learned languages stay.
 
 Edge cases: null text or a text without letters is rejected as ``und`` with
 score 0. Rows with null language are never learned from. No labelled row at
@@ -21,6 +24,7 @@ that the operator does not use, whatever their names, pass through unchanged
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +35,20 @@ from pyspark.sql import types as T
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
+#: Letters and gaps of the texts that rejection limits are taken for: a text goes by the last that it reaches.
+LENGTHS = (16, 32, 64, 128, 256)
+#: Share of pieces that the limits leave out.
+LOWEST = 0.001
+#: The coverage limit allows so many times the unknown n-grams of the worst other piece, and this share at least (a new name);
+#: the probability limit is a part of that of the worst other piece.
+UNKNOWN_TIMES, SPARED, PART = 2.0, 0.05, 0.9
 #: Multipliers of the n-gram hash (odd, one per position).
 MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
 #: Length of an embedding's step against the softmax's.
 EMBED_RATE = 20.0
 OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                     T.StructField("accepted", T.BooleanType())])
+WORD = re.compile(r"[^\W_]+")
 _LETTERS: dict[int, np.ndarray] = {}
 
 
@@ -110,7 +122,8 @@ class Model:
 
     def __init__(self, classes: list[str], table: np.ndarray, bias: np.ndarray):
         self.classes, self.table, self.bias = classes, table, bias
-        self.temperature, self.reject, self.cover = 1.0, 0.0, 0.0
+        self.temperature = 1.0
+        self.reject, self.cover = np.zeros(len(LENGTHS)), np.zeros((len(LENGTHS), len(classes)))
 
     def means(self, ids: np.ndarray) -> tuple[np.ndarray, float]:
         """Logits and coverage of a text's n-grams."""
@@ -127,7 +140,15 @@ class Model:
         z, cover = self.means(ngram_ids(codes, len(self.table)))
         p = softmax(z[None, :] / self.temperature)[0]
         k = int(p.argmax())
-        return self.classes[k], float(min(1.0, p[k])), bool(p[k] >= self.reject and cover >= self.cover)
+        at = np.searchsorted(LENGTHS, len(codes), side="right") - 1
+        keep = at < 0 or p[k] >= self.reject[at] and (cover >= self.cover[at, k] or self.known(text, k))
+        return self.classes[k], float(min(1.0, p[k])), bool(keep)
+
+    def known(self, text: str, k: int) -> bool:
+        """Whether the words without digits are covered as class ``k`` is."""
+        codes = letter_codes(WORD.sub(lambda m: m[0] if m[0].isalpha() else " ", text))
+        at = np.searchsorted(LENGTHS, len(codes), side="right") - 1
+        return at >= 0 and self.means(ngram_ids(codes, len(self.table)))[1] >= self.cover[at, k]
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -143,7 +164,7 @@ def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, dim: int = 16, epoc
     """
     classes = sorted({lang for lang, _ in rows})
     empty = Model(classes, np.zeros((buckets, len(classes) + 1)), np.zeros(len(classes)))
-    bags, labels = [], []
+    bags, labels, texts = [], [], []
     for lang, text in rows:
         codes = letter_codes(text)
         for at in range(0, len(codes), chunk):
@@ -151,6 +172,7 @@ def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, dim: int = 16, epoc
             if np.count_nonzero(piece) >= 2:
                 bags.append(np.unique(ngram_ids(piece, buckets), return_counts=True))
                 labels.append(classes.index(lang))
+                texts.append(piece)
     if not bags:
         return empty
     rng = np.random.default_rng(seed)
@@ -182,24 +204,47 @@ def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, dim: int = 16, epoc
             # an n-gram holds a small share of its piece, so embeddings take longer steps than the softmax
             np.add.at(emb, ids, -lr * EMBED_RATE * np.repeat(back, sizes, axis=0) * weight[:, None])
             done += 1
-    seen = np.zeros((buckets, 1))
+    holders = np.zeros(buckets, dtype=np.int64)  # pieces of the training part that hold an n-gram
     for i in train:
-        seen[bags[i][0]] = 1
-    model = Model(classes, np.hstack([emb @ out, seen]), bias)
+        holders[bags[i][0]] += 1
+    model = Model(classes, np.hstack([emb @ out, (holders > 0)[:, None]]), bias)
     check = held if len(held) else train
     means = np.stack([(bags[i][1] / bags[i][1].sum()) @ model.table[bags[i][0]] for i in check])
-    z = means[:, :-1] + bias
-    model.temperature = calibrate(z, y[check])
-    p = softmax(z / model.temperature)
-    right = p.argmax(axis=1) == y[check]
-    if right.any():
-        # Reject what is hardly above an even guess, and what holds half as many known n-grams as
-        # all but one in a thousand of the held-back pieces; texts of two learned languages stay.
-        model.reject = float(min(1.2 / len(classes), np.quantile(p.max(axis=1)[right], 0.001)))
-        model.cover = float(np.quantile(means[right, -1], 0.001) / 2)
+    model.temperature = calibrate(means[:, :-1] + bias, y[check])
+    own = np.zeros(len(bags), dtype=np.int64)
+    own[train] = 1
+    limits(model, texts, y, own, holders, check, rng)
     return model
 
 
+def lowest(values: np.ndarray) -> float:
+    """What all values but the lowest ``LOWEST`` reach."""
+    return float(np.quantile(values, LOWEST)) if len(values) else 0.0
+
+
+def limits(model: Model, texts: list[np.ndarray], y: np.ndarray, own: np.ndarray, holders: np.ndarray, check: np.ndarray, rng) -> None:
+    """Set the rejection limits from starts of pieces, a row of limits for each length.
+
+    Coverage of a piece counts n-grams that training pieces other than itself
+    hold (``own``: 1 for pieces of the training part), so that few pieces give
+    low limits. Probabilities are those of ``check``, and of pairs of them from
+    two languages joined at even lengths.
+    """
+    for row, size in enumerate(LENGTHS):
+        ids = {i: ngram_ids(texts[i][:size], len(model.table)) for i in range(len(texts)) if len(texts[i]) >= size}
+        cover = {i: float(np.mean(holders[g] > own[i])) for i, g in ids.items()}
+        low = np.array([lowest(np.array([c for i, c in cover.items() if y[i] == k])) for k in range(len(model.classes))])
+        model.cover[row] = 1 - np.clip(UNKNOWN_TIMES * (1 - low), SPARED, 1)
+        pure = [i for i in check if i in ids]
+        z = np.array([model.means(ids[i])[0] for i in pure]).reshape(len(pure), len(model.classes))
+        other = rng.permutation(len(pure))
+        two = y[pure] != y[np.array(pure, dtype=np.int64)[other]]
+        p = softmax(z / model.temperature)
+        best = p.max(axis=1)[p.argmax(axis=1) == y[pure]]
+        mixed = softmax((z + z[other])[two] / 2 / model.temperature).max(axis=1) if two.any() else np.zeros(0)
+        model.reject[row] = PART * lowest(np.concatenate([best, mixed]))
+
+
 def calibrate(z: np.ndarray, y: np.ndarray) -> float:
     """Temperature of least negative log likelihood on a fixed grid."""
     grid = np.geomspace(0.05, 20, 61)

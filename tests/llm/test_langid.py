@@ -74,3 +74,34 @@ def test_sample_is_bounded_whatever_repeats(spark):
         assert sum(len(t) for _, t in got) <= 240_000 and len(set(got)) == len(got)
         assert sum(lang == "aa" for lang, _ in got) >= 30 and sum(lang == "bb" for lang, _ in got) >= 30
     assert sorted(langid.sample(docs.repartition(3), "text", "lang", 240_000, 3)) == got
+
+
+ITALIAN = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Quanto a dir qual era "
+           "questa selva selvaggia e aspra e forte che nel pensier rinova la paura. Tanto amara che poco più morte.")
+
+
+def test_rejects_unlearned_languages_of_the_same_script(model):
+    rng = random.Random(6)
+    finnish = "Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan, sukuvirttä suoltamahan, lajivirttä laulamahan."
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz     ", k=300))
+    for t in (ITALIAN, finnish, noise, ITALIAN * 100):
+        assert not model.predict(t)[2]
+
+
+def test_keeps_mixed_and_short_texts_and_those_with_keys(model):
+    rng = random.Random(7)
+    kept = []
+    for i in range(150):
+        one, two = rng.sample(list(SYLLABLES), 2)
+        kept.append(model.predict(text(one, 20, rng) + " " + text(two, 20, rng))[2])
+        kept.append(model.predict(text(one, 3, rng))[2])
+        kept.append(model.predict(f'"{rng.getrandbits(160):040x}" {text(one, 12, rng)}')[2])
+    assert sum(kept) >= 0.98 * len(kept)
+
+
+def test_unlearned_latin_script_is_rejected_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = langid.train(docs)
+    got = langid.identify(docs, m)
+    assert got.where("not accepted").count() <= 0.002 * docs.count()
+    assert not m.predict(ITALIAN)[2] and not m.predict("".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz     ", k=300)))[2]
