@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import ann, html_text, langid, mixing, omh, packing, secret_scan, simhash, toxicity, urls
+from linea.llm import ann, conversations, html_text, langid, mixing, omh, packing, secret_scan, simhash, toxicity, urls
 from linea.llm.common import load, materialise, remainder
 
 
@@ -103,6 +103,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structure repair of every conversation of ``conversations`` after the contract's damage."""
+    rows = load(spark, sf_dir, "conversations")
+    told = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    code = F.crc32(F.encode(told, "UTF-8")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    copies = F.array_repeat(F.lit(0), F.when(code == 3, 2).otherwise(1))
+    hurt = rows.select("conv_id", "turn", F.when(code == 4, "user").otherwise(F.col("role")).alias("role"),
+                       F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                       (code != 0).alias("present"), F.explode(copies).alias("copy"))
+    return conversations.repair(hurt, present=F.col("present")).summary
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_packing, op4_secrets, op5_order_minhash,
-                                  op6_nearest, op7_url_filter, op8_html_text, op9_mixing, op10_language_id)}
+                                  op6_nearest, op7_url_filter, op8_html_text, op9_mixing, op10_language_id,
+                                  op11_conversation_repair)}
 SQL: dict[str, str] = {}
