@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import ann, conversations, html_text, langid, mixing, omh, packing, secret_scan, simhash, toxicity, urls
-from linea.llm.common import load, materialise, remainder
+from linea.llm import ann, conversations, html_text, langid, mixing, omh, packing, periodic, secret_scan, simhash, toxicity, urls
+from linea.llm.common import let, load, materialise, remainder
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,39 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(hurt, present=F.col("present")).summary
 
 
+def _periodic_text(doc_id, text):
+    """The contract's damage: in a tenth of the documents, the words from a place on repeat its first ones."""
+    h = F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        head, unit = F.slice(words, 1, a), F.slice(words, a + 1, p)
+        whole = F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(head, F.slice(whole, 1, n - a)), " ")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hit = (h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]")
+    return F.when(hit, let(words, repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, after the contract's damage."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", _periodic_text(F.col("doc_id"), F.col("text")).alias("text"))
+    rows = periodic.detect(docs, least=12)
+    # greatest length first, then smallest start, then smallest period
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    sha = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
+    rows = rows.withColumn("top", top)
+    return rows.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.s")).alias("start"), F.col("top.length").alias("length"),
+                       (-F.col("top.p")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.p")).alias("exponent_milli"),
+                       sha(told).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_packing, op4_secrets, op5_order_minhash,
                                   op6_nearest, op7_url_filter, op8_html_text, op9_mixing, op10_language_id,
-                                  op11_conversation_repair)}
+                                  op11_conversation_repair, op12_periodic_runs)}
 SQL: dict[str, str] = {}
