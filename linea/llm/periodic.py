@@ -126,28 +126,33 @@ class Catchers:
     def _catch(self, level: int, old: int) -> None:
         """Blocks that the appended words complete meet the two live catchers of their level."""
         b, h = 1 << level, self.hashes[level]
-        j = np.arange(max(0, old - b + 1), self.n - b + 1)
-        newest = (j - (2 * b - 1)) // b * b
-        for catcher in (newest, newest - b):
-            live = catcher >= 0
-            if self.max_period is not None:
-                live &= j - catcher <= self.max_period
-            same = np.zeros(len(j), bool)
-            same[live] = h[j[live]] == h[catcher[live]]
+        begin, end = max(0, old - b + 1), self.n - b + 1
+        for distance in (2 * b - 1, 3 * b - 1):  # least distance of the newest live catcher, and of the one before
+            low = max(begin, distance)
+            if low >= end:
+                continue
+            # the catcher of position j is the block at or below j - distance
+            block0 = (low - distance) // b * b
+            watched = np.repeat(h[block0:end - distance:b], b)[low - distance - block0:][:end - low]
+            same = h[low:end] == watched
             first = same.copy()
             first[b:] &= ~same[:-b]  # the block before recurs at the same distance: one comparison
             if not first.any():
                 continue
-            block, period = catcher[first], (j - catcher)[first]
+            j = low + np.flatnonzero(first)
+            block = (j - distance) // b * b
+            period = j - block
+            if self.max_period is not None:
+                block, period = block[period <= self.max_period], period[period <= self.max_period]
             if len(self.open_period):
                 at = np.minimum(np.searchsorted(self.open_period, period), len(self.open_period) - 1)
                 known = (self.open_period[at] == period) & (self.open_start[at] <= block)
                 block, period = block[~known], period[~known]
             start = block - self._agree(block + period, period, False)
-            end = block + period + b
-            end += self._agree(end, period, True)
-            going = end == self.n
-            self._report(start[~going], end[~going], period[~going])
+            stop = block + period + b
+            stop += self._agree(stop, period, True)
+            going = stop == self.n
+            self._report(start[~going], stop[~going], period[~going])
             periods, which = np.unique(np.concatenate([self.open_period, period[going]]), return_index=True)
             self.open_start = np.concatenate([self.open_start, start[going]])[which]
             self.open_period = periods
