@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linea.llm import ann, conversations, html_text, langid, mixing, omh, packing, periodic, secret_scan, simhash, toxicity, urls
+from linea.llm import ann, conversations, html_text, langid, line_dedup, mixing, omh, packing, periodic, secret_scan, simhash, toxicity, urls
 from linea.llm.common import let, load, materialise, remainder
 
 
@@ -148,7 +148,26 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        sha(told).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of 40 characters or more that five documents or more hold, but in the largest of them."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = line_dedup.drop_repeated(docs, min_chars=40, min_docs=5)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+LINE_DEDUP_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r"""
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_packing, op4_secrets, op5_order_minhash,
                                   op6_nearest, op7_url_filter, op8_html_text, op9_mixing, op10_language_id,
-                                  op11_conversation_repair, op12_periodic_runs)}
-SQL: dict[str, str] = {}
+                                  op11_conversation_repair, op12_periodic_runs, op13_line_dedup)}
+SQL: dict[str, str] = {"op13_line_dedup": LINE_DEDUP_SQL}
