@@ -1,35 +1,48 @@
 """Joint subword (BPE) learning and application (M3-M6).
 
 Learning (M4) works on the word-type table ``word, freq, syms`` (symbols
-space-joined; the last symbol carries the end-of-word marker). Each round:
-
-1. pair statistics (M3): adjacent symbol pairs weighted by word frequency —
-   ``explode`` + ``groupBy(a, b).sum`` with partial aggregation;
-2. the top pairs come back to the driver (a bounded list), and a *batch* of
-   merges is chosen that provably equals what one-at-a-time merging would
-   pick next: the first pair, then the longest run of pairs that share no
-   symbol with any earlier pair and whose count is strictly above every pair
-   that does share one (a merge can only create pairs bounded by such a pair);
-3. the batch is applied to every word type with ``regexp_replace`` on the
-   space-joined symbols (JVM side, no Python).
-
-The loop cuts lineage with ``checkpoint()`` into the session's checkpoint
-folder every few rounds. Ranking ties: higher count first, then the larger
+space-joined; the last symbol carries the end-of-word marker) and equals
+one-merge-at-a-time learning. Ranking ties: higher count first, then the larger
 pair (as the reference tool's ``max`` over ``(count, pair)``).
 
-Application (M6) segments each line in an Arrow-batched pandas UDF; the merge
-table (bounded by the number of merges) is broadcast and words are memoised
-per worker, so frequent words cost one lookup and no shuffle is needed.
+Merges are learned in *windows*, from the current best count down to a
+threshold. Pairs below the threshold at a window's start stay below it: a merge
+only creates pairs whose count is bounded by a pair it replaces. So words fall
+apart at those cold pairs, and what is left, the different *hot segments* with
+their summed frequencies, decides all merges of the window:
+
+1. pair counts (M3) over the word types; the window's threshold is set just
+   above the first pair beyond the ``hot`` best ones (a bounded list);
+2. hot segments: cut in the tasks that hold the types, summed by a
+   ``groupBy``. More than ``window`` of them: a narrower window;
+3. one task holds the segments (at most ``window``) with an incremental index:
+   pair counts, and pair -> segments. A merge touches only the segments that
+   hold its pair and adds and subtracts their pairs;
+4. the window's merges are replayed on the word types, where they lie.
+
+A merge whose product is a symbol already (the same string by another way)
+would let counts of cold pairs add up; it ends the window and is made by itself
+on the types. Where even the best pair's segments are too many, a round merges
+the pairs that provably come next (:func:`choose_batch`) on the types.
+
+Application (M6) is a relation of word types: the learner keeps word ->
+subwords, words it has not seen are replayed once a type, and lines meet their
+words by a checked lookup join.
 """
 
 from __future__ import annotations
 
-import re
+import heapq
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from linea.operators.positional import lookup_join
+
 # End-of-word marker and continuation mark.
 EOW = "</w>"
 SEP = "@@"
@@ -77,52 +90,235 @@ def choose_batch(top: list[tuple[str, str, int]], min_count: int = 2) -> list[tu
     return [batch[0]] + [t for t in batch[1:] if t[2] > cut]
 
 
-def _apply_merges(df: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
-    """Apply a batch of (symbol-disjoint) merges, one projection per merge; a
-    cheap substring test guards each regex so only word types containing the
-    pair are rewritten."""
-    for a, b, _ in merges:
-        pat = r"(?<!\S)" + re.escape(a) + " " + re.escape(b) + r"(?!\S)"
-        rep = (a + b).replace("\\", "\\\\").replace("$", "\\$")
-        syms = F.col("syms")
-        df = df.select("freq", F.when(F.instr(syms, a + " " + b) > 0, F.regexp_replace(syms, pat, rep))
-                       .otherwise(syms).alias("syms"))
-    return df
+#: Most hot segments that one task learns from; most pairs of a window's list.
+WINDOW, HOT_PAIRS = 200_000, 1 << 16
+
+
+def hot_segments(syms: list[str], hot: set[tuple[str, str]]) -> list[list[str]]:
+    """The stretches of symbols whose neighbouring pairs are all hot (two symbols or more)."""
+    out, begin = [], 0
+    for i in range(1, len(syms) + 1):
+        if i == len(syms) or (syms[i - 1], syms[i]) not in hot:
+            if i - begin > 1:
+                out.append(syms[begin:i])
+            begin = i
+    return out
+
+
+def merge_pair(syms: list[str], a: str, b: str) -> list[str]:
+    """``syms`` with the pair merged, left to right without overlaps."""
+    out, i, n = [], 0, len(syms)
+    while i < n:
+        if i < n - 1 and syms[i] == a and syms[i + 1] == b:
+            out.append(a + b)
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
+
+
+def _falling(pair: tuple[str, str]) -> tuple:
+    """A key whose ascending order is the descending order of pairs."""
+    return tuple(tuple(-ord(c) for c in s) + (1,) for s in pair)
+
+
+def is_symbol(product: str, products: set[str]) -> bool:
+    """Whether a merge's product may be a symbol already: made before, or a first symbol of some word."""
+    return product in products or len(product) == 1 or (len(product) == 1 + len(EOW) and product.endswith(EOW))
+
+
+class PairIndex:
+    """Pair counts and pair -> segments, kept up to date merge by merge."""
+
+    def __init__(self, segments: list[tuple[list[str], int]], least: int):
+        self.syms = [s for s, _ in segments]
+        self.freq = [f for _, f in segments]
+        self.least = least
+        self.count: dict[tuple[str, str], int] = {}
+        self.where: dict[tuple[str, str], set[int]] = {}
+        for i in range(len(segments)):
+            self._add(i)
+        self.heap = [(-c, _falling(p), p) for p, c in self.count.items() if c >= least]
+        heapq.heapify(self.heap)
+
+    def _add(self, i: int) -> set[tuple[str, str]]:
+        s, f = self.syms[i], self.freq[i]
+        pairs = list(zip(s, s[1:], strict=False))
+        for p in pairs:
+            self.count[p] = self.count.get(p, 0) + f
+            self.where.setdefault(p, set()).add(i)
+        return set(pairs)
+
+    def _subtract(self, i: int) -> None:
+        s, f = self.syms[i], self.freq[i]
+        for p in zip(s, s[1:], strict=False):
+            self.count[p] -= f
+            self.where[p].discard(i)
+
+    def best(self) -> tuple[str, str, int] | None:
+        """The pair of the highest count, the larger one of equals, if it is not below the threshold."""
+        while self.heap:
+            minus, key, p = self.heap[0]
+            now = self.count[p]
+            if now == -minus:
+                return p[0], p[1], now
+            heapq.heappop(self.heap)  # told before a merge took some
+            if self.least <= now < -minus:
+                heapq.heappush(self.heap, (-now, key, p))
+        return None
+
+    def merge(self, a: str, b: str) -> None:
+        changed: set[tuple[str, str]] = set()
+        for i in list(self.where[a, b]):
+            self._subtract(i)
+            self.syms[i] = merge_pair(self.syms[i], a, b)
+            changed |= {p for p in self._add(i) if p[0] == a + b or p[1] == a + b}
+        for p in changed:
+            if self.count[p] >= self.least:
+                heapq.heappush(self.heap, (-self.count[p], _falling(p), p))
+
+
+def learn_window(segments: list[tuple[list[str], int]], least: int, most: int, products: set[str]) -> list[tuple[str, str, int]]:
+    """The next merges with counts of ``least`` or more, ``most`` at most, up to one whose product is a symbol already."""
+    index, out, known = PairIndex(segments, least), [], set(products)
+    while len(out) < most and (best := index.best()) is not None:
+        a, b, count = best
+        if is_symbol(a + b, known):
+            break
+        out.append((a, b, count))
+        known.add(a + b)
+        index.merge(a, b)
+    return out
+
+
+def replay(syms: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Ranked merges on one word's symbols, lowest rank first."""
+    while len(syms) > 1:
+        found = [(ranks[p], p) for p in zip(syms, syms[1:], strict=False) if p in ranks]
+        if not found:
+            break
+        syms = merge_pair(syms, *min(found)[1])
+    return syms
+
+
+def _segments(types: DataFrame, hot: set[tuple[str, str]]) -> DataFrame:
+    """``seg, freq``: the different hot segments of the word types."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segs, freqs = [], []
+            for syms, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for s in hot_segments(syms.split(" "), hot):
+                    segs.append(" ".join(s))
+                    freqs.append(f)
+            yield pa.RecordBatch.from_arrays([pa.array(segs, pa.string()), pa.array(freqs, pa.int64())], ["seg", "freq"])
+
+    found = types.select("syms", F.col("freq").cast("bigint").alias("freq")).mapInArrow(cut, "seg string, freq bigint")
+    return found.groupBy("seg").agg(F.sum("freq").alias("freq"))
+
 
+def _learned(segments: DataFrame, least: int, most: int, products: set[str]) -> list[tuple[str, str, int]]:
+    """The window's merges, learned in one task from at most ``WINDOW`` segments."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(s.split(" "), f) for batch in batches for s, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        merges = learn_window(held, least, most, products)
+        yield pa.RecordBatch.from_arrays([pa.array([m[j] for m in merges], t) for j, t in enumerate((pa.string(), pa.string(), pa.int64()))]
+                                         + [pa.array(range(len(merges)), pa.int64())], ["a", "b", "cnt", "n"])
 
-def learn(types: DataFrame, num_merges: int, min_count: int = 2, top_k: int = 64,
-          checkpoint_every: int = 16) -> list[tuple[str, str, int]]:
-    """M4: up to ``num_merges`` merges ``(a, b, count)`` in learning order.
+    rows = segments.coalesce(1).mapInArrow(run, "a string, b string, cnt bigint, n bigint").collect()
+    return [(r["a"], r["b"], r["cnt"]) for r in sorted(rows, key=lambda r: r["n"])]
 
-    Each round's word table is cached (filled by the next round's statistics
-    job, so no extra pass) and the previous one released; every
-    ``checkpoint_every`` rounds the table is checkpointed to cut the lineage.
-    Losing a cached block only costs recomputation from the last checkpoint.
+
+def _replayed(types: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
+    """The word types after ``merges``, without a shuffle."""
+    ranks = {(a, b): i for i, (a, b, _) in enumerate(merges)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            syms = [" ".join(replay(s.split(" "), ranks)) for s in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(syms, pa.string())], ["word", "freq", "syms"])
+
+    return types.select("word", "freq", "syms").mapInArrow(run, "word string, freq bigint, syms string")
+
+
+def learn_types(types: DataFrame, num_merges: int, min_count: int = 2, top_k: int = 256, checkpoint_every: int = 1,
+                window: int = WINDOW) -> tuple[list[tuple[str, str, int]], DataFrame]:
+    """M4: up to ``num_merges`` merges ``(a, b, count)`` in learning order, and the word types in the merged symbols.
+
+    ``top_k`` is the first window's number of pairs; later ones grow fourfold
+    while their segments are few, and shrink where they exceed ``window``. The
+    types are checkpointed every ``checkpoint_every`` windows and cached between.
     """
     merges: list[tuple[str, str, int]] = []
-    cur = types.select("freq", "syms").checkpoint(eager=True)
-    held = None
-    rounds = 0
+    cur = types.select("word", F.col("freq").cast("bigint").alias("freq"), "syms").checkpoint(eager=True)
+    hot_pairs, rounds, alone, held = top_k, 0, False, []
+    ranking = [F.col("cnt").desc(), F.col("a").desc(), F.col("b").desc()]
     while len(merges) < num_merges:
-        top = (pair_stats(cur).orderBy(F.col("cnt").desc(), F.col("a").desc(), F.col("b").desc())
-               .limit(top_k).collect())
-        if held is not None:
-            held.unpersist()
-        held = cur
-        batch = choose_batch([(r["a"], r["b"], int(r["cnt"])) for r in top], min_count)
-        if not batch:
+        pairs = pair_stats(cur).where(F.col("cnt") >= min_count).cache()
+        new: list[tuple[str, str, int]] = []
+        narrowed = False
+        while not new:
+            top = [(r["a"], r["b"], int(r["cnt"])) for r in pairs.orderBy(*ranking).limit(hot_pairs + 1).collect()]
+            if not top:
+                break
+            least = top[-1][2] + 1 if len(top) > hot_pairs else min_count
+            hot = {(a, b) for a, b, c in top if c >= least}
+            products = {a + b for a, b, _ in merges}
+            segments = None
+            if hot and not alone:
+                segments = _segments(cur, hot).cache()
+                size = segments.count()
+                if size <= window:
+                    new = _learned(segments, least, num_merges - len(merges), products)
+                    alone = not new  # the next merge makes a symbol that is there already
+                    hot_pairs = min(hot_pairs * 4, HOT_PAIRS) if size < window // 4 else hot_pairs
+                segments.unpersist()
+                if new or (size <= window and not alone):
+                    continue
+            if not alone and hot_pairs > 1 and hot:  # too many segments
+                hot_pairs, narrowed = max(1, hot_pairs // 4), True
+                continue
+            if not alone and not hot and not narrowed and hot_pairs < HOT_PAIRS:  # all of one count
+                hot_pairs = min(hot_pairs * 4, HOT_PAIRS)
+                continue
+            new = top[:1] if alone else _distinct_products(choose_batch(top, min_count), products)
+            new, alone = new[: num_merges - len(merges)], False
+        pairs.unpersist()
+        if not new:
             break
-        batch = batch[: num_merges - len(merges)]
-        merges.extend(batch)
+        merges.extend(new)
         rounds += 1
-        nxt = _apply_merges(cur, batch)
+        nxt = _replayed(cur, new)
         if rounds % checkpoint_every == 0:
             cur = nxt.checkpoint(eager=True)
+            for frame in held:
+                frame.unpersist()
+            held = []
         else:
             cur = nxt.cache()
-    if held is not None:
-        held.unpersist()
-    return merges
+            held.append(cur)
+    if held:
+        cur = cur.checkpoint(eager=True)
+        for frame in held:
+            frame.unpersist()
+    return merges, cur
+
+
+def _distinct_products(batch: list[tuple[str, str, int]], products: set[str]) -> list[tuple[str, str, int]]:
+    """The batch up to a merge whose product is a symbol already (the first merge always stays)."""
+    known, out = set(products), []
+    for a, b, c in batch:
+        if out and is_symbol(a + b, known):
+            break
+        out.append((a, b, c))
+        known.add(a + b)
+    return out
+
+
+def learn(types: DataFrame, num_merges: int, min_count: int = 2, top_k: int = 256, checkpoint_every: int = 1,
+          window: int = WINDOW) -> list[tuple[str, str, int]]:
+    """M4: the merges alone (see :func:`learn_types`)."""
+    return learn_types(types, num_merges, min_count, top_k, checkpoint_every, window)[0]
 
 
 def merges_frame(spark, merges: list[tuple[str, str, int]]) -> DataFrame:
@@ -134,24 +330,7 @@ def encode_word(word: str, ranks: dict) -> list[str]:
     """Greedy application of ranked merges to one word (lowest rank first)."""
     if not word:
         return []
-    syms = list(word[:-1]) + [word[-1] + EOW]
-    while len(syms) > 1:
-        best, best_rank = None, None
-        for i in range(len(syms) - 1):
-            r = ranks.get((syms[i], syms[i + 1]))
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = (syms[i], syms[i + 1]), r
-        if best is None:
-            break
-        out, i = [], 0
-        while i < len(syms):
-            if i < len(syms) - 1 and (syms[i], syms[i + 1]) == best:
-                out.append(syms[i] + syms[i + 1])
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
+    syms = replay(list(word[:-1]) + [word[-1] + EOW], ranks)
     if syms[-1] == EOW:
         syms = syms[:-1]
     elif syms[-1].endswith(EOW):
@@ -188,6 +367,60 @@ def apply_udf(spark, merges: list[tuple[str, str, int]]):
     return bpe
 
 
+def subwords(types: DataFrame) -> DataFrame:
+    """``word, freq, sub``: learned word types as text, all subwords but the last marked, without the end-of-word marker."""
+    body = F.substring(F.col("syms"), F.lit(1), F.length("syms") - len(EOW))
+    return types.select("word", "freq", F.replace(body, F.lit(" "), F.lit(SEP + " ")).alias("sub"))
+
+
+def segment_words(words: DataFrame, merges: list[tuple[str, str, int]]) -> DataFrame:
+    """``word, sub`` of the different words of ``words`` by replaying the merges, once a word."""
+    ranks = {(a, b): i for i, (a, b, _) in enumerate(merges)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            subs = [(SEP + " ").join(encode_word(w, ranks)) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(subs, pa.string())], ["word", "sub"])
+
+    return words.select("word").distinct().mapInArrow(run, "word string, sub string")
+
+
+def segment(df: DataFrame, text: dict[str, str], merges: list[tuple[str, str, int]], known: DataFrame | None = None) -> DataFrame:
+    """M6: ``df`` with each text column of ``text`` (input -> output name) in subwords, words parted by one space.
+
+    ``known`` (``word, sub``) is what the learner kept; other words are replayed
+    once a type. Words of all lines meet that relation in one checked lookup
+    join and are put together again by line: null stays null, empty stays empty.
+    """
+    keyed = df.withColumn("__line", F.monotonically_increasing_id()).checkpoint(eager=True)
+    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    parts = [keyed.select("__line", F.lit(i).alias("__side"), F.posexplode(words(c)).alias("__pos", "word")) for i, c in enumerate(text)]
+    tokens = parts[0]
+    for p in parts[1:]:
+        tokens = tokens.unionByName(p)
+    if known is None:
+        relation = segment_words(tokens, merges)
+    else:
+        known = known.select("word", "sub")
+        fresh = tokens.select("word").distinct().join(known.select("word"), "word", "left_anti")
+        relation = known.unionByName(segment_words(fresh, merges))
+    met = lookup_join(tokens, relation, "word", "inner")
+    side = lambda i: F.array_join(F.transform(F.array_sort(F.collect_list(
+        F.when(F.col("__side") == i, F.struct("__pos", "sub")))), lambda s: s["sub"]), " ").alias(f"__sub{i}")
+    lines = met.groupBy("__line").agg(*[side(i) for i in range(len(text))])
+    out = keyed.join(lines, "__line", "left")
+    for i, (source, name) in enumerate(text.items()):
+        out = out.withColumn(f"__new{i}", F.when(F.col(source).isNotNull(), F.coalesce(f"__sub{i}", F.lit(""))))
+    kept = [c for c in df.columns if c not in text.values()]
+    return out.select(*kept, *[F.col(f"__new{i}").alias(name) for i, name in enumerate(text.values())])
+
+
+def type_vocabulary(types: DataFrame) -> DataFrame:
+    """M5 of the learner's own corpus, counted over its word types: ``token, cnt``."""
+    return (subwords(types).select(F.explode(F.split("sub", " ")).alias("token"), "freq").where(F.col("token") != "")
+            .groupBy("token").agg(F.sum("freq").alias("cnt")))
+
+
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """M5: subword frequency list ``token, cnt`` of segmented text."""
     return (df.select(F.explode(F.split(F.col(text), " ")).alias("token")).where(F.col("token") != "")

@@ -136,10 +136,11 @@ def _pairs(cased: DataFrame, split: str, src: str = "en", tgt: str = "vi") -> Da
     return bind_strict(a, b, ["line_no"], f"{split}: {src} and {tgt}")
 
 
-def _segmented(sets: DataFrame, merges) -> DataFrame:
-    """Both sides of a training set in subwords (M6)."""
-    bpe = SW.apply_udf(sets.sparkSession, merges)
-    return sets.select("split", "line_no", bpe("src").alias("src"), bpe("tgt").alias("tgt"))
+def _segmented(sets: DataFrame, merges, types: DataFrame | None = None) -> DataFrame:
+    """Both sides of a training set in subwords (M6); ``types``: the learner's word types, if it ran here."""
+    known = None if types is None else SW.subwords(types)
+    sub = SW.segment(sets, {"src": "src", "tgt": "tgt"}, merges, known)
+    return sub.select("split", "line_no", "src", "tgt")
 
 
 def _side_vocab(sub: DataFrame, side: str) -> DataFrame:
@@ -173,11 +174,12 @@ def prepare_bidirectional(corpus: DataFrame, step: int = 0, prev: DataFrame | No
         train = C.build_step(step, par, prev.where(F.col("split") == "train").drop("split"))
         sets = C.carry_forward(train, prev)
     sets = sets.checkpoint(eager=True)
+    types = None
     if merges is None:
         both = sets.where(F.col("split") == "train").select(F.split("src", " ").alias("tokens")).unionByName(
             sets.where(F.col("split") == "train").select(F.split("tgt", " ").alias("tokens")))
-        merges = SW.learn(SW.word_types(both), num_merges)
-    sub = _segmented(sets, merges).checkpoint(eager=True)
+        merges, types = SW.learn_types(SW.word_types(both), num_merges)
+    sub = _segmented(sets, merges, types).checkpoint(eager=True)
     tagged = None
     for split in ("train", "valid", "test"):
         part = C.tag_directions(sub.where(F.col("split") == split), step, split, text="src")
@@ -224,9 +226,9 @@ def prepare_independent(corpus: DataFrame, src: str, tgt: str, num_merges: int =
     cased = truecase_corpus(tokenize_corpus(corpus))
     train = _pairs(cased, "train", src, tgt)
     both = train.select(F.split(src, " ").alias("tokens")).unionByName(train.select(F.split(tgt, " ").alias("tokens")))
-    merges = SW.learn(SW.word_types(both), num_merges)
+    merges, types = SW.learn_types(SW.word_types(both), num_merges)
     sub = _segmented(train.select(F.lit("train").alias("split"), "line_no", F.col(src).alias("src"),
-                                  F.col(tgt).alias("tgt")), merges).checkpoint(eager=True)
+                                  F.col(tgt).alias("tgt")), merges, types).checkpoint(eager=True)
     src_dict = V.build_dictionary(sub.select(F.split("src", " ").alias("tokens")), pad_to_multiple=8)
     tgt_dict = V.build_dictionary(sub.select(F.split("tgt", " ").alias("tokens")), pad_to_multiple=8)
     out = prepare_unidirectional(corpus, src, tgt, merges, src_dict, tgt_dict, cased)
@@ -243,6 +245,6 @@ def prepare_finetune(corpus: DataFrame, src: str, tgt: str, merges, step_dicts:
 def prepare_translation_input(cased: DataFrame, merges) -> DataFrame:
     """P5: step-0 truecased lines segmented with the joint codes and tagged by
     language (<e2v> for English sources, <v2e> for Vietnamese)."""
-    bpe = SW.apply_udf(cased.sparkSession, merges)
     tag = F.when(F.col("lang") == "en", F.lit(T.TAG_E2V)).otherwise(F.lit(T.TAG_V2E))
-    return cased.select("split", "lang", "line_no", T.tag_constant(bpe("text"), tag).alias("text"))
+    sub = SW.segment(cased, {"text": "text"}, merges)
+    return sub.select("split", "lang", "line_no", T.tag_constant("text", tag).alias("text"))

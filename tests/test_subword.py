@@ -62,3 +62,55 @@ def test_apply_udf_roundtrip(spark):
     back = [r[0] for r in df.select(T.join_subwords(SW.apply_udf(spark, merges)("s"))).collect()]
     assert back == ["the banana than", ""]
     assert F is not None
+
+
+def vocab_frame(spark, vocab):
+    return SW.word_types(spark.createDataFrame([(w.split(" "),) for w in vocab.elements()], "tokens array<string>"))
+
+
+def test_windows_of_any_size_equal_sequential(spark):
+    rnd = random.Random(11)
+    vocab = Counter("".join(rnd.choice("abcab") for _ in range(rnd.randint(1, 9))) for _ in range(250))
+    want = py_learn(vocab, 60)
+    types = vocab_frame(spark, vocab)
+    for window, top_k, n in ((200_000, 256, 60), (200_000, 3, 60), (25, 8, 12), (1, 4, 6)):
+        assert SW.learn(types, n, top_k=top_k, window=window) == want[:n], (window, top_k)
+
+
+def test_products_that_are_symbols_already(spark):
+    # the letters of the end marker merge to the last symbol of other words
+    vocab = Counter({"a</w>kk": 30, "xa</w>kk": 9, "ca": 12, "xca": 11, "xa": 25, "k</w>": 6, "aaaa": 4, "aaaaaaa": 3})
+    want = py_learn(vocab, 40)
+    assert want == SW.learn(vocab_frame(spark, vocab), 40)
+    assert "a</w>" in [a + b for a, b, _ in want]
+
+
+def test_hot_segments_and_index():
+    assert SW.hot_segments(list("abcde"), {("a", "b"), ("d", "e")}) == [["a", "b"], ["d", "e"]]
+    assert SW.hot_segments(list("abc"), set()) == []
+    index = SW.PairIndex([(list("ababx"), 2), (list("aaa"), 3)], 1)
+    assert index.best() == ("a", "a", 6)
+    index.merge("a", "a")
+    assert index.count[("aa", "a")] == 3 and index.best() == ("a", "b", 4)
+    index.merge("a", "b")
+    assert index.best() == ("aa", "a", 3) and index.where[("ab", "ab")] == {0}
+
+
+def test_segment_relation_equals_replay(spark):
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("abcd</w>@é𝄞") for _ in range(rnd.randint(1, 12))) for _ in range(80)]
+    vocab = Counter(rnd.choice(words) for _ in range(600))
+    merges, types = SW.learn_types(vocab_frame(spark, vocab), 30)
+    ranks = {(a, b): i for i, (a, b, _) in enumerate(merges)}
+    lines = [" ".join(rnd.choice(words + ["new", "abab"]) for _ in range(rnd.randint(0, 9))) for _ in range(50)] + [None, "  ", lines_twice := "abab new", lines_twice]
+    df = spark.createDataFrame([(i, t, t and t[::-1]) for i, t in enumerate(lines)], "id int, a string, b string")
+    want = {i: tuple(None if x is None else " ".join("@@ ".join(SW.encode_word(w, ranks)) for w in x.split(" ") if w)
+                     for x in (t, t and t[::-1])) for i, t in enumerate(lines)}
+    for known in (None, SW.subwords(types)):
+        out = SW.segment(df, {"a": "sub_a", "b": "b"}, merges, known)
+        assert {r.id: (r.sub_a, r.b) for r in out.collect()} == want
+        assert out.columns == ["id", "a", "sub_a", "b"]
+    subs = Counter()
+    for w, n in vocab.items():
+        subs.update({s: n * c for s, c in Counter("@@ ".join(SW.encode_word(w, ranks)).split(" ")).items()})
+    assert {r.token: r.cnt for r in SW.type_vocabulary(types).collect()} == subs
