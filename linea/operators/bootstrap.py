@@ -4,69 +4,195 @@ Every metric here is a function of *sums* of per-line statistics (BLEU: 10
 counts; accuracy: matches; Pearson: centred moments), so a resample never
 re-scores text: it sums the statistics of the drawn lines.
 
-Plan::
-
-    range(B*m) --(b, d) -> idx = md5(seed:b:d) % n--> join stats on idx
-               --> partial sums per b --> exchange of <= B rows per partition --> final
-
-Draws are deterministic (seeded md5), so results are reproducible and the
-same numbers come out of the SQL oracle. ``stats`` needs a dense 0-based
-``n`` (see :func:`linea.operators.positional.dense_index`). The statistics are
-broadcast only when their estimated size is under ``broadcast_limit``;
-otherwise the draws and statistics are hash-joined on ``idx`` (uniform keys,
-no skew). Draws for the same sample land in one contiguous id range, so the
-per-sample partial aggregation collapses them before the shuffle.
+The draws are a multinomial split. Lines 0..n-1 lie in ``R = 2^k`` ranges of
+``S = ceil(n / R)`` places (``S <= SPAN``; the last range may end in empty
+places). Plan::
+
+    range(B) --deal: fair binomials down a tree of k levels--> (b, range, count), B x R rows
+    stats    --range = n div S--> at most S rows a range
+    both meet by range: each range draws its places next to its statistics
+       --> B x R rows of partial sums --> exchange --> one row a sample
+
+A fair binomial is the number of ones in as many random bits. A draw that hits
+an empty place is drawn again from all lines: about one in S draws at most, and
+these few (b, line) rows meet the statistics in a second join. So every draw is
+uniform over the lines, and no relation of ``B x m`` rows is made.
+
+Random words come from a counter-based mixer of 64-bit integers, so results are
+reproducible, independent of partitions, and the same numbers come out of the
+SQL twin. ``stats`` needs a dense 0-based ``n`` (see
+:func:`linea.operators.positional.dense_index`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 12345
-BROADCAST_LIMIT = 256 * 1024 * 1024
+#: Most lines of a range.
+SPAN = 4096
+#: Increment and multipliers of the 64-bit mixer (splitmix64).
+STEP, MIX_A, MIX_B = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+#: Samples or words handled together in a task.
+CHUNK, WORDS = 256, 1 << 20
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX_A)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX_B)
+    return x ^ (x >> np.uint64(31))
+
+
+def stream_key(seed: int, b: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Key of the random words of sample ``b`` at a node of the split (1 is the root, 2i and 2i + 1 are below i)."""
+    step = np.uint64(STEP)
+    return mix(mix(np.uint64(seed) + (b.astype(np.uint64) + np.uint64(1)) * step) + node.astype(np.uint64) * step)
+
+
+def layout(n: int, span: int = SPAN) -> tuple[int, int]:
+    """(levels k, places S of a range) for n lines."""
+    k = max(0, (max(n, 1) - 1) // span).bit_length() if n > span else 0
+    return k, -(-n // (1 << k))
+
+
+def split(seed: int, samples: np.ndarray, m: int, k: int) -> np.ndarray:
+    """Draws of each range (columns) for each sample (rows): m fair choices of a side, k times over."""
+    counts = np.full((len(samples), 1), m, np.int64)
+    for level in range(k):
+        nodes = (1 << level) + np.arange(1 << level)
+        flat = counts.ravel()
+        keys = stream_key(seed, np.repeat(samples, len(nodes)), np.tile(nodes, len(samples)))
+        left = np.zeros(len(flat), np.int64)
+        words = (flat + 63) // 64
+        ends = np.cumsum(words)
+        at = 0
+        while at < len(flat):  # as many nodes as hold about WORDS words
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WORDS, "right")))
+            w = words[at:to]
+            if to == at + 1 and w[0] > WORDS:  # one node of many words, in pieces
+                for first in range(0, int(w[0]), WORDS):
+                    left[at] += _ones(keys[at:to], np.array([min(WORDS, int(w[0]) - first)]), flat[at:to] - 64 * first, first)[0]
+            else:
+                left[at:to] = _ones(keys[at:to], w, flat[at:to], 0)
+            at = to
+        counts = np.stack([left.reshape(counts.shape), counts - left.reshape(counts.shape)], 2).reshape(len(samples), -1)
+    return counts
 
 
-def draws(spark: SparkSession, n: int, samples: int, m: int, seed: int = DEFAULT_SEED,
-          partitions: int | None = None) -> DataFrame:
-    """``b, idx``: for each sample b, m indices drawn with replacement from 0..n-1.
+def _ones(keys: np.ndarray, words: np.ndarray, bits: np.ndarray, first: int) -> np.ndarray:
+    """Ones among the first ``bits`` bits of each key's words from word ``first`` on."""
+    which = np.repeat(np.arange(len(words)), words)
+    at = np.arange(len(which)) - np.repeat(np.cumsum(words) - words, words)
+    drawn = mix(keys[which] + (at + first + 1).astype(np.uint64) * np.uint64(STEP))
+    spare = np.clip(64 * (at + 1) - bits[which], 0, 63).astype(np.uint64)
+    return np.bincount(which, np.bitwise_count(drawn >> spare), len(words)).astype(np.int64)
 
-    Draws 2j and 2j+1 of sample b come from one md5 of ``seed:b:j`` (two
-    60-bit numbers from its first 30 hex digits), reduced modulo n.
+
+def places(seed: int, b: int, node: int, count: int, size: int, rows: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places drawn in a range of ``size`` places of which ``rows`` hold a line, lines drawn anew from all n).
+
+    Two draws a word, from its upper and its lower half.
     """
-    parts = partitions or max(1, spark.sparkContext.defaultParallelism)
-    half = (m + 1) // 2
-    r = spark.range(0, samples * half, 1, parts)
-    b = F.floor(F.col("id") / half).cast("bigint")
-    j = F.pmod(F.col("id"), F.lit(half))
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), b.cast("string"), j.cast("string")))
-    pick = [F.pmod(F.conv(F.substring(h, 1 + 15 * k, 15), 16, 10).cast("bigint"), F.lit(n)) for k in (0, 1)]
-    pairs = r.select(b.alias("b"), F.inline(F.array(
-        F.struct((j * 2).alias("d"), pick[0].alias("idx")), F.struct((j * 2 + 1).alias("d"), pick[1].alias("idx")))))
-    return pairs.where(F.col("d") < m).select("b", "idx")
+    key = stream_key(seed, np.array([b]), np.array([node]))
+    words = mix(key + (np.arange((count + 1) // 2, dtype=np.uint64) + np.uint64(1)) * np.uint64(STEP))
+    halves = np.stack([words >> np.uint64(32), words & np.uint64(0xFFFFFFFF)], 1).ravel()[:count]
+    drawn = ((halves * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
+    if rows == size:
+        return drawn, np.empty(0, np.int64)
+    empty = np.flatnonzero(drawn >= rows)
+    anew = mix(words[empty // 2] + (empty % 2 + 1).astype(np.uint64) * np.uint64(STEP))
+    return drawn[drawn < rows], np.array([(int(x) * n) >> 64 for x in anew], np.int64)
+
+
+def deal(spark: SparkSession, n: int, samples: int, m: int, seed: int = DEFAULT_SEED, span: int = SPAN) -> DataFrame:
+    """``b, r, count``: how many of sample b's m draws fall into range r (ranges without a draw are left out)."""
+    k, _ = layout(n, span)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = batch.column(0).to_numpy()
+            for at in range(0, len(every), CHUNK):
+                b = every[at:at + CHUNK]
+                counts = split(seed, b, m, k)
+                i, r = np.nonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(b[i]), pa.array(r), pa.array(counts[i, r])], ["b", "r", "count"])
+
+    return spark.range(0, samples, 1, max(1, spark.sparkContext.defaultParallelism)).mapInArrow(run, "b bigint, r bigint, count bigint")
+
+
+def draws(spark: SparkSession, n: int, samples: int, m: int, seed: int = DEFAULT_SEED, span: int = SPAN) -> DataFrame:
+    """``b, idx``: the draws themselves, one row each. For tests and looks at single samples: nothing here builds on it."""
+    k, size = layout(n, span)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, r, count in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                drawn, anew = places(seed, b, (1 << k) + r, count, size, max(0, min(size, n - r * size)), n)
+                idx = np.concatenate([drawn + r * size, anew])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(idx), b)), pa.array(idx)], ["b", "idx"])
+
+    return deal(spark, n, samples, m, seed, span).mapInArrow(run, "b bigint, idx bigint")
 
 
 def resample_sums(stats: DataFrame, cols: list[str], samples: int, m: int | None = None,
                   seed: int = DEFAULT_SEED, n: int | None = None, index: str = "n",
-                  broadcast_limit: int = BROADCAST_LIMIT, include_full: bool = False) -> DataFrame:
+                  include_full: bool = False, span: int = SPAN) -> DataFrame:
     """``b`` and the sum of each statistic column over the lines drawn for sample b.
 
     ``include_full`` adds sample ``b = -1`` holding every line once (the
-    full-corpus score), so full and resampled scores come out of one aggregation.
+    full-corpus score). Sums of integers are exact up to 2^53.
     """
     spark = stats.sparkSession
     n = n if n is not None else stats.count()
     if n == 0:
         raise ValueError("bootstrap over an empty input")
     m = m if m is not None else n
-    st = stats.select(F.col(index).alias("idx"), *cols)
-    est = n * (16 + 12 * len(cols))
-    if est <= broadcast_limit:
-        st = F.broadcast(st)
-    d = draws(spark, n, samples, m, seed)
+    k, size = layout(n, span)
+    whole = [c for c in cols if dict(stats.dtypes)[c] in ("tinyint", "smallint", "int", "bigint")]
+    held = stats.select(F.col(index).alias("idx"), *cols)
+    schema = "b bigint, line bigint, " + ", ".join(f"`{c}` double" for c in cols)
+
+    def drawn(dealt: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
+        """Partial sums of the range's draws; a row with a line: a draw made anew, to be met elsewhere."""
+        r = int(dealt["r"].iloc[0])
+        rows = max(0, min(size, n - r * size))
+        values = np.zeros((rows, len(cols)))
+        values[lines["idx"].to_numpy() - r * size] = lines[cols].to_numpy(dtype=float)
+        samples_here, counts = dealt["b"].to_numpy(), dealt["count"].to_numpy()
+        sums, again = [], []
+        for at in range(0, len(samples_here), CHUNK):
+            weights = np.zeros((len(samples_here[at:at + CHUNK]), rows))
+            for i, (b, count) in enumerate(zip(samples_here[at:at + CHUNK].tolist(), counts[at:at + CHUNK].tolist(), strict=True)):
+                hit, anew = places(seed, b, (1 << k) + r, count, size, rows, n)
+                weights[i] = np.bincount(hit, minlength=rows)
+                again += [(b, line) for line in anew.tolist()]
+            sums.append(weights @ values)
+        out = pd.DataFrame(np.concatenate(sums), columns=cols)
+        out.insert(0, "line", pd.array([None] * len(out), "Int64"))
+        out.insert(0, "b", samples_here)
+        if again:
+            more = pd.DataFrame(again, columns=["b", "line"]).astype({"line": "Int64"})
+            out = pd.concat([out, more.reindex(columns=out.columns)], ignore_index=True)
+        return out
+
+    dealt = deal(spark, n, samples, m, seed, span)
+    by_range = held.withColumn("r", F.floor(F.col("idx") / size).cast("bigint"))
+    part = dealt.groupBy("r").cogroup(by_range.groupBy("r")).applyInPandas(
+        lambda a, b: drawn(a, b) if len(a) else pd.DataFrame({"b": [], "line": [], **{c: [] for c in cols}}), schema)
+    part = part.checkpoint(eager=True)  # read twice: the sums, and the few draws made anew
+    anew = part.where("line is not null").select("b", F.col("line").alias("idx"))
+    doubles = [F.col(c).cast("double").alias(c) for c in cols]
+    rows = part.where("line is null").drop("line").unionByName(anew.join(held, "idx").select("b", *doubles))
     if include_full:
-        d = d.unionByName(spark.range(0, n).select(F.lit(-1).cast("bigint").alias("b"), F.col("id").alias("idx")))
-    return d.join(st, "idx").groupBy("b").agg(*[F.sum(c).alias(c) for c in cols])
+        rows = rows.unionByName(held.select(F.lit(-1).cast("bigint").alias("b"), *doubles))
+    sums = rows.groupBy("b").agg(*[F.sum(c).alias(c) for c in cols])
+    return sums.select("b", *[F.round(c).cast("bigint").alias(c) if c in whole else F.col(c) for c in cols])
 
 
 def compare_bleu(stats_a: DataFrame, stats_b: DataFrame, score, samples: int = 1000,

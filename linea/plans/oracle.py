@@ -8,6 +8,8 @@ specification rather than from the Spark code (lists are 1-based here).
 
 from __future__ import annotations
 
+from linea.operators import bootstrap as BS
+
 CTE = {}
 
 CTE["seg"] = """seg AS (
@@ -285,18 +287,57 @@ def score_sql(prefix: str = "", smooth: str = "none", scale: float = 100.0) -> s
     return f"({scale} * {score})"
 
 
-def draws_sql(src: str, samples: int, ratio: float | None, seed: int, include_full: bool) -> str:
-    """CTE ``dr`` (b, idx): seeded md5 draws over the dense index of ``src``;
-    one md5 of ``seed:b:j`` gives draws 2j and 2j+1 (15 hex digits each)."""
+def _mixed(x: str, out: str) -> str:
+    """Select items that mix the 64-bit word ``x`` into ``out``."""
+    low = "18446744073709551615::UHUGEINT"
+
+    def times(v, shift, k):
+        return f"((xor({v}, {v} >> {shift}))::UHUGEINT * {k}::UHUGEINT & {low})::UBIGINT"
+
+    return (f"{times(x, 30, BS.MIX_A)} AS {out}_a, {times(f'{out}_a', 27, BS.MIX_B)} AS {out}_b, "
+            f"xor({out}_b, {out}_b >> 31) AS {out}")
+
+
+def _stepped(base: str, count: str) -> str:
+    return f"(({base}::UHUGEINT + {count}::UHUGEINT * {BS.STEP}::UHUGEINT) & 18446744073709551615::UHUGEINT)::UBIGINT"
+
+
+def _keyed(src: str, seed: int, node: str) -> str:
+    """``src`` with the key of its random words."""
+    return (f"SELECT *, {_stepped(str(seed), '(b + 1)')} AS k0, {_mixed('k0', 'k1')}, {_stepped('k1', node)} AS k2, "
+            f"{_mixed('k2', 'key')} FROM {src}")
+
+
+def draws_sql(src: str, samples: int, ratio: float | None, seed: int, include_full: bool, levels: int = 8) -> str:
+    """CTE ``dr`` (b, idx): the draws of :mod:`linea.operators.bootstrap` over the dense index of ``src``.
+
+    The split is written out for ``levels`` levels (4,096 x 2^levels lines at most; more raise an error).
+    """
     m = "nn" if ratio is None else f"floor(nn * {ratio})::BIGINT"
-    h = "md5('" + str(seed) + ":' || (i // hf)::VARCHAR || ':' || (i % hf)::VARCHAR)"
-    body = (f"dr AS (SELECT b, idx FROM (SELECT i // hf AS b, (i % hf) * 2 + k AS d, m, "
-            f"(('0x' || substr({h}, 1 + 15 * k, 15))::BIGINT % nn) AS idx "
-            f"FROM (SELECT count(*) AS nn, {m} AS m, ({m} + 1) // 2 AS hf FROM {src}) c, "
-            f"range(c.hf * {samples}) t(i), (VALUES (0), (1)) kk(k)) WHERE d < m")
-    if include_full:
-        body += f" UNION ALL SELECT -1 AS b, i AS idx FROM (SELECT count(*) AS nn FROM {src}) c, range(c.nn) t(i)"
-    return body + ")"
+    out = [f"shape0 AS (SELECT nn, {m} AS m, CASE WHEN nn <= {BS.SPAN} THEN 0 ELSE ceil(log2(((nn - 1) // {BS.SPAN} + 1)::DOUBLE))::BIGINT END "
+           f"AS levels FROM (SELECT count(*) AS nn FROM {src}))",
+           f"shape AS (SELECT *, CASE WHEN levels > {levels} THEN error('too many lines for the twin') ELSE (nn + (1 << levels) - 1) // (1 << levels) END "
+           "AS size FROM shape0)",
+           f"s0 AS (SELECT b::BIGINT AS b, 0::BIGINT AS r, m AS c FROM range({samples}) t(b), shape)"]
+    for i in range(levels):
+        word = _stepped("key", "(w + 1)")
+        out += [f"w{i} AS ({_keyed(f'(SELECT b, r, c, unnest(range((c + 63) // 64)) AS w FROM s{i}, shape WHERE levels > {i})', seed, f'({1 << i} + r)')})",
+                f"o{i} AS (SELECT b, r, sum(bit_count(word >> greatest(64 * (w + 1) - c, 0)::UBIGINT))::BIGINT AS ones FROM "
+                f"(SELECT b, r, c, w, {word} AS w0, {_mixed('w0', 'word')} FROM w{i}) GROUP BY b, r)",
+                f"s{i + 1} AS (SELECT b, CASE WHEN levels > {i} THEN 2 * r + side ELSE r END AS r, CASE WHEN levels <= {i} THEN c WHEN side = 0 "
+                f"THEN ones ELSE c - ones END AS c FROM s{i} LEFT JOIN o{i} USING (b, r), shape, (VALUES (0), (1)) v(side) "
+                f"WHERE c > 0 AND (levels > {i} OR side = 0))"]
+    pairs = f"(SELECT b, r, c, unnest(range((c + 1) // 2)) AS w FROM s{levels})"
+    out += [f"dw AS ({_keyed(pairs.replace('SELECT b, r, c,', 'SELECT b, r, c, levels, size, nn,').replace(f's{levels}', f's{levels}, shape'), seed, '((1 << levels) + r)')})",
+            f"dx AS (SELECT b, r, c, w, size, nn, {_stepped('key', '(w + 1)')} AS w0, {_mixed('w0', 'word')} FROM dw)",
+            "dh AS (SELECT b, r, size, nn, word, side, ((CASE side WHEN 0 THEN word >> 32 ELSE word & 4294967295::UBIGINT END)::UHUGEINT "
+            "* size::UHUGEINT >> 32)::BIGINT + r * size AS line FROM dx, (VALUES (0), (1)) v(side) WHERE 2 * w + side < c)",
+            f"da AS (SELECT b, nn, {_stepped('word', '(side + 1)')} AS a0, {_mixed('a0', 'anew')} FROM dh WHERE line >= nn)",
+            # the upper 64 bits of a product, from its two 32-bit halves (nn is below 2^32)
+            "dr AS (SELECT b, line AS idx FROM dh WHERE line < nn UNION ALL SELECT b, ((((anew >> 32)::UHUGEINT * nn::UHUGEINT) + "
+            "(((anew & 4294967295::UBIGINT)::UHUGEINT * nn::UHUGEINT) >> 32)) >> 32)::BIGINT AS idx FROM da"
+            + (f" UNION ALL SELECT -1 AS b, unnest(range(nn)) AS idx FROM shape" if include_full else "") + ")"]
+    return ",\n".join(out)
 
 
 def strip_sql(c: str) -> str:

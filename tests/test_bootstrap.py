@@ -34,3 +34,50 @@ def test_identical_systems_all_ties(spark):
     out = BS.compare_bleu(st, st, lambda p: B.bleu_score_expr(p, "none"), samples=50, stat_cols=cols).first()
     assert out.num_equal == 50 and out.new_better == 0 and out.baseline_better == 0
     assert out.delta == 0.0
+
+
+def test_layout():
+    for n in (1, 7, 4096, 4097, 8192, 8193, 100_000):
+        k, size = BS.layout(n)
+        assert size <= BS.SPAN and size << k >= n and (k == 0 or n > BS.SPAN << (k - 1)), n
+    assert BS.layout(10, 3) == (2, 3)
+
+
+def test_split_is_a_fair_multinomial():
+    import numpy as np
+    counts = BS.split(7, np.arange(3000), 1001, 3)
+    assert counts.shape == (3000, 8) and (counts.sum(1) == 1001).all() and (counts >= 0).all()
+    p = 1 / 8
+    assert abs(counts.mean(0) - 1001 * p).max() < 4 * (1001 * p * (1 - p) / 3000) ** 0.5
+    assert abs(counts.var(0) / (1001 * p * (1 - p)) - 1).max() < 0.15
+    # pieces of a large node are the same bits
+    old, BS.WORDS = BS.WORDS, 3
+    try:
+        assert (BS.split(7, np.arange(20), 1001, 3) == counts[:20]).all()
+    finally:
+        BS.WORDS = old
+
+
+def test_draws_are_uniform_over_lines(spark):
+    import numpy as np
+    rows = BS.draws(spark, 13, 400, 50, seed=5, span=3).collect()  # 8 ranges of 2 places, 3 of 16 empty
+    hits = np.bincount([r.idx for r in rows], minlength=13)
+    assert len(rows) == 400 * 50 and len(hits) == 13
+    expect = 400 * 50 / 13
+    assert ((hits - expect) ** 2 / expect).sum() < 35  # chi-squared, 12 degrees of freedom
+
+
+def test_sums_equal_the_draws(spark):
+    import numpy as np
+    rnd = np.random.default_rng(1)
+    rows = [(i, int(rnd.integers(0, 1000)), float(rnd.normal())) for i in range(101)]
+    st = spark.createDataFrame(rows, "n long, x long, y double").repartition(3)
+    for span in (4096, 8):
+        drawn = BS.draws(spark, 101, 6, 77, seed=9, span=span)
+        want = {r.b: (r.x, r.y) for r in drawn.join(st, F.col("idx") == F.col("n")).groupBy("b").agg(
+            F.sum("x").alias("x"), F.sum("y").alias("y")).collect()}
+        got = {r.b: (r.x, r.y) for r in BS.resample_sums(st, ["x", "y"], 6, 77, 9, include_full=True, span=span).collect()}
+        assert got.pop(-1)[0] == sum(x for _, x, _ in rows)
+        assert set(got) == set(want)
+        assert all(got[b][0] == want[b][0] and abs(got[b][1] - want[b][1]) < 1e-9 for b in got)
+        assert sum(r["count"] for r in BS.deal(spark, 101, 6, 77, seed=9, span=span).collect()) == 6 * 77
