@@ -34,8 +34,8 @@ from linea.llm.common import materialise
 PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ"
 #: The tokenizer's own pieces of a word of plain characters, lower-cased.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-#: Words whose ids a worker remembers at most; then it starts anew.
-REMEMBER = 300_000
+#: Words and parts of one generation of a worker's memory; it keeps two.
+REMEMBER = 400_000
 #: Rows of a batch that are Python objects at a time.
 SLICE = 256
 KINDS = {"id": pa.string(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
@@ -53,6 +53,10 @@ class Encoder:
     parts are encoded in one call and told apart by their closing ids. Any
     other text (characters outside ``PLAIN``, or the marks of special tokens)
     goes to the tokenizer whole.
+
+    Words and parts share one memory (a word of one part is that part) of two
+    generations: when the younger one is full it becomes the older one, and what
+    the older one held and is met again moves up. So frequent words stay.
     """
 
     def __init__(self, spec: str):
@@ -64,41 +68,54 @@ class Encoder:
         suffix = json.loads(spec)["model"].get("end_of_word_suffix") or ""
         self.closing = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
         self.odd = re.compile(f"[^{PLAIN}]|<\\|") if self.closing.any() else re.compile("")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
+    def unknown(self, strings: set[str]) -> list[str]:
+        """Those of ``strings`` that no generation holds; the others are in the younger one afterwards."""
+        missing = strings.difference(self.young)
+        moved = {s: ids for s in missing if (ids := self.old.get(s)) is not None}
+        self.young.update(moved)
+        return list(missing.difference(moved)) if moved else list(missing)
+
     def learn_parts(self, parts: list[str]) -> None:
         ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype=self.dtype)
         ends = (np.flatnonzero(self.closing[ids]) + 1).tolist()
         if len(ends) == len(parts) and ends[-1] == len(ids):
             raw, width = ids.tobytes(), ids.itemsize
-            self.parts.update(zip(parts, [raw[a * width:b * width] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+            self.young.update(zip(parts, [raw[a * width:b * width] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
         else:  # some part has other ids among others: one call each
             for p, e in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-                self.parts[p] = self.pack(e.ids)
+                self.young[p] = self.pack(e.ids)
 
     def learn_words(self, words: list[str]) -> None:
         split = [PART.findall(w) for w in words]
-        new = list({p for s in split for p in s if p not in self.parts})
+        new = self.unknown({p for s in split for p in s})
         for at in range(0, len(new), 5_000):
             self.learn_parts(new[at:at + 5_000])
-        known = self.parts
-        for w, s in zip(words, split, strict=True):
-            self.words[w] = known[s[0]] if len(s) == 1 else b"".join([known[p] for p in s])
+        known = self.young
+        known.update([(w, b"".join([known[p] for p in s])) for w, s in zip(words, split, strict=True) if len(s) > 1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if self.odd.search(t) else t.lower().split() for t in texts]
         whole = [t for t, s in zip(texts, split, strict=True) if s is None]
         direct = iter([self.pack(e.ids) for e in self.tokenizer.encode_batch(whole, add_special_tokens=False)] if whole else [])
-        if len(self.words) > REMEMBER:
-            self.words.clear()
-            self.parts.clear()
-        self.learn_words(list({w for s in split if s for w in s}.difference(self.words)))
-        known = self.words
-        return [next(direct) if s is None else b"".join([known[w] for w in s]) for s in split]
+        if len(self.young) > REMEMBER:
+            self.young, self.old = {}, self.young
+        known, out, later = self.young, [], []
+        for i, s in enumerate(split):
+            try:
+                out.append(next(direct) if s is None else b"".join([known[w] for w in s]))
+            except KeyError:  # a word not met lately
+                out.append(b"")
+                later.append(i)
+        self.learn_words(self.unknown(set().union(*[split[i] for i in later])))
+        for i in later:
+            out[i] = b"".join([known[w] for w in split[i]])
+        return out
 
 
 _ENCODERS: dict[int, Encoder] = {}
