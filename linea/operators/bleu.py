@@ -157,6 +157,53 @@ def sum_stats(stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return stats.groupBy(*keys).agg(*aggs) if keys else stats.agg(*aggs)
 
 
+# --- many systems against the same references ---------------------------------
+
+#: Sentinel gram: how often a line occurs on each side.
+LINES = " P"
+
+
+def many_totals(hyps: DataFrame, refs: DataFrame, systems: list, system: str = "system", hyp: str = "hyp", ref: str = "ref",
+                line: str = "line_id", keys: list[str] | None = None) -> DataFrame:
+    """Summed statistics per ``keys`` and system, the references cut and counted once.
+
+    ``hyps``: ``keys, line, system, hyp`` (tokens); ``refs``: ``keys, line,
+    ref`` (tokens). Both sides meet in one shuffle by line; an n-gram of a line
+    is one group with a count vector, the reference's and one for each of the
+    ``systems``, so all clips read the same reference count. A line that a
+    system or the references lack, or hold twice, raises.
+    """
+    keys = keys or []
+    index = F.array_position(F.array(*[F.lit(x) for x in systems]), F.col(system)).cast("int") - 1
+    side = lambda df, k, c: df.select(*keys, line, k.alias("side"), F.size(c).cast("bigint").alias("len"),
+                                      F.array_join(c, " ").alias("s"))
+    both = side(hyps, index, hyp).unionByName(side(refs, F.lit(-1), ref))
+    both = both.repartition(line_partitions(both), *keys, line)
+    length = F.when(F.col("side") < 0, F.lit(REF_LEN)).otherwise(F.lit(HYP_LEN))
+    grams = F.concat(*[F.regexp_extract_all(F.col("s"), F.lit(_gram_regex(n)), 1) for n in range(1, 5)], F.array(F.lit(LINES), length))
+    g = both.select(*keys, line, "side", "len", F.explode(grams).alias("gram"))
+    w = F.when(F.col("gram").isin(HYP_LEN, REF_LEN), F.col("len")).otherwise(F.lit(1).cast("bigint"))
+    g = g.select(*keys, line, "side", "gram", w.alias("w"))
+    count = lambda k: F.sum(F.when(F.col("side") == k, F.col("w")).otherwise(0))
+    g = g.groupBy(*keys, line, "gram").agg(count(-1).alias("r"), *[count(k).alias(f"h{k}") for k in range(len(systems))])
+    vector = [F.col(f"h{k}") for k in range(len(systems))]
+    gram, r, h = F.col("gram"), F.col("r"), F.col("h")
+    uneven = (gram == LINES) & ((r != 1) | F.greatest(*[F.abs(v - 1) for v in vector], F.lit(0)).cast("boolean"))
+    err = F.raise_error(F.concat(F.lit("hypotheses and references differ at line "), F.col(line).cast("string")))
+    # a reference length counts for every system; a failed check must survive column pruning, so it is the system's number
+    one = F.inline(F.array(*[F.struct(F.when(uneven, err).otherwise(F.lit(k)).cast("int").alias("k"),
+                                      F.when(gram == REF_LEN, r).otherwise(v).alias("h")) for k, v in enumerate(vector)]))
+    rows = g.select(*keys, "gram", "r", one)
+    n = F.when(gram.startswith(" "), F.lit(0)).otherwise(F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1)
+    part = lambda cond, value: F.sum(F.when(cond, value).otherwise(0)).cast("bigint")
+    sums = rows.groupBy(*keys, "k").agg(
+        *[part(n == i, F.least(h, r)).alias(f"correct_{i}_grams") for i in range(1, 5)],
+        *[part(n == i, h).alias(f"total_{i}_grams") for i in range(1, 5)],
+        part(gram == HYP_LEN, h).alias("translation_length"), part(gram == REF_LEN, h).alias("reference_length"))
+    name = F.array(*[F.lit(x) for x in systems])
+    return sums.select(*keys, F.get(name, F.col("k")).alias(system), *STAT_COLS)
+
+
 # --- finalisation (E3, E4, E8, E10) -----------------------------------------
 
 def _safe_log(x: Column) -> Column:

@@ -6,6 +6,13 @@ PMI form the lexicon. Matching: greedy, left to right, non-overlapping —
 within a run of consecutive lexicon pairs every other pair (from the run's
 start) is joined with ``_`` (the inverse of T8). Windows are partitioned by
 line, so a window partition is one sentence.
+
+Compounds of any length (:func:`mine_phrases`, :func:`segment_phrases`): the
+lexicon grows a word at a time, from n-grams whose first and last n-1 words are
+in it. Matching walks its prefix tree: a position stays in the walk only while
+its words are a prefix of some compound, so few n-grams of three words or more
+are looked up. The matches of a line are a lattice over its positions, whose
+path (longest match first, or the highest sum of scores) is a fold over the line.
 """
 
 from __future__ import annotations
@@ -52,3 +59,104 @@ def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: st
     kept = p.where(~F.col("taken_prev")).select(line, "pos", out.alias("w"))
     g = kept.groupBy(line).agg(F.sort_array(F.collect_list(F.struct("pos", "w"))).alias("__s"))
     return g.select(line, F.array_join(F.transform("__s", lambda s: s["w"]), " ").alias("text"))
+
+
+def _grams(tokens: str, n: int):
+    """The n-grams of a token array, space-joined."""
+    at = F.sequence(F.lit(1), F.size(tokens) - n + 1)
+    return F.when(F.size(tokens) >= n, F.transform(at, lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: float = 3.0, max_words: int = 4,
+                 digits: int = 6) -> DataFrame:
+    """``phrase, words, cnt, pmi`` of compounds of 2 to ``max_words`` words.
+
+    A phrase of n words is kept if it occurs ``min_count`` times, its first and
+    last n-1 words are kept phrases, and ``pmi = ln(cnt * N^(n-1) / prod c(w))
+    / (n-1) >= min_pmi``. Tokens hold no blank.
+    """
+    lines = df.select(F.col(tokens).alias("tokens"))
+    uni = lines.select(F.explode("tokens").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    total = float(uni.agg(F.sum("c")).first()[0] or 1)
+    found, last = None, None
+    for n in range(2, max_words + 1):
+        grams = lines.select(F.explode(_grams("tokens", n)).alias("phrase"))
+        if last is not None:  # only what continues a phrase is counted
+            kept = last.select(F.col("phrase").alias("head"))
+            grams = lookup_join(grams.withColumn("head", F.regexp_extract("phrase", r"^(.*) [^ ]+$", 1)), kept, "head", "left_semi")
+            grams = lookup_join(grams.withColumn("tail", F.regexp_extract("phrase", r"^[^ ]+ (.*)$", 1)),
+                                kept.withColumnRenamed("head", "tail"), "tail", "left_semi")
+        counts = grams.groupBy("phrase").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count)
+        words = counts.select("phrase", "cnt", F.explode(F.split("phrase", " ")).alias("w"))
+        logs = lookup_join(words, uni, "w", "inner").groupBy("phrase", "cnt").agg(F.sum(F.ln("c")).alias("logs"))
+        pmi = (F.ln("cnt") + F.lit(n - 1) * F.ln(F.lit(total)) - F.col("logs")) / (n - 1)
+        last = logs.where(pmi >= F.lit(float(min_pmi))).select("phrase", F.lit(n).alias("words"), "cnt", F.round(pmi, digits).alias("pmi"))
+        last = last.checkpoint(eager=True)
+        if found is not None and not last.take(1):
+            break
+        found = last if found is None else found.unionByName(last)
+    return found
+
+
+def prefix_tree(lexicon: DataFrame) -> DataFrame:
+    """``node, words, score``: every prefix of two words or more of a phrase; score null: no phrase itself."""
+    split = F.split("phrase", " ")
+    nodes = lexicon.select("score", "phrase", F.explode(F.sequence(F.lit(2), F.size(split))).alias("words"), split.alias("w"))
+    node = F.array_join(F.slice("w", 1, F.col("words")), " ")
+    own = F.max(F.when(F.size("w") == F.col("words"), F.col("score")))
+    return nodes.withColumn("node", node).groupBy("node", "words").agg(own.alias("score"))
+
+
+def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens", mode: str = "longest") -> DataFrame:
+    """``line, text``: phrases of ``lexicon`` (``phrase, score``) joined by ``_``.
+
+    ``longest``: left to right, the longest phrase at each free position.
+    ``best``: the path of the highest sum of scores (longer phrases of equals).
+    Lines without tokens stay, as empty text.
+    """
+    if mode not in ("longest", "best"):
+        raise ValueError(mode)
+    lines = df.select(line, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens")).checkpoint(eager=True)
+    tree = prefix_tree(lexicon).checkpoint(eager=True)
+    depth = tree.agg(F.max("words")).first()[0] or 1
+    walk = lines.select(line, F.posexplode("tokens").alias("start", "__t"), F.col("tokens").alias("__all"))
+    walk = walk.select(line, "start", F.slice("__all", F.col("start") + 1, depth).alias("ahead"))
+    edges = None
+    for n in range(2, depth + 1):
+        step = tree.where(F.col("words") == n).select(F.col("node").alias("__node"), "score")
+        walk = walk.where(F.size("ahead") >= n).withColumn("__node", F.array_join(F.slice("ahead", 1, n), " "))
+        walk = lookup_join(walk, step, "__node", "inner").drop("__node").checkpoint(eager=True)
+        met = walk.where("score is not null").select(line, F.struct("start", F.lit(n).alias("words"), "score").alias("e"))
+        edges = met if edges is None else edges.unionByName(met)
+        walk = walk.drop("score")
+    if edges is None:
+        return lines.select(line, F.array_join("tokens", " ").alias("text"))
+    # a line's lattice holds at most depth - 1 edges a token
+    lattice = lines.join(edges.groupBy(line).agg(F.collect_list("e").alias("edges")), line, "left")
+    here = lambda i: F.filter("edges", lambda e: e["start"] == i)
+    count = F.size("tokens")
+    if mode == "longest":
+        lattice = lattice.withColumn("longest", F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.coalesce(
+            F.array_max(F.transform(here(i), lambda e: e["words"])), F.lit(1))))
+    else:
+        nothing = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("words")))
+
+        def from_right(done, i):
+            options = F.transform(here(i), lambda e: F.struct((e["score"] + F.get(done, e["words"] - 1)["s"]).alias("s"), e["words"].alias("words")))
+            single = F.array(F.struct(F.get(done, F.lit(0))["s"].alias("s"), F.lit(1).alias("words")))
+            return F.concat(F.array(F.array_max(F.concat(single, F.coalesce(options, F.slice(single, 1, 0))))), done)
+
+        paths = F.aggregate(F.reverse(F.sequence(F.lit(0), count - 1)), nothing, from_right)
+        lattice = lattice.withColumn("longest", F.transform(paths, lambda p: p["words"]))
+
+    def forward(acc, i):
+        words = F.get("longest", i)
+        piece = F.array_join(F.slice("tokens", i + 1, words), "_")
+        return F.when(i < acc["free"], acc).otherwise(
+            F.struct((i + words).alias("free"), F.concat(acc["out"], F.array(piece)).alias("out")))
+
+    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("out"))
+    joined = F.array_join(F.aggregate(F.sequence(F.lit(0), count - 1), start, forward)["out"], " ")
+    joined = F.when(F.col("edges").isNull(), F.array_join("tokens", " ")).otherwise(joined)
+    return lattice.select(line, F.when(count == 0, "").otherwise(joined).alias("text"))

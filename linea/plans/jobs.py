@@ -57,10 +57,20 @@ def evaluate_unidirectional(log: DataFrame, refs: DataFrame) -> DataFrame:
     return _bleu_rows(pairs, [])
 
 
-def checkpoint_sweep(hyps: DataFrame) -> DataFrame:
+def checkpoint_sweep(hyps: DataFrame, refs: DataFrame, checkpoints: list[int] | None = None) -> DataFrame:
     """Validation BLEU per (checkpoint, direction); ``is_best`` marks the best
-    checkpoint of each direction. ``hyps``: ``checkpoint, direction, line_id, hyp, ref``."""
-    res = _bleu_rows(hyps, ["checkpoint", "direction"])
+    checkpoint of each direction.
+
+    ``hyps``: ``checkpoint, direction, line_id, hyp``; ``refs``: ``direction,
+    line_id, ref``, read and cut once for all checkpoints (found in ``hyps``
+    unless given).
+    """
+    if checkpoints is None:
+        checkpoints = [r[0] for r in hyps.select("checkpoint").distinct().orderBy("checkpoint").collect()]
+    toks = hyps.select("checkpoint", "direction", "line_id", T.split_ws("hyp").alias("hyp"))
+    sums = B.many_totals(toks, refs.select("direction", "line_id", T.split_space("ref").alias("ref")), checkpoints,
+                         system="checkpoint", keys=["direction"])
+    res = B.bleu_plain(sums, keys=["checkpoint", "direction"])
     # at most (#checkpoints x #directions) rows: a window over them is tiny
     best = F.max("bleu").over(Window.partitionBy("direction"))
     return res.withColumn("is_best", F.col("bleu") == best)

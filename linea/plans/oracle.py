@@ -321,11 +321,11 @@ def draws_sql(src: str, samples: int, ratio: float | None, seed: int, include_fu
            f"s0 AS (SELECT b::BIGINT AS b, 0::BIGINT AS r, m AS c FROM range({samples}) t(b), shape)"]
     for i in range(levels):
         word = _stepped("key", "(w + 1)")
-        out += [f"w{i} AS ({_keyed(f'(SELECT b, r, c, unnest(range((c + 63) // 64)) AS w FROM s{i}, shape WHERE levels > {i})', seed, f'({1 << i} + r)')})",
-                f"o{i} AS (SELECT b, r, sum(bit_count(word >> greatest(64 * (w + 1) - c, 0)::UBIGINT))::BIGINT AS ones FROM "
-                f"(SELECT b, r, c, w, {word} AS w0, {_mixed('w0', 'word')} FROM w{i}) GROUP BY b, r)",
+        out += [f"sw{i} AS ({_keyed(f'(SELECT b, r, c, unnest(range((c + 63) // 64)) AS w FROM s{i}, shape WHERE levels > {i})', seed, f'({1 << i} + r)')})",
+                f"so{i} AS (SELECT b, r, sum(bit_count(word >> greatest(64 * (w + 1) - c, 0)::UBIGINT))::BIGINT AS ones FROM "
+                f"(SELECT b, r, c, w, {word} AS w0, {_mixed('w0', 'word')} FROM sw{i}) GROUP BY b, r)",
                 f"s{i + 1} AS (SELECT b, CASE WHEN levels > {i} THEN 2 * r + side ELSE r END AS r, CASE WHEN levels <= {i} THEN c WHEN side = 0 "
-                f"THEN ones ELSE c - ones END AS c FROM s{i} LEFT JOIN o{i} USING (b, r), shape, (VALUES (0), (1)) v(side) "
+                f"THEN ones ELSE c - ones END AS c FROM s{i} LEFT JOIN so{i} USING (b, r), shape, (VALUES (0), (1)) v(side) "
                 f"WHERE c > 0 AND (levels > {i} OR side = 0))"]
     pairs = f"(SELECT b, r, c, unnest(range((c + 1) // 2)) AS w FROM s{levels})"
     out += [f"dw AS ({_keyed(pairs.replace('SELECT b, r, c,', 'SELECT b, r, c, levels, size, nn,').replace(f's{levels}', f's{levels}, shape'), seed, '((1 << levels) + r)')})",

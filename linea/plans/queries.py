@@ -598,7 +598,7 @@ _SWEEP_SQL = ("WITH r AS (" + _bleu_sql_by(["sweep_hyps"], [], "sweep_hyps", "ch
 @register("checkpoint_sweep", _SWEEP_SQL)
 def checkpoint_sweep(spark, sf):
     """Validation BLEU of checkpoints 21-30 in both directions; best flagged."""
-    return J.checkpoint_sweep(FX.sweep_hyps(spark, sf))
+    return J.checkpoint_sweep(FX.sweep_hyps(spark, sf), FX.sweep_refs(spark, sf), list(range(21, 31)))
 
 
 @register("eval_bidirectional", _bleu_sql_by(
@@ -855,6 +855,54 @@ def segment_compounds(spark, sf):
     return CO.segment(toks, lex)
 
 
+PHRASE_WORDS = 4
+
+
+def _phrase_ctes() -> list[str]:
+    """The lexicon grown a word at a time: ``p<n>`` are the phrases of n words."""
+    out = [f"ct AS (SELECT line_id, {O.split_ws('text')} AS w FROM seg)",
+           "uni AS (SELECT t AS w, count(*) AS c FROM (SELECT unnest(w) AS t FROM ct) GROUP BY t)",
+           "nn AS (SELECT sum(c) AS n FROM uni)"]
+    for n in range(2, PHRASE_WORDS + 1):
+        grams = (f"SELECT array_to_string(w[i:i + {n - 1}], ' ') AS phrase, w[i:i + {n - 1}] AS ws FROM "
+                 f"(SELECT w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM ct)")
+        kept = "" if n == 2 else (f" WHERE array_to_string(ws[1:{n - 1}], ' ') IN (SELECT phrase FROM p{n - 1}) "
+                                  f"AND array_to_string(ws[2:{n}], ' ') IN (SELECT phrase FROM p{n - 1})")
+        out.append(f"g{n} AS (SELECT phrase, ws, count(*) AS cnt FROM ({grams}){kept} GROUP BY ALL HAVING count(*) >= {COLLOC_MIN_COUNT})")
+        out.append(f"p{n} AS (SELECT phrase, {n} AS words, cnt, pmi FROM (SELECT phrase, cnt, (ln(cnt) + {n - 1} * ln(any_value(n)::DOUBLE) - sum(ln(c))) / {n - 1} AS pmi "
+                   f"FROM (SELECT phrase, cnt, unnest(ws) AS w FROM g{n}) JOIN uni USING (w), nn GROUP BY phrase, cnt) WHERE pmi >= {COLLOC_MIN_PMI})")
+    out.append("phrases AS (" + " UNION ALL ".join(f"SELECT phrase, words, cnt, round(pmi, 6) AS pmi FROM p{n}" for n in range(2, PHRASE_WORDS + 1)) + ")")
+    return out
+
+
+def _phrases(spark, sf):
+    toks = _dict_tokens(spark, sf)
+    return toks, CO.mine_phrases(toks, min_count=COLLOC_MIN_COUNT, min_pmi=COLLOC_MIN_PMI, max_words=PHRASE_WORDS)
+
+
+@register("phrase_lexicon", O.with_ctes("seg", extra=_phrase_ctes()) + "SELECT phrase, words::INTEGER AS words, cnt, pmi FROM phrases")
+def phrase_lexicon(spark, sf):
+    """T4 (mining): compounds of two to four words by count and PMI."""
+    return _phrases(spark, sf)[1]
+
+
+@register("segment_phrases", O.with_ctes("seg", extra=_phrase_ctes() + [
+    "at AS (SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM ct)",
+    "hit AS (SELECT line_id, i, max(words) AS words FROM (SELECT line_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM at, "
+    f"range(2, {PHRASE_WORDS + 1}) t(n) WHERE i + n - 1 <= len(w)) JOIN phrases USING (phrase) GROUP BY line_id, i)",
+    "step AS (SELECT a.line_id, a.i, coalesce(h.words, 1) AS words, array_to_string(w[a.i:a.i + coalesce(h.words, 1) - 1], '_') AS piece "
+    "FROM at a LEFT JOIN hit h ON h.line_id = a.line_id AND h.i = a.i)",
+    "walk AS (SELECT line_id, i, words, piece FROM step WHERE i = 1 UNION ALL "
+    "SELECT s.line_id, s.i, s.words, s.piece FROM walk k JOIN step s ON s.line_id = k.line_id AND s.i = k.i + k.words)"])
+    .replace("WITH ", "WITH RECURSIVE ", 1)
+    + "SELECT line_id, string_agg(piece, ' ' ORDER BY i) AS text FROM walk GROUP BY line_id "
+      "UNION ALL SELECT line_id, '' FROM ct WHERE len(w) = 0")
+def segment_phrases(spark, sf):
+    """T4 (matching): compounds of two to four words joined with '_', the longest match first."""
+    toks, lexicon = _phrases(spark, sf)
+    return CO.segment_phrases(toks, lexicon.select("phrase", (F.col("pmi") * (F.col("words") - 1)).alias("score")))
+
+
 _BPE_TYPES = ("bt AS (SELECT word, count(*) AS freq FROM (SELECT unnest(" + O.split_ws("text")
               + ") AS word FROM seg) WHERE word <> '' GROUP BY word)")
 

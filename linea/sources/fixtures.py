@@ -239,15 +239,20 @@ def decoder_log_uni(spark, sf_dir) -> DataFrame:
 
 
 def sweep_hyps(spark, sf_dir) -> DataFrame:
-    """Validation outputs of checkpoints 21-30: ``checkpoint, direction, line_id, hyp, ref``.
+    """Validation outputs of checkpoints 21-30: ``checkpoint, direction, line_id, hyp``.
 
     Later checkpoints drop fewer words (drop modulus = checkpoint - 15)."""
     s = seg(spark, sf_dir).select("line_id", "lang", "text",
                                   F.explode(F.sequence(F.lit(21), F.lit(30))).alias("checkpoint"))
     hyp = _system(_words(), F.col("line_id"), F.col("checkpoint") - 15, 3, 11, 5)
     direction = F.when(F.col("lang") == "en", F.lit("en>vi")).otherwise(F.lit("vi>en"))
-    return s.select("checkpoint", direction.alias("direction"), "line_id", hyp.alias("hyp"),
-                    F.col("text").alias("ref"))
+    return s.select("checkpoint", direction.alias("direction"), "line_id", hyp.alias("hyp"))
+
+
+def sweep_refs(spark, sf_dir) -> DataFrame:
+    """Validation references of the sweep: ``direction, line_id, ref``."""
+    direction = F.when(F.col("lang") == "en", F.lit("en>vi")).otherwise(F.lit("vi>en"))
+    return seg(spark, sf_dir).select(direction.alias("direction"), "line_id", F.col("text").alias("ref"))
 
 
 def eval_refs(spark, sf_dir) -> DataFrame:
