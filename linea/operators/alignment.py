@@ -100,8 +100,10 @@ def clean_punctuation(hyp: DataFrame, sentences: DataFrame) -> DataFrame:
 
 
 def with_words(hyp: DataFrame, sentences: DataFrame) -> DataFrame:
-    """Attach the linked words; an index outside its sentence raises."""
-    j = hyp.join(sentences, "sent_id")
+    """Attach the linked words; a link of a sentence without words, or an index outside its sentence, raises."""
+    j = hyp.join(sentences.withColumn("__known", F.lit(True)), "sent_id", "left")
+    unknown = F.raise_error(F.concat(F.lit("alignment links of a sentence without words: "), F.col("sent_id").cast("string")))
+    j = j.where(F.when(F.col("__known").isNull(), unknown.cast("boolean")).otherwise(F.lit(True)))
     oob = (F.col("src") >= F.size("src_words")) | (F.col("tgt") >= F.size("tgt_words")) | \
         (F.col("src") < 0) | (F.col("tgt") < 0)
     err = F.raise_error(F.concat(F.lit("alignment link out of range in sentence "), F.col("sent_id").cast("string")))

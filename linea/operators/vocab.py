@@ -43,7 +43,8 @@ def build_dictionary(df: DataFrame, tokens: str = "tokens", min_count: int = 1,
 def encode(df: DataFrame, dictionary: DataFrame, line: str = "line_id", tokens: str = "tokens",
            append_eos: bool = True) -> DataFrame:
     """M8: ``line, ids`` (unknown -> <unk>, </s> appended) and ``n_unk`` per line."""
-    t = df.select(line, tokens).repartition(line)
+    # null tokens: a line without tokens
+    t = df.select(line, F.coalesce(tokens, F.array().cast("array<string>")).alias(tokens)).repartition(line)
     p = t.select(line, F.posexplode(tokens).alias("pos", "token"))
     d = dictionary.select("token", F.col("id").cast("int").alias("id"))
     j = lookup_join(p, d, "token")

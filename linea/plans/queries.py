@@ -887,11 +887,11 @@ def phrase_lexicon(spark, sf):
 
 
 @register("segment_phrases", O.with_ctes("seg", extra=_phrase_ctes() + [
-    "at AS (SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM ct)",
-    "hit AS (SELECT line_id, i, max(words) AS words FROM (SELECT line_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM at, "
+    "tok AS (SELECT line_id, w, unnest(generate_series(1, len(w))) AS i FROM ct)",
+    "hit AS (SELECT line_id, i, max(words) AS words FROM (SELECT line_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM tok, "
     f"range(2, {PHRASE_WORDS + 1}) t(n) WHERE i + n - 1 <= len(w)) JOIN phrases USING (phrase) GROUP BY line_id, i)",
     "step AS (SELECT a.line_id, a.i, coalesce(h.words, 1) AS words, array_to_string(w[a.i:a.i + coalesce(h.words, 1) - 1], '_') AS piece "
-    "FROM at a LEFT JOIN hit h ON h.line_id = a.line_id AND h.i = a.i)",
+    "FROM tok a LEFT JOIN hit h ON h.line_id = a.line_id AND h.i = a.i)",
     "walk AS (SELECT line_id, i, words, piece FROM step WHERE i = 1 UNION ALL "
     "SELECT s.line_id, s.i, s.words, s.piece FROM walk k JOIN step s ON s.line_id = k.line_id AND s.i = k.i + k.words)"])
     .replace("WITH ", "WITH RECURSIVE ", 1)

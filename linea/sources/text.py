@@ -73,14 +73,18 @@ def read_parallel(sides: dict[str, DataFrame], strict: bool = True, key: str = "
 
 
 def bind_strict(a: DataFrame, b: DataFrame, on: list[str], what: str) -> DataFrame:
-    """Join two sides line by line; a line that only one side has raises (a strict count check by key)."""
+    """Join two sides line by line; a line that only one side has raises (a strict count check by key).
+
+    It raises whatever columns are read. A filter put on the result that such a
+    line cannot pass may remove it first.
+    """
     j = a.withColumn("__a", F.lit(True)).join(b.withColumn("__b", F.lit(True)), on, "full_outer")
     at = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in on])
     side = F.when(F.col("__a").isNull(), F.lit(" only on the second side at ")).otherwise(F.lit(" only on the first side at "))
-    err = F.raise_error(F.concat(F.lit(what + ": line"), side, at))
+    err = F.raise_error(F.concat(F.lit(what + ": line"), side, at)).cast("boolean")
+    # a filter: it runs whatever columns are read, or none
     whole = F.col("__a").isNotNull() & F.col("__b").isNotNull()
-    payload = [c for c in j.columns if c not in (*on, "__a", "__b")]
-    return j.select(*on, *[F.when(whole, F.col(c)).otherwise(err).alias(c) for c in payload])
+    return j.where(F.when(whole, F.lit(True)).otherwise(err)).drop("__a", "__b")
 
 
 def group_references(df: DataFrame, line: str = "line_id", ref_id: str = "ref_id",
