@@ -25,11 +25,20 @@ def save_stage(df: DataFrame, path: str, partition_by=("split", "lang")) -> None
     w.parquet(path)
 
 
-def append_result(df: DataFrame, path: str) -> None:
-    """Append metric rows ``model, checkpoint, split, direction, metric, value``."""
+def append_result(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Append metric rows ``model, checkpoint, split, direction, metric, value``.
+
+    With ``run`` the rows are keyed by it: a rerun replaces its own rows and
+    adds nothing twice (the log is then partitioned by ``run``; keep to one way
+    for one log).
+    """
     missing = [c for c in RESULT_COLS if c not in df.columns]
     out = df
     for c in missing:
         out = out.withColumn(c, F.lit(None).cast("string"))
-    out.select(*[F.col(c).cast("double" if c == "value" else "string") for c in RESULT_COLS]) \
-        .write.mode("append").parquet(path)
+    out = out.select(*[F.col(c).cast("double" if c == "value" else "string") for c in RESULT_COLS])
+    if run is None:
+        out.write.mode("append").parquet(path)
+    else:
+        (out.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run").parquet(path))
