@@ -23,17 +23,24 @@ from pyspark.sql import functions as F
 from linea.operators.positional import lookup_join
 
 
-def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: float = 3.0,
-         digits: int = 6) -> DataFrame:
-    """``w1, w2, cnt, pmi`` with ``cnt >= min_count`` and ``pmi >= min_pmi``;
-    pmi = ln(cnt * N / (c(w1) * c(w2))), N = number of tokens."""
+def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``w, c``: how often each token occurs."""
+    return df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+
+
+def pair_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``w1, w2, cnt``: how often each pair of neighbours occurs."""
     w = F.col(tokens)
     pairs = F.filter(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))),
                                 lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
                      lambda p: p["w2"].isNotNull())
-    bi = (df.select(F.inline(pairs)).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("cnt"))
-          .where(F.col("cnt") >= min_count))
-    uni = df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    return df.select(F.inline(pairs)).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def lexicon(pairs: DataFrame, uni: DataFrame, min_count: int = 5, min_pmi: float = 3.0, digits: int = 6) -> DataFrame:
+    """The lexicon of counted pairs and tokens (of one corpus, or merged ones)."""
+    bi = pairs.where(F.col("cnt") >= min_count)
+    uni = uni.checkpoint(eager=True)
     n = uni.agg(F.sum("c")).first()[0] or 0
     j = lookup_join(bi, uni.select(F.col("w").alias("w1"), F.col("c").alias("c1")), "w1", "inner")
     j = lookup_join(j, uni.select(F.col("w").alias("w2"), F.col("c").alias("c2")), "w2", "inner")
@@ -41,6 +48,13 @@ def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: flo
     return j.where(pmi >= F.lit(float(min_pmi))).select("w1", "w2", "cnt", F.round(pmi, digits).alias("pmi"))
 
 
+def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: float = 3.0,
+         digits: int = 6) -> DataFrame:
+    """``w1, w2, cnt, pmi`` with ``cnt >= min_count`` and ``pmi >= min_pmi``;
+    pmi = ln(cnt * N / (c(w1) * c(w2))), N = number of tokens."""
+    return lexicon(pair_counts(df, tokens), token_counts(df, tokens), min_count, min_pmi, digits)
+
+
 def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
     """``line, text``: lexicon pairs joined by ``_``, greedily left to right."""
     p = df.select(line, F.posexplode_outer(tokens).alias("pos", "w"))  # a line without tokens keeps a row
@@ -77,7 +91,7 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
     / (n-1) >= min_pmi``. Tokens hold no blank.
     """
     lines = df.select(F.col(tokens).alias("tokens"))
-    uni = lines.select(F.explode("tokens").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    uni = token_counts(lines).checkpoint(eager=True)
     total = float(uni.agg(F.sum("c")).first()[0] or 1)
     found, last = None, None
     for n in range(2, max_words + 1):

@@ -17,14 +17,23 @@ SPECIALS = [("<s>", 0), ("<pad>", 1), ("</s>", 2), ("<unk>", 3)]
 BOS, PAD, EOS, UNK = 0, 1, 2, 3
 
 
+def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``token, cnt``: how often each token occurs."""
+    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def build_dictionary(df: DataFrame, tokens: str = "tokens", min_count: int = 1,
                      pad_to_multiple: int = 1) -> DataFrame:
     """M7: ``token, cnt, id``. With ``pad_to_multiple > 1`` filler symbols
     ``madeupwordNNNN`` (count 0) round the size up to a multiple."""
-    spark = df.sparkSession
-    counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("cnt")) \
-        .where(F.col("cnt") >= min_count)
-    counts = counts.checkpoint(eager=True)  # ranked by range (sampled, then dealt) and counted: the corpus is read once
+    return dictionary_of(token_counts(df, tokens), min_count, pad_to_multiple)
+
+
+def dictionary_of(counts: DataFrame, min_count: int = 1, pad_to_multiple: int = 1) -> DataFrame:
+    """M7 of a count table ``token, cnt`` (of one corpus, or merged ones)."""
+    spark = counts.sparkSession
+    # ranked by range (sampled, then dealt) and counted: the corpus is read once
+    counts = counts.where(F.col("cnt") >= min_count).checkpoint(eager=True)
     ranked = ordered_index(counts, [F.col("cnt").desc(), F.col("token").asc()], "rank")
     words = ranked.select("token", "cnt", (F.col("rank") + len(SPECIALS)).alias("id"))
     specials = spark.createDataFrame([(s, 1, i) for s, i in SPECIALS], "token string, cnt long, id long")

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from linea.operators import bootstrap as BS
 
+# Fixed value: the blank and the punctuation signs that the 13a rules isolate.
+PUNCT_SIGNS = r"""[ !"#$%&()*+/:;<=>?@\[\\\]^_`{|}~]"""
+
 CTE = {}
 
 CTE["seg"] = """seg AS (
@@ -158,7 +161,7 @@ def tok13a(c: str) -> str:
     for ent, ch in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         t = f"replace({t}, '{ent}', '{ch}')"
     t = f"(' ' || {t} || ' ')"
-    t = f"regexp_replace({t}, '([\\x7B-\\x7E\\x5B-\\x60\\x20-\\x26\\x28-\\x2B\\x3A-\\x40/])', ' \\1 ', 'g')"
+    t = f"regexp_replace({t}, '({PUNCT_SIGNS})', ' \\1 ', 'g')"
     t = f"regexp_replace({t}, '([^0-9])([\\.,])', '\\1 \\2 ', 'g')"
     t = f"regexp_replace({t}, '([\\.,])([^0-9])', ' \\1 \\2', 'g')"
     t = f"regexp_replace({t}, '([0-9])(-)', '\\1 \\2 ', 'g')"

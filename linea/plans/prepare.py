@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from linea.functions import text as T
 from linea.operators import collocations as CO
 from linea.operators import compose as C
+from linea.operators import counts as N
 from linea.operators import subword as SW
 from linea.operators import truecase as TC
 from linea.operators import vocab as V
@@ -138,6 +139,17 @@ class Preparation:
 
         return self.stages.stage("dictionary", [train], build, once=True)
 
+    def step_counts(self, step: int = 0, synthetic: DataFrame | None = None) -> Stage:
+        """``token, cnt`` of a step's training set: step k counts its own lines only and adds step k-1's table."""
+        sets = self.sets("train", step, synthetic)
+        sides = lambda df: df.select(F.explode(F.array("src", "tgt")).alias("s")).select(F.split("s", " ").alias("tokens"))
+        if step == 0:
+            return self.stages.stage("step0/counts", [sets], lambda: V.token_counts(sides(sets.frame)))
+        before = self.step_counts(step - 1, synthetic)
+        # of every 2(k+1) lines, the first of each half is new
+        own = sets.frame.where(F.pmod("line_no", F.lit(step + 1)) == 0)
+        return self.stages.stage(f"step{step}/counts", [sets, before], lambda: N.merged([before.frame, V.token_counts(sides(own))]))
+
     def encoded(self, split: str, step: int = 0, synthetic: DataFrame | None = None) -> Stage:
         """M8: ``line_no, src_ids, tgt_ids``."""
         sub, dictionary = self.subword(split, step, synthetic), self.dictionary()

@@ -7,6 +7,7 @@ tables. ``SQL[name]`` is the DuckDB oracle for ``QUERIES[name]``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,12 @@ from linea.operators import vocab as V
 from linea.operators.positional import dense_index
 from linea.plans import jobs as J
 from linea.plans import oracle as O
+from linea.plans.prepare import SPLITS, Preparation
+from linea.session import ensure_checkpoint_dir
 from linea.sources import fixtures as FX
 from linea.sources import text as S
+from linea.sources.sinks import append_result, write_lines
+from linea.sources.stages import Stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1001,6 +1006,109 @@ def bpe_vocab_100(spark, sf):
     return SW.type_vocabulary(_bpe_learned(spark, sf, BPE_TWIN_MERGES)[1])
 
 
+# ---------------------------------------------------------------------------
+# Preparation job (P1) and the file operators
+# ---------------------------------------------------------------------------
+
+def _scratch(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+def _preparation(spark, sf) -> Preparation:
+    parts = [FX.parallel_split(spark, sf, split).select(F.lit(split).alias("split"), "line_no", F.explode(F.create_map(
+        F.lit("en"), F.col("en"), F.lit("vi"), F.col("vi"))).alias("lang", "text")) for split in SPLITS]
+    corpus = parts[0].unionByName(parts[1]).unionByName(parts[2]).checkpoint(eager=True)
+    # NFC: what the twin can write
+    return Preparation(Stages(spark, _scratch(spark)), corpus, normalize_form="NFC", num_merges=BPE_MERGES)
+
+
+def _prepare_sql(step: int) -> str:
+    """Tokenised, joined, truecased and composed, one relation a stage."""
+    en, vi = (O.split_sp_nonempty(O.tokenize_en("nfc_normalize(en)")), O.split_sp_nonempty(O.tok13a("nfc_normalize(vi)")))
+    line = "split, line_no"
+    extra = [
+        f"ct AS (SELECT split, line_no, {vi} AS w FROM par_split)",
+        "bi AS (SELECT w[i] AS w1, w[i + 1] AS w2, count(*) AS cnt FROM (SELECT w, unnest(generate_series(1, len(w) - 1)) AS i "
+        "FROM ct WHERE split = 'train') GROUP BY ALL)",
+        "uni AS (SELECT t AS w, count(*) AS c FROM (SELECT unnest(w) AS t FROM ct WHERE split = 'train') GROUP BY t)",
+        "nn AS (SELECT sum(c) AS n FROM uni)", f"lex AS ({_COLLOC_SELECT})",
+        f"p AS (SELECT {line}, i AS pos, w[i] AS w, w[i + 1] AS nxt FROM (SELECT {line}, w, unnest(generate_series(1, len(w))) AS i FROM ct))",
+        "q AS (SELECT p.*, lex.w1 IS NOT NULL AS m FROM p LEFT JOIN lex ON lex.w1 = p.w AND lex.w2 = p.nxt)",
+        f"r AS (SELECT *, max(CASE WHEN m THEN 0 ELSE pos END) OVER (PARTITION BY {line} ORDER BY pos) AS before FROM q)",
+        "t AS (SELECT *, m AND (pos - before) % 2 = 1 AS take FROM r)",
+        f"u AS (SELECT *, coalesce(lag(take) OVER (PARTITION BY {line} ORDER BY pos), false) AS taken FROM t)",
+        f"vw AS (SELECT {line}, list(CASE WHEN take THEN w || '_' || nxt ELSE w END ORDER BY pos) AS w FROM u WHERE NOT taken GROUP BY {line})",
+        f"cw AS (SELECT 'en' AS lang, {line}, {en} AS w FROM par_split UNION ALL "
+        "SELECT 'vi', c.split, c.line_no, coalesce(v.w, []::VARCHAR[]) FROM ct c LEFT JOIN vw v USING (split, line_no))",
+        f"pos AS (SELECT lang, {line}, i - 1 AS pos, w[i] AS w, {O.start_flag_sql('w', 'i')} AS start FROM "
+        f"(SELECT lang, {line}, w, unnest(generate_series(1, len(w))) AS i FROM cw))",
+        "frm AS (SELECT lang, lower(w) AS lc, w, count(*) AS cnt FROM pos WHERE split = 'train' AND NOT start AND w <> '' GROUP BY ALL)",
+        "tcm AS (SELECT lang, lc, first(w ORDER BY cnt DESC, w ASC) AS best FROM frm GROUP BY lang, lc)",
+        "cased AS (SELECT x.lang, split, line_no, string_agg(CASE WHEN start AND m.best IS NOT NULL THEN m.best WHEN k.w IS NOT NULL THEN x.w "
+        "WHEN m.best IS NOT NULL THEN m.best ELSE x.w END, ' ' ORDER BY pos) AS text FROM pos x LEFT JOIN tcm m ON m.lang = x.lang AND m.lc = lower(x.w) "
+        "LEFT JOIN frm k ON k.lang = x.lang AND k.w = x.w GROUP BY x.lang, split, line_no)",
+        f"cpar AS (SELECT b.split, b.line_no, coalesce(e.text, '') AS en, coalesce(v.text, '') AS vi, syn_en, syn_vi FROM par_split b "
+        "LEFT JOIN cased e ON e.lang = 'en' AND e.split = b.split AND e.line_no = b.line_no "
+        "LEFT JOIN cased v ON v.lang = 'vi' AND v.split = b.split AND v.line_no = b.line_no)",
+        "set0 AS (SELECT split, line_no * 2 AS line_no, en AS src, vi AS tgt FROM cpar UNION ALL SELECT split, line_no * 2 + 1, vi, en FROM cpar)",
+        "set1 AS (SELECT split, line_no * 4 AS line_no, syn_en AS src, vi AS tgt FROM cpar WHERE split = 'train' UNION ALL "
+        "SELECT split, line_no * 4 + 2, syn_vi, en FROM cpar WHERE split = 'train' UNION ALL "
+        "SELECT split, line_no * 2 + 1, src, tgt FROM set0 WHERE split = 'train' UNION ALL SELECT * FROM set0 WHERE split <> 'train')"]
+    return O.with_ctes("par_split", extra=extra) + f"SELECT split, line_no, src, tgt FROM set{step}"
+
+
+@register("prepare_step0", _prepare_sql(0))
+def prepare_step0(spark, sf):
+    """P1, step 0 as stages: normalised, tokenised, compounds joined, truecased, composed."""
+    return _preparation(spark, sf).all_sets()
+
+
+@register("prepare_step1", _prepare_sql(1))
+def prepare_step1(spark, sf):
+    """P1, step 1 as stages: synthetic and genuine lines around step 0's training set; valid and test carried over."""
+    p = _preparation(spark, sf)
+    p.all_sets()
+    return p.all_sets(1, FX.parallel_split(spark, sf, "train").select("line_no", "syn_en", "syn_vi"))
+
+
+@register("prepare_encoded")
+def prepare_encoded(spark, sf):
+    """P1, step 0 to its end: 5,000 joint merges, subwords, tags, joint dictionary, ids (no SQL twin: see the merges)."""
+    p = _preparation(spark, sf)
+    parts = [p.encoded(s).frame.select(F.lit(s).alias("split"), "line_no", "src_ids", "tgt_ids") for s in SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("lines_roundtrip", O.with_ctes("numbered") + "SELECT line_no, text FROM numbered")
+def lines_roundtrip(spark, sf):
+    """S7 + S1: the corpus written as ordered text files and read back with its line numbers."""
+    path = _scratch(spark)
+    write_lines(FX.numbered(spark, sf), path)
+    files = sorted(r[0] for r in spark.read.text(path).select(F.col("_metadata.file_path")).distinct().collect())
+    return S.read_lines(spark, files)
+
+
+@register("stage_switch", O.with_ctes("seg") + "SELECT line_id, lang, text FROM seg")
+def stage_switch(spark, sf):
+    """A stage written twice, first in part; readers follow the newest marker."""
+    stages, lines = Stages(spark, _scratch(spark)), FX.seg(spark, sf).select("line_id", "lang", "text")
+    stages.write("lines", lines.where("lang = 'en'"))
+    stages.write("lines", lines, bucket_by=("line_id",))
+    stages.clean("lines")
+    return stages.read("lines")
+
+
+@register("results_by_run", O.with_ctes("seg")
+          + "SELECT r.run, lang AS direction, 'lines' AS metric, count(*)::DOUBLE * max(r.k) AS value FROM seg, (VALUES ('a', 1), ('b', 2)) r(run, k) GROUP BY r.run, lang")
+def results_by_run(spark, sf):
+    """Results of two runs, the first one appended twice."""
+    path = _scratch(spark)
+    counts = FX.seg(spark, sf).groupBy(F.col("lang").alias("direction")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    for run, k in (("a", 3), ("b", 2), ("a", 1)):
+        append_result(counts.withColumn("value", F.col("value") * k).withColumn("metric", F.lit("lines")), path, run=run)
+    return spark.read.parquet(path).select("run", "direction", "metric", "value")
+
+
 @register("parallel_join", O.with_ctes("numbered", "pair", extra=[
     "np AS (SELECT (row_number() OVER (ORDER BY line_id) - 1)::BIGINT AS line_no, hyp FROM pair)"])
     + "SELECT line_no, n.text AS en, np.hyp AS vi FROM numbered n FULL OUTER JOIN np USING (line_no)")
