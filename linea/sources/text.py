@@ -11,6 +11,11 @@ by the number of splits, never by the data.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +55,79 @@ def read_lines(spark: SparkSession, paths, corpus: str | None = None, split: str
     return out
 
 
+def _statuses(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(path as Spark tells it, bytes, time of change) of each file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        s = p.getFileSystem(conf).getFileStatus(p)
+        out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return out
+
+
+INDEX = "file string, bytes bigint, modified bigint, lines bigint"
+
+
+def line_counts(spark: SparkSession, paths: list[str], index: str) -> list[tuple[str, int]]:
+    """(file, lines) of each path in order; files that ``index`` does not know as they are now are counted and added to it."""
+    now = _statuses(spark, paths)
+    known = {}
+    if _exists(spark, index):
+        names = [f for f, _, _ in now]
+        rows = spark.read.schema(INDEX).parquet(index).where(F.col("file").isin(names)).collect()  # a row for each file asked for
+        known = {(r["file"], r["bytes"], r["modified"]): r["lines"] for r in rows}
+    new = [(p, s) for p, s in zip(paths, now, strict=True) if s not in known]
+    if new:
+        raw = spark.read.option("lineSep", "\n").text([p for p, _ in new])
+        counted = dict(raw.groupBy(_local(F.col("_metadata.file_path"))).count().collect())
+        fresh = {s: counted.get(_plain_path(s[0]), 0) for _, s in new}
+        spark.createDataFrame([(*s, n) for s, n in fresh.items()], INDEX).coalesce(1).write.mode("append").parquet(index)
+        known |= fresh
+    return [(s[0], known[s]) for s in now]
+
+
+def _plain_path(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
+def _local(path):
+    """A file's name without the scheme of local files, as :func:`_plain_path`."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def read_whole_files(spark: SparkSession, paths, index: str) -> DataFrame:
+    """S1 for files that are not split (gz and the like): ``line_no, text`` in one read of each.
+
+    ``index`` is a table of line counts kept beside the files: with the counts
+    known, a file's lines are numbered while they are read, in the one task
+    that reads it. Files are numbered consecutively in the given order.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    whole = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")
+    if split := [p for p in paths if not p.endswith(whole)]:
+        raise ValueError(f"files that Spark may split: {split}")
+    begin, at = {}, 0
+    for file, lines in line_counts(spark, paths, index):
+        begin[_plain_path(file)] = at
+        at += lines
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            told = batch.column(0).dictionary_encode()
+            codes, numbers = told.indices.to_numpy(), np.empty(batch.num_rows, np.int64)
+            for code, file in enumerate(told.dictionary.to_pylist()):
+                here = np.flatnonzero(codes == code)
+                start = seen.get(file, begin[file])
+                numbers[here] = start + np.arange(len(here))
+                seen[file] = start + len(here)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(1)], ["line_no", "text"])
+
+    raw = spark.read.option("lineSep", "\n").text(paths).select(_local(F.col("_metadata.file_path")).alias("f"), "value")
+    return raw.mapInArrow(number, "line_no bigint, text string")
+
+
 def _norm_path(p: str) -> str:
     p = p[len("file:"):] if p.startswith("file:") else p
     return p if p.startswith("/") or "://" in p else __import__("os").path.abspath(p)
