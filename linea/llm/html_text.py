@@ -48,6 +48,12 @@ CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split()) | INLINE
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
                   "notice alert popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead "
                   "comment comments disqus replies reply share sharing social related recommended newsletter subscribe signup login widget toolbar".split())
+#: Words that say nothing of their own beside one of NAMES: a class of both is a name, one with any other word is not.
+BESIDE = frozenset("site page main global top bottom left right upper lower inner outer primary secondary box bar block area list item items "
+                   "container wrapper wrap holder panel section region row col column content body header head title heading link links "
+                   "button buttons icon icons post posts article articles story stories reader user form field js slot unit text message "
+                   "policy banner desktop mobile fixed sticky id".split())
+COMMENTS = frozenset("comment comments disqus replies reply".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+", re.I)
@@ -105,16 +111,31 @@ def parse(page: str) -> Node:
     return root
 
 
+def names_out(value: str, names: frozenset[str]) -> bool:
+    """Whether a class or id has a token made of ``names`` alone, or of these and words that say nothing beside them."""
+    for token in value.split():
+        words = _WORD.findall(token)
+        if words and not names.isdisjoint(words) and all(w in names or w in NAMES or w in BESIDE for w in words):
+            return True
+    return False
+
+
 def named_out(node: Node) -> bool:
-    """Whether a tag, class, id or role tells that a subtree is no main text."""
+    """Whether a tag, class, id or role tells that a subtree is no main text.
+
+    The page's root is never judged, an article or main only as a comment.
+    """
     if node.tag in DROP:
         return True
-    if not node.attributes or node.tag in ("html", "body", "article", "main") and "comment" not in node.attributes.lower():
+    if not node.attributes or node.parent is None or node.tag in ("html", "body"):
         return False
+    whole = node.tag in ("article", "main")
     for key, a, b, c in _ATTRIBUTE.findall(node.attributes):
         key, value = key.lower(), (a or b or c).lower()
-        if key in ("class", "id") and not NAMES.isdisjoint(_WORD.findall(value)):
+        if key in ("class", "id") and names_out(value, COMMENTS if whole else NAMES):
             return True
+        if whole:
+            continue
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
         if key == "style" and "display:none" in value.replace(" ", ""):
@@ -143,19 +164,25 @@ def digests(root: Node) -> list[Node]:
 
 
 def places(root: Node) -> list[Node]:
-    """Outermost articles, else mains, else the whole page."""
-    for wanted in ("article", "main"):
-        found, stack = [], [root]
-        while stack:
-            node = stack.pop()
-            if named_out(node):
-                continue
-            if node.tag == wanted:
-                found.append(node)
-            else:
-                stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-        if any(n.size for n in found):
-            return found
+    """Outermost articles, else mains, else the whole page.
+
+    Those outside of subtrees that are named out come first; where there is
+    none, those below a named class or id count too: a page's wrapper may bear
+    any name.
+    """
+    for judged in (named_out, lambda n: n.tag in DROP or n.tag in ("article", "main") and named_out(n)):
+        for wanted in ("article", "main"):
+            found, stack = [], [root]
+            while stack:
+                node = stack.pop()
+                if judged(node):
+                    continue
+                if node.tag == wanted:
+                    found.append(node)
+                else:
+                    stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+            if any(n.size for n in found):
+                return found
     return [root]
 
 

@@ -29,6 +29,19 @@ def test_fallbacks_and_broken_pages():
     assert len(e("<p>" + "word " * 200000)) == 5 * 200000 - 1
 
 
+def test_names_are_whole_tokens_and_wrappers_keep_their_article():
+    e = html_text.extract
+    inner = "<article><header><h1>Head</h1></header><p>Body.</p></article>"
+    for wrapper in ('<div class="layout has-sidebar">', '<div class="site menu-closed">', '<div class="widget">', '<div id="modal">'):
+        assert e(f"<body>{wrapper}{inner}</div><footer>x</footer></body>") == "Head Body."
+    assert e(f'<div class="site menu-closed"><main><p>In main.</p></main></div>') == "In main."
+    assert e(f'<html><body class="comments-open">{inner}</body></html>') == "Head Body."
+    assert e('<article><p>a</p><div class="share-price">12 EUR</div><div class="menu-of-the-day">Soup</div></article>') == "a 12 EUR Soup"
+    for name in ("cookie-notice", "site-footer", "main-nav", "sidebar left", "related-posts", "reader-comments", "comment-42", "ad_slot", "social-links"):
+        assert e(f'<article><p>a</p><div class="{name}">no</div></article>') == "a", name
+    assert e('<ol class="comment-list"><article class="comment"><p>me</p></article></ol><p>text</p>') == "text"
+
+
 def test_template_removal(spark):
     rows = []
     for i in range(30):
@@ -79,3 +92,24 @@ def test_a_template_that_is_most_of_a_page_goes(spark):
     pages = spark.createDataFrame(rows, "page_id int, url string, html string")
     got = {r.page_id: r.text for r in html_text.main_text(pages, urls.host(F.col("url"))).collect()}
     assert got == {**{i: f"Story {i}." for i in range(30)}, 98: ""}
+
+
+def test_templates_equal_a_plain_count(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(3)
+    boxes = [f"<div class='b{i}'><span>Box {i}</span></div>" for i in range(6)]
+    pages = [(i, f"h{i % 2}", "<body>" + "".join(rng.sample(boxes, rng.randint(0, 4))) + f"<p>Own {i % 37}.</p></body>") for i in range(80)]
+    df = spark.createDataFrame(pages, "id int, host string, html string")
+    for least in (3, 10):
+        counts = Counter()
+        for host, page in {(h, p) for _, h, p in pages}:
+            counts.update((host, d) for d in set(html_text.containers(html_text.parse(page))))
+        key = {(r.host, r.html): r.key for r in df.select("host", "html", F.xxhash64("host", "html").alias("key")).collect()}
+        want = {}
+        for host, page in {(h, p) for _, h, p in pages}:
+            if common := {d for d in html_text.containers(html_text.parse(page)) if counts[host, d] >= least}:
+                want[key[host, page]] = common
+        got = {r.key: set(r.templates) for r in html_text.templates(df, F.col("host"), "html", least).collect()}
+        assert got == want and want
