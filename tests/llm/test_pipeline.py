@@ -50,5 +50,5 @@ def test_run_on_odd_rows(spark, tmp_path):
 
 
 def test_queries_are_named_and_run(spark):
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14)) and set(SQL) <= set(QUERIES)
     assert QUERIES["op1_toxicity"](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()

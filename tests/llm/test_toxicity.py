@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from linea.llm import toxicity
 
@@ -64,3 +65,33 @@ def test_nothing_to_learn_from(spark):
     docs = docs_of(spark, 30)
     assert toxicity.learn(docs.where("toxic = 0")).score("grumbold") == 0.0
     assert toxicity.learn(docs.limit(0)).entries == {}
+
+
+def test_matches_equal_a_plain_scan():
+    rnd = random.Random(4)
+    for _ in range(300):
+        make = lambda most: "".join(rnd.choice("ab ") for _ in range(rnd.randint(1, most)))
+        entries = {" " + make(4).strip(): rnd.choice([0.5, 1.0, 2.0]) for _ in range(4)} | {" " + make(3).strip() + " ": 3.0}
+        entries = {e: w for e, w in entries.items() if e.strip()}
+        exceptions = [f" {make(5).strip()} "] if rnd.random() < 0.5 else []
+        exceptions = [e for e in exceptions if e.strip() and e not in entries]
+        text = toxicity.fold(make(30))
+        want = {}
+        for e, w in entries.items():
+            for at in range(len(text)):
+                if text.startswith(e, at):
+                    want[at] = max(want.get(at, 0.0), w)
+        for e in exceptions:
+            for at in range(len(text)):
+                if text.startswith(e, at):
+                    want = {a: w for a, w in want.items() if not at <= a < at + len(e) - 1}
+        assert toxicity.Lexicon(entries, exceptions).matches(text) == want, (entries, exceptions, text)
+
+
+def test_scoring_empty_repeated_and_clashing(spark):
+    lexicon = toxicity.Lexicon({" bad": 2.0}, [toxicity.fold("bad luck")])
+    rows = [(1, "a bad thing", 0.5), (1, "a bad thing", 0.5), (2, "bad luck", 0.1), (3, None, None), (4, "", 0.0), (5, "b4d " * 9, 0.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    got = df.select("doc_id", toxicity.scores(lexicon, F.col("text")).alias("s")).collect()
+    assert [(r.doc_id, r.s > 0) for r in got] == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, True)]
+    assert df.limit(0).select(toxicity.scores(lexicon, F.col("text"))).count() == 0

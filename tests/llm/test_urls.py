@@ -51,3 +51,28 @@ def test_tokens_and_empty(spark):
     assert got[2] == []
     empty = spark.createDataFrame([], "page_id int, url string")
     assert urls.judge(empty, "url", URL_RULES, urls.mine(spark.createDataFrame([], "tokens array<string>, block boolean"))).count() == 0
+
+
+def test_mined_rules_and_matches_equal_enumeration(spark):
+    from itertools import combinations
+
+    rng = random.Random(2)
+    rows = []
+    for _ in range(400):
+        t = sorted({rng.choice("abcdefg") for _ in range(rng.randint(1, 4))})
+        rows.append((t, rng.random() < (0.9 if {"a", "b"} <= set(t) or "g" in t else 0.1)))
+    n, blocked = len(rows), sum(b for _, b in rows)
+    found = {}
+    for size in (1, 2, 3):
+        for c in combinations("abcdefg", size):
+            hold = [b for t, b in rows if set(c) <= set(t)]
+            if sum(hold) >= 0.03 * n and sum(hold) / len(hold) >= 0.6 and sum(hold) / len(hold) > blocked / n:
+                found[c] = sum(hold) / len(hold)
+    want = {c for c, p in found.items() if not any(set(s) < set(c) and q >= p for s, q in found.items())}
+    df = spark.createDataFrame(rows + [([], False), ([], False)], "tokens array<string>, block boolean")
+    rules = urls.mine(df, min_support=0.03 * n / (n + 2), min_confidence=0.6)
+    assert {tuple(r.tokens) for r in rules.collect()} == want and ("a", "b") in want
+    counts = df.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("all"))
+    numbered = df.withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    got = {(r.row, tuple(r.tokens)) for r in urls.matches(numbered, rules, counts).join(rules, "rule").collect()}
+    assert got == {(r.row, c) for r in numbered.collect() for c in want if set(c) <= set(r.tokens)}
