@@ -41,3 +41,19 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Keys with more than this part of all rows are hot: there are at most as many.
+HOT = 10_000
+
+
+def join_split(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which holds each key of them once with its number of rows, ``n``.
+
+    ``total`` is the number of rows, or more. Rows of keys with more than
+    1/``HOT`` of that meet their broadcast part of ``table`` (at most ``HOT``
+    rows) where they lie; only the others are shuffled by key.
+    """
+    hot = F.broadcast(table.where(F.col("n") > total / HOT))
+    rest = rows.join(hot.select(key), key, "left_anti").join(table.where(F.col("n") <= total / HOT), key)
+    return rows.join(hot, key).unionByName(rest).drop("n")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linea.llm.common import materialise
+from linea.llm.common import join_split, materialise
 
 #: Largest cell that one group examines; larger ones are split into blocks.
 CELL = 2048
@@ -113,16 +113,25 @@ def _manhattan(a: np.ndarray, b: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[pa, pb].sum(axis=1, dtype=np.int64)
 
 
-def _stars(left: np.ndarray, right: np.ndarray | None, max_bits: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _thermometer(fp: np.ndarray) -> np.ndarray:
+    """The bit counts with as many ones as they tell: the Manhattan distance is the number of differing bits."""
+    low = np.uint64(0x5555555555555555)
+    a, b = fp & low, (fp >> np.uint64(1)) & low
+    return (a | b) | ((a & b) << np.uint64(1))
+
+
+def _stars(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning stars of one cell (``right``: links between two blocks of it).
 
-    Breadth-first over the not yet reached fingerprints: every comparison is
-    one vector operation and nothing is kept for all pairs.
+    Breadth-first over the not yet reached fingerprints: those whose Manhattan
+    distance, the lower bound, is small enough are verified bit by bit. Every
+    comparison is one vector operation and nothing is kept for all pairs.
     """
     nodes = left if right is None else np.concatenate([left, right])
     side = np.zeros(len(nodes), np.int8)
     if right is not None:
         side[len(left):] = 1
+    bound = _thermometer(nodes)
     rest = np.arange(len(nodes))
     out_a, out_b = [], []
     while len(rest):
@@ -130,16 +139,16 @@ def _stars(left: np.ndarray, right: np.ndarray | None, max_bits: int, table: np.
         front, members = [root], []
         while front and len(rest):
             at = front.pop()
-            other = np.ones(len(rest), bool) if right is None else side[rest] != side[at]
-            x = nodes[rest] ^ nodes[at]
-            near = other & (np.bitwise_count(x) <= max_bits)
-            if near.any():
+            maybe = np.bitwise_count(bound[rest] ^ bound[at]) <= max_bits
+            if right is not None:
+                maybe &= side[rest] != side[at]
+            near = np.flatnonzero(maybe)
+            near = near[np.bitwise_count(nodes[rest[near]] ^ nodes[at]) <= max_bits]
+            if len(near):
                 hit = rest[near]
-                same = np.broadcast_to(_embed_np(nodes[at:at + 1]), len(hit)).copy()
-                assert (_manhattan(_embed_np(nodes[hit]), same, table) <= max_bits).all()
                 members.extend(hit.tolist())
                 front.extend(hit.tolist())
-                rest = rest[~near]
+                rest = np.delete(rest, near)
         if members:
             out_a.append(nodes[np.asarray(members)])
             out_b.append(np.full(len(members), nodes[root]))
@@ -175,7 +184,7 @@ def _cells(max_bits: int, masks: list[int]):
                 return
             fp = np.concatenate(held)
             if len(fp) > 1:
-                a, b = _stars(fp, None, max_bits, table)
+                a, b = _stars(fp, None, max_bits)
                 if len(a):
                     yield frame(a, b, False)
 
@@ -215,7 +224,7 @@ def _cells(max_bits: int, masks: list[int]):
                 if len(one) > CELL:
                     yield frame(one, one, True, grid[begin[r]], cell[begin[r]])
                 else:
-                    a, b = _stars(one, None, max_bits, table)
+                    a, b = _stars(one, None, max_bits)
                     if len(a):
                         yield frame(a, b, False)
             for r in sorted(edge):
@@ -248,13 +257,12 @@ def _block_links(large: DataFrame, max_bits: int) -> DataFrame:
                     "block", F.col("a").alias("fp")))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = _manhattan_table()
         fp = pdf["fp"].to_numpy().view(np.uint64)
         i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
         if i == j:
-            a, b = _stars(fp, None, max_bits, table)
+            a, b = _stars(fp, None, max_bits)
         else:
-            a, b = _stars(fp[pdf["block"] == i], fp[pdf["block"] == j], max_bits, table)
+            a, b = _stars(fp[pdf["block"] == i], fp[pdf["block"] == j], max_bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return rows.groupBy("grid", "cell", "i", "j").applyInPandas(run, "a bigint, b bigint")
@@ -290,9 +298,9 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours to the smallest of them, so edges never multiply.
     """
 
-    def star(directed: DataFrame) -> DataFrame:
-        least = directed.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return directed.join(least, "u")
+    def star(directed: DataFrame, rows: int) -> DataFrame:
+        least = directed.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+        return join_split(directed, least, "u", rows)
 
     def digest(df: DataFrame):
         return tuple(df.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first())
@@ -302,10 +310,10 @@ def components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = (star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = (star(both, 2 * mark[0]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where(F.col("u") != F.col("v")).distinct())
         # a large-star step leaves edges to a smaller node, as the small-star step wants them
-        small = star(large)
+        small = star(large, 2 * mark[0])
         both_ends = small.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")),
                                                    F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
         after = materialise(both_ends.select("e.a", "e.b").where("a != b").distinct())
@@ -321,8 +329,9 @@ def _rooted(prints: DataFrame, max_bits: int, bands: int) -> DataFrame:
     roots = components(links(distinct.select("fp"), max_bits, bands))
     member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(member.join(named, "root").select("fp", "root", "component_id"), "fp")
+    named = member.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    told = join_split(member, named, "root", distinct.count()).select("fp", "root", "component_id")
+    return prints.join(told, "fp")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, max_bits: int = 4,

@@ -111,3 +111,30 @@ def test_embedding_is_a_lower_bound(spark):
 def test_empty_table(spark):
     assert simhash.cluster(docs_of(spark).limit(0)).count() == 0
     assert simhash.deduplicate(docs_of(spark).limit(0)).count() == 0
+
+
+def test_thermometer_is_the_manhattan_distance():
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 1 << 64, (2, 5000), dtype=np.uint64)
+    table = simhash._manhattan_table()
+    want = simhash._manhattan(simhash._embed_np(a), simhash._embed_np(b), table)
+    assert (np.bitwise_count(simhash._thermometer(a) ^ simhash._thermometer(b)) == want).all()
+
+
+def test_join_split_meets_hot_and_rare_keys(spark, monkeypatch):
+    from linea.llm import common
+
+    rows = [(k, i) for k, n in ((1, 500), (2, 30), (3, 1), (4, 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, x int")
+    table = df.groupBy("k").agg(F.max("x").alias("top"), F.count(F.lit(1)).alias("n"))
+    want = sorted((k, x, dict((k, n - 1) for k, n in ((1, 500), (2, 30), (3, 1), (4, 7)))[k]) for k, x in rows)
+    for hot in (1, 3, 100, 10_000):
+        monkeypatch.setattr(common, "HOT", hot)
+        assert sorted(tuple(r) for r in common.join_split(df, table, "k", len(rows)).select("k", "x", "top").collect()) == want
+
+
+def test_components_of_a_large_star(spark):
+    edges = [(i, 0) for i in range(1, 400)] + [(1000 + i, 1000 + i + 1) for i in range(40)] + [(399, 2000), (2000, 2001)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = {i: 0 for i in [*range(1, 400), 2000, 2001]} | {1000 + i: 1000 for i in range(1, 41)}
+    assert {k: v for k, v in got.items() if k != v} == want
