@@ -35,7 +35,7 @@ PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ"
 #: The tokenizer's own pieces of a word of plain characters, lower-cased.
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Words and parts of one generation of a worker's memory; it keeps two.
-REMEMBER = 400_000
+REMEMBER = 600_000
 #: Rows of a batch that are Python objects at a time.
 SLICE = 256
 KINDS = {"id": pa.string(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
