@@ -106,3 +106,54 @@ def test_paired_stats_equal_separate(spark):
                    .collect()}
             for i in sep:
                 assert [got[i][f"{side}_{c}"] for c in B.STAT_COLS] == [sep[i][c] for c in B.STAT_COLS]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ngrams_of_a_line_stay_in_its_task(spark):
+    # one row a line from the cut to the sums: n-grams as rows were shuffled, sorted and spilled
+    df = frame(spark).repartition(3)
+    for out in (B.corpus_totals(df), B.sentence_stats(df, n_refs=2), B.paired_sentence_stats(df.withColumn("hyp_a", F.col("hyp"))
+                .withColumn("hyp_b", F.col("hyp")), n_refs=None)):
+        assert "Generate" not in _plan(out) and _plan(out).count("hashpartitioning") == 0
+
+
+def test_batches_in_parts_count_as_brute_force():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice(["a", "b", "c", "", "é"]) for _ in range(rng.randrange(12)))
+    lines = [[text() for _ in range(2 + rng.randrange(3))] for _ in range(60)]  # two systems, 0 to 2 references
+
+    def grams(s, n):
+        runs, out = [[]], Counter()
+        for w in s.split(" "):
+            if w == "":
+                runs.append([])
+            else:
+                runs[-1].append(w)
+        for r in runs:
+            out.update(tuple(r[i:i + n]) for i in range(len(r) - n + 1))
+        return out
+
+    want = np.array([[[sum(min(c, max([grams(r, n)[g] for r in line[2:]], default=0)) for g, c in grams(line[s], n).items())
+                       for n in range(1, 5)] + [sum(grams(line[s], n).values()) for n in range(1, 5)] for s in range(2)] for line in lines])
+    held, B.PART = B.PART, 50
+    try:
+        for part in (1, 50, held):
+            B.PART = part
+            assert (B.ngram_counts(pa.array(lines, pa.list_(pa.string())), 2) == want).all()
+            assert (B.ngram_counts(pa.array([["x"], *lines], pa.list_(pa.string()))[1:], 2) == want).all()
+    finally:
+        B.PART = held
+    assert B.ngram_counts(pa.array([], pa.list_(pa.string())), 1).shape == (0, 1, 8)
+    assert (B.ngram_counts(pa.array([["", ""], [""], [None, "a"]], pa.list_(pa.string())), 1) == 0).all()
+
+
+def test_no_lines_sum_to_zero(spark):
+    got = B.corpus_totals(frame(spark).where("false")).first()
+    assert list(got) == [0] * 10
