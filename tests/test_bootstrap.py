@@ -81,3 +81,18 @@ def test_sums_equal_the_draws(spark):
         assert set(got) == set(want)
         assert all(got[b][0] == want[b][0] and abs(got[b][1] - want[b][1]) < 1e-9 for b in got)
         assert sum(r["count"] for r in BS.deal(spark, 101, 6, 77, seed=9, span=span).collect()) == 6 * 77
+
+
+def test_draws_of_many_samples_are_those_of_each(monkeypatch):
+    import numpy as np
+    b, counts = np.array([3, 4, 9, 11]), np.array([5, 0, 8, 1])
+    for rows in (7, 4):  # a full range, and one with empty places
+        owner, hit, empty, anew = BS.many_places(1, b, 6, counts, 7, rows, 40)
+        for i in range(len(b)):
+            one, more = BS.places(1, int(b[i]), 6, int(counts[i]), 7, rows, 40)
+            assert hit[owner == i].tolist() == one.tolist() and anew[empty == i].tolist() == more.tolist()
+            assert len(one) + len(more) == counts[i]
+    # what is held at once is bounded by draws, not by samples
+    monkeypatch.setattr(BS, "CHUNK", 3)
+    parts = list(BS.pieces(np.array([4, 4, 1, 1, 1, 1, 50, 2]), 10))
+    assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 6), (6, 7), (7, 8)]
