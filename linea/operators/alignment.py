@@ -154,15 +154,13 @@ def alignment_errors(hyp_words: DataFrame, ref: DataFrame, k: int = 10) -> DataF
 def coverage(hyp: DataFrame, sentences: DataFrame, digits: int = 6) -> DataFrame:
     """Distinct aligned source (target) positions / max(1, total words).
 
-    Links and sentence lengths are unioned into one frame and reduced by a
-    single aggregate (NULL positions are not counted by ``count(DISTINCT …)``).
+    Positions are told apart sentence by sentence, where the links lie; one row
+    a sentence and the sentence lengths are unioned into one frame of sums.
     """
-    links = hyp.select("sent_id", "src", "tgt", F.lit(0).alias("ws"), F.lit(0).alias("wt"))
-    sent = sentences.select("sent_id", F.lit(None).cast("int").alias("src"), F.lit(None).cast("int").alias("tgt"),
-                            F.size("src_words").alias("ws"), F.size("tgt_words").alias("wt"))
-    t = links.unionByName(sent).agg(F.count_distinct("sent_id", "src").alias("n_src"),
-                                    F.count_distinct("sent_id", "tgt").alias("n_tgt"),
-                                    F.sum("ws").alias("w_src"), F.sum("wt").alias("w_tgt"))
+    links = hyp.groupBy("sent_id").agg(F.size(F.collect_set("src")).alias("n_src"), F.size(F.collect_set("tgt")).alias("n_tgt"))
+    links = links.select("n_src", "n_tgt", F.lit(0).alias("w_src"), F.lit(0).alias("w_tgt"))
+    sent = sentences.select(F.lit(0).alias("n_src"), F.lit(0).alias("n_tgt"), F.size("src_words").alias("w_src"), F.size("tgt_words").alias("w_tgt"))
+    t = links.unionByName(sent).agg(*[F.sum(c).alias(c) for c in ("n_src", "n_tgt", "w_src", "w_tgt")])
     return t.select(
         F.round(F.col("n_src") / F.greatest(F.col("w_src"), F.lit(1)), digits).alias("source_coverage"),
         F.round(F.col("n_tgt") / F.greatest(F.col("w_tgt"), F.lit(1)), digits).alias("target_coverage"))

@@ -82,3 +82,26 @@ def test_clean_punctuation(spark):
     h = spark.createDataFrame([(0, 0, 0), (0, 1, 1), (0, 1, 2), (0, 2, 0)], "sent_id long, src int, tgt int")
     kept = sorted((r.src, r.tgt) for r in AL.clean_punctuation(h, sent).collect())
     assert kept == [(0, 0), (1, 1)]
+
+
+def test_tasks_hold_a_bounded_number_of_links(spark, monkeypatch):
+    from linea.sources import fixtures as FX
+    from tests.conftest import SF0001
+    rows = FX.table(spark, SF0001, "lineitem").count()
+    before = sorted(map(tuple, FX.links(spark, SF0001).collect()))
+    monkeypatch.setattr(FX, "LINKS", 500)
+    for frame in (FX.links(spark, SF0001), FX.align_sentences(spark, SF0001)):
+        assert frame.rdd.getNumPartitions() >= rows // 500 > 4
+    assert sorted(map(tuple, FX.links(spark, SF0001).collect())) == before
+
+
+def test_coverage_counts_positions_where_the_links_lie(spark):
+    # two distinct counts over all links expand and shuffle every link twice
+    hyp = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (1, 2, 1), (2, 0, 0)], "sent_id long, src int, tgt int").repartition(2, "sent_id")
+    sent = spark.createDataFrame([(1, ["a", "b", "c"], ["x", "y"]), (2, ["a"], ["x", "y"]), (3, ["a"], [])],
+                                 "sent_id long, src_words array<string>, tgt_words array<string>")
+    out = AL.coverage(hyp, sent)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("hashpartitioning") == 1
+    assert tuple(out.first()) == (0.6, 0.75)
+    assert tuple(AL.coverage(hyp.where("false"), sent).first()) == (0.0, 0.0)
