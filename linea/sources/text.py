@@ -232,8 +232,11 @@ def parse_decoder_log(df: DataFrame, line: str = "line") -> DataFrame:
     Keeps lines starting with ``H`` and takes the third TAB field; keyed by the
     id after ``H-`` rather than by row order.
     """
-    f = F.split(F.col(line), "\t")
-    return (df.where(F.col(line).startswith("H"))
-            .select(F.regexp_extract(f[0], r"^H-(\d+)$", 1).cast("bigint").alias("id"),
-                    F.get(f, 1).cast("double").alias("score"),
-                    F.coalesce(F.get(f, 2), F.lit("")).alias("text")))
+    c = F.col(line)
+    # the first three fields by the places of their TABs: the line is not cut into an array
+    field = lambda n: F.substring_index(F.substring_index(c, "\t", n), "\t", -1)
+    fewer = lambda n: F.octet_length(F.substring_index(c, "\t", n - 1)) == F.octet_length(c)
+    return (df.where(c.startswith("H"))
+            .select(F.regexp_extract(F.substring_index(c, "\t", 1), r"^H-(\d+)$", 1).cast("bigint").alias("id"),
+                    F.when(~fewer(2), field(2)).cast("double").alias("score"),
+                    F.when(fewer(3), "").otherwise(field(3)).alias("text")))

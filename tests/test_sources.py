@@ -139,3 +139,18 @@ def test_conversation_turns_are_all_kept(spark):
     assert sorted(r.t for r in held.collect()) == sorted(r.text for r in turns.where("text != ''").collect())
     assert pairs.count() == pairs.select("conv_id", "k").distinct().count()
     assert {r.role for r in turns.select("role").distinct().collect()} >= {"user", "assistant"}
+
+
+def test_one_row_group_is_dealt_to_all_cores(spark):
+    from linea.sources.tables import table
+    from tests.conftest import SF0001
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")  # the file's one row group in one of several ranges
+    try:
+        raw = spark.read.parquet(f"{SF0001}/documents.parquet")
+        assert raw.rdd.getNumPartitions() >= 4 and sum(1 for n in raw.rdd.glom().map(len).collect() if n) == 1
+        dealt = table(spark, SF0001, "documents")
+        sizes = dealt.rdd.glom().map(len).collect()
+        assert sum(sizes) == raw.count() and max(sizes) * 4 <= 2 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)

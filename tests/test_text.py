@@ -72,3 +72,19 @@ def test_cyclic_tag_by_hand(spark):
 def test_eval_preproc_pearson(spark):
     assert col_values(spark, [" 1.5\n", "-2", "3e2"], lambda c: T.eval_preproc(c, "pearson")) == [1.5, -2.0, 300.0]
 
+
+
+def test_join_subwords_by_plain_replacement(spark):
+    import re
+    cases = ["", "@@", "@@ ", "a@@ b", "a@@", "a@@ ", "@@@ @", "@@@", "a@@ @@ b@@", "x @@ y", "@ @", "@@ @@", "a@@@@ b", "é@@ ß@@"]
+    df = spark.createDataFrame([(c,) for c in [*cases, None]], "t string").select("t", T.join_subwords("t").alias("j"))
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.t: r.j for r in df.collect()} == {None: None} | {c: re.sub(r"(@@ )|(@@ ?\Z)", "", c) for c in cases}
+
+
+def test_log_fields_by_their_tabs(spark):
+    from linea.sources.text import parse_decoder_log
+    lines = ["H-1\t-0.5\ta b", "H-2\t-0.5", "H-3", "H-4\t-0.5\t", "H-5\t-0.25\tx\ty", "S-6\ta", "H-7\t-1.0\t\tz", "P-1\t-0.5"]
+    out = parse_decoder_log(spark.createDataFrame([(x,) for x in lines], "line string"))
+    assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [(1, -0.5, "a b"), (2, -0.5, ""), (3, None, ""), (4, -0.5, ""), (5, -0.25, "x"), (7, -1.0, "")]
