@@ -24,6 +24,7 @@ that the operator does not use, whatever their names, pass through unchanged
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -86,8 +87,8 @@ def pieces(docs: DataFrame, text: str, lang: str, chunk: int, seed: int) -> Data
     return rows.withColumn("h", F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40)))
 
 
-def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chunk: int = 300, least: int = 200) -> list[tuple[str, str]]:
-    """Different pieces of labelled texts, ``max_chars`` characters at most and the same share of each language.
+def sampled(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chunk: int = 300, least: int = 200) -> DataFrame | None:
+    """(l, t): different pieces of labelled texts, ``max_chars`` characters at most and the same share of each language; None: no piece.
 
     A language keeps ``least`` pieces (all it has, if fewer) even where its share holds fewer.
     """
@@ -96,7 +97,7 @@ def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chu
     sizes = (every.groupBy("l", F.floor(F.log2(F.length("t"))).alias("k"))
              .agg(F.approx_count_distinct("t").alias("n"), F.avg(F.length("t")).alias("size")).collect())
     if not sizes:
-        return []
+        return None
     number, chars = {}, {}
     for r in sizes:
         number[r["l"]] = number.get(r["l"], 0) + r["n"]
@@ -109,8 +110,13 @@ def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chu
     some = every.where(F.col("h") < limits[F.col("l")]).distinct()
     order = Window.partitionBy("l").orderBy("h", "t")
     kept = some.withColumn("i", F.row_number().over(order)).withColumn("upto", F.sum(F.length("t")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    got = kept.where((F.col("upto") <= share) | (F.col("i") <= least)).select("l", "t").collect()
-    return sorted((r["l"], r["t"]) for r in got)
+    return kept.where((F.col("upto") <= share) | (F.col("i") <= least)).select("l", "t")
+
+
+def sample(docs: DataFrame, text: str, lang: str, max_chars: int, seed: int, chunk: int = 300, least: int = 200) -> list[tuple[str, str]]:
+    """The pieces of :func:`sampled`, sorted."""
+    kept = sampled(docs, text, lang, max_chars, seed, chunk, least)
+    return [] if kept is None else sorted((r["l"], r["t"]) for r in kept.collect())
 
 
 class Model:
@@ -253,8 +259,22 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_chars: int = 2_000_000, seed: int = 7) -> Model:
-    """Fit a model on a bounded sample (``max_chars`` characters) of the labelled texts of ``docs``."""
-    return fit(sample(docs, text, lang, max_chars, seed), seed=seed)
+    """Fit a model on a bounded sample (``max_chars`` characters) of the labelled texts of ``docs``.
+
+    One task fits it and only the finished numbers reach the driver, whose memory does not hold the sample's n-grams.
+    """
+    kept = sampled(docs, text, lang, max_chars, seed)
+    if kept is None:
+        return fit([], seed=seed)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = fit(sorted(row for f in frames for row in zip(f["l"], f["t"], strict=True)), seed=seed)
+        yield pd.DataFrame({"model": [pickle.dumps((m.classes, m.table, m.bias, m.temperature, m.reject, m.cover))]})
+
+    classes, table, bias, *limits = pickle.loads(kept.repartition(1).mapInPandas(run, "model binary").first()["model"])
+    model = Model(classes, table, bias)
+    model.temperature, model.reject, model.cover = limits
+    return model
 
 
 def predictor(model: Model, text: Column) -> Column:

@@ -1,5 +1,7 @@
+import os
 import random
 
+import numpy as np
 import pytest
 
 from linea.llm import langid
@@ -105,3 +107,19 @@ def test_unlearned_latin_script_is_rejected_on_documents(spark):
     got = langid.identify(docs, m)
     assert got.where("not accepted").count() <= 0.002 * docs.count()
     assert not m.predict(ITALIAN)[2] and not m.predict("".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz     ", k=300)))[2]
+
+
+def test_the_driver_does_not_fit(spark, monkeypatch):
+    here, fit = os.getpid(), langid.fit
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = fit(langid.sample(docs, "text", "lang", 2_000_000, 7), seed=7)
+
+    def elsewhere(rows, **kw):
+        assert os.getpid() != here, "the sample's n-grams are held by the driver"
+        return fit(rows, **kw)
+
+    monkeypatch.setattr(langid, "fit", elsewhere)
+    got = langid.train(docs)
+    assert got.classes == want.classes and got.temperature == want.temperature
+    for name in ("table", "bias", "reject", "cover"):
+        np.testing.assert_allclose(getattr(got, name), getattr(want, name), rtol=1e-9, atol=1e-12)
