@@ -25,9 +25,8 @@ would let counts of cold pairs add up; it ends the window and is made by itself
 on the types. Where even the best pair's segments are too many, a round merges
 the pairs that provably come next (:func:`choose_batch`) on the types.
 
-Application (M6) is a relation of word types: the learner keeps word ->
-subwords, words it has not seen are replayed once a type, and lines meet their
-words by a checked lookup join.
+Application (M6) is row-local: a task replays the merges on the different words
+of its lines, and keeps a bounded number of them.
 """
 
 from __future__ import annotations
@@ -35,14 +34,14 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from linea.operators.positional import lookup_join
-
 # End-of-word marker and continuation mark.
 EOW = "</w>"
 SEP = "@@"
@@ -385,34 +384,74 @@ def segment_words(words: DataFrame, merges: list[tuple[str, str, int]]) -> DataF
     return words.select("word").distinct().mapInArrow(run, "word string, sub string")
 
 
+def replay_in_order(syms: list[str], ranks: dict[tuple[str, str], list[int]]) -> list[str]:
+    """The merges one after the other on one word's symbols, as learning made them (a pair may have been merged twice)."""
+    last = -1
+    while len(syms) > 1:
+        found = [(r, p) for p in zip(syms, syms[1:], strict=False) for r in ranks.get(p, ()) if r > last]
+        if not found:
+            break
+        last, pair = min(found)
+        syms = merge_pair(syms, *pair)
+    return syms
+
+
+#: Characters of lines that are cut together; most words whose subwords a task keeps.
+PART, KEPT = 1 << 22, 1 << 18
+
+
+def segmenter(merges: list[tuple[str, str, int]]):
+    """M6 as a column function: a line's words in subwords, its different words replayed once as long as a task keeps them."""
+    ranks: dict[tuple[str, str], list[int]] = {}
+    for i, (a, b, _) in enumerate(merges):
+        ranks.setdefault((a, b), []).append(i)
+    kept: dict[str, str] = {}
+
+    def cut(word: str) -> str:
+        body = " ".join(replay_in_order([*word[:-1], word[-1] + EOW], ranks))[: -len(EOW)]
+        return body.replace(" ", SEP + " ")
+
+    def part(texts: pa.Array) -> pa.Array:
+        words = pc.split_pattern(texts, " ")
+        told = words.flatten().dictionary_encode()
+        subs = []
+        for word in told.dictionary.to_pylist():
+            sub = kept.get(word)
+            if sub is None and word:
+                if len(kept) >= KEPT:
+                    kept.clear()
+                sub = kept[word] = cut(word)
+            subs.append(sub)  # none of an empty word
+        line = np.repeat(np.arange(len(texts)), words.value_lengths().fill_null(0).to_numpy())
+        out = pa.array(subs, pa.string()).take(told.indices)
+        full = out.is_valid()
+        ends = np.concatenate([[0], np.cumsum(np.bincount(line[full.to_numpy(zero_copy_only=False)], minlength=len(texts)))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), out.filter(full))
+        return pc.if_else(texts.is_valid(), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
+
+    def run(texts: pa.Array) -> pa.Array:
+        ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy())
+        parts, at = [pa.array([], pa.string())], 0
+        while at < len(texts):  # lines of PART bytes, one line at least
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, "right")))
+            parts.append(part(texts[at:to]))
+            at = to
+        return pa.concat_arrays(parts)
+
+    return F.arrow_udf(run, "string")
+
+
 def segment(df: DataFrame, text: dict[str, str], merges: list[tuple[str, str, int]], known: DataFrame | None = None) -> DataFrame:
     """M6: ``df`` with each text column of ``text`` (input -> output name) in subwords, words parted by one space.
 
-    ``known`` (``word, sub``) is what the learner kept; other words are replayed
-    once a type. Words of all lines meet that relation in one checked lookup
-    join and are put together again by line: null stays null, empty stays empty.
+    Row-local: only the merges travel, whatever the number of word types or
+    lines, and replaying them in order gives what the learner keeps
+    (``known``), so that table need not meet the lines. Null stays null, empty
+    stays empty.
     """
-    keyed = df.withColumn("__line", F.monotonically_increasing_id()).checkpoint(eager=True)
-    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
-    parts = [keyed.select("__line", F.lit(i).alias("__side"), F.posexplode(words(c)).alias("__pos", "word")) for i, c in enumerate(text)]
-    tokens = parts[0]
-    for p in parts[1:]:
-        tokens = tokens.unionByName(p)
-    if known is None:
-        relation = segment_words(tokens, merges)
-    else:
-        known = known.select("word", "sub")
-        fresh = tokens.select("word").distinct().join(known.select("word"), "word", "left_anti")
-        relation = known.unionByName(segment_words(fresh, merges))
-    met = lookup_join(tokens, relation, "word", "inner")
-    side = lambda i: F.array_join(F.transform(F.array_sort(F.collect_list(
-        F.when(F.col("__side") == i, F.struct("__pos", "sub")))), lambda s: s["sub"]), " ").alias(f"__sub{i}")
-    lines = met.groupBy("__line").agg(*[side(i) for i in range(len(text))])
-    out = keyed.join(lines, "__line", "left")
-    for i, (source, name) in enumerate(text.items()):
-        out = out.withColumn(f"__new{i}", F.when(F.col(source).isNotNull(), F.coalesce(f"__sub{i}", F.lit(""))))
+    bpe = segmenter(merges)
     kept = [c for c in df.columns if c not in text.values()]
-    return out.select(*kept, *[F.col(f"__new{i}").alias(name) for i, name in enumerate(text.values())])
+    return df.select(*kept, *[bpe(F.col(source)).alias(name) for source, name in text.items()])
 
 
 def type_vocabulary(types: DataFrame) -> DataFrame:

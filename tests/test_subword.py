@@ -114,3 +114,22 @@ def test_segment_relation_equals_replay(spark):
     for w, n in vocab.items():
         subs.update({s: n * c for s, c in Counter("@@ ".join(SW.encode_word(w, ranks)).split(" ")).items()})
     assert {r.token: r.cnt for r in SW.type_vocabulary(types).collect()} == subs
+
+
+def test_segment_stays_with_its_lines(spark):
+    rnd = random.Random(5)
+    merges = [("a", "b", 9), ("ab", "a", 8), ("b", "a", 7), ("a", "ba", 6), ("a", "b", 5), ("c", "c</w>", 4)]  # one pair is merged twice
+    lines = [" ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 8))) for _ in range(rnd.randint(0, 6))) for _ in range(60)] + [None, " a  cc ", ""]
+
+    def one_by_one(word):
+        syms = [*word[:-1], word[-1] + SW.EOW]
+        for a, b, _ in merges:
+            syms = SW.merge_pair(syms, a, b)
+        return " ".join(syms)[: -len(SW.EOW)].replace(" ", "@@ ")
+
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, t string")
+    out = SW.segment(df, {"t": "s"}, merges)
+    want = {i: None if t is None else " ".join(one_by_one(w) for w in t.split(" ") if w) for i, t in enumerate(lines)}
+    assert {r.id: r.s for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan  # no row a token, none leaves its task
