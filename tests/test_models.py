@@ -45,3 +45,26 @@ def test_lines_without_tokens_stay(spark):
     assert cased[1] == [] and set(cased) == {0, 1, 2}
     lex = spark.createDataFrame([("the", "house")], "w1 string, w2 string")
     assert {r.line_id: r.text for r in CO.segment(t, lex).collect()} == {0: "the_house", 1: "", 2: "The end"}
+
+
+def test_truecasing_meets_words_by_parts(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(TC, "TOKENS", 40)
+    rnd = random.Random(4)
+    words = ["the", "The", "THE", "paris", "Paris", "ünder", "Ünder", ".", "?", '"', "New", "x", "", None]
+    lines = [(i, [rnd.choice(words) for _ in range(rnd.randint(0, 12))]) for i in range(300)] + [(300, None), (301, [])]
+    df = spark.createDataFrame(lines, "line_id long, tokens array<string>")
+    train = df.where("line_id % 3 = 0")
+    model, known = TC.train(train), TC.known_forms(train)
+    best, seen = {r.lc: r.best for r in model.collect()}, {r.w for r in known.collect()}
+    flags = {r.line_id: r.f for r in df.select("line_id", TC.sentence_start_flags(F.col("tokens")).alias("f")).collect()}
+
+    def case(w, start):
+        b = best.get(w.lower()) if w is not None else None
+        return w if b is None or (not start and w in seen) else b
+
+    out = TC.apply(df, model, known)
+    assert {r.line_id: r.tokens for r in out.collect()} == {
+        i: [case(w, f) for w, f in zip(t or [], flags[i] or [], strict=True)] for i, t in lines}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no row a token
