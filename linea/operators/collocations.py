@@ -9,17 +9,26 @@ line, so a window partition is one sentence.
 
 Compounds of any length (:func:`mine_phrases`, :func:`segment_phrases`): the
 lexicon grows a word at a time, from n-grams whose first and last n-1 words are
-in it. Matching walks its prefix tree: a position stays in the walk only while
-its words are a prefix of some compound, so few n-grams of three words or more
-are looked up. The matches of a line are a lattice over its positions, whose
-path (longest match first, or the highest sum of scores) is a fold over the line.
+in it; a piece of lines sends each different n-gram once with its count. For
+matching, lines are dealt to parts; the different pairs of neighbours of a part
+(not its tokens) meet the phrases that begin so, which come back to the part.
+There its positions walk their prefix tree: a position stays in the walk only
+while its words are a prefix of some phrase. The matches of a line are a lattice
+over its positions; its path takes the longest match first, or the highest sum
+of scores.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linea.operators.ngrams import different, windows
 from linea.operators.positional import lookup_join
 
 
@@ -75,13 +84,6 @@ def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: st
     return g.select(line, F.array_join(F.transform("__s", lambda s: s["w"]), " ").alias("text"))
 
 
-def _grams(tokens: str, n: int):
-    """The n-grams of a token array, space-joined."""
-    at = F.sequence(F.lit(1), F.size(tokens) - n + 1)
-    return F.when(F.size(tokens) >= n, F.transform(at, lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(
-        F.array().cast("array<string>"))
-
-
 def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: float = 3.0, max_words: int = 4,
                  digits: int = 6) -> DataFrame:
     """``phrase, words, cnt, pmi`` of compounds of 2 to ``max_words`` words.
@@ -91,17 +93,25 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
     / (n-1) >= min_pmi``. Tokens hold no blank.
     """
     lines = df.select(F.col(tokens).alias("tokens"))
-    uni = token_counts(lines).checkpoint(eager=True)
+    pair, frequent = F.concat_ws(" ", "head", "last"), F.col("cnt") >= min_count
+    # tokens and pairs in one pass: a pair holds a blank
+    both = windows(lines, 2).select("times", F.explode(F.when(F.col("words") == 2, F.array("head", pair)).otherwise(F.array("head"))).alias("phrase"))
+    both = both.groupBy("phrase").agg(F.sum("times").alias("cnt")).withColumn("pair", F.col("phrase").contains(" "))
+    both = both.where(~F.col("pair") | frequent).checkpoint(eager=True)
+    uni = both.where(~F.col("pair")).select(F.col("phrase").alias("w"), F.col("cnt").alias("c"))
     total = float(uni.agg(F.sum("c")).first()[0] or 1)
+    longer = windows(lines, max_words).select("words", "times", pair.alias("gram"))
     found, last = None, None
     for n in range(2, max_words + 1):
-        grams = lines.select(F.explode(_grams("tokens", n)).alias("phrase"))
-        if last is not None:  # only what continues a phrase is counted
+        counts = both.where("pair").select("phrase", "cnt")
+        if last is not None:  # only what continues a phrase is counted, and only that may continue
             kept = last.select(F.col("phrase").alias("head"))
-            grams = lookup_join(grams.withColumn("head", F.regexp_extract("phrase", r"^(.*) [^ ]+$", 1)), kept, "head", "left_semi")
-            grams = lookup_join(grams.withColumn("tail", F.regexp_extract("phrase", r"^[^ ]+ (.*)$", 1)),
-                                kept.withColumnRenamed("head", "tail"), "tail", "left_semi")
-        counts = grams.groupBy("phrase").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") >= min_count)
+            head, whole = F.substring_index("gram", " ", n - 1), F.substring_index("gram", " ", n)
+            tail = F.expr("substring(phrase, locate(' ', phrase) + 1)")
+            longer = lookup_join(longer.where(F.col("words") >= n).withColumn("head", head), kept, "head", "left_semi")
+            longer = lookup_join(longer.withColumn("phrase", whole).withColumn("tail", tail), kept.withColumnRenamed("head", "tail"), "tail", "left_semi")
+            longer = longer.select("words", "times", "gram", "phrase").checkpoint(eager=True)
+            counts = longer.groupBy("phrase").agg(F.sum("times").alias("cnt")).where(frequent)
         words = counts.select("phrase", "cnt", F.explode(F.split("phrase", " ")).alias("w"))
         logs = lookup_join(words, uni, "w", "inner").groupBy("phrase", "cnt").agg(F.sum(F.ln("c")).alias("logs"))
         pmi = (F.ln("cnt") + F.lit(n - 1) * F.ln(F.lit(total)) - F.col("logs")) / (n - 1)
@@ -113,13 +123,118 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
     return found
 
 
-def prefix_tree(lexicon: DataFrame) -> DataFrame:
-    """``node, words, score``: every prefix of two words or more of a phrase; score null: no phrase itself."""
-    split = F.split("phrase", " ")
-    nodes = lexicon.select("score", "phrase", F.explode(F.sequence(F.lit(2), F.size(split))).alias("words"), split.alias("w"))
-    node = F.array_join(F.slice("w", 1, F.col("words")), " ")
-    own = F.max(F.when(F.size("w") == F.col("words"), F.col("score")))
-    return nodes.withColumn("node", node).groupBy("node", "words").agg(own.alias("score"))
+#: About the most tokens of the lines that meet their phrases together.
+TOKENS = 2_000_000
+
+
+def _pairs(lines: DataFrame) -> DataFrame:
+    """``part, pair``: the different pairs of neighbours of each part (sorted by part)."""
+    def told(part: int, held: list[pa.ListArray]) -> pa.RecordBatch:
+        rows = different(pa.concat_arrays(held), 2)
+        rows = rows.filter(pc.equal(rows["words"], 2))
+        pair = pc.binary_join_element_wise(rows["head"], rows["last"], " ")
+        return pa.RecordBatch.from_arrays([pa.repeat(part, len(pair)), pair], ["part", "pair"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            of, tokens = batch.column(0).to_numpy(), batch.column(1)
+            cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if held and of[a] != part:
+                    yield told(part, held)
+                    held = []
+                part = int(of[a])
+                held.append(tokens[a:b])
+        if held:
+            yield told(part, held)
+
+    return lines.select("part", "tokens").mapInArrow(run, "part bigint, pair string")
+
+
+def _matches(code: np.ndarray, ends: np.ndarray, words: pa.Array, phrases: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 2, 3, … words: the positions where a phrase of so many starts, and its score.
+
+    ``code`` numbers each position's token among ``words``, ``ends`` is the end of its line.
+    """
+    cut = pc.split_pattern(phrases["phrase"].combine_chunks(), " ")
+    size = cut.value_lengths().to_numpy()
+    first = np.cumsum(size) - size
+    of = pc.index_in(cut.flatten(), value_set=words).fill_null(-1).to_numpy().astype(np.int64)
+    score = phrases["score"].combine_chunks().to_numpy(zero_copy_only=False)
+    here = np.flatnonzero(np.add.reduceat(of < 0, first) == 0) if len(size) else np.arange(0)  # phrases whose words all occur
+    node = of[first[here]]
+    at, place, out = np.arange(len(code)), code, []
+    for n in range(2, int(size[here].max(initial=1)) + 1):  # a prefix is a number: that of its first n - 1 words and its last word
+        long = size[here] >= n
+        here, node = here[long], node[long]
+        keys, node = np.unique(node * len(words) + of[first[here] + n - 1], return_inverse=True)
+        best, own = np.full(len(keys), -np.inf), np.zeros(len(keys), bool)
+        end = size[here] == n
+        np.maximum.at(best, node[end], score[here[end]])
+        own[node[end]] = True
+        inside = at + n - 1 < ends[at]
+        at, place = at[inside], place[inside]
+        key = place * len(words) + code[at + n - 1]
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        met = keys[place] == key
+        at, place = at[met], place[met]
+        out.append((at[own[place]], best[place[own[place]]]))
+    return out
+
+
+def _longest(matches: list, tokens: int) -> np.ndarray:
+    """How many words the piece of each position has that a path of longest matches takes; 1 elsewhere."""
+    most, taken = np.ones(tokens, np.int64), np.ones(tokens, np.int64)
+    for n, (at, _) in enumerate(matches, 2):
+        most[at] = n
+    starts = np.flatnonzero(most > 1)
+    free, kept = 0, []
+    for a, n in zip(starts.tolist(), most[starts].tolist(), strict=True):
+        if a >= free:
+            kept.append(a)
+            free = a + n
+    taken[kept] = most[kept]
+    return taken
+
+
+def _best(matches: list, ends: np.ndarray) -> np.ndarray:
+    """As :func:`_longest`, for the path of the highest sum of scores (longer phrases of equals)."""
+    options: dict[int, list] = {}
+    for n, (at, score) in enumerate(matches, 2):
+        for a, s in zip(at.tolist(), score.tolist(), strict=True):
+            options.setdefault(a, []).append((n, s))
+    taken, end = np.ones(len(ends), np.int64), ends.tolist()
+    sums, words = [0.0] * (len(end) + 1), [1] * len(end)
+    after = lambda a, n: sums[a + n] if a + n < end[a] else 0.0  # noqa: E731  (a line's end, not the next line's start)
+    for a in range(len(end) - 1, -1, -1):
+        sums[a], words[a] = max([(after(a, 1), 1), *[(s + after(a, n), n) for n, s in options.get(a, [])]])
+    a = 0
+    while a < len(end):
+        taken[a] = words[a]
+        a += words[a]
+    return taken
+
+
+def _glued(mode: str):
+    def run(lines: pa.Table, phrases: pa.Table) -> pa.Table:
+        tokens = lines["tokens"].combine_chunks()
+        sizes = tokens.value_lengths().fill_null(0).to_numpy()
+        stop = np.cumsum(sizes)
+        told = tokens.flatten().dictionary_encode()
+        ends = np.repeat(stop, sizes)
+        matches = _matches(told.indices.to_numpy().astype(np.int64), ends, told.dictionary, phrases)
+        taken = _longest(matches, len(ends)) if mode == "longest" else _best(matches, ends)
+        before = np.ones(len(ends), np.int8)  # what stands before a token: nothing, a blank or "_"
+        before[(stop - sizes)[sizes > 0]] = 0
+        starts = np.flatnonzero(taken > 1)
+        for n in range(1, int(taken.max(initial=1))):
+            before[starts[taken[starts] > n] + n] = 2
+        pieces = pc.binary_join_element_wise(pa.array(["", " ", "_"]).take(pa.array(before)), tokens.flatten(), "")
+        whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pieces)
+        return pa.table([lines["line"], pc.binary_join(whole, "")], ["line", "text"])
+
+    return run
 
 
 def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens", mode: str = "longest") -> DataFrame:
@@ -131,46 +246,12 @@ def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", to
     """
     if mode not in ("longest", "best"):
         raise ValueError(mode)
-    lines = df.select(line, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens")).checkpoint(eager=True)
-    tree = prefix_tree(lexicon).checkpoint(eager=True)
-    depth = tree.agg(F.max("words")).first()[0] or 1
-    walk = lines.select(line, F.posexplode("tokens").alias("start", "__t"), F.col("tokens").alias("__all"))
-    walk = walk.select(line, "start", F.slice("__all", F.col("start") + 1, depth).alias("ahead"))
-    edges = None
-    for n in range(2, depth + 1):
-        step = tree.where(F.col("words") == n).select(F.col("node").alias("__node"), "score")
-        walk = walk.where(F.size("ahead") >= n).withColumn("__node", F.array_join(F.slice("ahead", 1, n), " "))
-        walk = lookup_join(walk, step, "__node", "inner").drop("__node").checkpoint(eager=True)
-        met = walk.where("score is not null").select(line, F.struct("start", F.lit(n).alias("words"), "score").alias("e"))
-        edges = met if edges is None else edges.unionByName(met)
-        walk = walk.drop("score")
-    if edges is None:
-        return lines.select(line, F.array_join("tokens", " ").alias("text"))
-    # a line's lattice holds at most depth - 1 edges a token
-    lattice = lines.join(edges.groupBy(line).agg(F.collect_list("e").alias("edges")), line, "left")
-    here = lambda i: F.filter("edges", lambda e: e["start"] == i)
-    count = F.size("tokens")
-    if mode == "longest":
-        lattice = lattice.withColumn("longest", F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.coalesce(
-            F.array_max(F.transform(here(i), lambda e: e["words"])), F.lit(1))))
-    else:
-        nothing = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("words")))
-
-        def from_right(done, i):
-            options = F.transform(here(i), lambda e: F.struct((e["score"] + F.get(done, e["words"] - 1)["s"]).alias("s"), e["words"].alias("words")))
-            single = F.array(F.struct(F.get(done, F.lit(0))["s"].alias("s"), F.lit(1).alias("words")))
-            return F.concat(F.array(F.array_max(F.concat(single, F.coalesce(options, F.slice(single, 1, 0))))), done)
-
-        paths = F.aggregate(F.reverse(F.sequence(F.lit(0), count - 1)), nothing, from_right)
-        lattice = lattice.withColumn("longest", F.transform(paths, lambda p: p["words"]))
-
-    def forward(acc, i):
-        words = F.get("longest", i)
-        piece = F.array_join(F.slice("tokens", i + 1, words), "_")
-        return F.when(i < acc["free"], acc).otherwise(
-            F.struct((i + words).alias("free"), F.concat(acc["out"], F.array(piece)).alias("out")))
-
-    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("out"))
-    joined = F.array_join(F.aggregate(F.sequence(F.lit(0), count - 1), start, forward)["out"], " ")
-    joined = F.when(F.col("edges").isNull(), F.array_join("tokens", " ")).otherwise(joined)
-    return lattice.select(line, F.when(count == 0, "").otherwise(joined).alias("text"))
+    n = df.agg(F.sum(F.greatest(F.size(tokens), F.lit(0)))).first()[0] or 0
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n // TOKENS))
+    lines = df.select(F.pmod(F.xxhash64(line), F.lit(n)).alias("part"), F.col(line).alias("line"), F.array_compact(tokens).alias("tokens"))
+    lines = lines.repartition(n, "part").sortWithinPartitions("part")
+    begin = lexicon.where("score is not null").select(F.substring_index("phrase", " ", 2).alias("pair"), "phrase", F.col("score").cast("double").alias("score"))
+    phrases = lookup_join(_pairs(lines), begin, "pair", "inner").select("part", "phrase", "score")
+    out = f"line {df.schema[line].dataType.simpleString()}, text string"
+    glued = lines.groupBy("part").cogroup(phrases.groupBy("part")).applyInArrow(_glued(mode), out)
+    return glued.select(F.col("line").alias(line), "text")

@@ -24,7 +24,7 @@ from linea.operators.bleu import line_partitions
 TOKENS = 1 << 20
 
 
-def _different(tokens: pa.ListArray, most: int) -> pa.RecordBatch:
+def different(tokens: pa.ListArray, most: int) -> pa.RecordBatch:
     """``head, last, words, times`` of the different windows of these lines."""
     sizes = tokens.value_lengths().fill_null(0).to_numpy()
     told = tokens.flatten().dictionary_encode()
@@ -74,7 +74,7 @@ def windows(df: DataFrame, most: int, tokens: str = "tokens") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines in _pieces(batches):
             if len(lines.flatten()):
-                yield _different(lines, most)
+                yield different(lines, most)
 
     return df.select(F.array_compact(tokens).alias("t")).mapInArrow(run, "head string, last string, words int, times bigint")
 

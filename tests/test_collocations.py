@@ -91,3 +91,20 @@ def test_empty_lexicon_and_corpus(spark):
     none = spark.createDataFrame([], "phrase string, score double")
     assert {r.line_id: r.text for r in CO.segment_phrases(df, none).collect()} == {1: "a b", 2: ""}
     assert CO.mine_phrases(df.limit(0)).count() == 0
+
+
+def test_phrases_meet_a_parts_pairs_not_its_tokens(spark, monkeypatch):
+    # each token was a row that was written, joined and shuffled
+    lexicon = spark.createDataFrame([("a b", 1.0), ("b c d", 5.0), ("b z", 9.0)], "phrase string, score double")
+    df = spark.createDataFrame([(i, ["a", "b", "c", "d"] * 20) for i in range(30)] + [(99, [])], "line_id int, tokens array<string>")
+    monkeypatch.setattr(CO, "TOKENS", 100)  # many parts
+    parts = df.selectExpr("cast(line_id % 3 as bigint) as part", "tokens").coalesce(1).sortWithinPartitions("part")
+    pairs = [tuple(r) for r in CO._pairs(parts).collect()]
+    assert sorted(pairs) == sorted((p, x) for p in range(3) for x in ("a b", "b c", "c d", "d a"))
+    out = CO.segment_phrases(df, lexicon)
+    got = {r.line_id: r.text for r in out.collect()}
+    assert got == {i: " ".join(["a_b c d"] * 20) for i in range(30)} | {99: ""}
+    best = {r.line_id: r.text for r in CO.segment_phrases(df, lexicon, mode="best").collect()}
+    assert best == {i: " ".join(["a b_c_d"] * 20) for i in range(30)} | {99: ""}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "posexplode" not in plan
