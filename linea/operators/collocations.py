@@ -138,7 +138,7 @@ def _pairs(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
         for batch in batches:
-            of, tokens = batch.column(0).to_numpy(), batch.column(1)
+            of, tokens = batch.column("part").to_numpy(), batch.column("tokens")
             cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if held and of[a] != part:
@@ -149,7 +149,8 @@ def _pairs(lines: DataFrame) -> DataFrame:
         if held:
             yield told(part, held)
 
-    return lines.select("part", "tokens").mapInArrow(run, "part bigint, pair string")
+    # all columns: the lines that the phrases come back to are then the same exchange
+    return lines.mapInArrow(run, "part bigint, pair string")
 
 
 def _matches(code: np.ndarray, ends: np.ndarray, words: pa.Array, phrases: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
