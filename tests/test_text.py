@@ -88,3 +88,28 @@ def test_log_fields_by_their_tabs(spark):
     out = parse_decoder_log(spark.createDataFrame([(x,) for x in lines], "line string"))
     assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, out.collect())) == [(1, -0.5, "a b"), (2, -0.5, ""), (3, None, ""), (4, -0.5, ""), (5, -0.25, "x"), (7, -1.0, "")]
+
+
+def test_detruecase_cuts_at_sentences(spark):
+    """The rule token by token gives the same, and no array of tokens with their neighbours is built."""
+    import random
+
+    def by_token(line):
+        w = line.split(" ")
+        out = []
+        for i, x in enumerate(w):
+            p1, p2 = (w[i - 1] if i else None), (w[i - 2] if i > 1 else None)
+            at_start = i == 0 or p1 in T.SENTENCE_END
+            after_delay = p1 in T.DELAYED_START and (i == 1 or p2 in T.SENTENCE_END)
+            starts = x not in T.DELAYED_START and (at_start or after_delay)
+            out.append(x[:1].upper() + x[1:] if starts else x)
+        return " ".join(out)
+
+    rnd = random.Random(7)
+    kinds = [*T.SENTENCE_END, *T.DELAYED_START, "", "a", "bc", "é", "ßa", "ﬁn", "a.", ".b", "\n", "\td", "😀x", "A"]
+    lines = ["", " ", ".", ". ", " .", "( ", "(", "( (", ". ( a", ". ( ( a", "( . a", ". . a", ".  a", "(a b", "! \" a"]
+    lines += [" ".join(rnd.choice(kinds) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+    assert col_values(spark, lines, T.detruecase) == [by_token(x) for x in lines]
+    assert col_values(spark, [None, "a"], T.detruecase) == [None, "A"]
+    plan = spark.createDataFrame([("a",)], "t string").select(T.detruecase("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_zip" not in plan
