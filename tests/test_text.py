@@ -113,3 +113,14 @@ def test_detruecase_cuts_at_sentences(spark):
     assert col_values(spark, [None, "a"], T.detruecase) == [None, "A"]
     plan = spark.createDataFrame([("a",)], "t string").select(T.detruecase("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "arrays_zip" not in plan
+
+
+def test_split_space_long_run_of_blanks(spark):
+    """Blanks inside a line cost their number, not its square (by the pattern `` +$`` this line takes minutes)."""
+    import time
+    df = spark.range(1).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit(" "), 300_000), F.lit("b  ")).alias("t"))
+    df = df.select(F.size(T.split_space("t")).alias("n"))
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+    start = time.monotonic()
+    assert df.first().n == 300_001
+    assert time.monotonic() - start < 20
