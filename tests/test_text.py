@@ -116,7 +116,7 @@ def test_detruecase_cuts_at_sentences(spark):
 
 
 def test_split_space_long_run_of_blanks(spark):
-    """Blanks inside a line cost their number, not its square (by the pattern `` +$`` this line takes minutes)."""
+    """Blanks inside a line cost their number, not its square (the pattern `` +$`` looks at a run's rest again from each blank)."""
     import time
     df = spark.range(1).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit(" "), 300_000), F.lit("b  ")).alias("t"))
     df = df.select(F.size(T.split_space("t")).alias("n"))
