@@ -96,3 +96,32 @@ def test_draws_of_many_samples_are_those_of_each(monkeypatch):
     monkeypatch.setattr(BS, "CHUNK", 3)
     parts = list(BS.pieces(np.array([4, 4, 1, 1, 1, 1, 50, 2]), 10))
     assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 6), (6, 7), (7, 8)]
+
+
+def test_parts_draw_what_ranges_draw(spark, monkeypatch):
+    # each draw made anew was a Python pair in the task of the last range, and each sample had a row of sums a range
+    monkeypatch.setattr(BS, "FOLD", 2)
+    monkeypatch.setattr(BS, "LEAST", 1)
+    st = spark.createDataFrame([(i, i * i) for i in range(101)], "n long, x long")
+    drawn = BS.draws(spark, 101, 40, 77, seed=9, span=8).collect()  # 16 ranges of 7 places, 11 of 112 empty
+    want = {b: sum(r.idx ** 2 for r in drawn if r.b == b) for b in range(40)}
+    out = BS.resample_sums(st, ["x"], 40, 77, 9, n=101, span=8)
+    assert {r.b: r.x for r in out.collect()} == want
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()  # no second look for draws made anew
+    rows = BS.deal_parts(spark, 101, 40, 77, 2, seed=9, span=8).collect()
+    assert len(rows) <= 40 * 4 and {r.part for r in rows} == set(range(4))
+    assert sum(r["count"] for r in rows) == 40 * 77 and sum(len(r.anew) for r in rows) > 0
+
+
+def test_hits_are_the_places_drawn():
+    import numpy as np
+    b, counts = np.arange(150), np.random.default_rng(0).integers(0, 90, 150)
+    owner, place = BS.many_places(3, b, 21, counts, 13, 13, 500)[:2]
+    want = np.bincount(owner * 13 + place, minlength=150 * 13).reshape(150, 13)
+    np.add.at(want, ([4, 4, 149], [2, 2, 12]), 1)
+    for kind in (np.float32, np.float64):
+        got = [(some, x.copy()) for some, x in BS.hits(3, b, 21, counts, 13, np.array([4, 4, 149]), np.array([2, 2, 12]), kind)]
+        assert (np.concatenate([x for _, x in got]) == want).all() and got[-1][0].stop == 150
+    big = np.array([0, 7, (1 << 63) + 12345, (1 << 64) - 1], np.uint64)
+    for n in (1, 40, (1 << 32) - 1, 1 << 33):
+        assert BS._below(big, n).tolist() == [int(x) * n >> 64 for x in big]
