@@ -157,3 +157,23 @@ def test_batches_in_parts_count_as_brute_force():
 def test_no_lines_sum_to_zero(spark):
     got = B.corpus_totals(frame(spark).where("false")).first()
     assert list(got) == [0] * 10
+
+
+def test_statistics_of_texts_cut_where_they_are_counted(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from linea.functions import text as T
+    monkeypatch.setattr(B, "TOKENS", 20)  # many parts
+    rnd = random.Random(5)
+    side = lambda: " ".join(rnd.choice(["a", "b", "c.", "d,e", "f-1", "", "\t"]) for _ in range(rnd.randint(0, 12)))
+    rows = [(i, side(), side(), [side() for _ in range(rnd.randint(1, 3))]) for i in range(300)] + [(300, None, "a", ["a b"])]
+    df = spark.createDataFrame(rows, "line_id int, hyp_a string, hyp_b string, refs array<string>")
+    for ties in ("first", "shorter"):
+        cut = lambda c: T.eval_preproc(c, "bleu")
+        arrays = df.select("line_id", cut("hyp_a").alias("hyp_a"), cut("hyp_b").alias("hyp_b"), F.transform("refs", cut).alias("refs"))
+        want = B.paired_sentence_stats(arrays, ties=ties, n_refs=3)
+        got = B.paired_sentence_stats(df, ties=ties, n_refs=3, cut=T.Cut("bleu"))
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -124,3 +124,29 @@ def test_split_space_long_run_of_blanks(spark):
     start = time.monotonic()
     assert df.first().n == 300_001
     assert time.monotonic() - start < 20
+
+
+def test_cut_equals_the_rules_on_whole_texts(spark):
+    # the rules' patterns were applied to each text; now to the different pieces of a batch
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    every = pa.array([chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000])
+    assert set(every.filter(pc.match_substring_regex(every, T.UWS)).to_pylist()) == set(T.UWS_CHARACTERS)
+    rnd = random.Random(3)
+    bits = ["a", "b", " ", "  ", ".", ",", "..", "1", "23", "-", "-\n", "\n", "&quot;", "&amp;", "amp;", "<skipped>", "<skip", "ped>", "'", "é",
+            " ", "\xa0", "\t", "\x85", "\x1c", "(", "中"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(4000)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    detok = F.array_remove(F.split(T.tokenize_13a(T.strip_unicode("t")), " "), "")
+    for rules, tokens in (("bleu", T.eval_preproc("t", "bleu")), ("13a", detok)):
+        want = [r.x or [] for r in df.select("i", tokens.alias("x")).orderBy("i").collect()]
+        code, sizes, kinds = T.Cut(rules).numbered(pa.array(texts))
+        assert sizes.tolist() == [len(x) for x in want]
+        names = dict(zip(code.tolist(), [w for x in want for w in x], strict=True))
+        assert [names[c] for c in code.tolist()] == [w for x in want for w in x]
+        assert len(set(names.values())) == len(names) <= kinds
+        assert np.all(code < kinds)
