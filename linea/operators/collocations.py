@@ -9,7 +9,7 @@ line, so a window partition is one sentence.
 
 Compounds of any length (:func:`mine_phrases`, :func:`segment_phrases`): the
 lexicon grows a word at a time, from n-grams whose first and last n-1 words are
-in it; a piece of lines sends each different n-gram once with its count. For
+in it; a piece of lines sends each of these once with its count, and no others. For
 matching, lines are dealt to parts; the different pairs of neighbours of a part
 (not its tokens) meet the phrases that begin so, which come back to the part.
 There its positions walk their prefix tree: a position stays in the walk only
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linea.operators.ngrams import different, windows
+from linea.operators.ngrams import different, gram_counts, known
 from linea.operators.positional import lookup_join
 
 
@@ -37,13 +37,14 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
 
 
-def pair_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """``w1, w2, cnt``: how often each pair of neighbours occurs."""
-    w = F.col(tokens)
-    pairs = F.filter(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))),
-                                lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
-                     lambda p: p["w2"].isNotNull())
-    return df.select(F.inline(pairs)).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("cnt"))
+def pair_counts(df: DataFrame, tokens: str = "tokens", min_count: int = 1) -> DataFrame:
+    """``w1, w2, cnt``: how often each pair of neighbours occurs, if ``min_count`` times."""
+    return _as_pairs(gram_counts(df, (2,), tokens, min_count))
+
+
+def _as_pairs(grams: DataFrame) -> DataFrame:
+    cut = F.instr("gram", " ")  # tokens hold no blank
+    return grams.select(F.expr("substring_index(gram, ' ', 1)").alias("w1"), F.col("gram").substr(cut + 1, F.length("gram")).alias("w2"), "cnt")
 
 
 def lexicon(pairs: DataFrame, uni: DataFrame, min_count: int = 5, min_pmi: float = 3.0, digits: int = 6) -> DataFrame:
@@ -61,7 +62,9 @@ def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: flo
          digits: int = 6) -> DataFrame:
     """``w1, w2, cnt, pmi`` with ``cnt >= min_count`` and ``pmi >= min_pmi``;
     pmi = ln(cnt * N / (c(w1) * c(w2))), N = number of tokens."""
-    return lexicon(pair_counts(df, tokens), token_counts(df, tokens), min_count, min_pmi, digits)
+    both = gram_counts(df, (1, 2), tokens, min_count).checkpoint(eager=True)  # tokens and pairs in one pass
+    uni = both.where("n = 1").select(F.col("gram").alias("w"), F.col("cnt").alias("c"))
+    return lexicon(_as_pairs(both.where("n = 2")), uni, min_count, min_pmi, digits)
 
 
 def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
@@ -93,25 +96,17 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
     / (n-1) >= min_pmi``. Tokens hold no blank.
     """
     lines = df.select(F.col(tokens).alias("tokens"))
-    pair, frequent = F.concat_ws(" ", "head", "last"), F.col("cnt") >= min_count
-    # tokens and pairs in one pass: a pair holds a blank
-    both = windows(lines, 2).select("times", F.explode(F.when(F.col("words") == 2, F.array("head", pair)).otherwise(F.array("head"))).alias("phrase"))
-    both = both.groupBy("phrase").agg(F.sum("times").alias("cnt")).withColumn("pair", F.col("phrase").contains(" "))
-    both = both.where(~F.col("pair") | frequent).checkpoint(eager=True)
-    uni = both.where(~F.col("pair")).select(F.col("phrase").alias("w"), F.col("cnt").alias("c"))
+    both = gram_counts(lines, (1, 2), least=min_count).checkpoint(eager=True)  # tokens and pairs in one pass
+    uni = both.where("n = 1").select(F.col("gram").alias("w"), F.col("cnt").alias("c"))
     total = float(uni.agg(F.sum("c")).first()[0] or 1)
-    longer = windows(lines, max_words).select("words", "times", pair.alias("gram"))
     found, last = None, None
     for n in range(2, max_words + 1):
-        counts = both.where("pair").select("phrase", "cnt")
-        if last is not None:  # only what continues a phrase is counted, and only that may continue
+        counts = both.where("n = 2").select(F.col("gram").alias("phrase"), "cnt")
+        if last is not None:  # only what begins and ends with a phrase is counted, and only that may continue
+            counts = gram_counts(lines, (n,), least=min_count, before=known(last)).select(F.col("gram").alias("phrase"), "cnt").checkpoint(eager=True)
             kept = last.select(F.col("phrase").alias("head"))
-            head, whole = F.substring_index("gram", " ", n - 1), F.substring_index("gram", " ", n)
-            tail = F.expr("substring(phrase, locate(' ', phrase) + 1)")
-            longer = lookup_join(longer.where(F.col("words") >= n).withColumn("head", head), kept, "head", "left_semi")
-            longer = lookup_join(longer.withColumn("phrase", whole).withColumn("tail", tail), kept.withColumnRenamed("head", "tail"), "tail", "left_semi")
-            longer = longer.select("words", "times", "gram", "phrase").checkpoint(eager=True)
-            counts = longer.groupBy("phrase").agg(F.sum("times").alias("cnt")).where(frequent)
+            counts = counts.withColumn("head", F.substring_index("phrase", " ", n - 1)).withColumn("tail", F.expr("substring(phrase, locate(' ', phrase) + 1)"))
+            counts = lookup_join(lookup_join(counts, kept, "head", "left_semi"), kept.withColumnRenamed("head", "tail"), "tail", "left_semi")
         words = counts.select("phrase", "cnt", F.explode(F.split("phrase", " ")).alias("w"))
         logs = lookup_join(words, uni, "w", "inner").groupBy("phrase", "cnt").agg(F.sum(F.ln("c")).alias("logs"))
         pmi = (F.ln("cnt") + F.lit(n - 1) * F.ln(F.lit(total)) - F.col("logs")) / (n - 1)
