@@ -4,15 +4,15 @@ Mining: adjacent-token pairs and single tokens are counted over the corpus
 and scored by pointwise mutual information; pairs with enough support and
 PMI form the lexicon. Matching: greedy, left to right, non-overlapping —
 within a run of consecutive lexicon pairs every other pair (from the run's
-start) is joined with ``_`` (the inverse of T8). Windows are partitioned by
-line, so a window partition is one sentence.
+start) is joined with ``_`` (the inverse of T8): phrases of two words.
 
 Compounds of any length (:func:`mine_phrases`, :func:`segment_phrases`): the
 lexicon grows a word at a time, from n-grams whose first and last n-1 words are
 in it; a piece of lines sends each of these once with its count, and no others. For
-matching, lines are dealt to parts; the different pairs of neighbours of a part
-(not its tokens) meet the phrases that begin so, which come back to the part.
-There its positions walk their prefix tree: a position stays in the walk only
+matching, each task gets the phrases if they are few enough to be held, and lines
+stay where they lie. Otherwise lines are dealt to parts; the different pairs of
+neighbours of a part (not its tokens) meet the phrases that begin so, which come
+back to the part. Positions walk the prefix tree: a position stays in the walk only
 while its words are a prefix of some phrase. The matches of a line are a lattice
 over its positions; its path takes the longest match first, or the highest sum
 of scores.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linea.operators.ngrams import different, gram_counts, known
@@ -68,23 +68,9 @@ def mine(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: flo
 
 
 def segment(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens") -> DataFrame:
-    """``line, text``: lexicon pairs joined by ``_``, greedily left to right."""
-    p = df.select(line, F.posexplode_outer(tokens).alias("pos", "w"))  # a line without tokens keeps a row
-    w = Window.partitionBy(line).orderBy("pos")
-    p = p.withColumn("nxt", F.lead("w").over(w))
-    p = lookup_join(p, lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("nxt"),
-                                      F.lit(True).alias("m")), ["w", "nxt"])
-    p = p.withColumn("m", F.coalesce("m", F.lit(False)))
-    # start of the current run of consecutive matches
-    prev_m = F.coalesce(F.lag("m").over(w), F.lit(False))
-    p = p.withColumn("__rs", F.when(~prev_m, F.col("pos")))
-    p = p.withColumn("__run", F.last("__rs", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    p = p.withColumn("take", F.col("m") & (F.pmod(F.col("pos") - F.col("__run"), F.lit(2)) == 0))
-    p = p.withColumn("taken_prev", F.coalesce(F.lag("take").over(w), F.lit(False)))
-    out = F.when(F.col("take"), F.concat_ws("_", "w", "nxt")).otherwise(F.col("w"))
-    kept = p.where(~F.col("taken_prev")).select(line, "pos", out.alias("w"))
-    g = kept.groupBy(line).agg(F.sort_array(F.collect_list(F.struct("pos", "w"))).alias("__s"))
-    return g.select(line, F.array_join(F.transform("__s", lambda s: s["w"]), " ").alias("text"))
+    """``line, text``: lexicon pairs joined by ``_``, greedily left to right: phrases of two words, the first at each free position."""
+    pairs = lexicon.select(F.concat_ws(" ", "w1", "w2").alias("phrase"), F.lit(1.0).alias("score"))
+    return segment_phrases(df, pairs, line, tokens)
 
 
 def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_pmi: float = 3.0, max_words: int = 4,
@@ -148,35 +134,47 @@ def _pairs(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "part bigint, pair string")
 
 
-def _matches(code: np.ndarray, ends: np.ndarray, words: pa.Array, phrases: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For 2, 3, … words: the positions where a phrase of so many starts, and its score.
-
-    ``code`` numbers each position's token among ``words``, ``ends`` is the end of its line.
-    """
-    cut = pc.split_pattern(phrases["phrase"].combine_chunks(), " ")
-    size = cut.value_lengths().to_numpy()
-    first = np.cumsum(size) - size
-    of = pc.index_in(cut.flatten(), value_set=words).fill_null(-1).to_numpy().astype(np.int64)
-    score = phrases["score"].combine_chunks().to_numpy(zero_copy_only=False)
-    here = np.flatnonzero(np.add.reduceat(of < 0, first) == 0) if len(size) else np.arange(0)  # phrases whose words all occur
-    node = of[first[here]]
-    at, place, out = np.arange(len(code)), code, []
-    for n in range(2, int(size[here].max(initial=1)) + 1):  # a prefix is a number: that of its first n - 1 words and its last word
-        long = size[here] >= n
-        here, node = here[long], node[long]
-        keys, node = np.unique(node * len(words) + of[first[here] + n - 1], return_inverse=True)
-        best, own = np.full(len(keys), -np.inf), np.zeros(len(keys), bool)
-        end = size[here] == n
-        np.maximum.at(best, node[end], score[here[end]])
-        own[node[end]] = True
-        inside = at + n - 1 < ends[at]
-        at, place = at[inside], place[inside]
-        key = place * len(words) + code[at + n - 1]
-        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        met = keys[place] == key
-        at, place = at[met], place[met]
-        out.append((at[own[place]], best[place[own[place]]]))
-    return out
+class Tree:
+    """The prefix tree of phrases, in arrays: a prefix of n words is a number, found by that of its first n - 1 words and its last word."""
+
+    def __init__(self, phrases: pa.Array, scores: np.ndarray):
+        cut = pc.split_pattern(phrases, " ")
+        size = cut.value_lengths().to_numpy()
+        first = np.cumsum(size) - size
+        told = cut.flatten().dictionary_encode()
+        self.words, of = told.dictionary, told.indices.to_numpy().astype(np.int64)
+        here, self.levels = np.flatnonzero(size > 0), []
+        node = of[first[here]]
+        for n in range(2, int(size.max(initial=1)) + 1):
+            long = size[here] >= n
+            here, node = here[long], node[long]
+            keys, node = np.unique(node * len(self.words) + of[first[here] + n - 1], return_inverse=True)
+            best, own = np.full(len(keys), -np.inf), np.zeros(len(keys), bool)
+            end = size[here] == n
+            np.maximum.at(best, node[end], scores[here[end]])
+            own[node[end]] = True
+            self.levels.append((keys, best, own))
+
+    def matches(self, code: np.ndarray, ends: np.ndarray, words: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For 2, 3, … words: the positions where a phrase of so many starts, and its score.
+
+        ``code`` numbers each position's token among ``words``, ``ends`` is the end of its line.
+        """
+        if not self.levels:
+            return []
+        code = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)[code]
+        at = np.flatnonzero(code >= 0)
+        place, out = code[at], []
+        for n, (keys, best, own) in enumerate(self.levels, 2):
+            inside = at + n - 1 < ends[at]
+            at, place = at[inside], place[inside]
+            following = code[at + n - 1]
+            key = place * len(self.words) + following
+            place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            met = (keys[place] == key) & (following >= 0)
+            at, place = at[met], place[met]
+            out.append((at[own[place]], best[place[own[place]]]))
+        return out
 
 
 def _longest(matches: list, tokens: int) -> np.ndarray:
@@ -212,27 +210,51 @@ def _best(matches: list, ends: np.ndarray) -> np.ndarray:
     return taken
 
 
+def _joined(tokens: pa.ListArray, tree: Tree, mode: str) -> pa.Array:
+    """The text of each line, the phrases of its path joined."""
+    sizes = tokens.value_lengths().fill_null(0).to_numpy()
+    stop = np.cumsum(sizes)
+    told = tokens.flatten().dictionary_encode()
+    ends = np.repeat(stop, sizes)
+    matches = tree.matches(told.indices.to_numpy().astype(np.int64), ends, told.dictionary)
+    taken = _longest(matches, len(ends)) if mode == "longest" else _best(matches, ends)
+    before = np.ones(len(ends), np.int8)  # what stands before a token: nothing, a blank or "_"
+    before[(stop - sizes)[sizes > 0]] = 0
+    starts = np.flatnonzero(taken > 1)
+    for n in range(1, int(taken.max(initial=1))):
+        before[starts[taken[starts] > n] + n] = 2
+    pieces = pc.binary_join_element_wise(pa.array(["", " ", "_"]).take(pa.array(before)), tokens.flatten(), "")
+    whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pieces)
+    return pc.binary_join(whole, "")
+
+
 def _glued(mode: str):
     def run(lines: pa.Table, phrases: pa.Table) -> pa.Table:
-        tokens = lines["tokens"].combine_chunks()
-        sizes = tokens.value_lengths().fill_null(0).to_numpy()
-        stop = np.cumsum(sizes)
-        told = tokens.flatten().dictionary_encode()
-        ends = np.repeat(stop, sizes)
-        matches = _matches(told.indices.to_numpy().astype(np.int64), ends, told.dictionary, phrases)
-        taken = _longest(matches, len(ends)) if mode == "longest" else _best(matches, ends)
-        before = np.ones(len(ends), np.int8)  # what stands before a token: nothing, a blank or "_"
-        before[(stop - sizes)[sizes > 0]] = 0
-        starts = np.flatnonzero(taken > 1)
-        for n in range(1, int(taken.max(initial=1))):
-            before[starts[taken[starts] > n] + n] = 2
-        pieces = pc.binary_join_element_wise(pa.array(["", " ", "_"]).take(pa.array(before)), tokens.flatten(), "")
-        whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stop]), pa.int32()), pieces)
-        return pa.table([lines["line"], pc.binary_join(whole, "")], ["line", "text"])
+        tree = Tree(phrases["phrase"].combine_chunks(), phrases["score"].to_numpy())
+        return pa.table([lines["line"], _joined(lines["tokens"].combine_chunks(), tree, mode)], ["line", "text"])
 
     return run
 
 
+#: The most phrases, and bytes of them, that each task holds as a tree.
+HELD, HELD_BYTES = 2_000_000, 48 << 20
+
+
+def _held(lines: DataFrame, lexicon: DataFrame, mode: str, out: str) -> DataFrame:
+    """Lines meet a lexicon that a task can hold where they lie."""
+    rows = lexicon.toArrow()
+    sent = lines.sparkSession.sparkContext.broadcast((rows["phrase"].combine_chunks(), rows["score"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = None
+        for batch in batches:
+            if len(batch):
+                tree = tree or Tree(*sent.value)
+                yield pa.RecordBatch.from_arrays([batch.column("line"), _joined(batch.column("tokens"), tree, mode)], ["line", "text"])
+
+    return lines.mapInArrow(run, out)
+
+
 def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", tokens: str = "tokens", mode: str = "longest") -> DataFrame:
     """``line, text``: phrases of ``lexicon`` (``phrase, score``) joined by ``_``.
 
@@ -242,12 +264,17 @@ def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", to
     """
     if mode not in ("longest", "best"):
         raise ValueError(mode)
-    n = df.agg(F.sum(F.greatest(F.size(tokens), F.lit(0)))).first()[0] or 0
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n // TOKENS))
-    lines = df.select(F.pmod(F.xxhash64(line), F.lit(n)).alias("part"), F.col(line).alias("line"), F.array_compact(tokens).alias("tokens"))
-    lines = lines.repartition(n, "part").sortWithinPartitions("part")
-    begin = lexicon.where("score is not null").select(F.substring_index("phrase", " ", 2).alias("pair"), "phrase", F.col("score").cast("double").alias("score"))
-    phrases = lookup_join(_pairs(lines), begin, "pair", "inner").select("part", "phrase", "score")
+    lines = df.select(F.col(line).alias("line"), F.array_compact(tokens).alias("tokens"))
     out = f"line {df.schema[line].dataType.simpleString()}, text string"
-    glued = lines.groupBy("part").cogroup(phrases.groupBy("part")).applyInArrow(_glued(mode), out)
+    lexicon = lexicon.where("score is not null").select("phrase", F.col("score").cast("double").alias("score")).checkpoint(eager=True)
+    rows, used = lexicon.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase") + 8)).first()
+    if rows <= HELD and (used or 0) <= HELD_BYTES:
+        glued = _held(lines, lexicon, mode, out)
+    else:
+        n = lines.agg(F.sum(F.greatest(F.size("tokens"), F.lit(0)))).first()[0] or 0
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n // TOKENS))
+        lines = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(n))).repartition(n, "part").sortWithinPartitions("part")
+        begin = lexicon.select(F.substring_index("phrase", " ", 2).alias("pair"), "phrase", "score")
+        phrases = lookup_join(_pairs(lines), begin, "pair", "inner").select("part", "phrase", "score")
+        glued = lines.groupBy("part").cogroup(phrases.groupBy("part")).applyInArrow(_glued(mode), out)
     return glued.select(F.col("line").alias(line), "text")

@@ -108,3 +108,33 @@ def test_phrases_meet_a_parts_pairs_not_its_tokens(spark, monkeypatch):
     assert best == {i: " ".join(["a b_c_d"] * 20) for i in range(30)} | {99: ""}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "posexplode" not in plan
+
+
+def plain_pairs(line, pairs):
+    out, at = [], 0
+    while at < len(line):
+        n = 2 if tuple(line[at:at + 2]) in pairs else 1
+        out.append("_".join(line[at:at + n]))
+        at += n
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_matching_needs_no_row_of_a_token(spark, monkeypatch, held):
+    # a row of each token went through windows by line; and lines were shuffled for any lexicon
+    if not held:
+        monkeypatch.setattr(CO, "HELD", 0)
+    rnd = random.Random(9)
+    lines = [[rnd.choice(["a", "b", "c", "é", "zz"]) for _ in range(rnd.randint(0, 12))] for _ in range(80)] + [["a"] * 7, []]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)] + [(999, None)], "line_id int, tokens array<string>")
+    pairs = {("a", "a"), ("b", "c"), ("c", "b"), ("é", "zz"), ("zz", "y")}
+    out = CO.segment(df, spark.createDataFrame(list(pairs), "w1 string, w2 string"))
+    assert {r.line_id: r.text for r in out.collect()} == {i: plain_pairs(x, pairs) for i, x in enumerate(lines)} | {999: ""}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan and ("Exchange" in plan) != held
+    lexicon = spark.createDataFrame([("a a", 1.0), ("a a a b", 5.0), ("b c é", 2.0), ("x y", None)], "phrase string, score double")
+    for mode in ("longest", "best"):
+        held_text = {r.line_id: r.text for r in CO.segment_phrases(df, lexicon, mode=mode).collect()}
+        monkeypatch.setattr(CO, "HELD", 0 if held else 10)
+        assert held_text == {r.line_id: r.text for r in CO.segment_phrases(df, lexicon, mode=mode).collect()}
+        monkeypatch.setattr(CO, "HELD", 10 if held else 0)
