@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linea.operators.ngrams import different, gram_counts, known
+from linea.operators.ngrams import different, gram_counts, known, lists, sent
 from linea.operators.positional import lookup_join
 
 
@@ -79,7 +79,7 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
 
     A phrase of n words is kept if it occurs ``min_count`` times, its first and
     last n-1 words are kept phrases, and ``pmi = ln(cnt * N^(n-1) / prod c(w))
-    / (n-1) >= min_pmi``. Tokens hold no blank.
+    / (n-1) >= min_pmi``. Tokens hold no blank; texts are cut as ``split_ws`` does.
     """
     lines = df.select(F.col(tokens).alias("tokens"))
     both = gram_counts(lines, (1, 2), least=min_count).checkpoint(eager=True)  # tokens and pairs in one pass
@@ -119,7 +119,7 @@ def _pairs(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
         for batch in batches:
-            of, tokens = batch.column("part").to_numpy(), batch.column("tokens")
+            of, tokens = batch.column("part").to_numpy(), lists(batch.column("tokens"))
             cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if held and of[a] != part:
@@ -231,7 +231,7 @@ def _joined(tokens: pa.ListArray, tree: Tree, mode: str) -> pa.Array:
 def _glued(mode: str):
     def run(lines: pa.Table, phrases: pa.Table) -> pa.Table:
         tree = Tree(phrases["phrase"].combine_chunks(), phrases["score"].to_numpy())
-        return pa.table([lines["line"], _joined(lines["tokens"].combine_chunks(), tree, mode)], ["line", "text"])
+        return pa.table([lines["line"], _joined(lists(lines["tokens"].combine_chunks()), tree, mode)], ["line", "text"])
 
     return run
 
@@ -250,7 +250,7 @@ def _held(lines: DataFrame, lexicon: DataFrame, mode: str, out: str) -> DataFram
         for batch in batches:
             if len(batch):
                 tree = tree or Tree(*sent.value)
-                yield pa.RecordBatch.from_arrays([batch.column("line"), _joined(batch.column("tokens"), tree, mode)], ["line", "text"])
+                yield pa.RecordBatch.from_arrays([batch.column("line"), _joined(lists(batch.column("tokens")), tree, mode)], ["line", "text"])
 
     return lines.mapInArrow(run, out)
 
@@ -260,18 +260,20 @@ def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", to
 
     ``longest``: left to right, the longest phrase at each free position.
     ``best``: the path of the highest sum of scores (longer phrases of equals).
-    Lines without tokens stay, as empty text.
+    Lines without tokens stay, as empty text. ``tokens`` may be texts: they are cut as ``split_ws`` does.
     """
     if mode not in ("longest", "best"):
         raise ValueError(mode)
-    lines = df.select(F.col(line).alias("line"), F.array_compact(tokens).alias("tokens"))
+    lines = df.select(F.col(line).alias("line"), sent(df, tokens).alias("tokens"))
     out = f"line {df.schema[line].dataType.simpleString()}, text string"
     lexicon = lexicon.where("score is not null").select("phrase", F.col("score").cast("double").alias("score")).checkpoint(eager=True)
     rows, used = lexicon.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase") + 8)).first()
     if rows <= HELD and (used or 0) <= HELD_BYTES:
         glued = _held(lines, lexicon, mode, out)
     else:
-        n = lines.agg(F.sum(F.greatest(F.size("tokens"), F.lit(0)))).first()[0] or 0
+        text = dict(lines.dtypes)["tokens"] == "string"  # six bytes a token, about
+        n = lines.agg(F.sum(F.octet_length("tokens") / 6 if text else F.greatest(F.size("tokens"), F.lit(0)))).first()[0] or 0
+        n = int(n)
         n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n // TOKENS))
         lines = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(n))).repartition(n, "part").sortWithinPartitions("part")
         begin = lexicon.select(F.substring_index("phrase", " ", 2).alias("pair"), "phrase", "score")

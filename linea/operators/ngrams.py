@@ -22,9 +22,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linea.functions import text as T
 from linea.operators.bleu import line_partitions
 
 #: About the most tokens whose windows are numbered together (a longer line is numbered whole).
@@ -51,11 +52,21 @@ def different(tokens: pa.ListArray, most: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([head, last, pa.array(words), pa.array(times)], ["head", "last", "words", "times"])
 
 
+def sent(df: DataFrame, tokens: str) -> Column:
+    """The column of tokens as workers get it: arrays without nulls, or texts, which :func:`lists` cuts there."""
+    return F.col(tokens) if dict(df.dtypes)[tokens] == "string" else F.array_compact(tokens)
+
+
+def lists(column: pa.Array) -> pa.ListArray:
+    """The tokens of the lines of :func:`sent`."""
+    return T.cut_ws(column) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ListArray]:
     """The lines of many batches in pieces of about ``TOKENS`` tokens, a line at least."""
     held, size = [], 0
     for batch in batches:
-        lines = batch.column(0)
+        lines = lists(batch.column(0))
         ends = np.cumsum(lines.value_lengths().fill_null(0).to_numpy())
         at, done = 0, 0
         while at < len(lines):
@@ -225,7 +236,7 @@ def _untold(size: int, data: bytes) -> tuple[np.ndarray, pa.Array]:
 def gram_counts(df: DataFrame, orders: tuple[int, ...], tokens: str = "tokens", least: int = 1, before: Known | None = None) -> DataFrame:
     """``gram, n, cnt``: the n-grams of the ``orders`` (words joined by blanks; they hold none) that occur ``least`` times.
 
-    Single tokens are all kept. ``before``: only n-grams that begin and end with an (n-1)-gram it holds are counted.
+    ``tokens`` are arrays, or texts whose tokens are those of ``split_ws``. Single tokens are all kept. ``before``: only n-grams that begin and end with an (n-1)-gram it holds are counted.
     """
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     parts = max(conf, min(PARTS, 16 * conf))
@@ -247,5 +258,5 @@ def gram_counts(df: DataFrame, orders: tuple[int, ...], tokens: str = "tokens",
                 out.append(pa.table([kept, pa.repeat(pa.scalar(n, pa.int32()), len(kept)), pa.array(counts[full])], ["gram", "n", "cnt"]))
         return pa.concat_tables(out)
 
-    rows = df.select(F.array_compact(tokens).alias("t")).mapInArrow(run, "part bigint, n int, size bigint, data binary")
+    rows = df.select(sent(df, tokens).alias("t")).mapInArrow(run, "part bigint, n int, size bigint, data binary")
     return rows.repartition(line_partitions(rows), "part").groupBy("part").applyInArrow(counted, "gram string, n int, cnt bigint")

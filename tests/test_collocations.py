@@ -138,3 +138,20 @@ def test_matching_needs_no_row_of_a_token(spark, monkeypatch, held):
         monkeypatch.setattr(CO, "HELD", 0 if held else 10)
         assert held_text == {r.line_id: r.text for r in CO.segment_phrases(df, lexicon, mode=mode).collect()}
         monkeypatch.setattr(CO, "HELD", 10 if held else 0)
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_texts_give_what_arrays_give(spark, monkeypatch, held):
+    # tokens were cut in the JVM and sent to a worker as an array of strings, once for each order
+    if not held:
+        monkeypatch.setattr(CO, "HELD", 0)
+    rnd = random.Random(7)
+    lines = corpus(3) + [[]]
+    texts = [(i, rnd.choice(["", " ", "\t"]) + rnd.choice([" ", "  ", "\n"]).join(x)) for i, x in enumerate(lines)] + [(999, None)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)] + [(999, None)], "line_id int, tokens array<string>")
+    text = spark.createDataFrame(texts, "line_id int, tokens string")
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    phrases = CO.mine_phrases(df, min_count=3, min_pmi=0.5, max_words=3)
+    assert rows(phrases) == rows(CO.mine_phrases(text, min_count=3, min_pmi=0.5, max_words=3)) != []
+    lexicon = phrases.selectExpr("phrase", "pmi * (words - 1) as score")
+    assert rows(CO.segment_phrases(df, lexicon)) == rows(CO.segment_phrases(text, lexicon))

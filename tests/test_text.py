@@ -150,3 +150,16 @@ def test_cut_equals_the_rules_on_whole_texts(spark):
         assert [names[c] for c in code.tolist()] == [w for x in want for w in x]
         assert len(set(names.values())) == len(names) <= kinds
         assert np.all(code < kinds)
+
+
+def test_cut_ws_equals_split_ws(spark):
+    import random
+
+    import pyarrow as pa
+    rnd = random.Random(4)
+    bits = ["a", "é", " ", "  ", "\t", "\n", "\r", "\f", "\x0b", "\x85", "\xa0", "\x1c", "bb"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))) for _ in range(2000)] + [None, "", " ", "a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    want = [r.x or [] for r in df.select("i", T.split_ws("t").alias("x")).orderBy("i").collect()]
+    assert T.cut_ws(pa.array(texts)).to_pylist() == want
+    assert T.cut_ws(pa.array(["a b", "c"])).to_pylist() == [["a", "b"], ["c"]] and T.cut_ws(pa.array([], pa.string())).to_pylist() == []
