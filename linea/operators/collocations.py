@@ -12,7 +12,8 @@ in it; a piece of lines sends each of these once with its count, and no others.
 matching, each task gets the phrases if they are few enough to be held, and lines
 stay where they lie. Otherwise lines are dealt to parts; the different pairs of
 neighbours of a part (not its tokens) meet the phrases that begin so, which come
-back to the part. Positions walk the prefix tree: a position stays in the walk only
+back to the part; a set of bits keeps most pairs that begin no phrase from
+travelling. Positions walk the prefix tree: a position stays in the walk only
 while its words are a prefix of some phrase. The matches of a line are a lattice
 over its positions; its path takes the longest match first, or the highest sum
 of scores.
@@ -23,12 +24,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linea.operators.ngrams import different, gram_counts, known, lists, sent
+from linea.operators.ngrams import Known, gram_counts, joined, known, lists, sent, word_hashes
 from linea.operators.positional import lookup_join
 
 
@@ -108,12 +110,18 @@ def mine_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, min_
 TOKENS = 2_000_000
 
 
-def _pairs(lines: DataFrame) -> DataFrame:
-    """``part, pair``: the different pairs of neighbours of each part (sorted by part)."""
+def _pairs(lines: DataFrame, begins: Known | None = None) -> DataFrame:
+    """``part, pair``: the different pairs of neighbours of each part (sorted by part), of those that ``begins`` holds."""
     def told(part: int, held: list[pa.ListArray]) -> pa.RecordBatch:
-        rows = different(pa.concat_arrays(held), 2)
-        rows = rows.filter(pc.equal(rows["words"], 2))
-        pair = pc.binary_join_element_wise(rows["head"], rows["last"], " ")
+        tokens = pa.concat_arrays(held)
+        sizes, words = tokens.value_lengths().fill_null(0).to_numpy(), tokens.flatten().dictionary_encode()
+        code, kinds = words.indices.to_numpy().astype(np.int64), len(words.dictionary)
+        at = np.flatnonzero(np.arange(len(code)) + 1 < np.repeat(np.cumsum(sizes), sizes))
+        if begins is not None:
+            hashed = word_hashes(words.dictionary)
+            at = at[begins.holds(joined(joined(None, hashed[code[at]]), hashed[code[at + 1]]))]
+        both = pd.unique(code[at] * kinds + code[at + 1])
+        pair = pc.binary_join_element_wise(*[words.dictionary.take(pa.array(x)) for x in (both // max(kinds, 1), both % max(kinds, 1))], " ")
         return pa.RecordBatch.from_arrays([pa.repeat(part, len(pair)), pair], ["part", "pair"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,6 +285,6 @@ def segment_phrases(df: DataFrame, lexicon: DataFrame, line: str = "line_id", to
         n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-n // TOKENS))
         lines = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(n))).repartition(n, "part").sortWithinPartitions("part")
         begin = lexicon.select(F.substring_index("phrase", " ", 2).alias("pair"), "phrase", "score")
-        phrases = lookup_join(_pairs(lines), begin, "pair", "inner").select("part", "phrase", "score")
+        phrases = lookup_join(_pairs(lines, known(begin.select("pair").distinct(), "pair")), begin, "pair", "inner").select("part", "phrase", "score")
         glued = lines.groupBy("part").cogroup(phrases.groupBy("part")).applyInArrow(_glued(mode), out)
     return glued.select(F.col("line").alias(line), "text")

@@ -133,10 +133,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(words: pa.Array) -> np.ndarray:
+def word_hashes(words: pa.Array) -> np.ndarray:
     return pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False) if len(words) else np.empty(0, np.uint64)
 
 
+def joined(before: np.ndarray | None, words: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams, from those of their first n - 1 words (None: there are none) and their last words."""
+    return _mixed(words if before is None else before + words)
+
+
 class Known:
     """A set of n-grams as bits: it holds all its members, and others by chance."""
 
@@ -156,12 +161,12 @@ def known(grams: DataFrame, column: str = "phrase") -> Known:
         for batch in batches:
             words = pc.split_pattern(batch.column(0), " ")
             told = words.flatten().dictionary_encode()
-            code, ends = _word_hashes(told.dictionary)[told.indices.to_numpy()], np.cumsum(words.value_lengths().to_numpy())
+            code, ends = word_hashes(told.dictionary)[told.indices.to_numpy()], np.cumsum(words.value_lengths().to_numpy())
             first = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            hashes = _mixed(code[first])
+            hashes = joined(None, code[first])
             for n in range(1, int((ends - first).max(initial=0))):
                 long = first + n < ends
-                hashes[long] = _mixed(hashes[long] + code[first[long] + n])
+                hashes[long] = joined(hashes[long], code[first[long] + n])
             at = (hashes & np.uint64(size - 1)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at // SLOT), pa.array(at % SLOT)], ["slot", "at"])
 
@@ -184,21 +189,21 @@ def _told(tokens: pa.ListArray, orders: tuple[int, ...], before: Known | None, p
     told = tokens.flatten().dictionary_encode()
     words, kinds = told.dictionary, len(told.dictionary)
     code, ends = told.indices.to_numpy().astype(np.int64), np.repeat(np.cumsum(sizes), sizes)
-    hashed, out = _word_hashes(words), []
+    hashed, out = word_hashes(words), []
     for n in orders:
         at = np.flatnonzero(np.arange(len(code)) + n <= ends)
-        hashes = _mixed(hashed[code])  # of the n-gram that starts here, and of the (n-1)-gram before
+        hashes = joined(None, hashed[code])  # of the n-gram that starts here, and of the (n-1)-gram before
         if before is None:
             hashes = hashes[at]
             for j in range(1, n):
-                hashes = _mixed(hashes + hashed[code[at + j]])
+                hashes = joined(hashes, hashed[code[at + j]])
         else:
             for j in range(1, n - 1):
-                hashes = _mixed(hashes + hashed[code[np.minimum(np.arange(len(code)) + j, len(code) - 1)]])
+                hashes = joined(hashes, hashed[code[np.minimum(np.arange(len(code)) + j, len(code) - 1)]])
             held = before.holds(hashes)
             at = at[held[at]]
             at = at[held[at + 1]]
-            hashes = _mixed(hashes[at] + hashed[code[at + n - 1]])
+            hashes = joined(hashes[at], hashed[code[at + n - 1]])
         if not len(at):
             continue
         gram = code[at]

@@ -155,3 +155,11 @@ def test_texts_give_what_arrays_give(spark, monkeypatch, held):
     assert rows(phrases) == rows(CO.mine_phrases(text, min_count=3, min_pmi=0.5, max_words=3)) != []
     lexicon = phrases.selectExpr("phrase", "pmi * (words - 1) as score")
     assert rows(CO.segment_phrases(df, lexicon)) == rows(CO.segment_phrases(text, lexicon))
+
+
+def test_only_pairs_that_begin_a_phrase_travel(spark):
+    # every different pair of a part was sent to meet the phrases
+    begins = CO.known(spark.createDataFrame([("a b",), ("d a",)], "pair string"), "pair")
+    parts = spark.createDataFrame([(i % 2, " ".join(["a", "b", "c", "d"] * 5)) for i in range(6)], "part long, tokens string")
+    pairs = [tuple(r) for r in CO._pairs(parts.coalesce(1).sortWithinPartitions("part"), begins).collect()]
+    assert sorted(pairs) == [(0, "a b"), (0, "d a"), (1, "a b"), (1, "d a")]
