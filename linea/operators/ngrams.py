@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linea.functions import text as T
+from linea.functions.text import cut_ws  # by name: a module that a closure names is sent whole, with its UDFs
 from linea.operators.bleu import line_partitions
 
 #: About the most tokens whose windows are numbered together (a longer line is numbered whole).
@@ -59,7 +59,7 @@ def sent(df: DataFrame, tokens: str) -> Column:
 
 def lists(column: pa.Array) -> pa.ListArray:
     """The tokens of the lines of :func:`sent`."""
-    return T.cut_ws(column) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column
+    return cut_ws(column) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ListArray]:
